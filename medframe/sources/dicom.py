@@ -108,9 +108,14 @@ def decode_frame(
     include_content: bool = False,
     include_private_tags: bool = False,
     dictionary: dictmod.Dictionary | None = None,
+    keep_elements: bool = False,
 ) -> DataFrame:
     """Tokenise and decode a DataFrame of ``path, content`` (+ other columns,
-    passed through). This is the scan body; ``read`` feeds it from files."""
+    passed through). This is the scan body; ``read`` feeds it from files.
+
+    ``keep_elements`` adds ``elements``: keyword -> raw slot
+    ``struct<vr, str, ints, dbls, bin>`` with all values (``str`` keeps every
+    backslash-separated value), for queries beyond the first value."""
     ship.ensure(files.sparkSession)
     d = dictionary or dictmod.active()
     elems, extras = _resolve_columns(
@@ -163,9 +168,13 @@ def decode_frame(
         exprs.append(c)
     for c in passthrough:
         exprs.append(decode.quote_ident(c))
+    if keep_elements:
+        exprs.append("if(isDicom, attrs, null) as elements")
     out = tokens.selectExpr(*exprs)
     if columns is not None:
         order = [c for c in columns] + [c for c in passthrough if c not in columns]
+        if keep_elements:
+            order.append("elements")
         out = out.select(*[decode.quote_ident(c) for c in order])
     return out
 
