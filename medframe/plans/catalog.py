@@ -19,6 +19,7 @@ from medframe.functions import jsonfns
 from medframe.functions.decode import sql_str
 from medframe.operators import deid, frames, profile
 from medframe.plans import views as V
+from medframe.plans.parallel import spread
 from medframe.sources import dicom
 from medframe.sources import encode as enc
 
@@ -95,7 +96,7 @@ from events"""
 @register("scan_content_length", _content_length_oracle())
 def scan_content_length(spark, sf_dir):
     """includeContent passes the whole file bytes through."""
-    ev = V.table(spark, sf_dir, "events").withColumn("path", V.ev_path())
+    ev = spread(V.table(spark, sf_dir, "events")).withColumn("path", V.ev_path())
     files = enc.encode(ev, [enc.attr("PatientID", "concat('U', user_id)"),
                             enc.attr("StudyDescription", "event_type")])
     out = dicom.decode_frame(files.select("event_id", "path", "content"),
@@ -207,7 +208,7 @@ def filter_after_decode(spark, sf_dir):
 
 
 def _files(df: DataFrame, key: str, attrs: list, path_prefix: str, **kw) -> DataFrame:
-    df = df.withColumn("path", F.concat(F.lit(path_prefix), F.col(key).cast("string")))
+    df = spread(df).withColumn("path", F.concat(F.lit(path_prefix), F.col(key).cast("string")))
     return enc.encode(df, attrs, **kw)
 
 

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from medframe.dictionary import DeidOption
 from medframe.operators import deid, profile
 from medframe.plans import views as V
+from medframe.plans.parallel import spread
 from medframe.sources import dicom
 from medframe.sources import encode as enc
 
@@ -25,7 +26,7 @@ COLUMNS = [
 
 
 def files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ev = V.table(spark, sf_dir, "events").withColumn("path", V.ev_path())
+    ev = spread(V.table(spark, sf_dir, "events")).withColumn("path", V.ev_path())
     attrs = [
         enc.attr("PatientName", "concat('Patient', user_id, '^', event_type)"),
         enc.attr("PatientID", "concat('U', user_id)"),

@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from medframe.plans.parallel import spread
 from medframe.sources import encode as enc
 
 
@@ -145,7 +146,7 @@ def event_files(
     ``text_every=n`` replaces the file of every n-th event by plain text, so
     both values of ``isDicom`` occur. ``overrides`` replaces value
     expressions by keyword; ``extra`` adds ``Attr`` elements."""
-    ev = table(spark, sf_dir, "events")
+    ev = spread(table(spark, sf_dir, "events"))
     overrides = overrides or {}
     attrs = [
         enc.attr(k, overrides.get(k, v), multi=m) for k, v, m in EVENT_FILE_ATTRS

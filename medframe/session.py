@@ -10,9 +10,9 @@ import tempfile
 
 from pyspark.sql import SparkSession
 
-# Rows of an Arrow batch crossing into Python. Rows of a scan hold whole files,
-# so batches are kept short; Spark also caps batches by bytes.
-ARROW_ROWS = 256
+# Rows of an Arrow batch crossing into Python. Batches are also capped at
+# spark.sql.execution.arrow.maxBytesPerBatch (64 MiB), which bounds batches of whole files.
+ARROW_ROWS = 4096
 
 
 def get_session(master: str | None = None, partitions: int = 8, app: str = "medframe") -> SparkSession:

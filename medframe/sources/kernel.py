@@ -66,14 +66,15 @@ def make_kernel(
         hit = by_tag.get(tag)
         return hit[0] if hit else tk.hex_key(tag)
 
-    map_type = pa.map_(pa.string(), SLOT_TYPE)
-    vrs_type = pa.map_(pa.string(), pa.string())
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             contents = batch.column("content")
             n = batch.num_rows
-            is_dicom, vrs_col, attrs_col, private_col = [], [], [], []
+            is_dicom, private_col = [], []
+            # map columns are built flat: offsets + keys + child arrays
+            v_off, v_keys, v_vals = [0], [], []
+            a_off, a_keys = [0], []
+            s_vr, s_str, s_ints, s_dbls, s_bin = [], [], [], [], []
             for i in range(n):
                 buf = contents[i].as_buffer() if contents[i].is_valid else None
                 try:
@@ -82,38 +83,52 @@ def make_kernel(
                     parsed = tk.parse(memoryview(buf), vr_of, stop_at_pixel)
                 except Exception:  # any failure keeps the row: isDicom = false
                     is_dicom.append(False)
-                    vrs_col.append(None)
-                    attrs_col.append(None)
+                    v_off.append(len(v_keys))
+                    a_off.append(len(a_keys))
                     private_col.append(None)
                     continue
                 cs = parsed.charset
-                vrs, attrs, private = {}, {}, []
-                item_json = lambda items, _cs=cs: tk.to_json_text(
-                    [tk.dataset_json(it, _cs, key_of_keyword) for it in items]
-                )
+                private = []
+                seen = set()
                 for e in parsed.elements:
                     hit = by_tag.get(e.tag)
                     if hit is None:
                         private.append(e)
                         continue
                     keyword, dict_vr = hit
-                    vrs[keyword] = e.vr
+                    if keyword in seen:  # a repeated tag: keep the first
+                        continue
+                    seen.add(keyword)
+                    v_keys.append(keyword)
+                    v_vals.append(e.vr)
                     if requested is None or keyword in requested:
-                        vr, s, ints, dbls, b = tk.slot(e, dict_vr, cs, item_json)
-                        attrs[keyword] = {"vr": vr, "str": s, "ints": ints, "dbls": dbls, "bin": b}
+                        vr, sv, ints, dbls, b = tk.slot(e, dict_vr, cs, _item_json(cs))
+                        a_keys.append(keyword)
+                        s_vr.append(vr)
+                        s_str.append(sv)
+                        s_ints.append(ints)
+                        s_dbls.append(dbls)
+                        s_bin.append(b)
                 is_dicom.append(True)
-                vrs_col.append(list(vrs.items()))
-                attrs_col.append(list(attrs.items()))
+                v_off.append(len(v_keys))
+                a_off.append(len(a_keys))
                 if include_private:
-                    private_col.append(
-                        tk.to_json_text(tk.dataset_json(private, cs, tk.hex_key))
-                    )
-            arrays = [
-                batch.column("path"),
-                pa.array(is_dicom, pa.bool_()),
-                pa.array(vrs_col, vrs_type),
-                pa.array(attrs_col, map_type),
-            ]
+                    private_col.append(tk.to_json_text(tk.dataset_json(private, cs, tk.hex_key)))
+            mask = pa.array([not x for x in is_dicom], pa.bool_())
+            vrs = pa.MapArray.from_arrays(
+                pa.array(v_off, pa.int32()), pa.array(v_keys, pa.string()),
+                pa.array(v_vals, pa.string()), mask=mask,
+            )
+            slots = pa.StructArray.from_arrays(
+                [pa.array(s_vr, pa.string()), pa.array(s_str, pa.string()),
+                 pa.array(s_ints, pa.list_(pa.int64())), pa.array(s_dbls, pa.list_(pa.float64())),
+                 pa.array(s_bin, pa.binary())],
+                fields=list(SLOT_TYPE),
+            )
+            attrs = pa.MapArray.from_arrays(
+                pa.array(a_off, pa.int32()), pa.array(a_keys, pa.string()), slots, mask=mask,
+            )
+            arrays = [batch.column("path"), pa.array(is_dicom, pa.bool_()), vrs, attrs]
             names = ["path", "isDicom", "vrs", "attrs"]
             if include_private:
                 arrays.append(pa.array(private_col, pa.string()))
@@ -126,4 +141,10 @@ def make_kernel(
                 names.append(c)
             yield pa.RecordBatch.from_arrays(arrays, names=names)
 
+    def _item_json(cs):
+        def render(items):
+            return tk.to_json_text([tk.dataset_json(it, cs, key_of_keyword) for it in items])
+
+        return render
+
     return run

@@ -95,6 +95,12 @@ def _implicit_vr(tag: int, vr_of) -> str:
     return vr.split(" or ")[0] if " or " in vr else "UN"
 
 
+_LE = (struct.Struct("<H").unpack_from, struct.Struct("<I").unpack_from, struct.Struct("<HH").unpack_from)
+_BE = (struct.Struct(">H").unpack_from, struct.Struct(">I").unpack_from, struct.Struct(">HH").unpack_from)
+# VR code bytes -> (VR, uses a 4-byte length)
+_VR_CODES = {v.encode(): (v, v in LONG_LENGTH_VRS) for v in SINGLE_VRS}
+
+
 class _Reader:
     def __init__(self, buf, explicit, le, vr_of, stop_at_pixel):
         self.buf = buf
@@ -102,69 +108,77 @@ class _Reader:
         self.le = le
         self.vr_of = vr_of
         self.stop_at_pixel = stop_at_pixel
-        self.u16 = struct.Struct("<H" if le else ">H").unpack_from
-        self.u32 = struct.Struct("<I" if le else ">I").unpack_from
-        self.tag = struct.Struct("<HH" if le else ">HH").unpack_from
+        self.u16, self.u32, self.tag = _LE if le else _BE
 
     def read_tag(self, pos):
         g, e = self.tag(self.buf, pos)
         return (g << 16) | e
 
-    def dataset(self, pos, end, depth, top=False):
-        """Read elements from ``pos`` to ``end`` (or an item delimiter)."""
+    def dataset(self, pos, end, depth, top=False, only_group=None):
+        """Read elements from ``pos`` to ``end`` (or an item delimiter).
+
+        ``only_group`` stops before the first element of another group."""
         if depth > _MAX_DEPTH:
             raise NotDicom("nesting too deep")
         buf = self.buf
+        u16, u32, tagf = self.u16, self.u32, self.tag
+        explicit, le = self.explicit, self.le
+        stop_pixel = top and self.stop_at_pixel
         out = []
+        append = out.append
         while pos < end:
             if pos + 8 > end:
                 raise NotDicom("truncated element header")
-            tag = self.read_tag(pos)
-            if tag == ITEM_DELIM:
-                return out, pos + 8, True
-            if tag in (ITEM, SEQ_DELIM):
+            g, el = tagf(buf, pos)
+            if only_group is not None and g != only_group:
+                return out, pos, False
+            tag = (g << 16) | el
+            if g == 0xFFFE:
+                if tag == ITEM_DELIM:
+                    return out, pos + 8, True
                 raise NotDicom("unexpected delimiter")
-            if top and tag == PIXEL_DATA and self.stop_at_pixel:
+            if stop_pixel and tag == PIXEL_DATA:
                 return out, end, False
-            if self.explicit:
-                code = bytes(buf[pos + 4 : pos + 6])
-                if code not in _VALID_VR_CODES:
+            if explicit:
+                hit = _VR_CODES.get(bytes(buf[pos + 4 : pos + 6]))
+                if hit is None:
                     raise NotDicom("invalid VR")
-                vr = code.decode()
-                if vr in LONG_LENGTH_VRS:
+                vr, long_len = hit
+                if long_len:
                     if pos + 12 > end:
                         raise NotDicom("truncated element header")
-                    length = self.u32(buf, pos + 8)[0]
+                    length = u32(buf, pos + 8)[0]
                     pos += 12
                 else:
-                    length = self.u16(buf, pos + 6)[0]
+                    length = u16(buf, pos + 6)[0]
                     pos += 8
             else:
                 vr = _implicit_vr(tag, self.vr_of)
-                length = self.u32(buf, pos + 4)[0]
+                length = u32(buf, pos + 4)[0]
                 pos += 8
             if length == UNDEFINED:
-                if vr == "SQ" or vr == "UN" or not self.explicit:
-                    if tag == PIXEL_DATA or (vr in ("OB", "OW") and self.explicit):
+                if vr == "SQ" or vr == "UN" or not explicit:
+                    if tag == PIXEL_DATA or (vr in ("OB", "OW") and explicit):
                         frags, pos = self.fragments(pos, end)
-                        out.append(Elem(tag, vr, frags, self.le, "fragments"))
+                        append(Elem(tag, vr, frags, le, "fragments"))
                         continue
                     items, pos = self.items(pos, end, UNDEFINED, depth, implicit_un=(vr == "UN"))
-                    out.append(Elem(tag, "SQ", items, self.le, "items"))
+                    append(Elem(tag, "SQ", items, le, "items"))
                 elif vr in ("OB", "OW"):
                     frags, pos = self.fragments(pos, end)
-                    out.append(Elem(tag, vr, frags, self.le, "fragments"))
+                    append(Elem(tag, vr, frags, le, "fragments"))
                 else:
                     raise NotDicom("undefined length on a non-sequence")
                 continue
-            if pos + length > end:
+            nxt = pos + length
+            if nxt > end:
                 raise NotDicom("truncated value")
             if vr == "SQ":
-                items, _ = self.items(pos, pos + length, length, depth)
-                out.append(Elem(tag, vr, items, self.le, "items"))
+                items, _ = self.items(pos, nxt, length, depth)
+                append(Elem(tag, vr, items, le, "items"))
             else:
-                out.append(Elem(tag, vr, bytes(buf[pos : pos + length]), self.le))
-            pos += length
+                append(Elem(tag, vr, bytes(buf[pos:nxt]), le))
+            pos = nxt
         return out, pos, False
 
     def items(self, pos, end, length, depth, implicit_un=False):
@@ -240,16 +254,10 @@ def parse(data: bytes, vr_of, stop_at_pixel: bool = True) -> Parsed:
     pos = 0
     if len(buf) >= 132 and bytes(buf[128:132]) == b"DICM":
         pos = 132
-    if len(buf) >= pos + 8 and struct.unpack_from("<H", buf, pos)[0] == 0x0002 and bytes(
-        buf[pos + 4 : pos + 6]
-    ) in _VALID_VR_CODES:
+    if len(buf) >= pos + 8 and _LE[0](buf, pos)[0] == 0x0002 and bytes(buf[pos + 4 : pos + 6]) in _VR_CODES:
         meta_reader = _Reader(buf, True, True, vr_of, False)
-        meta_end = pos
-        while meta_end + 8 <= len(buf) and struct.unpack_from("<H", buf, meta_end)[0] == 0x0002:
-            meta_end = _skip_one(meta_reader, meta_end, len(buf))
-        elems, _, _ = meta_reader.dataset(pos, meta_end, 0)
+        elems, pos, _ = meta_reader.dataset(pos, len(buf), 0, only_group=0x0002)
         meta = {e.tag: e for e in elems}
-        pos = meta_end
         ts_elem = meta.get(0x00020010)
         ts = _text(ts_elem.value, "ascii").rstrip("\x00 ") if ts_elem else TS_EXPLICIT_LE
     elif pos == 132:
@@ -280,21 +288,6 @@ def parse(data: bytes, vr_of, stop_at_pixel: bool = True) -> Parsed:
     return Parsed(meta, elements, charset)
 
 
-def _skip_one(reader, pos, end):
-    """Position after one explicit-VR element at ``pos``."""
-    code = bytes(reader.buf[pos + 4 : pos + 6])
-    if code not in _VALID_VR_CODES:
-        raise NotDicom("invalid VR in meta group")
-    if code.decode() in LONG_LENGTH_VRS:
-        length = reader.u32(reader.buf, pos + 8)[0]
-        nxt = pos + 12 + length
-    else:
-        nxt = pos + 8 + reader.u16(reader.buf, pos + 6)[0]
-    if nxt > end:
-        raise NotDicom("truncated meta group")
-    return nxt
-
-
 def _charset_of(elements, inherited):
     for e in elements:
         if e.tag == 0x00080005:
