@@ -109,13 +109,18 @@ def decode_frame(
     include_private_tags: bool = False,
     dictionary: dictmod.Dictionary | None = None,
     keep_elements: bool = False,
+    header_only: bool = False,
 ) -> DataFrame:
     """Tokenise and decode a DataFrame of ``path, content`` (+ other columns,
     passed through). This is the scan body; ``read`` feeds it from files.
 
     ``keep_elements`` adds ``elements``: keyword -> raw slot
     ``struct<vr, str, ints, dbls, bin>`` with all values (``str`` keeps every
-    backslash-separated value), for queries beyond the first value."""
+    backslash-separated value), for queries beyond the first value.
+
+    ``header_only``: ``files`` has ``path`` (and ``length``) but no
+    ``content``; each executor opens its files and reads them only up to
+    PixelData, so pixel bytes never leave storage."""
     ship.ensure(files.sparkSession)
     d = dictionary or dictmod.active()
     elems, extras = _resolve_columns(
@@ -123,6 +128,8 @@ def decode_frame(
     )
     requested = None if columns is None else frozenset(e.keyword for e in elems)
     passthrough = [c for c in files.columns if c not in _BINARY_FILE_COLUMNS]
+    if header_only and include_content:
+        raise ValueError("includeContent needs the file bytes; not available with header_only")
     fields = {f.name: f for f in files.schema.fields}
     pass_ddl = [f"{decode.quote_ident(c)} {fields[c].dataType.simpleString()}" for c in passthrough]
     stop_at_pixel = not (include_pixel_data and any(e.keyword == "PixelData" for e in elems))
@@ -134,7 +141,10 @@ def decode_frame(
         include_content,
         passthrough,
     )
-    tokens = files.select("path", "content", *passthrough).mapInArrow(
+    source_cols = ["path", "length"] if header_only else ["path", "content"]
+    if header_only and "length" not in files.columns:
+        source_cols = ["path"]
+    tokens = files.select(*source_cols, *passthrough).mapInArrow(
         kernel, kernel_schema_ddl(include_private_tags, include_content, pass_ddl)
     )
     # stage 1: first values, computed once (Spark keeps this projection apart
@@ -193,6 +203,7 @@ def binary_files(
             OPTION_INCLUDE_PIXEL_DATA.lower(),
             OPTION_INCLUDE_CONTENT.lower(),
             OPTION_INCLUDE_PRIVATE_TAGS.lower(),
+            "headeronly",
         ):
             reader = reader.option(k, v)
     df = reader.load(path)
@@ -212,9 +223,15 @@ def read(
     options: dict | None = None,
     schema: StructType | None = None,
     dictionary: dictmod.Dictionary | None = None,
+    header_only: bool | None = None,
 ) -> DataFrame:
     """Read DICOM files (path, directory or glob) as a DataFrame.
 
+    ``header_only`` (option ``headerOnly``): list files with ``binaryFile``
+    but do not load their bytes in the JVM; executors read each file only up
+    to PixelData through ``pyarrow.fs`` (local, HDFS, S3, GCS). Default:
+    whole files through ``binaryFile`` (any Hadoop file system).
+
     Options as in ``spark.read.option``: ``includePixelData``,
     ``includeContent``, ``includePrivateTags`` (case-insensitive booleans), and
     any ``binaryFile`` / file-system option (``pathGlobFilter``,
@@ -230,5 +247,8 @@ def read(
         pix = pix or "PixelData" in columns
         con = con or CONTENT in columns
         prv = prv or PRIVATE in columns
+    hdr = bool_option(opts, "headerOnly") if header_only is None else header_only
     files = binary_files(spark, path, where, opts)
-    return decode_frame(files, columns, pix, con, prv, dictionary)
+    if hdr:
+        files = files.drop("content")
+    return decode_frame(files, columns, pix, con, prv, dictionary, header_only=hdr)

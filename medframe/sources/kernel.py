@@ -20,6 +20,42 @@ import pyarrow as pa
 
 from medframe.sources import tokenise as tk
 
+# Header mode: first read of a file, grown by doubling until the data set up
+# to PixelData parses (files are read only as far as their header goes).
+HEADER_FIRST_READ = 64 * 1024
+
+
+def _fs_path(uri: str):
+    """(pyarrow FileSystem, path) for a URI as listed by ``binaryFile``."""
+    from pyarrow import fs as pafs
+
+    if uri.startswith("file:") and not uri.startswith("file://"):
+        uri = "file://" + uri[len("file:"):]
+    if uri.startswith("s3a://") or uri.startswith("s3n://"):
+        uri = "s3://" + uri.split("://", 1)[1]
+    return pafs.FileSystem.from_uri(uri)
+
+
+def read_header(uri: str, size: int | None, vr_of, stop_at_pixel: bool):
+    """Parse a file reading as few bytes as needed: the prefix grows until the
+    data set (up to PixelData) parses or the file ends."""
+    fs, path = _fs_path(uri)
+    with fs.open_input_file(path) as f:
+        total = size if size is not None else f.size()
+        want = min(total, HEADER_FIRST_READ) if stop_at_pixel else total
+        data = b""
+        while True:
+            if len(data) < want:
+                data += f.read(want - len(data))
+            try:
+                parsed = tk.parse(memoryview(data), vr_of, stop_at_pixel)
+                if parsed.stopped or len(data) >= total:
+                    return parsed
+            except tk.NotDicom:
+                if want >= total:
+                    raise
+            want = min(total, want * 2)
+
 SLOT_TYPE = pa.struct(
     [
         ("vr", pa.string()),
@@ -68,7 +104,11 @@ def make_kernel(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            contents = batch.column("content")
+            header_mode = "content" not in batch.schema.names
+            contents = None if header_mode else batch.column("content")
+            paths = batch.column("path").to_pylist() if header_mode else None
+            lengths = (batch.column("length").to_pylist()
+                       if header_mode and "length" in batch.schema.names else None)
             n = batch.num_rows
             is_dicom, private_col = [], []
             # map columns are built flat: offsets + keys + child arrays
@@ -76,11 +116,15 @@ def make_kernel(
             a_off, a_keys = [0], []
             s_vr, s_str, s_ints, s_dbls, s_bin = [], [], [], [], []
             for i in range(n):
-                buf = contents[i].as_buffer() if contents[i].is_valid else None
                 try:
-                    if buf is None:
-                        raise tk.NotDicom("no content")
-                    parsed = tk.parse(memoryview(buf), vr_of, stop_at_pixel)
+                    if header_mode:
+                        parsed = read_header(paths[i], lengths[i] if lengths else None, vr_of,
+                                             stop_at_pixel)
+                    else:
+                        buf = contents[i].as_buffer() if contents[i].is_valid else None
+                        if buf is None:
+                            raise tk.NotDicom("no content")
+                        parsed = tk.parse(memoryview(buf), vr_of, stop_at_pixel)
                 except Exception:  # any failure keeps the row: isDicom = false
                     is_dicom.append(False)
                     v_off.append(len(v_keys))

@@ -73,10 +73,12 @@ class Elem:
 
 
 class Parsed:
-    __slots__ = ("meta", "elements", "charset")
+    """``stopped``: parsing ended at PixelData (the rest was not read)."""
 
-    def __init__(self, meta, elements, charset):
-        self.meta, self.elements, self.charset = meta, elements, charset
+    __slots__ = ("meta", "elements", "charset", "stopped")
+
+    def __init__(self, meta, elements, charset, stopped=False):
+        self.meta, self.elements, self.charset, self.stopped = meta, elements, charset, stopped
 
 
 def _implicit_vr(tag: int, vr_of) -> str:
@@ -108,6 +110,7 @@ class _Reader:
         self.le = le
         self.vr_of = vr_of
         self.stop_at_pixel = stop_at_pixel
+        self.stopped = False
         self.u16, self.u32, self.tag = _LE if le else _BE
 
     def read_tag(self, pos):
@@ -138,6 +141,7 @@ class _Reader:
                     return out, pos + 8, True
                 raise NotDicom("unexpected delimiter")
             if stop_pixel and tag == PIXEL_DATA:
+                self.stopped = True
                 return out, end, False
             if explicit:
                 hit = _VR_CODES.get(bytes(buf[pos + 4 : pos + 6]))
@@ -285,7 +289,7 @@ def parse(data: bytes, vr_of, stop_at_pixel: bool = True) -> Parsed:
         raise NotDicom("stray item delimiter")
     elements.sort(key=lambda e: e.tag)
     charset = _charset_of(elements, "ascii")
-    return Parsed(meta, elements, charset)
+    return Parsed(meta, elements, charset, reader.stopped)
 
 
 def _charset_of(elements, inherited):
