@@ -1,0 +1,49 @@
+"""DICOM JSON helpers (J1-J5), golden strings of the reference's JSON tests."""
+
+from pyspark.sql import functions as F
+
+from medframe.functions import jsonfns
+
+
+def test_element_object(spark):
+    expr = jsonfns.elements_json([(0x300B1001, "UT", "array('test')")])
+    assert spark.sql(f"select {expr} as j").first().j == '{"300B1001":{"vr":"UT","Value":["test"]}}'
+
+
+def test_empty_object_and_array(spark):
+    assert spark.sql(f"select {jsonfns.elements_json([])} as j").first().j == "{}"
+    assert spark.sql(f"select {jsonfns.items_json([])} as j").first().j == "[]"
+
+
+def test_items_array(spark):
+    expr = jsonfns.items_json([[(0x300B1001, "UT", "array('test1')")], [(0x300B1001, "UT", "array('test2')")]])
+    assert spark.sql(f"select {expr} as j").first().j == (
+        '[{"300B1001":{"vr":"UT","Value":["test1"]}},{"300B1001":{"vr":"UT","Value":["test2"]}}]')
+
+
+def test_rename_keeps_unknown_tags_and_renames_known(spark):
+    df = spark.createDataFrame([
+        ('{"300B1001":{"vr":"UT","Value":["test"]}}',),
+        ('{"00080064":{"vr":"CS","Value":["test"]}}',),
+        ('[{"00120064":{"vr":"SQ","Value":[{"00080064":{"vr":"CS","Value":["test1"]}}]}}]',),
+        ("not json",),
+    ], "j string")
+    out = [r.r for r in df.select(jsonfns.rename_json_keys("j", spark=spark).alias("r")).collect()]
+    assert out[0] == '{"300B1001":{"vr":"UT","Value":["test"]}}'
+    assert out[1] == '{"ConversionType":{"vr":"CS","Value":["test"]}}'
+    assert out[2] == ('[{"DeidentificationMethodCodeSequence":{"vr":"SQ","Value":'
+                      '[{"ConversionType":{"vr":"CS","Value":["test1"]}}]}}]')
+    assert out[3] is None
+
+
+def test_rename_with_mapping(spark):
+    df = spark.createDataFrame([('{"k": {"k": 1}}',)], "j string")
+    r = df.select(jsonfns.rename_json_keys(F.col("j"), {"k": "key"}, spark=spark).alias("r")).first().r
+    assert r == '{"key":{"key":1}}'
+
+
+def test_tag_to_keyword_broadcast(spark):
+    df = spark.createDataFrame([("00080064",), ("300B1001",), ("80064",), ("7fe00010",)], "tag string")
+    out = jsonfns.tag_to_keyword(df, "tag")
+    assert [r.keyword for r in out.collect()] == ["ConversionType", "300B1001", "ConversionType", "PixelData"]
+    assert "BroadcastHashJoin" in out._jdf.queryExecution().executedPlan().toString()
