@@ -61,9 +61,17 @@ def attr(keyword_or_tag, value: str, vr: str | None = None, multi: bool = False)
 
 
 def _le_hex(x: str, nbytes: int) -> str:
-    """Little-endian hex of an integer SQL expression, two's complement."""
-    h = f"right(lpad(hex(cast({x} as bigint)), 16, '0'), {2 * nbytes})"
-    return "concat(" + ", ".join(f"substr({h}, {2 * i + 1}, 2)" for i in reversed(range(nbytes))) + ")"
+    """Little-endian hex of an integer SQL expression (two's complement).
+
+    Bytes are swapped arithmetically, so ``x`` is a cheap reference repeated
+    per byte rather than a string expression rebuilt per byte."""
+    v = f"cast({x} as bigint)"
+    parts = [
+        f"shiftleft(shiftright({v}, {8 * i}) & 255, {8 * (nbytes - 1 - i)})" if i else
+        f"shiftleft({v} & 255, {8 * (nbytes - 1)})"
+        for i in range(nbytes)
+    ]
+    return f"lpad(hex({' | '.join(parts)}), {2 * nbytes}, '0')"
 
 
 def _tag_hex(tag: int) -> str:
@@ -95,7 +103,7 @@ def value_hex(a: Attr) -> str:
         # resolved later against the DataFrame: marker replaced by a UDF column
         return f"__FLOAT_{vr}__({v})"
     if vr == "SQ":
-        items = f"transform({v}, it -> concat('FEFF00E0', {_le_hex('length(it) / 2', 4)}, it))"
+        items = f"transform({v}, it -> concat('FEFF00E0', {_le_hex('length(it) div 2', 4)}, it))"
         return f"array_join({items}, '')"
     if vr in ("OB", "OW", "OD", "OF", "OL", "OV", "UN"):
         h = f"hex({v})"
@@ -108,7 +116,7 @@ def value_hex(a: Attr) -> str:
 def element_hex(a: Attr, vh: str) -> str:
     """Full element hex (tag, VR, length, value); null when the value is null."""
     vr_hex = a.vr.encode("ascii").hex().upper()
-    n = f"(length({vh}) / 2)"
+    n = f"(length({vh}) div 2)"
     if a.vr in LONG_LENGTH_VRS:
         length = f"concat('0000', {_le_hex(n, 4)})"
     else:
@@ -163,25 +171,27 @@ def file_length(elements_bytes: int) -> int:
 
 
 def encode(df: DataFrame, attrs: list[Attr], part10: bool = True, name: str = "content") -> DataFrame:
-    """Add a binary column ``name`` holding one DICOM file per row."""
+    """Add a binary column ``name`` holding one DICOM file per row.
+
+    Two projections: each element's value hex is computed once (stage 1),
+    then lengths and the file are assembled from it (stage 2)."""
     ship.ensure(df.sparkSession)
-    floats = []
-    exprs = []
-    for a in sorted(attrs, key=lambda x: x.tag):
-        vh = value_hex(a)
-        if vh.startswith("__FLOAT_"):
-            alias = f"__f{len(floats)}"
-            floats.append((alias, a))
-            vh = alias
-        exprs.append(f"coalesce({element_hex(a, vh)}, '')")
+    out = df
+    stage1, exprs, tmp = [], [], []
+    for i, a in enumerate(sorted(attrs, key=lambda x: x.tag)):
+        col = f"__h{i}"
+        tmp.append(col)
+        if a.vr in ("FL", "FD"):
+            udf = _f64_hex if a.vr == "FD" else _f32_hex
+            out = out.withColumn(col, udf(F.expr(f"cast({a.value} as array<double>)")))
+        else:
+            stage1.append(f"{value_hex(a)} as {col}")
+        exprs.append(f"coalesce({element_hex(a, col)}, '')")
+    if stage1:
+        out = out.selectExpr("*", *stage1)
     prefix = f"'{PREAMBLE_HEX}{META_HEX}', " if part10 else ""
     body = f"unhex(concat({prefix}{', '.join(exprs) if exprs else chr(39) * 2}))"
-    out = df
-    for alias, a in floats:
-        udf = _f64_hex if a.vr == "FD" else _f32_hex
-        out = out.withColumn(alias, udf(F.expr(f"cast({a.value} as array<double>)")))
-    out = out.withColumn(name, F.expr(body))
-    return out.drop(*[alias for alias, _ in floats])
+    return out.withColumn(name, F.expr(body)).drop(*tmp)
 
 
 def text_file(text_sql: str) -> Column:
