@@ -60,8 +60,17 @@ def deep_empty_columns(df: DataFrame) -> list[str]:
     return [n for n, v in zip(df.columns, row) if v is not None and v == 0]
 
 
-def drop_deep_empty(df: DataFrame) -> DataFrame:
-    """Drop the columns that are deep-empty in every row."""
+def drop_deep_empty(df: DataFrame, materialize: bool = False) -> DataFrame:
+    """Drop the columns that are deep-empty in every row.
+
+    The input is read twice (profile, then the caller's action). With
+    ``materialize=True`` it is first written once under the checkpoint folder
+    (see ``medframe.session.materialize``), so an expensive upstream such as
+    a file scan runs once."""
+    if materialize:
+        from medframe.session import materialize as _m
+
+        df = _m(df, "deep-empty")
     empty = set(deep_empty_columns(df))
     if not empty:
         return df

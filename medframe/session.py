@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -50,3 +51,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     spark.conf.set("spark.checkpoint.dir", local)
     spark.sparkContext.setCheckpointDir(local)
     return local
+
+
+def materialize(df, name: str = "table"):
+    """Write ``df`` once as parquet under the cluster's checkpoint folder
+    (``spark.checkpoint.dir``, a shared file system on a cluster) and read it
+    back: later passes reuse the files instead of recomputing the lineage,
+    and a lost executor costs no recomputation of upstream work."""
+    spark = df.sparkSession
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    path = f"{base}/medframe-{name}-{uuid.uuid4().hex}"
+    df.write.mode("error").parquet(path)
+    return spark.read.parquet(path)
