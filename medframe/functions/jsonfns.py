@@ -124,8 +124,11 @@ def rename_json_keys(col: Column | str, mapping: dict | None = None, spark=None)
 def dictionary_frame(spark, dictionary: dictmod.Dictionary | None = None) -> DataFrame:
     """The data dictionary as a small DataFrame: tag (hex), keyword, vr, vm, name."""
     d = dictionary or dictmod.active()
+    from medframe.session import local_frame
+
     rows = [(e.hex_tag, e.keyword, e.vr, e.vm, e.name) for e in d.elements]
-    return spark.createDataFrame(rows, "tag string, keyword string, vr string, vm string, name string")
+    return local_frame(spark, rows, ["tag", "keyword", "vr", "vm", "name"],
+                       "tag string, keyword string, vr string, vm string, name string")
 
 
 def tag_to_keyword(df: DataFrame, tag_col: str, out_col: str = "keyword",

@@ -181,8 +181,10 @@ def action_table(
         kind, lit = replacement(action, std.vr)
         rows.append((deid.keyword, std.vr, deid.action, action, kind,
                      None if lit is None else str(lit)))
+    from medframe.session import local_frame
+
     schema = "keyword string, vr string, basic string, action string, kind string, literal string"
-    return spark.createDataFrame(rows, schema)
+    return local_frame(spark, rows, ["keyword", "vr", "basic", "action", "kind", "literal"], schema)
 
 
 def deidentify_long(

@@ -63,3 +63,11 @@ def materialize(df, name: str = "table"):
     path = f"{base}/medframe-{name}-{uuid.uuid4().hex}"
     df.write.mode("error").parquet(path)
     return spark.read.parquet(path)
+
+
+def local_frame(spark, rows: list[tuple], columns: list[str], schema_ddl: str):
+    """A small driver-side table as a ``LocalRelation`` (sent with the plan
+    through Arrow, no Python RDD). For bounded dimension tables only."""
+    import pandas as pd
+
+    return spark.createDataFrame(pd.DataFrame(rows, columns=columns), schema=schema_ddl)

@@ -144,6 +144,8 @@ def decode_frame(
     source_cols = ["path", "length"] if header_only else ["path", "content"]
     if header_only and "length" not in files.columns:
         source_cols = ["path"]
+    if header_only:
+        files = _fewer_tasks(files)
     tokens = files.select(*source_cols, *passthrough).mapInArrow(
         kernel, kernel_schema_ddl(include_private_tags, include_content, pass_ddl)
     )
@@ -189,6 +191,22 @@ def decode_frame(
     return out
 
 
+# Header-only tasks read a few KiB per file, but file splits are sized by whole
+# file bytes; merging up to this many splits per task cuts per-task overhead.
+HEADER_SPLITS_PER_TASK = 8
+
+
+def _fewer_tasks(files: DataFrame) -> DataFrame:
+    """Coalesce (no shuffle) the splits of a header-only scan, keeping at
+    least two tasks per core. Plans the listing; runs no job."""
+    if files.isStreaming:
+        return files
+    n = files.rdd.getNumPartitions()
+    floor = 2 * files.sparkSession.sparkContext.defaultParallelism
+    target = max(floor, n // HEADER_SPLITS_PER_TASK)
+    return files.coalesce(target) if target < n else files
+
+
 def binary_files(
     spark: SparkSession,
     path: str | list[str],
@@ -229,8 +247,10 @@ def read(
 
     ``header_only`` (option ``headerOnly``): list files with ``binaryFile``
     but do not load their bytes in the JVM; executors read each file only up
-    to PixelData through ``pyarrow.fs`` (local, HDFS, S3, GCS). Default:
-    whole files through ``binaryFile`` (any Hadoop file system).
+    to PixelData through ``pyarrow.fs`` (local, HDFS, S3, GCS). By default it
+    is on for local/POSIX paths (``/...``, ``file:``) unless content or pixel
+    data is requested; other schemes load whole files through ``binaryFile``
+    (any Hadoop file system, with the reader's credentials).
 
     Options as in ``spark.read.option``: ``includePixelData``,
     ``includeContent``, ``includePrivateTags`` (case-insensitive booleans), and
@@ -247,7 +267,13 @@ def read(
         pix = pix or "PixelData" in columns
         con = con or CONTENT in columns
         prv = prv or PRIVATE in columns
-    hdr = bool_option(opts, "headerOnly") if header_only is None else header_only
+    if header_only is None and any(k.lower() == "headeronly" for k in opts):
+        header_only = bool_option(opts, "headerOnly")
+    if header_only is None:
+        paths = [path] if isinstance(path, str) else list(path)
+        header_only = (not con and not pix
+                       and all(p.startswith("/") or p.startswith("file:") for p in paths))
+    hdr = header_only
     files = binary_files(spark, path, where, opts)
     if hdr:
         files = files.drop("content")

@@ -190,12 +190,13 @@ def test_transfer_syntaxes(spark, write_files, ts):
     assert tuple(row.ReferringPhysicianName) == ("", "", "")
 
 
-def test_corrupt_files_never_fail(spark, write_files):
+@pytest.mark.parametrize("header_only", [False, True])
+def test_corrupt_files_never_fail(spark, write_files, header_only):
     data = W.ct_slice()
     # zero-byte files are skipped by Spark's file listing, so start at 1 byte
     files = {f"t/{n:04d}.dcm": data[:n] for n in range(1, len(data), 7)}
     d = write_files(files)
-    rows = dicom.read(spark, d + "/t", columns=["isDicom", "PatientID"]).collect()
+    rows = dicom.read(spark, d + "/t", columns=["isDicom", "PatientID"], header_only=header_only).collect()
     assert len(rows) == len(files)
     for r in rows:
         assert r.isDicom in (True, False)
@@ -239,7 +240,7 @@ def test_options_reach_file_listing(spark, write_files):
 def test_header_only_reads_same_values(spark, write_files):
     d = write_files({"ct.dcm": W.ct_slice(64, 64), "x.txt": b"nope"})
     cols = ["path", "isDicom", "PatientName", "StudyDate", "Rows", "keywords"]
-    a = sorted(dicom.read(spark, d, columns=cols).collect())
+    a = sorted(dicom.read(spark, d, columns=cols, header_only=False).collect())
     b = sorted(dicom.read(spark, d, columns=cols, header_only=True).collect())
     assert a == b
 
