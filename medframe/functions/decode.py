@@ -90,6 +90,8 @@ def date_error_sql(v: str) -> str:
     return (
         "(case "
         f"when {v} is null or {v} = '' then null "
+        f"when {v} rlike '^[0-9]{{8}}$' and {y} > 0 and {m} between 1 and 12 and {d} between 1 and 31 "
+        "then null "
         f"when {lead} < 4 or {lead} > 8 then {_at_index(v, '0')} "
         f"when not (substr({v},5,2) rlike '^[0-9]{{2}}$') then {_at_index(v, '4')} "
         f"when not (substr({v},7,2) rlike '^[0-9]{{2}}$') then {_at_index(v, '6')} "
@@ -102,15 +104,20 @@ def date_error_sql(v: str) -> str:
 
 
 def date_value_sql(v: str) -> str:
-    """ISO date text for a DA value ``v``; ``''`` when empty; null when invalid."""
+    """ISO date text for a DA value ``v``; ``''`` when empty; null when invalid.
+
+    Fast path: a well-formed day up to 28 needs only string slicing; days 29
+    to 31 are clamped to the month's last day (smart resolution)."""
     y, m, d = f"int(substr({v},1,4))", f"int(substr({v},5,2))", f"int(substr({v},7,2))"
     last = f"day(last_day(make_date({y}, {m}, 1)))"
+    iso = f"concat(substr({v},1,4), '-', substr({v},5,2), '-', substr({v},7,2))"
     return (
         "(case "
         f"when {v} is null or {v} = '' then '' "
-        f"when {v} rlike '^[0-9]{{8}}$' and {y} > 0 and {m} between 1 and 12 "
-        f"and {d} between 1 and 31 "
-        f"then date_format(make_date({y}, {m}, least({d}, {last})), 'yyyy-MM-dd') "
+        f"when not ({v} rlike '^[0-9]{{8}}$') or {y} = 0 or {m} < 1 or {m} > 12 or {d} < 1 or {d} > 31 "
+        "then null "
+        f"when {d} <= 28 then {iso} "
+        f"else date_format(make_date({y}, {m}, least({d}, {last})), 'yyyy-MM-dd') "
         "end)"
     )
 
@@ -141,6 +148,8 @@ def time_error_sql(v: str) -> str:
     return (
         "(case "
         f"when {v} is null or {v} = '' then null "
+        f"when {v} rlike '^[0-9]{{6}}([.][0-9]{{1,6}})?$' and {hh} < 24 and {mm} < 60 and {ss} < 60 "
+        "then null "
         f"when not (substr({v},1,2) rlike '^[0-9]{{2}}$') then {_at_index(v, '0')} "
         f"when not (substr({v},3,2) rlike '^[0-9]{{2}}$') then {_at_index(v, '2')} "
         f"when not (substr({v},5,2) rlike '^[0-9]{{2}}$') then {_at_index(v, '4')} "
@@ -155,14 +164,18 @@ def time_error_sql(v: str) -> str:
 
 
 def time_value_sql(v: str) -> str:
-    """ISO time text for a TM value ``v``; ``''`` when empty; null when invalid."""
+    """ISO time text for a TM value ``v``; ``''`` when empty; null when invalid.
+
+    Fast path: ``HHmmss`` with at most one fraction of 1 to 6 digits (always
+    parseable); other shapes go through the full section-by-section rule."""
     hh, mm, ss, consistent, frac = _tm_parts(v)
     p = _tm_full(v)
     zero = f"({ss} = 0 and {mm} = 0 and {frac} = '')"
+    simple = f"{v} rlike '^[0-9]{{6}}([.][0-9]{{1,6}})?$'"
     return (
         "(case "
         f"when {v} is null or {v} = '' then '' "
-        f"when {p} <> length({v}) or not {consistent} then null "
+        f"when not ({simple}) and ({p} <> length({v}) or not {consistent}) then null "
         f"when {hh} = 24 and {zero} then '00:00:00' "
         f"when {hh} > 23 or {mm} > 59 or {ss} > 59 then null "
         f"else concat(substr({v},1,2), ':', substr({v},3,2), ':', substr({v},5,2), "
