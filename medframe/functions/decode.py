@@ -44,7 +44,6 @@ _RANGE_SECOND = "Invalid value for SecondOfMinute (valid values 0 - 59): "
 
 # Fraction sections of the time pattern, in parse order: "." then N digits.
 _TM_FRACTION_WIDTHS = (6, 5, 5, 4, 3, 2, 1)
-_TM_PREFIX_RE = "^[0-9]{6}" + "".join(f"([.][0-9]{{{w}}})?" for w in _TM_FRACTION_WIDTHS)
 
 
 def sql_str(s: str) -> str:
@@ -127,34 +126,57 @@ def date_value_sql(v: str) -> str:
 
 def _tm_parts(v: str):
     hh, mm, ss = f"int(substr({v},1,2))", f"int(substr({v},3,2))", f"int(substr({v},5,2))"
-    # fraction blocks after the seconds; all must denote the same value
-    blocks = f"split(substr({v}, 8), '[.]')"
-    frac_vals = f"transform({blocks}, x -> trim(TRAILING '0' FROM x))"
-    consistent = f"(length({v}) <= 6 or size(array_distinct({frac_vals})) = 1)"
-    frac = f"trim(TRAILING '0' FROM split_part(substr({v}, 8), '.', 1))"
-    return hh, mm, ss, consistent, frac
+    return hh, mm, ss
+
+
+def _tm_sections(v: str) -> str:
+    """The optional fraction sections of the pattern, parsed in order as the
+    Java parser does: a section consumes "." plus exactly N digits; a section
+    whose value conflicts with an earlier one is rolled back. Result:
+    ``struct<pos: 1-based position after the last section, nano: 9-digit
+    fraction or null>``."""
+    widths = ", ".join(str(w) for w in _TM_FRACTION_WIDTHS)
+    digits = "substr({v}, acc.pos + 1, w)".format(v=v)
+    padded = f"rpad({digits}, 9, '0')"
+    step = (
+        f"case when substr({v}, acc.pos, 1) = '.' and length({digits}) = w "
+        f"and {digits} rlike '^[0-9]+$' and (acc.nano is null or acc.nano = {padded}) "
+        f"then named_struct('pos', acc.pos + 1 + w, 'nano', {padded}) else acc end"
+    )
+    return (
+        f"aggregate(array({widths}), named_struct('pos', 7, 'nano', cast(null as string)), "
+        f"(acc, w) -> {step})"
+    )
+
 
+_TM_SIMPLE = "'^[0-9]{6}([.][0-9]{1,6})?$'"
 
-def _tm_full(v: str) -> str:
-    return f"length(regexp_extract({v}, '{_TM_PREFIX_RE}', 0))"
+
+def _tm_frac(v: str) -> str:
+    """Fraction digits without trailing zeros ('' when none)."""
+    return f"coalesce(trim(TRAILING '0' FROM {_tm_sections(v)}.nano), '')"
+
+
+def _tm_simple_frac(v: str) -> str:
+    return f"trim(TRAILING '0' FROM substr({v}, 8))"
 
 
 def time_error_sql(v: str) -> str:
     """Error text for a TM value ``v`` (already the first value), else null."""
-    hh, mm, ss, consistent, frac = _tm_parts(v)
-    p = _tm_full(v)
-    first_block = f"(7 + length(split_part(substr({v}, 8), '.', 1)))"
-    zero = f"({ss} = 0 and {mm} = 0 and coalesce({frac}, '') = '')"
+    hh, mm, ss = _tm_parts(v)
+    end = f"({_tm_sections(v)}.pos - 1)"
+    frac = (f"(case when {v} rlike {_TM_SIMPLE} then {_tm_simple_frac(v)} "
+            f"else {_tm_frac(v)} end)")
+    zero = f"({ss} = 0 and {mm} = 0 and {frac} = '')"
     return (
         "(case "
         f"when {v} is null or {v} = '' then null "
-        f"when {v} rlike '^[0-9]{{6}}([.][0-9]{{1,6}})?$' and {hh} < 24 and {mm} < 60 and {ss} < 60 "
+        f"when {v} rlike {_TM_SIMPLE} and {hh} < 24 and {mm} < 60 and {ss} < 60 "
         "then null "
         f"when not (substr({v},1,2) rlike '^[0-9]{{2}}$') then {_at_index(v, '0')} "
         f"when not (substr({v},3,2) rlike '^[0-9]{{2}}$') then {_at_index(v, '2')} "
         f"when not (substr({v},5,2) rlike '^[0-9]{{2}}$') then {_at_index(v, '4')} "
-        f"when {p} < length({v}) then {_unparsed(v, p)} "
-        f"when not {consistent} then {_unparsed(v, first_block)} "
+        f"when {end} < length({v}) then {_unparsed(v, end)} "
         f"when {mm} > 59 then {_resolve(v, _RANGE_MINUTE, mm)} "
         f"when {hh} = 24 and {zero} then null "
         f"when {hh} > 23 then {_resolve(v, _RANGE_HOUR, hh)} "
@@ -167,15 +189,16 @@ def time_value_sql(v: str) -> str:
     """ISO time text for a TM value ``v``; ``''`` when empty; null when invalid.
 
     Fast path: ``HHmmss`` with at most one fraction of 1 to 6 digits (always
-    parseable); other shapes go through the full section-by-section rule."""
-    hh, mm, ss, consistent, frac = _tm_parts(v)
-    p = _tm_full(v)
+    parseable); other shapes go through the section-by-section rule."""
+    hh, mm, ss = _tm_parts(v)
+    simple = f"{v} rlike {_TM_SIMPLE}"
+    fixed_ok = f"substr({v},1,6) rlike '^[0-9]{{6}}$'"
+    frac = f"(case when {simple} then {_tm_simple_frac(v)} else {_tm_frac(v)} end)"
     zero = f"({ss} = 0 and {mm} = 0 and {frac} = '')"
-    simple = f"{v} rlike '^[0-9]{{6}}([.][0-9]{{1,6}})?$'"
     return (
         "(case "
         f"when {v} is null or {v} = '' then '' "
-        f"when not ({simple}) and ({p} <> length({v}) or not {consistent}) then null "
+        f"when not ({simple}) and (not {fixed_ok} or {_tm_sections(v)}.pos - 1 <> length({v})) then null "
         f"when {hh} = 24 and {zero} then '00:00:00' "
         f"when {hh} > 23 or {mm} > 59 or {ss} > 59 then null "
         f"else concat(substr({v},1,2), ':', substr({v},3,2), ':', substr({v},5,2), "

@@ -66,57 +66,77 @@ def _value(elems: dict, tag: int, default=None):
     return text.split("\\")[0].strip() if text else default
 
 
-def decode_frames(data: bytes, vr_of) -> list[tuple[bytes, int, int]]:
-    """All frames of one file as (png, height, width); [] on any failure."""
+def _frame_plan(data, vr_of):
+    """Validate one file and return (pixel array, rows, cols, samples, bits,
+    signed, planar, frames); raises on anything not decodable."""
+    parsed = tk.parse(memoryview(data), vr_of, stop_at_pixel=False)
+    ts_elem = parsed.meta.get(0x00020010)
+    ts = tk._text(ts_elem.value, "ascii").rstrip("\x00 ") if ts_elem else None
+    if ts not in _NATIVE_TS:
+        raise ValueError("compressed or unsupported transfer syntax")
+    elems = {e.tag: e for e in parsed.elements}
+    pix = elems.get(tk.PIXEL_DATA)
+    if pix is None or pix.kind != "bytes":
+        raise ValueError("no native pixel data")
+    rows, cols = int(_value(elems, T_ROWS)), int(_value(elems, T_COLUMNS))
+    samples = int(_value(elems, T_SAMPLES, 1))
+    bits = int(_value(elems, T_BITS_ALLOC, 8))
+    signed = int(_value(elems, T_PIXEL_REP, 0)) == 1
+    planar = int(_value(elems, T_PLANAR, 0))
+    nframes = int(float(_value(elems, T_FRAMES, "1") or 1))
+    if bits == 8:
+        dtype = np.int8 if signed else np.uint8
+    elif bits == 16:
+        dtype = "<i2" if signed else "<u2"
+    else:
+        raise ValueError("bits allocated")
+    if samples not in (1, 3) or (samples == 3 and bits != 8):
+        raise ValueError("samples per pixel")
+    arr = np.frombuffer(pix.value, dtype=dtype)
+    per = rows * cols * samples
+    if per == 0 or nframes < 1 or arr.size < per * nframes:
+        raise ValueError("pixel data too short")
+    return arr, rows, cols, samples, bits, signed, planar, nframes
+
+
+def iter_frames(data, vr_of):
+    """Frames of one file as (png, height, width), one at a time. Nothing
+    (an empty iterator) when the file cannot be decoded; validation happens
+    before the first frame, so a file gives all its frames or none."""
     try:
-        parsed = tk.parse(memoryview(data), vr_of, stop_at_pixel=False)
-        ts_elem = parsed.meta.get(0x00020010)
-        ts = tk._text(ts_elem.value, "ascii").rstrip("\x00 ") if ts_elem else None
-        if ts not in _NATIVE_TS:
-            return []
-        elems = {e.tag: e for e in parsed.elements}
-        pix = elems.get(tk.PIXEL_DATA)
-        if pix is None or pix.kind != "bytes":
-            return []
-        rows, cols = int(_value(elems, T_ROWS)), int(_value(elems, T_COLUMNS))
-        samples = int(_value(elems, T_SAMPLES, 1))
-        bits = int(_value(elems, T_BITS_ALLOC, 8))
-        signed = int(_value(elems, T_PIXEL_REP, 0)) == 1
-        planar = int(_value(elems, T_PLANAR, 0))
-        nframes = int(float(_value(elems, T_FRAMES, "1") or 1))
-        if bits == 8:
-            dtype = np.int8 if signed else np.uint8
-        elif bits == 16:
-            dtype = "<i2" if signed else "<u2"
+        arr, rows, cols, samples, bits, signed, planar, nframes = _frame_plan(data, vr_of)
+    except Exception:
+        return
+    per = rows * cols * samples
+    for f in range(nframes):
+        fr = arr[f * per : (f + 1) * per]
+        if samples == 3:
+            img = fr.reshape(3, rows, cols).transpose(1, 2, 0) if planar else fr.reshape(rows, cols, 3)
+            img = img.astype(np.uint8)
         else:
-            return []
-        arr = np.frombuffer(pix.value, dtype=dtype)
-        per = rows * cols * samples
-        if per == 0 or arr.size < per * nframes:
-            return []
-        out = []
-        for f in range(nframes):
-            fr = arr[f * per : (f + 1) * per]
-            if samples == 3:
-                if bits != 8:
-                    return []
-                img = fr.reshape(3, rows, cols).transpose(1, 2, 0) if planar else fr.reshape(rows, cols, 3)
-                img = img.astype(np.uint8)
-            elif samples == 1:
-                img = fr.reshape(rows, cols)
-                if signed:  # shift to unsigned, keeping order
-                    offset = 128 if bits == 8 else 32768
-                    img = (img.astype(np.int32) + offset).astype(np.uint8 if bits == 8 else np.uint16)
-                elif bits == 16:
-                    img = img.astype(np.uint16)
-            else:
-                return []
-            out.append((_png(img), rows, cols))
-        return out
+            img = fr.reshape(rows, cols)
+            if signed:  # shift to unsigned, keeping order
+                offset = 128 if bits == 8 else 32768
+                img = (img.astype(np.int32) + offset).astype(np.uint8 if bits == 8 else np.uint16)
+            elif bits == 16:
+                img = img.astype(np.uint16)
+        yield _png(img), rows, cols
+
+
+def decode_frames(data, vr_of) -> list[tuple[bytes, int, int]]:
+    """All frames of one file as (png, height, width); [] on any failure."""
+    try:
+        return list(iter_frames(data, vr_of))
     except Exception:
         return []
 
 
+# Output batches of ``frames`` are flushed at these bounds, so many-frame
+# files never build one huge Arrow batch.
+FLUSH_ROWS = 4096
+FLUSH_BYTES = 64 * 1024 * 1024
+
+
 def _vr_lookup():
     by_tag = {e.tag: e.vr for e in dictmod.active().elements}
     return by_tag.get
@@ -134,25 +154,37 @@ def frames(df: DataFrame, content_col: str = "content", dimensions: bool = True)
         + ["frame int", "data binary", "height int", "width int"]
     )
 
+    names = passthrough + ["frame", "data", "height", "width"]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             contents = batch.column(content_col)
             take, fno, datas, hs, ws = [], [], [], [], []
+            size = 0
+
+            def flush():
+                idx = pa.array(take, pa.int64())
+                arrays = [batch.column(c).take(idx) for c in passthrough]
+                arrays += [pa.array(fno, pa.int32()), pa.array(datas, pa.binary()),
+                           pa.array(hs, pa.int32()), pa.array(ws, pa.int32())]
+                return pa.RecordBatch.from_arrays(arrays, names=names)
+
             for i in range(batch.num_rows):
                 buf = contents[i].as_buffer() if contents[i].is_valid else None
                 if buf is None:
                     continue
-                for j, (png, h, w) in enumerate(decode_frames(buf, vr_of)):
+                for j, (png, h, w) in enumerate(iter_frames(buf, vr_of)):
                     take.append(i)
                     fno.append(j)
                     datas.append(png)
                     hs.append(h if dimensions else None)
                     ws.append(w if dimensions else None)
-            idx = pa.array(take, pa.int64())
-            arrays = [batch.column(c).take(idx) for c in passthrough]
-            arrays += [pa.array(fno, pa.int32()), pa.array(datas, pa.binary()),
-                       pa.array(hs, pa.int32()), pa.array(ws, pa.int32())]
-            yield pa.RecordBatch.from_arrays(arrays, names=passthrough + ["frame", "data", "height", "width"])
+                    size += len(png)
+                    if len(take) >= FLUSH_ROWS or size >= FLUSH_BYTES:
+                        yield flush()
+                        take, fno, datas, hs, ws, size = [], [], [], [], [], 0
+            if take or batch.num_rows == 0:
+                yield flush()
 
     return df.mapInArrow(run, ddl)
 
@@ -174,3 +206,13 @@ def to_image(col: Column | str, spark=None) -> Column:
 
     c = F.col(col) if isinstance(col, str) else col
     return _images(c)
+
+
+def read_frames(spark, path, where: str | None = None, options: dict | None = None,
+                dimensions: bool = True) -> DataFrame:
+    """Frames of the DICOM files under ``path`` (directory or glob) as rows:
+    ``path, frame, data, height, width``; a file scan with no shuffle."""
+    from medframe.sources.dicom import binary_files
+
+    files = binary_files(spark, path, where, options).select("path", "content")
+    return frames(files, dimensions=dimensions)

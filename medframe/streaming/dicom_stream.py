@@ -30,11 +30,14 @@ def read_stream(
     schema: StructType | None = None,
     max_files_per_trigger: int | None = None,
     dictionary: dictmod.Dictionary | None = None,
+    header_only: bool = False,
 ) -> DataFrame:
     """A streaming DataFrame of decoded DICOM files (same columns as ``read``).
 
     A user ``schema`` (e.g. ``medframe.sources.dicom.schema()``) restricts the
-    columns to its field names, as the reference's stream test does."""
+    columns to its field names, as the reference's stream test does.
+    ``header_only`` reads each new file only up to PixelData on the
+    executors (see ``dicom.read``)."""
     opts = dict(options or {})
     pix = dicom.bool_option(opts, dicom.OPTION_INCLUDE_PIXEL_DATA) if include_pixel_data is None else include_pixel_data
     con = dicom.bool_option(opts, dicom.OPTION_INCLUDE_CONTENT) if include_content is None else include_content
@@ -51,4 +54,8 @@ def read_stream(
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     files = reader.load(path)
-    return dicom.decode_frame(files, columns, pix, con, prv, dictionary)
+    if header_only:
+        if con:
+            raise ValueError("includeContent needs the file bytes; not available with header_only")
+        files = files.drop("content")
+    return dicom.decode_frame(files, columns, pix, con, prv, dictionary, header_only=header_only)

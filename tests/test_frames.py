@@ -78,3 +78,10 @@ def test_compressed_pixel_data_gives_no_rows(spark, write_files):
           + W.element(0x7FE00010, "OB", frag + b"\xfe\xff\xdd\xe0\x00\x00\x00\x00", undefined=True))
     d = write_files({"j.dcm": W.part10(ds, W.JPEG_BASELINE)})
     assert frames.frames(dicom.binary_files(spark, d).select("path", "content")).count() == 0
+
+
+def test_read_frames_from_path(spark, write_files):
+    data, _ = _gray8(2, 3, 2)
+    d = write_files({"g1.dcm": data, "g2.dcm": data})
+    rows = frames.read_frames(spark, d).collect()
+    assert len(rows) == 4 and {(r.height, r.width) for r in rows} == {(2, 3)}

@@ -32,3 +32,14 @@ def test_stream_short_name(spark, write_files, tmp_path):
     q.processAllAvailable()
     q.stop()
     assert spark.table("stream_short").count() == 5
+
+
+def test_stream_header_only(spark, write_files, tmp_path):
+    d = write_files({f"h/{i}.dcm": W.ct_slice(32, 32) for i in range(7)})
+    df = read_stream(spark, d + "/h", columns=["PatientID", "Rows"], header_only=True)
+    q = (df.writeStream.trigger(availableNow=True).format("memory").queryName("stream_hdr")
+         .option("checkpointLocation", str(tmp_path / "ckpt3")).start())
+    q.processAllAvailable()
+    q.stop()
+    rows = spark.table("stream_hdr").collect()
+    assert len(rows) == 7 and all(r.Rows == [32] and r.PatientID == "Pancreas-CT-CB_001" for r in rows)
