@@ -653,7 +653,7 @@ from events""",
 )
 def json_rename_keys(spark, sf_dir):
     """Rename hex-tag keys to keywords at every depth; others unchanged."""
-    ev = V.table(spark, sf_dir, "events")
+    ev = spread(V.table(spark, sf_dir, "events"))
     src = F.concat(F.lit('{"00080064":'), F.col("props"), F.lit(',"0009100A":['), F.col("props"),
                    F.lit('],"7FE00010":{"vr":"OB"}}'))
     return ev.select("event_id", jsonfns.rename_json_keys(src, spark=spark).alias("json"))

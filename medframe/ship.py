@@ -19,10 +19,15 @@ _shipped: set = set()
 
 
 def ensure(spark: SparkSession) -> None:
+    """Ship once per application; set ``spark.medframe.ship=false`` when the
+    package is installed on the executors' image."""
     sc = spark.sparkContext
     key = sc.applicationId
     if key in _shipped:
         return
+    if str(spark.conf.get("spark.medframe.ship", "true")).lower() == "false":
+        _shipped.add(key)
+        return
     pkg_dir = os.path.dirname(os.path.abspath(__file__))
     root = os.path.dirname(pkg_dir)
     out_dir = tempfile.mkdtemp(prefix="medframe-py-")
