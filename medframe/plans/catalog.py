@@ -381,7 +381,7 @@ def decode_binary(spark, sf_dir):
 
 @register(
     "decode_text",
-    "select doc_id, rtrim(text, ' ') as TextValue, lang as SpecificCharacterSetNote from documents",
+    "select doc_id, rtrim(text, ' ') as TextValue, lang from documents",
 )
 def decode_text(spark, sf_dir):
     """V1 (UT) with the UTF-8 character set: whole texts, trailing spaces cut."""
@@ -390,7 +390,7 @@ def decode_text(spark, sf_dir):
              enc.attr("CodeMeaning", "lang")]
     files = _files(docs, "doc_id", attrs, "documents/")
     out = dicom.decode_frame(files.select("doc_id", "path", "content"), columns=["TextValue", "CodeMeaning"])
-    return out.selectExpr("doc_id", "TextValue", "CodeMeaning as SpecificCharacterSetNote")
+    return out.selectExpr("doc_id", "TextValue", "CodeMeaning as lang")
 
 
 @register(

@@ -25,6 +25,29 @@ from medframe.sources import tokenise as tk
 HEADER_FIRST_READ = 64 * 1024
 
 
+def binary_views(arr: pa.Array) -> list:
+    """Zero-copy memoryviews of a binary Arrow array's values (None for nulls),
+    sliced from its buffers instead of one scalar object per row."""
+    if isinstance(arr, pa.ChunkedArray):
+        return [v for chunk in arr.chunks for v in binary_views(chunk)]
+    if pa.types.is_large_binary(arr.type):
+        off_type = "<i8"
+    else:
+        off_type = "<i4"
+    import numpy as np
+
+    _, offsets_buf, data_buf = arr.buffers()
+    n = len(arr)
+    offsets = np.frombuffer(offsets_buf, dtype=off_type, count=n + 1 + arr.offset)[arr.offset:]
+    data = memoryview(data_buf) if data_buf is not None else memoryview(b"")
+    valid = arr.is_valid().to_numpy(zero_copy_only=False) if arr.null_count else None
+    starts, ends = offsets[:-1].tolist(), offsets[1:].tolist()
+    return [
+        None if valid is not None and not valid[i] else data[starts[i]:ends[i]]
+        for i in range(n)
+    ]
+
+
 def _fs_path(uri: str):
     """(pyarrow FileSystem, path) for a URI as listed by ``binaryFile``."""
     from pyarrow import fs as pafs
@@ -106,6 +129,7 @@ def make_kernel(
         for batch in batches:
             header_mode = "content" not in batch.schema.names
             contents = None if header_mode else batch.column("content")
+            views = None if header_mode else binary_views(contents)
             paths = batch.column("path").to_pylist() if header_mode else None
             lengths = (batch.column("length").to_pylist()
                        if header_mode and "length" in batch.schema.names else None)
@@ -121,10 +145,10 @@ def make_kernel(
                         parsed = read_header(paths[i], lengths[i] if lengths else None, vr_of,
                                              stop_at_pixel)
                     else:
-                        buf = contents[i].as_buffer() if contents[i].is_valid else None
+                        buf = views[i]
                         if buf is None:
                             raise tk.NotDicom("no content")
-                        parsed = tk.parse(memoryview(buf), vr_of, stop_at_pixel)
+                        parsed = tk.parse(buf, vr_of, stop_at_pixel)
                 except Exception:  # any failure keeps the row: isDicom = false
                     is_dicom.append(False)
                     v_off.append(len(v_keys))
