@@ -140,6 +140,7 @@ def decode_frame(
         include_private_tags,
         include_content,
         passthrough,
+        want_vrs=columns is None or KEYWORDS in columns or VRS in columns or keep_elements,
     )
     source_cols = ["path", "length"] if header_only else ["path", "content"]
     if header_only and "length" not in files.columns:

@@ -112,9 +112,12 @@ def make_kernel(
     include_private: bool,
     include_content: bool,
     passthrough: list[str],
+    want_vrs: bool = True,
 ):
     """Build the batch function. ``tag_table`` rows are (tag, keyword, vr); it
-    is the dictionary, bounded by the standard, captured in the closure."""
+    is the dictionary, bounded by the standard, captured in the closure.
+    ``want_vrs=False`` leaves ``vrs`` empty (neither it nor ``keywords`` is
+    read downstream)."""
     by_tag = {t: (k, v) for t, k, v in tag_table}
 
     def vr_of(tag):
@@ -167,8 +170,9 @@ def make_kernel(
                     if keyword in seen:  # a repeated tag: keep the first
                         continue
                     seen.add(keyword)
-                    v_keys.append(keyword)
-                    v_vals.append(e.vr)
+                    if want_vrs:
+                        v_keys.append(keyword)
+                        v_vals.append(e.vr)
                     if requested is None or keyword in requested:
                         vr, sv, ints, dbls, b = tk.slot(e, dict_vr, cs, _item_json(cs))
                         a_keys.append(keyword)

@@ -99,6 +99,9 @@ def _implicit_vr(tag: int, vr_of) -> str:
 
 _LE = (struct.Struct("<H").unpack_from, struct.Struct("<I").unpack_from, struct.Struct("<HH").unpack_from)
 _BE = (struct.Struct(">H").unpack_from, struct.Struct(">I").unpack_from, struct.Struct(">HH").unpack_from)
+# explicit VR element header in one read: group, element, VR code, 2-byte length
+_HDR_LE = struct.Struct("<HH2sH").unpack_from
+_HDR_BE = struct.Struct(">HH2sH").unpack_from
 # VR code bytes -> (VR, uses a 4-byte length)
 _VR_CODES = {v.encode(): (v, v in LONG_LENGTH_VRS) for v in SINGLE_VRS}
 
@@ -112,6 +115,7 @@ class _Reader:
         self.stop_at_pixel = stop_at_pixel
         self.stopped = False
         self.u16, self.u32, self.tag = _LE if le else _BE
+        self.hdr = _HDR_LE if le else _HDR_BE
 
     def read_tag(self, pos):
         g, e = self.tag(self.buf, pos)
@@ -129,10 +133,14 @@ class _Reader:
         stop_pixel = top and self.stop_at_pixel
         out = []
         append = out.append
+        hdr = self.hdr
         while pos < end:
             if pos + 8 > end:
                 raise NotDicom("truncated element header")
-            g, el = tagf(buf, pos)
+            if explicit:
+                g, el, code, length = hdr(buf, pos)
+            else:
+                g, el = tagf(buf, pos)
             if only_group is not None and g != only_group:
                 return out, pos, False
             tag = (g << 16) | el
@@ -144,7 +152,7 @@ class _Reader:
                 self.stopped = True
                 return out, end, False
             if explicit:
-                hit = _VR_CODES.get(bytes(buf[pos + 4 : pos + 6]))
+                hit = _VR_CODES.get(code)
                 if hit is None:
                     raise NotDicom("invalid VR")
                 vr, long_len = hit
@@ -154,7 +162,6 @@ class _Reader:
                     length = u32(buf, pos + 8)[0]
                     pos += 12
                 else:
-                    length = u16(buf, pos + 6)[0]
                     pos += 8
             else:
                 vr = _implicit_vr(tag, self.vr_of)
