@@ -26,6 +26,7 @@ PATH, ISDICOM, KEYWORDS, VRS, ERRORS = "path", "isDicom", "keywords", "vrs", "er
 CONTENT, PRIVATE = "content", "privateTagsJson"
 METADATA_COLUMNS = (PATH, ISDICOM, KEYWORDS, VRS, ERRORS)
 _BINARY_FILE_COLUMNS = {"path", "modificationTime", "length", "content"}
+NUMERIC_VRS = frozenset("FL FD SL SS US UL SV UV".split())
 
 OPTION_INCLUDE_PIXEL_DATA = "includePixelData"
 OPTION_INCLUDE_CONTENT = "includeContent"
@@ -172,10 +173,16 @@ def decode_frame(
         (e.keyword, e.single_vr, f"attrs[{decode.sql_str(e.keyword)}]", firsts.get(e.keyword))
         for e in elems
     ]
-    exprs.append(f"{decode.errors_map_sql(err_items)} as errors")
+    exprs.append(
+        "map_concat(if(isDicom, kerrors, cast(map() as map<string,string>)), "
+        f"{decode.errors_map_sql(err_items)}) as errors"
+    )
     for e in elems:
         slot = f"attrs[{decode.sql_str(e.keyword)}]"
-        dec = decode.value_sql(e.single_vr, slot, v=firsts.get(e.keyword))
+        ok = "isDicom"
+        if e.single_vr in NUMERIC_VRS:  # a value that failed to convert -> null
+            ok = f"isDicom and not map_contains_key(kerrors, {decode.sql_str(e.keyword)})"
+        dec = decode.value_sql(e.single_vr, slot, ok=ok, v=firsts.get(e.keyword))
         exprs.append(f"{dec} as {decode.quote_ident(e.keyword)}")
     for c in extras:
         exprs.append(c)

@@ -97,6 +97,7 @@ def kernel_schema_ddl(include_private: bool, include_content: bool, passthrough_
         "isDicom boolean",
         "vrs map<string,string>",
         f"attrs map<string,{SLOT_DDL}>",
+        "kerrors map<string,string>",
     ]
     if include_private:
         cols.append("privateTagsJson string")
@@ -142,6 +143,7 @@ def make_kernel(
             v_off, v_keys, v_vals = [0], [], []
             a_off, a_keys = [0], []
             s_vr, s_str, s_ints, s_dbls, s_bin = [], [], [], [], []
+            e_off, e_keys, e_vals = [0], [], []
             for i in range(n):
                 try:
                     if header_mode:
@@ -156,6 +158,7 @@ def make_kernel(
                     is_dicom.append(False)
                     v_off.append(len(v_keys))
                     a_off.append(len(a_keys))
+                    e_off.append(len(e_keys))
                     private_col.append(None)
                     continue
                 cs = parsed.charset
@@ -174,7 +177,12 @@ def make_kernel(
                         v_keys.append(keyword)
                         v_vals.append(e.vr)
                     if requested is None or keyword in requested:
-                        vr, sv, ints, dbls, b = tk.slot(e, dict_vr, cs, _item_json(cs))
+                        try:
+                            vr, sv, ints, dbls, b = tk.slot(e, dict_vr, cs, _item_json(cs))
+                        except Exception as exc:  # one bad value: column null + error
+                            e_keys.append(keyword)
+                            e_vals.append(tk.error_text(exc))
+                            vr, sv, ints, dbls, b = e.vr, None, None, None, None
                         a_keys.append(keyword)
                         s_vr.append(vr)
                         s_str.append(sv)
@@ -184,6 +192,7 @@ def make_kernel(
                 is_dicom.append(True)
                 v_off.append(len(v_keys))
                 a_off.append(len(a_keys))
+                e_off.append(len(e_keys))
                 if include_private:
                     private_col.append(tk.to_json_text(tk.dataset_json(private, cs, tk.hex_key)))
             mask = pa.array([not x for x in is_dicom], pa.bool_())
@@ -200,8 +209,12 @@ def make_kernel(
             attrs = pa.MapArray.from_arrays(
                 pa.array(a_off, pa.int32()), pa.array(a_keys, pa.string()), slots, mask=mask,
             )
-            arrays = [batch.column("path"), pa.array(is_dicom, pa.bool_()), vrs, attrs]
-            names = ["path", "isDicom", "vrs", "attrs"]
+            kerrors = pa.MapArray.from_arrays(
+                pa.array(e_off, pa.int32()), pa.array(e_keys, pa.string()),
+                pa.array(e_vals, pa.string()), mask=mask,
+            )
+            arrays = [batch.column("path"), pa.array(is_dicom, pa.bool_()), vrs, attrs, kerrors]
+            names = ["path", "isDicom", "vrs", "attrs", "kerrors"]
             if include_private:
                 arrays.append(pa.array(private_col, pa.string()))
                 names.append("privateTagsJson")

@@ -403,19 +403,48 @@ def slot(e: Elem, dict_vr: str | None, charset: str, item_json):
     return (vr, s, ints, dbls, b)
 
 
+class ConversionError(ValueError):
+    """A value that does not convert; ``java`` is the JVM-style message."""
+
+    def __init__(self, java: str):
+        super().__init__(java)
+        self.java = java
+
+
+def _number_error(part: str) -> ConversionError:
+    return ConversionError(f'java.lang.NumberFormatException: For input string: "{part}"')
+
+
 def _parse_ints(e, charset):
     text = element_text(e, charset) or ""
     out = []
     for part in text.split("\\"):
         part = part.strip()
         if part:
-            out.append(int(float(part)) if not part.lstrip("+-").isdigit() else int(part))
+            if part.lstrip("+-").isdigit():
+                out.append(int(part))
+            else:
+                raise _number_error(part)
     return out
 
 
 def _parse_floats(e, charset):
     text = element_text(e, charset) or ""
-    return [float(p) for p in (x.strip() for x in text.split("\\")) if p]
+    out = []
+    for part in (x.strip() for x in text.split("\\")):
+        if part:
+            try:
+                out.append(float(part))
+            except ValueError:
+                raise _number_error(part) from None
+    return out
+
+
+def error_text(exc: Exception) -> str:
+    """JVM-style text of a value conversion failure."""
+    if isinstance(exc, ConversionError):
+        return exc.java
+    return f"java.lang.IllegalArgumentException: {exc}"
 
 
 # ----------------------------------------------------------------- DICOM JSON

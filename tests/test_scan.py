@@ -279,3 +279,14 @@ def test_encapsulated_pixel_data_is_skipped(spark, write_files):
     d = write_files({"j.dcm": W.part10(ds, W.JPEG_BASELINE)})
     row = dicom.read(spark, d).first()
     assert row.isDicom and row.PatientID == "enc"
+
+
+def test_bad_value_is_a_column_error_not_a_bad_file(spark, write_files):
+    ds = (W.element(0x00100020, "LO", W.text("ok", "LO"))
+          + W.element(0x00280010, "IS", W.text("abc", "IS"))
+          + W.element(0x00280011, "IS", W.text("64", "IS")))
+    d = write_files({"v.dcm": W.part10(ds)})
+    row = dicom.read(spark, d, columns=["isDicom", "errors", "PatientID", "Rows", "Columns"]).first()
+    assert row.isDicom and row.PatientID == "ok"
+    assert row.Rows is None and row.Columns == [64]
+    assert row.errors == {"Rows": 'java.lang.NumberFormatException: For input string: "abc"'}
