@@ -59,25 +59,57 @@ def _fs_path(uri: str):
     return pafs.FileSystem.from_uri(uri)
 
 
-def read_header(uri: str, size: int | None, vr_of, stop_at_pixel: bool):
+# Concurrent prefix reads per task in header mode: object stores answer each
+# request after tens of milliseconds, so a task keeps several in flight.
+HEADER_READ_THREADS = 16
+
+
+def _read_prefix(uri: str, size: int | None, want: int):
+    """(bytes of the first ``want`` bytes, file size) or the exception."""
+    try:
+        fs, path = _fs_path(uri)
+        with fs.open_input_file(path) as f:
+            total = size if size is not None else f.size()
+            return f.read(min(total, want)), total
+    except Exception as exc:  # reported per file by the caller
+        return exc, None
+
+
+def read_header(uri: str, size: int | None, vr_of, stop_at_pixel: bool, prefix=None):
     """Parse a file reading as few bytes as needed: the prefix grows until the
-    data set (up to PixelData) parses or the file ends."""
-    fs, path = _fs_path(uri)
-    with fs.open_input_file(path) as f:
-        total = size if size is not None else f.size()
-        want = min(total, HEADER_FIRST_READ) if stop_at_pixel else total
-        data = b""
-        while True:
-            if len(data) < want:
-                data += f.read(want - len(data))
-            try:
-                parsed = tk.parse(memoryview(data), vr_of, stop_at_pixel)
-                if parsed.stopped or len(data) >= total:
-                    return parsed
-            except tk.NotDicom:
-                if want >= total:
-                    raise
-            want = min(total, want * 2)
+    data set (up to PixelData) parses or the file ends. ``prefix`` is an
+    already fetched ``(bytes, size)`` start of the file."""
+    if prefix is None:
+        prefix = _read_prefix(uri, size, HEADER_FIRST_READ if stop_at_pixel else 1 << 62)
+    data, total = prefix
+    if isinstance(data, Exception):
+        raise data
+    want = len(data)
+    while True:
+        try:
+            parsed = tk.parse(memoryview(data), vr_of, stop_at_pixel)
+            if parsed.stopped or len(data) >= total:
+                return parsed
+        except tk.NotDicom:
+            if len(data) >= total:
+                raise
+        want = min(total, max(want, 1) * 2)
+        data, total = _read_prefix(uri, total, want)
+        if isinstance(data, Exception):
+            raise data
+
+
+def fetch_prefixes(paths: list, lengths: list | None, stop_at_pixel: bool) -> list:
+    """First bytes of every file of a batch, read concurrently."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    want = HEADER_FIRST_READ if stop_at_pixel else 1 << 62
+    sizes = lengths if lengths is not None else [None] * len(paths)
+    if len(paths) <= 1:
+        return [_read_prefix(p, n, want) for p, n in zip(paths, sizes)]
+    with ThreadPoolExecutor(max_workers=min(HEADER_READ_THREADS, len(paths))) as pool:
+        return list(pool.map(lambda a: _read_prefix(a[0], a[1], want), zip(paths, sizes)))
+
 
 SLOT_TYPE = pa.struct(
     [
@@ -137,6 +169,7 @@ def make_kernel(
             paths = batch.column("path").to_pylist() if header_mode else None
             lengths = (batch.column("length").to_pylist()
                        if header_mode and "length" in batch.schema.names else None)
+            prefixes = fetch_prefixes(paths, lengths, stop_at_pixel) if header_mode else None
             n = batch.num_rows
             is_dicom, private_col = [], []
             # map columns are built flat: offsets + keys + child arrays
@@ -148,7 +181,7 @@ def make_kernel(
                 try:
                     if header_mode:
                         parsed = read_header(paths[i], lengths[i] if lengths else None, vr_of,
-                                             stop_at_pixel)
+                                             stop_at_pixel, prefixes[i])
                     else:
                         buf = views[i]
                         if buf is None:
