@@ -50,6 +50,20 @@ CHARSETS = {
     "ISO_IR 192": "utf-8",
     "GB18030": "gb18030",
     "GBK": "gbk",
+    "ISO 2022 IR 13": "iso2022_jp_2",
+    "ISO 2022 IR 87": "iso2022_jp_2",
+    "ISO 2022 IR 159": "iso2022_jp_2",
+    "ISO 2022 IR 149": "iso2022_kr",
+    "ISO 2022 IR 58": "iso2022_jp_2",
+    "ISO 2022 IR 101": "iso8859_2",
+    "ISO 2022 IR 109": "iso8859_3",
+    "ISO 2022 IR 110": "iso8859_4",
+    "ISO 2022 IR 144": "iso8859_5",
+    "ISO 2022 IR 127": "iso8859_6",
+    "ISO 2022 IR 126": "iso8859_7",
+    "ISO 2022 IR 138": "iso8859_8",
+    "ISO 2022 IR 148": "iso8859_9",
+    "ISO 2022 IR 166": "tis-620",
 }
 TEXT_VRS = frozenset("LT ST UT UR".split())
 STRINGISH_VRS = frozenset("AE AS CS DA DS DT IS LO LT PN SH ST TM UC UI UR UT".split())

@@ -290,3 +290,11 @@ def test_bad_value_is_a_column_error_not_a_bad_file(spark, write_files):
     assert row.isDicom and row.PatientID == "ok"
     assert row.Rows is None and row.Columns == [64]
     assert row.errors == {"Rows": 'java.lang.NumberFormatException: For input string: "abc"'}
+
+
+def test_iso2022_japanese_names(spark, write_files):
+    name = "Yamada^Tarou=山田^太郎=やまだ^たろう"
+    ds = (W.element(0x00080005, "CS", W.text("\\ISO 2022 IR 87", "CS"))
+          + W.element(0x00100010, "PN", W.pad(name.encode("iso2022_jp"), "PN")))
+    d = write_files({"jp.dcm": W.part10(ds)})
+    assert tuple(dicom.read(spark, d).first().PatientName) == ("Yamada^Tarou", "山田^太郎", "やまだ^たろう")
