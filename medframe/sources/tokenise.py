@@ -391,9 +391,14 @@ def _num_text(x):
 
 
 def slot(e: Elem, dict_vr: str | None, charset: str, item_json):
-    """Typed slot ``(vr, str, ints, dbls, bin)`` for the decoder."""
+    """Typed slot ``(vr, str, ints, dbls, bin)`` for the decoder.
+
+    A known element stored as UN is read with its dictionary VR (UN values
+    are little endian, PS3.5 6.2.2)."""
     vr = e.vr
     target = dict_vr if dict_vr in SINGLE_VRS else vr
+    if vr == "UN" and e.kind == "bytes" and target not in ("UN", "SQ"):
+        e = Elem(e.tag, target, e.value, True)
     if e.kind == "items":
         return (vr, item_json(e.value), None, None, None)
     if e.kind == "fragments":

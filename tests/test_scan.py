@@ -298,3 +298,12 @@ def test_iso2022_japanese_names(spark, write_files):
           + W.element(0x00100010, "PN", W.pad(name.encode("iso2022_jp"), "PN")))
     d = write_files({"jp.dcm": W.part10(ds)})
     assert tuple(dicom.read(spark, d).first().PatientName) == ("Yamada^Tarou", "山田^太郎", "やまだ^たろう")
+
+
+def test_known_tag_stored_as_un_uses_dictionary_vr(spark, write_files):
+    ds = (W.element(0x00080020, "UN", W.text("20120706", "DA"))
+          + W.element(0x00280010, "UN", W.nums("H", 512)))
+    d = write_files({"un.dcm": W.part10(ds)})
+    row = dicom.read(spark, d, columns=["vrs", "StudyDate", "Rows"]).first()
+    assert row.StudyDate == "2012-07-06" and row.Rows == [512]
+    assert row.vrs == {"StudyDate": "UN", "Rows": "UN"}
