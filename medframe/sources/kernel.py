@@ -195,23 +195,24 @@ def make_kernel(
                     private_col.append(None)
                     continue
                 cs = parsed.charset
+                item_json = _item_json(cs)
                 private = []
-                seen = set()
-                for e in parsed.elements:
+                prev_tag = -1
+                for e in parsed.elements:  # sorted by tag
+                    if e.tag == prev_tag:  # a repeated tag: keep the first
+                        continue
+                    prev_tag = e.tag
                     hit = by_tag.get(e.tag)
                     if hit is None:
                         private.append(e)
                         continue
                     keyword, dict_vr = hit
-                    if keyword in seen:  # a repeated tag: keep the first
-                        continue
-                    seen.add(keyword)
                     if want_vrs:
                         v_keys.append(keyword)
                         v_vals.append(e.vr)
                     if requested is None or keyword in requested:
                         try:
-                            vr, sv, ints, dbls, b = tk.slot(e, dict_vr, cs, _item_json(cs))
+                            vr, sv, ints, dbls, b = tk.slot(e, dict_vr, cs, item_json)
                         except Exception as exc:  # one bad value: column null + error
                             e_keys.append(keyword)
                             e_vals.append(tk.error_text(exc))

@@ -43,13 +43,18 @@ class _Reader:
         path = path or self._options.pop("path", None)
         if path is None:
             raise ValueError("dicomFile needs a path")
+        opts = dict(self._options)
+        columns = None
+        for k in list(opts):
+            if k.lower() == "columns":  # narrow the kernel: comma-separated keywords
+                columns = [c.strip() for c in str(opts.pop(k)).split(",") if c.strip()]
         if self._streaming:
             from medframe.streaming.dicom_stream import read_stream
 
-            return read_stream(self._spark, path, options=self._options, schema=self._schema)
+            return read_stream(self._spark, path, columns=columns, options=opts, schema=self._schema)
         from medframe.sources.dicom import read
 
-        return read(self._spark, path, options=self._options, schema=self._schema)
+        return read(self._spark, path, columns=columns, options=opts, schema=self._schema)
 
 
 def _refuse(*_a, **_k):

@@ -252,6 +252,8 @@ def test_short_name_and_write_refused(spark, write_files):
     d = write_files({"ct.dcm": W.ct_slice()})
     df = spark.read.format("dicomFile").option("includePixelData", True).load(d)
     assert df.select("PixelData").first().PixelData is not None
+    narrow = spark.read.format("dicomFile").option("columns", "path, PatientID").load(d)
+    assert narrow.columns == ["path", "PatientID"]
     with pytest.raises(AnalysisException):
         df.write.format("dicomFile").save(os.path.join(d, "out"))
 
