@@ -38,7 +38,8 @@ def get_session(master: str | None = None, partitions: int = 8, app: str = "medf
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The cluster's shared checkpoint folder; a local one only when unset."""
+    """The cluster's shared checkpoint folder (``spark.checkpoint.dir``). Only
+    a local-mode session without one gets a local folder (tests)."""
     current = spark.conf.get("spark.checkpoint.dir", None)
     if current:
         if not spark.sparkContext.getCheckpointDir():
@@ -47,6 +48,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     existing = spark.sparkContext.getCheckpointDir()
     if existing:
         return existing
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError(
+            "spark.checkpoint.dir is not set: point it at a shared folder (HDFS, object "
+            "store) so written tables survive executor loss")
     local = tempfile.mkdtemp(prefix="medframe-ckpt-")
     spark.conf.set("spark.checkpoint.dir", local)
     spark.sparkContext.setCheckpointDir(local)
