@@ -75,7 +75,7 @@ def _read_prefix(uri: str, size: int | None, want: int):
         return exc, None
 
 
-def read_header(uri: str, size: int | None, vr_of, stop_at_pixel: bool, prefix=None):
+def read_header(uri: str, size: int | None, vr_of, stop_at_pixel: bool, prefix=None, keep=None):
     """Parse a file reading as few bytes as needed: the prefix grows until the
     data set (up to PixelData) parses or the file ends. ``prefix`` is an
     already fetched ``(bytes, size)`` start of the file."""
@@ -87,7 +87,7 @@ def read_header(uri: str, size: int | None, vr_of, stop_at_pixel: bool, prefix=N
     want = len(data)
     while True:
         try:
-            parsed = tk.parse(memoryview(data), vr_of, stop_at_pixel)
+            parsed = tk.parse(memoryview(data), vr_of, stop_at_pixel, keep)
             if parsed.stopped or len(data) >= total:
                 return parsed
         except tk.NotDicom:
@@ -152,6 +152,11 @@ def make_kernel(
     ``want_vrs=False`` leaves ``vrs`` empty (neither it nor ``keywords`` is
     read downstream)."""
     by_tag = {t: (k, v) for t, k, v in tag_table}
+    # only the requested elements need to be materialised when neither the
+    # keyword/VR lists nor the private elements are wanted
+    keep = None
+    if requested is not None and not want_vrs and not include_private:
+        keep = frozenset(t for t, k, _ in tag_table if k in requested)
 
     def vr_of(tag):
         hit = by_tag.get(tag)
@@ -181,12 +186,12 @@ def make_kernel(
                 try:
                     if header_mode:
                         parsed = read_header(paths[i], lengths[i] if lengths else None, vr_of,
-                                             stop_at_pixel, prefixes[i])
+                                             stop_at_pixel, prefixes[i], keep)
                     else:
                         buf = views[i]
                         if buf is None:
                             raise tk.NotDicom("no content")
-                        parsed = tk.parse(buf, vr_of, stop_at_pixel)
+                        parsed = tk.parse(buf, vr_of, stop_at_pixel, keep)
                 except Exception:  # any failure keeps the row: isDicom = false
                     is_dicom.append(False)
                     v_off.append(len(v_keys))

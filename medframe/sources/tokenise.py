@@ -121,7 +121,8 @@ _VR_CODES = {v.encode(): (v, v in LONG_LENGTH_VRS) for v in SINGLE_VRS}
 
 
 class _Reader:
-    def __init__(self, buf, explicit, le, vr_of, stop_at_pixel):
+    def __init__(self, buf, explicit, le, vr_of, stop_at_pixel, keep=None):
+        self.keep = keep  # top-level tags to keep (None: all)
         self.buf = buf
         self.explicit = explicit
         self.le = le
@@ -145,6 +146,7 @@ class _Reader:
         u16, u32, tagf = self.u16, self.u32, self.tag
         explicit, le = self.explicit, self.le
         stop_pixel = top and self.stop_at_pixel
+        keep = self.keep if top else None
         out = []
         append = out.append
         hdr = self.hdr
@@ -198,6 +200,9 @@ class _Reader:
             nxt = pos + length
             if nxt > end:
                 raise NotDicom("truncated value")
+            if keep is not None and tag not in keep:
+                pos = nxt  # not requested: skipped without a copy
+                continue
             if vr == "SQ":
                 items, _ = self.items(pos, nxt, length, depth)
                 append(Elem(tag, vr, items, le, "items"))
@@ -272,8 +277,12 @@ def _guess(buf, vr_of):
     return None
 
 
-def parse(data: bytes, vr_of, stop_at_pixel: bool = True) -> Parsed:
-    """Parse one file. ``vr_of(tag) -> dictionary VR or None``."""
+def parse(data: bytes, vr_of, stop_at_pixel: bool = True, keep=None) -> Parsed:
+    """Parse one file. ``vr_of(tag) -> dictionary VR or None``; ``keep``: the
+    top-level tags to return (others with a defined length are skipped
+    without a copy; the character set is always kept)."""
+    if keep is not None:
+        keep = frozenset(keep) | {0x00080005}
     buf = memoryview(data)
     meta = {}
     pos = 0
@@ -304,7 +313,7 @@ def parse(data: bytes, vr_of, stop_at_pixel: bool = True) -> Parsed:
         except zlib.error as exc:
             raise NotDicom(str(exc)) from exc
         buf, pos = memoryview(inflated), 0
-    reader = _Reader(buf, explicit, le, vr_of, stop_at_pixel)
+    reader = _Reader(buf, explicit, le, vr_of, stop_at_pixel, keep)
     elements, _, closed = reader.dataset(pos, len(buf), 0, top=True)
     if closed:
         raise NotDicom("stray item delimiter")
