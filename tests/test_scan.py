@@ -309,3 +309,26 @@ def test_known_tag_stored_as_un_uses_dictionary_vr(spark, write_files):
     row = dicom.read(spark, d, columns=["vrs", "StudyDate", "Rows"]).first()
     assert row.StudyDate == "2012-07-06" and row.Rows == [512]
     assert row.vrs == {"StudyDate": "UN", "Rows": "UN"}
+
+
+def test_implicit_vr_private_and_undefined_un_sequence(spark, write_files):
+    e = lambda tag, vr, v: W.element(tag, vr, v, explicit=False)
+    inner = e(0x00080100, "SH", W.text("CODE1", "SH"))
+    un_seq = (W.element(0x00091010, "UN", b"", explicit=False, undefined=True)
+              + W.item(inner, undefined=True) + b"\xfe\xff\xdd\xe0\x00\x00\x00\x00")
+    ds = (e(0x00090010, "LO", W.text("ACME", "LO")) + un_seq
+          + e(0x00100020, "LO", W.text("imp", "LO")))
+    d = write_files({"i.dcm": W.part10(ds, W.IMPLICIT_LE)})
+    row = dicom.read(spark, d, options={"includePrivateTags": True}).first()
+    assert row.isDicom and row.PatientID == "imp"
+    assert row.privateTagsJson == (
+        '{"00090010":{"vr":"LO","Value":["ACME"]},'
+        '"00091010":{"vr":"SQ","Value":[{"00080100":{"vr":"SH","Value":["CODE1"]}}]}}')
+
+
+@pytest.mark.parametrize("cols", [["PatientID"], ["StudyDate", "Rows"], ["PixelData", "Columns"]])
+def test_projected_read_equals_full_read(spark, write_files, cols):
+    d = write_files({"ct.dcm": W.ct_slice(), "v.dcm": W.part10(_values_dataset())})
+    full = dicom.read(spark, d, options={"includePixelData": True}).select("path", *cols)
+    part = dicom.read(spark, d, columns=["path"] + cols, include_pixel_data=True)
+    assert sorted(full.collect()) == sorted(part.collect())
