@@ -13,7 +13,6 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from medframe import dictionary as dictmod
 from medframe.dictionary import DeidOption as O
 from medframe.functions import jsonfns
 from medframe.functions.decode import sql_str
