@@ -240,6 +240,64 @@ def decode_strings(spark, sf_dir):
     return dicom.decode_frame(files, columns=cols).select("c_custkey", *cols)
 
 
+@register(
+    "decode_string_vrs",
+    r"""
+select event_id,
+  'AE' || user_id as RetrieveAETitle,
+  lpad(cast(user_id % 100 as varchar), 3, '0') || 'Y' as PatientAge,
+  cast(cast(round(value * 100) as bigint) as varchar) || '.5' as PatientSize,
+  cast(event_id as varchar) as InstanceNumber,
+  strftime(ts, '%Y%m%d%H%M%S') as AcquisitionDateTime,
+  upper(event_type) as LongCodeValue,
+  'urn:oid:1.2.' || event_id as URNCodeValue,
+  upper(event_type) as BodyPartExamined
+from events""",
+)
+def decode_string_vrs(spark, sf_dir):
+    """V1: AE AS DS IS DT UC UR CS: first value, padding trimmed, kept as text."""
+    ev = V.table(spark, sf_dir, "events")
+    attrs = [
+        enc.attr("RetrieveAETitle", "concat('AE', user_id, '\\\\', 'SECOND')"),
+        enc.attr("PatientAge", "concat(lpad(cast(user_id % 100 as string), 3, '0'), 'Y')"),
+        enc.attr("PatientSize", "concat(' ', cast(cast(round(value * 100) as bigint) as string), '.5')"),
+        enc.attr("InstanceNumber", "cast(event_id as string)"),
+        enc.attr("AcquisitionDateTime", "date_format(ts, 'yyyyMMddHHmmss')"),
+        enc.attr("LongCodeValue", "concat(upper(event_type), '\\\\', 'X')"),
+        enc.attr("URNCodeValue", "concat('urn:oid:1.2.', event_id, '  ')"),
+        enc.attr("BodyPartExamined", "upper(event_type)"),
+    ]
+    files = _files(ev, "event_id", attrs, "events/").select("event_id", "path", "content")
+    cols = ["RetrieveAETitle", "PatientAge", "PatientSize", "InstanceNumber", "AcquisitionDateTime",
+            "LongCodeValue", "URNCodeValue", "BodyPartExamined"]
+    return dicom.decode_frame(files, columns=cols).select("event_id", *cols)
+
+
+@register(
+    "decode_other_vrs",
+    """
+select event_id, lpad(hex(event_id), 8, '0') as of_hex, lpad(hex(user_id), 16, '0') as od_hex,
+  lpad(hex(event_id), 8, '0') || lpad(hex(user_id), 8, '0') as ol_hex,
+  cast(4 as bigint) as of_bytes
+from events""",
+)
+def decode_other_vrs(spark, sf_dir):
+    """OF OD OL (and any VR without a typed mapping) -> bytes as stored."""
+    ev = V.table(spark, sf_dir, "events")
+    attrs = [
+        enc.attr("FloatPixelData", "unhex(lpad(hex(event_id), 8, '0'))"),
+        enc.attr("DoubleFloatPixelData", "unhex(lpad(hex(user_id), 16, '0'))"),
+        enc.attr("LongPrimitivePointIndexList",
+                 "unhex(concat(lpad(hex(event_id), 8, '0'), lpad(hex(user_id), 8, '0')))"),
+    ]
+    files = _files(ev, "event_id", attrs, "events/").select("event_id", "path", "content")
+    cols = ["FloatPixelData", "DoubleFloatPixelData", "LongPrimitivePointIndexList"]
+    out = dicom.decode_frame(files, columns=cols)
+    return out.selectExpr("event_id", "hex(FloatPixelData) as of_hex", "hex(DoubleFloatPixelData) as od_hex",
+                          "hex(LongPrimitivePointIndexList) as ol_hex",
+                          "cast(length(FloatPixelData) as bigint) as of_bytes")
+
+
 @register(
     "decode_person_name",
     """
