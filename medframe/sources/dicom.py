@@ -286,3 +286,23 @@ def read(
     if hdr:
         files = files.drop("content")
     return decode_frame(files, columns, pix, con, prv, dictionary, header_only=hdr)
+
+
+def elements_long(scanned: DataFrame, keep: list[str] | None = None) -> DataFrame:
+    """One row per (file, element) of a scan made with ``keep_elements=True``:
+    ``keep`` columns (default ``path``), ``keyword``, ``vr`` and ``value`` —
+    every value as DICOM text (backslash-separated), bytes as hex, sequences
+    as JSON. A generator over the element map: no shuffle; its output feeds
+    ``deid.deidentify_long``."""
+    keep = keep or ["path"]
+    e = "e"
+    value = (
+        f"coalesce({e}.str, "
+        f"array_join(transform({e}.ints, x -> cast(x as string)), '\\\\'), "
+        f"array_join(transform({e}.dbls, x -> cast(x as string)), '\\\\'), "
+        f"hex({e}.bin))"
+    )
+    exploded = scanned.selectExpr(*[decode.quote_ident(c) for c in keep],
+                                  "explode(elements) as (keyword, e)")
+    return exploded.selectExpr(*[decode.quote_ident(c) for c in keep], "keyword", "e.vr as vr",
+                               f"{value} as value")

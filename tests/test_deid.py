@@ -122,3 +122,21 @@ def test_action_table_and_long_form(spark):
 def test_options_by_name(spark):
     df = spark.createDataFrame([("1.2.3",)], "SOPInstanceUID string")
     assert deid.deidentify(df, ["RetainUids"]).first().SOPInstanceUID == "1.2.3"
+
+
+def test_scan_to_long_to_deid(spark, write_files):
+    ds = b"".join([
+        W.element(0x00080050, "SH", W.text("ACC1", "SH")),
+        W.element(0x00100010, "PN", W.text("Doe^John", "PN")),
+        W.element(0x00184000, "LT", W.text("comment", "LT")),
+        W.element(0x00280010, "US", W.nums("H", 512)),
+        W.element(0x00280030, "DS", W.text("0.5\\0.5", "DS")),
+    ])
+    d = write_files({"f.dcm": W.part10(ds)})
+    scanned = dicom.decode_frame(dicom.binary_files(spark, d), keep_elements=True)
+    tall = dicom.elements_long(scanned)
+    got = {r.keyword: (r.vr, r.value) for r in tall.collect()}
+    assert got["Rows"] == ("US", "512") and got["PixelSpacing"] == ("DS", "0.5\\0.5")
+    out = {r.keyword: r for r in deid.deidentify_long(tall).collect()}
+    assert out["AccessionNumber"].value == "" and out["PatientName"].value == ""
+    assert "AcquisitionComments" not in out and out["Rows"].value == "512"
