@@ -142,9 +142,16 @@ def _vr_lookup():
     return by_tag.get
 
 
-def frames(df: DataFrame, content_col: str = "content", dimensions: bool = True) -> DataFrame:
+def _check_format(output_format: str) -> None:
+    if str(output_format).lower() != "png":
+        raise ValueError(f"image output format {output_format!r} is not supported; only 'png'")
+
+
+def frames(df: DataFrame, content_col: str = "content", dimensions: bool = True,
+           output_format: str = "png") -> DataFrame:
     """One row per frame: pass-through columns, ``frame`` (0-based),
     ``data`` (PNG bytes), ``height``, ``width`` (null unless ``dimensions``)."""
+    _check_format(output_format)
     ship.ensure(df.sparkSession)
     vr_of = _vr_lookup()
     passthrough = [c for c in df.columns if c != content_col]
@@ -189,9 +196,10 @@ def frames(df: DataFrame, content_col: str = "content", dimensions: bool = True)
     return df.mapInArrow(run, ddl)
 
 
-def to_image(col: Column | str, spark=None) -> Column:
+def to_image(col: Column | str, spark=None, output_format: str = "png") -> Column:
     """Column form over file bytes: ``array<struct<data,height,width>>``
     with height and width null (the reference's UDF gives no dimensions)."""
+    _check_format(output_format)
     if spark is not None:
         ship.ensure(spark)
     vr_of = _vr_lookup()
@@ -209,10 +217,10 @@ def to_image(col: Column | str, spark=None) -> Column:
 
 
 def read_frames(spark, path, where: str | None = None, options: dict | None = None,
-                dimensions: bool = True) -> DataFrame:
+                dimensions: bool = True, output_format: str = "png") -> DataFrame:
     """Frames of the DICOM files under ``path`` (directory or glob) as rows:
     ``path, frame, data, height, width``; a file scan with no shuffle."""
     from medframe.sources.dicom import binary_files
 
     files = binary_files(spark, path, where, options).select("path", "content")
-    return frames(files, dimensions=dimensions)
+    return frames(files, dimensions=dimensions, output_format=output_format)

@@ -85,3 +85,10 @@ def test_read_frames_from_path(spark, write_files):
     d = write_files({"g1.dcm": data, "g2.dcm": data})
     rows = frames.read_frames(spark, d).collect()
     assert len(rows) == 4 and {(r.height, r.width) for r in rows} == {(2, 3)}
+
+
+def test_only_png_output():
+    import pytest
+
+    with pytest.raises(ValueError):
+        frames.to_image("content", output_format="jpeg")
