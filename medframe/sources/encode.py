@@ -124,9 +124,16 @@ def element_hex(a: Attr, vh: str) -> str:
     return f"concat('{_tag_hex(a.tag)}{vr_hex}', {length}, {vh})"
 
 
+def _element_hex_bound(a: Attr) -> str:
+    """``element_hex`` with the value hex evaluated once: it is bound to a
+    lambda variable, since inside conditional branches Spark's common
+    subexpression elimination would not merge the two uses."""
+    return f"element_at(transform(array({value_hex(a)}), v -> {element_hex(a, 'v')}), 1)"
+
+
 def item(attrs: list[Attr]) -> str:
     """SQL hex text of one sequence item's data set (for an SQ ``value``)."""
-    parts = [f"coalesce({element_hex(a, value_hex(a))}, '')" for a in sorted(attrs, key=lambda x: x.tag)]
+    parts = [f"coalesce({_element_hex_bound(a)}, '')" for a in sorted(attrs, key=lambda x: x.tag)]
     return "concat(" + ", ".join(parts) + ")" if parts else "''"
 
 
