@@ -140,3 +140,11 @@ def test_scan_to_long_to_deid(spark, write_files):
     out = {r.keyword: r for r in deid.deidentify_long(tall).collect()}
     assert out["AccessionNumber"].value == "" and out["PatientName"].value == ""
     assert "AcquisitionComments" not in out and out["Rows"].value == "512"
+
+
+def test_top_level_api(spark, write_files):
+    import medframe as mf
+
+    d = write_files({"f.dcm": W.part10(W.element(0x00080050, "SH", W.text("ACC1", "SH")))})
+    df = mf.deidentify(mf.read(spark, d, columns=["AccessionNumber"]), {mf.DeidOption.RetainUids: True})
+    assert df.first().AccessionNumber == ""
