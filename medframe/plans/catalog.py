@@ -662,6 +662,27 @@ def deid_action_plan(spark, sf_dir):
     return deid.deidentify_long(tall, {O.CleanDesc: True}).select("event_id", "keyword", "action", "value")
 
 
+@register(
+    "deid_scan_long",
+    """
+select event_id, keyword, action, value from (
+  select event_id, 'SOPInstanceUID' as keyword, 'U' as action, sha256('1.2.840.99.' || event_id) as value
+  from events
+  union all select event_id, 'StudyDate', 'Z', '0001-01-01' from events
+  union all select event_id, 'StudyTime', 'Z', '00:00:00' from events
+  union all select event_id, 'PatientID', 'Z', '' from events
+  union all select event_id, 'Rows', '', cast(user_id as varchar) from events
+  union all select event_id, 'SeriesNumber', '', cast(event_id as varchar) from events
+)""",
+)
+def deid_scan_long(spark, sf_dir):
+    """A2 on scan output: files -> one row per element -> tall de-identification
+    (raw DICOM text values; X removes rows; no action keeps them)."""
+    scanned = _event_scan(spark, sf_dir, None, keep_elements=True)
+    tall = dicom.elements_long(scanned.select("event_id", "elements"), keep=["event_id"])
+    return deid.deidentify_long(tall).select("event_id", "keyword", "action", "value")
+
+
 # ====================================================================== JSON
 
 
