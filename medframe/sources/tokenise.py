@@ -17,6 +17,7 @@ import base64
 import json
 import struct
 import zlib
+from operator import attrgetter
 
 from medframe.dictionary import LONG_LENGTH_VRS, SINGLE_VRS
 
@@ -70,6 +71,7 @@ STRINGISH_VRS = frozenset("AE AS CS DA DS DT IS LO LT PN SH ST TM UC UI UR UT".s
 BINARY_VRS = frozenset("OB OD OF OL OV OW UN".split())
 _VALID_VR_CODES = frozenset(v.encode() for v in SINGLE_VRS)
 _MAX_DEPTH = 64
+_TAG = attrgetter("tag")
 
 
 class NotDicom(Exception):
@@ -317,7 +319,7 @@ def parse(data: bytes, vr_of, stop_at_pixel: bool = True, keep=None) -> Parsed:
     elements, _, closed = reader.dataset(pos, len(buf), 0, top=True)
     if closed:
         raise NotDicom("stray item delimiter")
-    elements.sort(key=lambda e: e.tag)
+    elements.sort(key=_TAG)
     charset = _charset_of(elements, "ascii")
     return Parsed(meta, elements, charset, reader.stopped)
 
