@@ -267,7 +267,7 @@ def _guess(buf, vr_of):
     for le in (True, False):
         g, e = struct.unpack_from("<HH" if le else ">HH", buf, 0)
         tag = (g << 16) | e
-        dict_vr = vr_of(tag)
+        dict_vr = vr_of(tag) or ("UL" if e == 0 else None)  # group lengths are UL
         code = bytes(buf[4:6])
         if code in _VALID_VR_CODES and (dict_vr is not None or g == 0x0002):
             if dict_vr is None or code.decode() in dict_vr or g == 0x0002:

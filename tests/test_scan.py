@@ -332,3 +332,11 @@ def test_projected_read_equals_full_read(spark, write_files, cols):
     full = dicom.read(spark, d, options={"includePixelData": True}).select("path", *cols)
     part = dicom.read(spark, d, columns=["path"] + cols, include_pixel_data=True)
     assert sorted(full.collect()) == sorted(part.collect())
+
+
+def test_bare_data_set_starting_with_group_length(spark, write_files):
+    body = W.element(0x00100020, "LO", W.text("glen", "LO"), explicit=False)
+    ds = W.element(0x00100000, "UL", W.nums("I", len(body)), explicit=False) + body
+    d = write_files({"g.dcm": ds})
+    row = dicom.read(spark, d, columns=["isDicom", "PatientID"]).first()
+    assert row.isDicom and row.PatientID == "glen"
