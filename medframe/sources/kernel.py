@@ -62,6 +62,8 @@ def _fs_path(uri: str):
 # Concurrent prefix reads per task in header mode: object stores answer each
 # request after tens of milliseconds, so a task keeps several in flight.
 HEADER_READ_THREADS = 16
+# Files whose prefixes are held at once per task (256 x 64 KiB = 16 MiB).
+HEADER_WINDOW = 256
 
 
 def _read_prefix(uri: str, size: int | None, want: int):
@@ -174,7 +176,7 @@ def make_kernel(
             paths = batch.column("path").to_pylist() if header_mode else None
             lengths = (batch.column("length").to_pylist()
                        if header_mode and "length" in batch.schema.names else None)
-            prefixes = fetch_prefixes(paths, lengths, stop_at_pixel) if header_mode else None
+            prefixes = None
             n = batch.num_rows
             is_dicom, private_col = [], []
             # map columns are built flat: offsets + keys + child arrays
@@ -185,8 +187,12 @@ def make_kernel(
             for i in range(n):
                 try:
                     if header_mode:
+                        if i % HEADER_WINDOW == 0:  # fetch the next window of prefixes
+                            hi = min(n, i + HEADER_WINDOW)
+                            prefixes = fetch_prefixes(paths[i:hi], lengths[i:hi] if lengths else None,
+                                                      stop_at_pixel)
                         parsed = read_header(paths[i], lengths[i] if lengths else None, vr_of,
-                                             stop_at_pixel, prefixes[i], keep)
+                                             stop_at_pixel, prefixes[i % HEADER_WINDOW], keep)
                     else:
                         buf = views[i]
                         if buf is None:
