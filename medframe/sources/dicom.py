@@ -134,6 +134,10 @@ def decode_frame(
     fields = {f.name: f for f in files.schema.fields}
     pass_ddl = [f"{decode.quote_ident(c)} {fields[c].dataType.simpleString()}" for c in passthrough]
     stop_at_pixel = not (include_pixel_data and any(e.keyword == "PixelData" for e in elems))
+    if header_only and not stop_at_pixel:
+        # whole pixel arrays would pile up in one output batch; binaryFile's
+        # byte-capped batches bound that in the content mode
+        raise ValueError("PixelData needs whole files; read it with header_only=False")
     kernel = make_kernel(
         [(e.tag, e.keyword, e.vr) for e in d.elements],
         requested,

@@ -340,3 +340,11 @@ def test_bare_data_set_starting_with_group_length(spark, write_files):
     d = write_files({"g.dcm": ds})
     row = dicom.read(spark, d, columns=["isDicom", "PatientID"]).first()
     assert row.isDicom and row.PatientID == "glen"
+
+
+def test_header_only_refuses_pixel_data(spark, write_files):
+    d = write_files({"ct.dcm": W.ct_slice()})
+    with pytest.raises(ValueError, match="PixelData"):
+        dicom.read(spark, d, columns=["PixelData"], include_pixel_data=True, header_only=True)
+    # the default picks whole-file reads when pixel data is requested
+    assert dicom.read(spark, d, columns=["PixelData"], include_pixel_data=True).first().PixelData
