@@ -4,7 +4,7 @@
 per frame: ``path, frame, data (PNG), height, width`` plus pass-through
 columns. It is an Arrow batch function (``mapInArrow``): frames of one file
 stay in one task, a file never goes to the driver. Native (uncompressed)
-little-endian pixel data only: 8/16-bit grayscale and 8-bit RGB; anything else,
+pixel data only (little or big endian): 8/16-bit grayscale and 8-bit RGB; anything else,
 or any failure, gives no rows for that file (the file-level rule of the
 reference: an empty image list).
 
@@ -29,7 +29,7 @@ from medframe import ship
 from medframe.sources import tokenise as tk
 
 IMAGE_DDL = "array<struct<data:binary,height:int,width:int>>"
-_NATIVE_TS = {tk.TS_EXPLICIT_LE, tk.TS_IMPLICIT_LE, tk.TS_DEFLATED_LE, None}
+_NATIVE_TS = {tk.TS_EXPLICIT_LE, tk.TS_IMPLICIT_LE, tk.TS_DEFLATED_LE, tk.TS_EXPLICIT_BE, None}
 
 # Attribute tags of the image pixel module (PS3.3 C.7.6.3).
 T_SAMPLES, T_PHOTOMETRIC, T_PLANAR = 0x00280002, 0x00280004, 0x00280006
@@ -87,7 +87,8 @@ def _frame_plan(data, vr_of):
     if bits == 8:
         dtype = np.int8 if signed else np.uint8
     elif bits == 16:
-        dtype = "<i2" if signed else "<u2"
+        order = ">" if ts == tk.TS_EXPLICIT_BE else "<"
+        dtype = f"{order}i2" if signed else f"{order}u2"
     else:
         raise ValueError("bits allocated")
     if samples not in (1, 3) or (samples == 3 and bits != 8):

@@ -92,3 +92,14 @@ def test_only_png_output():
 
     with pytest.raises(ValueError):
         frames.to_image("content", output_format="jpeg")
+
+
+def test_big_endian_16_bit_frame(spark, write_files):
+    vals = [0, 1, 256, 65535]
+    e = lambda tag, vr, v: W.element(tag, vr, v, explicit=True, le=False)
+    ds = (e(0x00280002, "US", W.nums("H", 1, le=False)) + e(0x00280010, "US", W.nums("H", 2, le=False))
+          + e(0x00280011, "US", W.nums("H", 2, le=False)) + e(0x00280100, "US", W.nums("H", 16, le=False))
+          + e(0x7FE00010, "OW", W.nums("H", *vals, le=False)))
+    d = write_files({"be.dcm": W.part10(ds, W.EXPLICIT_BE)})
+    r = frames.read_frames(spark, d).first()
+    assert _decode_png(r.data).astype(int).ravel().tolist() == vals
