@@ -43,3 +43,16 @@ def test_stream_header_only(spark, write_files, tmp_path):
     q.stop()
     rows = spark.table("stream_hdr").collect()
     assert len(rows) == 7 and all(r.Rows == [32] and r.PatientID == "Pancreas-CT-CB_001" for r in rows)
+
+
+def test_stream_throttled_delivers_each_file_once(spark, write_files, tmp_path):
+    d = write_files({f"t/{i}.dcm": W.ct_slice() for i in range(9)})
+    df = read_stream(spark, d + "/t", columns=["path", "PatientID"], max_files_per_trigger=2)
+    q = (df.writeStream.trigger(availableNow=True).format("memory").queryName("stream_thr")
+         .option("checkpointLocation", str(tmp_path / "ckpt4")).start())
+    q.processAllAvailable()
+    batches = len(q.recentProgress)
+    q.stop()
+    out = spark.table("stream_thr")
+    assert out.count() == 9 and out.select("path").distinct().count() == 9
+    assert batches >= 5  # two files per trigger
