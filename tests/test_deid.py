@@ -148,3 +148,13 @@ def test_top_level_api(spark, write_files):
     d = write_files({"f.dcm": W.part10(W.element(0x00080050, "SH", W.text("ACC1", "SH")))})
     df = mf.deidentify(mf.read(spark, d, columns=["AccessionNumber"]), {mf.DeidOption.RetainUids: True})
     assert df.first().AccessionNumber == ""
+
+
+def test_elements_long_sequences_and_bad_files(spark, write_files):
+    seq = W.sequence(0x00120064, [W.item(W.element(0x00120063, "LO", W.text("M1", "LO")))])
+    d = write_files({"s.dcm": W.part10(seq), "x.txt": b"not dicom at all"})
+    scanned = dicom.decode_frame(dicom.binary_files(spark, d), keep_elements=True)
+    rows = dicom.elements_long(scanned).collect()
+    assert [(r.keyword, r.vr) for r in rows] == [("DeidentificationMethodCodeSequence", "SQ")]
+    assert rows[0].value == '[{"DeidentificationMethod":{"vr":"LO","Value":["M1"]}}]'
+    assert rows[0].path.endswith("s.dcm")
