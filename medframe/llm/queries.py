@@ -8,22 +8,60 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from medframe.llm import neardup
+from medframe.llm import bpe, mixing, neardup, pii, quality, urlfilter
+
+TOKENIZER = "byte_bpe_multi_50k.tiktoken"
+URL_RULES = [("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"),
+             ("block", "net/es/"), ("block", "net/fr/")]
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def op1_entropy_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    plan = mixing.mix(_table(spark, sf_dir, "documents"))
+    return plan.select(F.col("id").alias("doc_id"), "size", "source_size", "target",
+                       (F.col("size") * F.col("copies")).cast("long").alias("taken"), "rate", "copies")
+
+
+def op2_quality_qda(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = quality.scored(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+    return found.select(F.col("id").alias("doc_id"), quality.held_out(F.col("id")).alias("held_out"), "score",
+                        F.when(F.col("score") >= 0.3, 1).otherwise(0).alias("predicted"))
+
+
+def op3_rank_queue_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return bpe.round_trip(_table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER),
+                          public_tokenizers.PATTERN)
+
+
+def op4_pii_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find(_table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
 def op9_minmax_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = neardup.near_duplicates(_table(spark, sf_dir, "documents"), "doc_id", "text", shingle=3, percent=85)
     return found.select(F.col("id").alias("doc_id"), "n_shingles", "component_id",
                         F.col("id").eqNullSafe(F.col("component_id")).alias("kept"))
 
 
+def op10_url_logistic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    split = urlfilter.split_urls(_table(spark, sf_dir, "pages"), "page_id", "url")
+    found = urlfilter.judge(split, URL_RULES, urlfilter.labelled_by_rules(split, URL_RULES))
+    return found.withColumnRenamed("id", "page_id")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_entropy_mix": op1_entropy_mix,
+        "op2_quality_qda": op2_quality_qda,
+        "op3_rank_queue_bpe": op3_rank_queue_bpe,
+        "op4_pii_spans": op4_pii_spans,
         "op9_minmax_near_duplicates": op9_minmax_near_duplicates,
+        "op10_url_logistic": op10_url_logistic,
     }
 
 
