@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from medframe.llm import bpe, mixing, neardup, pii, quality, urlfilter
+from medframe.llm import ann, bpe, mixing, neardup, pii, quality, topk, urlfilter, warc
 
 TOKENIZER = "byte_bpe_multi_50k.tiktoken"
 URL_RULES = [("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"),
@@ -42,6 +42,22 @@ def op4_pii_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find(_table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
 
 
+def op5_indexed_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index, folder = warc.write(_table(spark, sf_dir, "pages"), "page_id", "url", "html")
+    return warc.read(index, folder, payloads=False).select(
+        F.col("id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op6_int8_block_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = _table(spark, sf_dir, "embeddings")
+    return ann.nearest(vectors, vectors.where("vec_id % 100 = 0"), k=10)
+
+
+def op8_term_at_a_time_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = _table(spark, sf_dir, "embeddings")
+    return topk.top(vectors, vectors.where("vec_id % 50 = 0"), k=5)
+
+
 def op9_minmax_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = neardup.near_duplicates(_table(spark, sf_dir, "documents"), "doc_id", "text", shingle=3, percent=85)
     return found.select(F.col("id").alias("doc_id"), "n_shingles", "component_id",
@@ -60,12 +76,51 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_quality_qda": op2_quality_qda,
         "op3_rank_queue_bpe": op3_rank_queue_bpe,
         "op4_pii_spans": op4_pii_spans,
+        "op5_indexed_warc": op5_indexed_warc,
+        "op6_int8_block_neighbours": op6_int8_block_neighbours,
+        "op8_term_at_a_time_top_k": op8_term_at_a_time_top_k,
         "op9_minmax_near_duplicates": op9_minmax_near_duplicates,
         "op10_url_logistic": op10_url_logistic,
     }
 
 
-ORACLES: dict[str, str] = {}
+# A vector takes part if it is not null and all its components are finite.
+_VECTORS = """
+select vec_id, list_transform(embedding, lambda x: x::double) as v from embeddings
+where embedding is not null and len(embedding) > 0
+  and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+"""
+
+ORACLES: dict[str, str] = {
+    "op5_indexed_warc": """
+with p as (select page_id, coalesce(html, '') as t from pages),
+d as (select page_id, strlen(t) as n, sha1(t) as h from p),
+m as (select h, min(page_id) as first from d group by h)
+select page_id, n as payload_bytes,
+  list_aggregate(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+    1 + ((('0x' || substr(h, 1 + 5 * (i // 4)::int, 5))::int >> (15 - 5 * (i % 4))::int) & 31), 1)),
+    'string_agg', '') as payload_digest,
+  case when page_id = first then 'response' else 'revisit' end as record_type,
+  case when page_id <> first then first end as refers_to
+from d join m using (h)
+""",
+    "op6_int8_block_neighbours": f"""
+with v as ({_VECTORS}),
+w as (select * from v where len(list_filter(v, lambda x: x <> 0)) > 0),
+s as (select q.vec_id as query_id, c.vec_id, list_distance(q.v, c.v) as score
+      from w q join w c on q.vec_id <> c.vec_id and len(q.v) = len(c.v) where q.vec_id % 100 = 0),
+r as (select *, row_number() over (partition by query_id order by score, vec_id)::int as rank from s)
+select query_id, rank, vec_id, score from r where rank <= 10
+""",
+    "op8_term_at_a_time_top_k": f"""
+with v as ({_VECTORS}),
+w as (select vec_id, list_transform(v, lambda x: floor(256 * x)) as v from v),
+s as (select q.vec_id as query_id, c.vec_id, list_inner_product(q.v, c.v)::bigint as score
+      from w q join w c on q.vec_id <> c.vec_id and len(q.v) = len(c.v) where q.vec_id % 50 = 0),
+r as (select *, row_number() over (partition by query_id order by score desc, vec_id)::int as rank from s)
+select query_id, rank, vec_id, score from r where rank <= 5
+""",
+}
 
 
 def oracle_sql() -> dict[str, str]:
