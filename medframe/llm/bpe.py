@@ -25,8 +25,8 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import (ArrayType, BinaryType, IntegerType, LongType, StringType, StructField,
-                               StructType)
+from pyspark.sql.types import (ArrayType, BinaryType, BooleanType, IntegerType, LongType, StringType,
+                               StructField, StructType)
 
 from medframe import ship
 from medframe.llm.batches import slices, values
@@ -250,3 +250,22 @@ def round_trip(df: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_
     schema = _with(slim, ("n_tokens", LongType()), ("ids_sha256", StringType()),
                    ("decoded_sha256", StringType()))
     return slim.mapInArrow(_run(shared, pattern, "text", _digests, names, kinds), schema).drop("text")
+
+
+def _checked(encoder: Encoder, by_id: list[bytes], text: str) -> tuple[list[int], int, bool]:
+    ids = encoder(text)
+    return ids, len(ids), decode(ids, by_id) == text.encode()
+
+
+def tokenise(df: DataFrame, ranks_path: str, pattern: str, text_col: str = "text") -> DataFrame:
+    """``df`` with ``token_ids array<int>, n_tokens long, round_trip boolean``
+    (the ids decode to the text) in place of ``text_col``. Columns of these
+    names are replaced."""
+    spark = df.sparkSession
+    ship.ensure(spark)
+    shared = spark.sparkContext.broadcast(read_ranks(ranks_path))
+    names = ["token_ids", "n_tokens", "round_trip"]
+    kinds = [pa.list_(pa.int32()), pa.int64(), pa.bool_()]
+    slim = df.drop(*names)
+    schema = _with(slim, *zip(names, (ArrayType(IntegerType()), LongType(), BooleanType())))
+    return slim.mapInArrow(_run(shared, pattern, text_col, _checked, names, kinds), schema).drop(text_col)

@@ -195,3 +195,19 @@ def scored(docs: DataFrame, labels: DataFrame, shrinkage: float = SHRINKAGE) ->
                                                      F.col("quality").cast("int").alias("label"))
     train = stats.join(known.where(~held_out(F.col("id"))), "id").select("x", "label")
     return apply(stats, fit(train, shrinkage))
+
+
+def keep(docs: DataFrame, labels: DataFrame, least: float, shrinkage: float = SHRINKAGE) -> DataFrame:
+    """The rows of ``docs(doc_id, text, ...)`` that score ``least`` or more, by
+    a model trained on all of ``labels(doc_id, quality)``. Rows are judged by
+    their own text where they lie, without a shuffle."""
+    known = labels.where("quality in (0, 1)").select(F.col("doc_id").alias("id"),
+                                                     F.col("quality").cast("int").alias("label"))
+    model = fit(document_statistics(docs).join(known, "id").select("x", "label"), shrinkage)
+
+    def run(batches):
+        for part in slices(batches, "text"):
+            x = np.array([statistics(t) for t in text_bytes(part, "text")], dtype=np.float64)
+            yield part.filter(pa.array(model.score(x) >= least))
+
+    return docs.mapInArrow(run, docs.schema)

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from medframe.llm import ann, bpe, mixing, neardup, pii, quality, topk, urlfilter, warc
+from medframe.llm import ann, bpe, lm, mixing, neardup, pii, quality, topk, urlfilter, warc
 
 TOKENIZER = "byte_bpe_multi_50k.tiktoken"
 URL_RULES = [("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"),
@@ -53,6 +53,11 @@ def op6_int8_block_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest(vectors, vectors.where("vec_id % 100 = 0"), k=10)
 
 
+def op7_bloom_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = lm.scored(_table(spark, sf_dir, "documents"))
+    return found.withColumnRenamed("id", "doc_id").withColumn("held_out", lm.held_out(F.col("doc_id")))
+
+
 def op8_term_at_a_time_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = _table(spark, sf_dir, "embeddings")
     return topk.top(vectors, vectors.where("vec_id % 50 = 0"), k=5)
@@ -78,6 +83,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_pii_spans": op4_pii_spans,
         "op5_indexed_warc": op5_indexed_warc,
         "op6_int8_block_neighbours": op6_int8_block_neighbours,
+        "op7_bloom_lm": op7_bloom_lm,
         "op8_term_at_a_time_top_k": op8_term_at_a_time_top_k,
         "op9_minmax_near_duplicates": op9_minmax_near_duplicates,
         "op10_url_logistic": op10_url_logistic,

@@ -35,6 +35,7 @@ from medframe.llm.batches import new_path, slices, store, values
 DATE = "1970-01-01T00:00:00Z"
 FILE_BYTES = 1 << 30     # a task begins another file beyond this
 READ_BYTES = 8 << 20     # one read covers at most this much, or one record
+TASK_BYTES = 64 << 20    # archive bytes a reading task gets
 GAP_BYTES = 64 << 10     # unwanted bytes between two records that one read may cover
 PROFILE = "http://netpreserve.org/warc/1.0/revisit/identical-payload-digest"
 
@@ -192,6 +193,7 @@ def read(index: DataFrame, folder: str, payloads: bool = True) -> DataFrame:
                     r["payload"] = None
             yield pa.record_batch([pa.array([r[c] for r in found], t) for c, t in zip(names, kinds)], names=names)
 
-    spread = index.select("file", "offset", "length").repartitionByRange("file", "offset").sortWithinPartitions(
-        "file", "offset")
+    total = index.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
+    spread = index.select("file", "offset", "length").repartitionByRange(
+        1 + total // TASK_BYTES, "file", "offset").sortWithinPartitions("file", "offset")
     return spread.mapInArrow(run, RECORD)
