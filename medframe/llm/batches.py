@@ -13,7 +13,7 @@ import xxhash
 from medframe.session import ensure_checkpoint_dir
 
 # Text bytes handled at once inside a task; a longer single text goes alone.
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 2 << 20
 
 U64 = np.uint64
 
@@ -53,27 +53,17 @@ def words(text: bytes) -> list[bytes]:
     return text.lower().split()
 
 
-class WordHashes:
-    """Stable 64-bit hashes of words, remembered up to ``limit`` words."""
-
-    def __init__(self, limit: int = 400_000):
-        self.known: dict[bytes, int] = {}
-        self.limit = limit
-
-    def __call__(self, tokens: list[bytes]) -> np.ndarray:
-        known = self.known
-        if len(known) > self.limit:
-            known.clear()
-        h = xxhash.xxh3_64_intdigest
-        out = np.empty(len(tokens), dtype=U64)
-        for i, w in enumerate(tokens):
-            v = known.get(w)
-            if v is None:
-                v = h(w)
-                if len(w) <= 64:
-                    known[w] = v
-            out[i] = v
-        return out
+def hash_words(different: list[bytes]) -> np.ndarray:
+    """Stable 64-bit hashes."""
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, different), dtype=U64, count=len(different))
+
+
+def number_words(flat: list[bytes]) -> tuple[list[bytes], np.ndarray]:
+    """The different words, and the place of each word among them."""
+    index = dict.fromkeys(flat)
+    for i, w in enumerate(index):
+        index[w] = i
+    return list(index), np.fromiter(map(index.__getitem__, flat), dtype=np.int64, count=len(flat))
 
 
 def mix(x: np.ndarray) -> np.ndarray:

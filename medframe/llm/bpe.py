@@ -20,7 +20,9 @@ from __future__ import annotations
 import base64
 import hashlib
 import heapq
+from struct import Struct
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
@@ -31,7 +33,7 @@ from pyspark.sql.types import (ArrayType, BinaryType, BooleanType, IntegerType,
 from medframe import ship
 from medframe.llm.batches import slices, values
 
-CACHE_BYTES = 80 << 20   # remembered pre-tokens of a task, with what Python holds for them
+CACHED_PIECES = 120_000  # remembered pre-tokens of a generation; two are kept
 CACHED_PIECE = 64        # longer pre-tokens are not remembered
 
 
@@ -43,6 +45,7 @@ def read_ranks(path: str) -> dict[bytes, int]:
 
 BITS = 8                 # a bitmap word has 2**BITS bits
 BIT = [1 << i for i in range(1 << BITS)]
+PACK = [Struct(f"<{n}I").pack for n in range(5)]
 
 
 class RankQueue:
@@ -50,10 +53,12 @@ class RankQueue:
     marks the ranks in use among 256, ``top`` the words in use. (Two levels
     hold 65,536 ranks; ``top`` widens for larger vocabularies.)"""
 
-    def __init__(self, ranks: int):
+    def __init__(self, ranks: dict[bytes, int]):
         self.top = 0
-        self.words = [0] * ((ranks >> BITS) + 1)
+        self.words = [0] * ((max(ranks.values(), default=0) >> BITS) + 1)
         self.buckets: dict[int, list[int]] = {}
+        # ranks of pairs of single bytes, which every pre-token starts from
+        self.two = [ranks.get(bytes((a, b)), -1) for a in range(256) for b in range(256)]
 
 
 def encode_piece(piece: bytes, ranks: dict[bytes, int], queue: RankQueue) -> list[int]:
@@ -66,11 +71,11 @@ def encode_piece(piece: bytes, ranks: dict[bytes, int], queue: RankQueue) -> lis
     words, buckets, top, push = queue.words, queue.buckets, queue.top, heapq.heappush
     end = list(range(1, n + 1))        # end of the symbol that starts here
     before = list(range(-1, n - 1))    # start of the symbol to the left
-    pair = [-1] * n                    # rank of the pair that starts here, -1: none
-    for i in range(n - 1):
-        r = rank_of(piece[i:i + 2])
-        if r is not None:
-            pair[i] = r
+    two = queue.two
+    pair = [two[a << 8 | b] for a, b in zip(piece, piece[1:])]
+    pair.append(-1)                    # rank of the pair that starts here, -1: none
+    for i, r in enumerate(pair):
+        if r >= 0:
             if r in buckets:
                 buckets[r].append(i)   # ascending, so a heap
             else:
@@ -130,33 +135,37 @@ def encode_piece(piece: bytes, ranks: dict[bytes, int], queue: RankQueue) -> lis
 
 
 class Encoder:
-    """Encodes texts; remembers short pre-tokens up to ``CACHE_BYTES``."""
+    """Encodes texts. Remembers pre-tokens, as packed ids, in two generations:
+    when the young one is full it becomes the old one, and what is used again
+    moves back, so frequent pre-tokens stay."""
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.ranks = ranks
         self.split = regex.compile(pattern).findall
-        self.queue = RankQueue(max(ranks.values(), default=0) + 1)
-        self.known: dict[str, list[int]] = {}
-        self.held = 0
+        self.queue = RankQueue(ranks)
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
         self.decimal: list[str] = []
 
-    def _encode(self, piece: str) -> list[int]:
-        ids = encode_piece(piece.encode(), self.ranks, self.queue)
+    def _packed(self, piece: str) -> bytes:
+        packed = self.young.get(piece) or self.old.get(piece)
+        if packed is None:
+            ids = encode_piece(piece.encode(), self.ranks, self.queue)
+            packed = np.array(ids, dtype="<u4").tobytes() if len(ids) > 4 else PACK[len(ids)](*ids)
         if len(piece) <= CACHED_PIECE:
-            if self.held > CACHE_BYTES:
-                self.known.clear()
-                self.held = 0
-            self.known[piece] = ids
-            self.held += 220 + len(piece) + 8 * len(ids)
-        return ids
-
-    def __call__(self, text: str) -> list[int]:
-        out: list[int] = []
-        known = self.known.get
-        for piece in self.split(text):
-            ids = known(piece)
-            out += self._encode(piece) if ids is None else ids
-        return out
+            if len(self.young) >= CACHED_PIECES:
+                self.old, self.young = self.young, {}
+            self.young[piece] = packed
+        return packed
+
+    def __call__(self, text: str) -> np.ndarray:
+        pieces = self.split(text)
+        parts = list(map(self.young.get, pieces))
+        if None in parts:
+            for i, part in enumerate(parts):
+                if part is None:
+                    parts[i] = self._packed(pieces[i])
+        return np.frombuffer(b"".join(parts), dtype="<u4")
 
 
 _ENCODERS: dict[tuple, Encoder] = {}
@@ -179,7 +188,7 @@ def vocabulary(ranks: dict[bytes, int]) -> list[bytes]:
     return out
 
 
-def decode(ids: list[int], by_id: list[bytes]) -> bytes:
+def decode(ids, by_id: list[bytes]) -> bytes:
     return b"".join(map(by_id.__getitem__, ids))
 
 
@@ -230,7 +239,7 @@ def decode_ids(df: DataFrame, ranks_path: str, ids_col: str = "token_ids",
 
 
 def _digests(encoder: Encoder, by_id: list[bytes], text: str) -> tuple[int, str, str]:
-    ids = encoder(text)
+    ids = encoder(text).tolist()
     if len(encoder.decimal) < len(by_id):
         encoder.decimal = [str(i) for i in range(len(by_id))]
     joined = ",".join(map(encoder.decimal.__getitem__, ids))
@@ -252,9 +261,9 @@ def round_trip(df: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_
     return slim.mapInArrow(_run(shared, pattern, "text", _digests, names, kinds), schema).drop("text")
 
 
-def _checked(encoder: Encoder, by_id: list[bytes], text: str) -> tuple[list[int], int, bool]:
+def _checked(encoder: Encoder, by_id: list[bytes], text: str) -> tuple[np.ndarray, int, bool]:
     ids = encoder(text)
-    return ids, len(ids), decode(ids, by_id) == text.encode()
+    return ids, len(ids), decode(ids.tolist(), by_id) == text.encode()
 
 
 def tokenise(df: DataFrame, ranks_path: str, pattern: str, text_col: str = "text") -> DataFrame:

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from medframe import ship
-from medframe.llm.batches import U64, WordHashes, mix, remove, slices, store, text_bytes, words
+from medframe.llm.batches import U64, hash_words, mix, number_words, remove, slices, store, text_bytes, words
 
 BLOCK_POWER = 10
 BIT_POWER = 18
@@ -41,7 +41,7 @@ PROBES = 3
 BITS_PER_ITEM = 8.4          # about 3 % false positives with three probes
 MIN_BIGRAM = 2
 MU = 5.0
-FREQUENT_WORDS = 400_000     # broadcast at most
+FREQUENT_WORDS = 150_000     # broadcast at most
 FREQUENT_BYTES = 64          # longer words are joined
 CODES_AT_ONCE = 2_000_000    # codes a task adds up before it sends them on
 WORDS_AT_ONCE = 300_000
@@ -75,25 +75,20 @@ def bigram_codes(before: np.ndarray, word: np.ndarray) -> np.ndarray:
 class Chunk:
     """Tokens of some texts: ids into the list of different words."""
 
-    def __init__(self, texts: list[bytes], hashes: WordHashes):
+    def __init__(self, texts: list[bytes]):
         flat: list[bytes] = []
         sizes = []
         for t in texts:
             own = tokens(t)
             flat += own
             sizes.append(len(own))
-        index = dict.fromkeys(flat)
-        index[END] = None
-        for i, w in enumerate(index):
-            index[w] = i
-        self.words = list(index)
-        self.ids = np.fromiter(map(index.__getitem__, flat), dtype=np.int64, count=len(flat))
+        self.words, self.ids = number_words(flat)
         self.sizes = np.array(sizes, dtype=np.int64)
         self.starts = np.concatenate(([0], np.cumsum(self.sizes)[:-1])).astype(np.int64)
         self.before = np.empty_like(self.ids)
         self.before[1:] = self.ids[:-1]
-        self.before[self.starts] = index[END]
-        self.hash = hashes(self.words)
+        self.before[self.starts] = self.ids[-1]  # the end token, which every text ends with
+        self.hash = hash_words(self.words)
 
     def bigrams(self) -> np.ndarray:
         return bigram_codes(self.hash[self.before], self.hash[self.ids])
@@ -135,7 +130,7 @@ def ngram_levels(train: DataFrame, tokens_total: int) -> DataFrame:
     power = BLOCK_POWER + max(0, int(2 * tokens_total // (CODES_PER_RANGE << BLOCK_POWER)).bit_length())
 
     def run(batches):
-        hashes, held, size = WordHashes(), [], 0
+        held, size = [], 0
 
         def out():
             codes, counts = np.unique(np.concatenate(held), return_counts=True)
@@ -148,7 +143,7 @@ def ngram_levels(train: DataFrame, tokens_total: int) -> DataFrame:
             ], names=["part", "codes", "counts"])
 
         for part in slices(batches, "text"):
-            chunk = Chunk(text_bytes(part, "text"), hashes)
+            chunk = Chunk(text_bytes(part, "text"))
             held += [unigram_codes(chunk.hash)[chunk.ids], chunk.bigrams()]
             size += 2 * len(chunk.ids)
             if size >= CODES_AT_ONCE:
@@ -244,7 +239,8 @@ def frequent_words(counts: DataFrame, limit: int = FREQUENT_WORDS) -> dict[bytes
     if least is None:
         return {}
     top = counts.where((F.length("word") <= FREQUENT_BYTES) & (F.col("c") >= least))
-    return {bytes(r["word"]): r["c"] for r in top.collect()}
+    table = top.toArrow()
+    return dict(zip(table["word"].to_pylist(), table["c"].to_pylist()))
 
 
 def _scorer(model, total: int, different: int):
@@ -254,9 +250,8 @@ def _scorer(model, total: int, different: int):
 
     def run(batches):
         bloom, exact = model.value
-        hashes = WordHashes()
-        for part in slices(batches, "text", 2 << 20):
-            c = Chunk(text_bytes(part, "text"), hashes)
+        for part in slices(batches, "text", 1 << 20):
+            c = Chunk(text_bytes(part, "text"))
             true = np.array([exact.get(w, -1) for w in c.words], dtype=np.int64)
             base = np.where(true >= 0, np.log10((np.maximum(true, 0) + 0.5) / mass), 0.0)
             one = bloom.counts(unigram_codes(c.hash))

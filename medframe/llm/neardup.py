@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from medframe import ship
-from medframe.llm.batches import (CHUNK_BYTES, U64, WordHashes, mix, remove, slices, store,
+from medframe.llm.batches import (U64, hash_words, mix, number_words, remove, slices, store,
                                   text_bytes, values, words)
 
 MISS = 1e-6        # chance that a pair exactly at the threshold shares no bucket
@@ -48,17 +48,20 @@ def bands_for(threshold: float, rows: int = ROWS, miss: float = MISS) -> int:
     return max(1, math.ceil(math.log(miss) / math.log(1 - threshold ** rows)))
 
 
-def shingle_sets(texts: list[bytes], n: int, hashes: WordHashes) -> list[np.ndarray]:
+def shingle_sets(texts: list[bytes], n: int) -> list[np.ndarray]:
     """Sorted distinct 64-bit shingle hashes of each text."""
-    out = []
-    for text in texts:
-        h = hashes(words(text))
-        if len(h) == 0:
-            out.append(h)
-        elif len(h) < n:
-            out.append(mix(_fold([h[i:i + 1] for i in range(len(h))]) + U64(len(h))))
-        else:
-            out.append(np.unique(mix(_fold([h[i:len(h) - n + 1 + i] for i in range(n)]))))
+    split = [words(t) for t in texts]
+    different, ids = number_words([w for own in split for w in own])
+    flat = hash_words(different)[ids]
+    out, at = [], 0
+    for own in split:
+        h = flat[at:at + len(own)]
+        at += len(own)
+        if len(h) >= n:
+            h = np.unique(mix(_fold([h[i:len(h) - n + 1 + i] for i in range(n)])))
+        elif len(h):
+            h = mix(_fold([h[i:i + 1] for i in range(len(h))]) + U64(len(h)))
+        out.append(h)
     return out
 
 
@@ -104,9 +107,8 @@ def _signer(n: int, bands: int, rows: int):
     perms = permutations((bands * rows + 1) // 2)
 
     def run(batches):
-        hashes = WordHashes()
-        for part in slices(batches, "text", CHUNK_BYTES):
-            sets = shingle_sets(text_bytes(part, "text"), n, hashes)
+        for part in slices(batches, "text"):
+            sets = shingle_sets(text_bytes(part, "text"), n)
             sizes = np.array([len(s) for s in sets], dtype=np.int64)
             full = np.flatnonzero(sizes)
             prints: list = [None] * len(sets)
@@ -129,9 +131,8 @@ def _signer(n: int, bands: int, rows: int):
 
 def _setter(n: int):
     def run(batches):
-        hashes = WordHashes()
-        for part in slices(batches, "text", CHUNK_BYTES):
-            sets = shingle_sets(text_bytes(part, "text"), n, hashes)
+        for part in slices(batches, "text"):
+            sets = shingle_sets(text_bytes(part, "text"), n)
             yield pa.record_batch([
                 pa.array(values(part, "id"), pa.int64()),
                 pa.array([hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets], pa.binary()),
