@@ -190,6 +190,7 @@ def repeat(docs: DataFrame, weights=WEIGHTS, cap: float = MAX_RATE) -> DataFrame
     plan = mix(docs, weights=weights, cap=cap).groupBy("id").agg(
         F.min_by("copies", F.struct("size", "source")).alias("copies"))
     plan, _ = store(plan, "copies")
-    counted = docs.join(plan, docs["doc_id"].eqNullSafe(plan["id"])).where("copies > 0")
+    # always a merge join: the plan is the same at every size
+    counted = docs.join(plan.hint("merge"), docs["doc_id"].eqNullSafe(plan["id"])).where("copies > 0")
     return counted.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select(
         [docs[c] for c in docs.columns])

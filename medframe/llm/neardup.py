@@ -335,7 +335,8 @@ def keep_one(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
     twice = found.where("id is not null").groupBy("id").count().where("count > 1").select(
         F.col("id").alias("doc_id"))
     twice, _ = store(twice, "twice")
-    kept = docs.join(gone, "doc_id", "left_anti")
+    # always a merge join: the plan is the same at every size
+    kept = docs.join(gone.hint("merge"), "doc_id", "left_anti")
     if twice.isEmpty():
         return kept.select(docs.columns)
     once = kept.join(twice, "doc_id", "left_semi").dropDuplicates(["doc_id"])
