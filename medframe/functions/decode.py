@@ -45,6 +45,10 @@ _RANGE_SECOND = "Invalid value for SecondOfMinute (valid values 0 - 59): "
 # Fraction sections of the time pattern, in parse order: "." then N digits.
 _TM_FRACTION_WIDTHS = (6, 5, 5, 4, 3, 2, 1)
 
+# 64-bit integers to 32 bits without overflow errors: the low bits count, as in a JVM cast.
+_INT32 = "cast(if(x & 4294967295 > 2147483647, (x & 4294967295) - 4294967296, x & 4294967295) as int)"
+
+
 
 def sql_str(s: str) -> str:
     """Quote a Python string as a Spark SQL literal."""
@@ -249,7 +253,7 @@ def value_sql(vr: str, e: str, ok: str = "isDicom", v: str | None = None) -> str
     elif vr in FLOAT_VRS:
         body = f"coalesce({e}.dbls, cast(array() as array<double>))"
     elif vr in INT_VRS:
-        body = f"coalesce(transform({e}.ints, x -> cast(x as int)), cast(array() as array<int>))"
+        body = f"coalesce(transform({e}.ints, x -> {_INT32}), cast(array() as array<int>))"
     elif vr in LONG_VRS:
         body = f"coalesce({e}.ints, cast(array() as array<bigint>))"
     elif vr == "SQ":

@@ -14,6 +14,7 @@ All output is compact JSON.
 from __future__ import annotations
 
 import json
+import re
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -63,18 +64,25 @@ def items_json(items: list[list[tuple[int, str, str | None]]]) -> str:
     return "concat('[', concat_ws(',', " + ", ".join(elements_json(it) for it in items) + "), ']')"
 
 
+_HEX_KEY = re.compile(r"[+-]?[0-9A-Fa-f]+\Z")
+_NUMBER = "\0n"  # marks a number kept as its text while keys are renamed
+_MARKED = re.compile(r'"\\u0000n([^"]*)"')
+
+
+def _rename_text(text: str, f) -> str:
+    """The JSON text with renamed keys; numbers keep their spelling."""
+    if "\\u0000" in text:  # could be mistaken for the mark
+        return json.dumps(_rename(json.loads(text), f), separators=(",", ":"), ensure_ascii=False)
+    mark = _NUMBER.__add__
+    obj = json.loads(text, parse_int=mark, parse_float=mark)
+    return _MARKED.sub(r"\1", json.dumps(_rename(obj, f), separators=(",", ":"), ensure_ascii=False))
+
+
 def _tag_key_rename(key: str, by_tag: dict) -> str:
     """Hex tag -> keyword when the dictionary has it, else the key unchanged."""
-    k = key.strip()
-    if not k or len(k) > 9:
-        return key
-    try:
-        tag = int(k, 16)
-    except ValueError:
-        return key
-    if tag > 0x7FFFFFFF or tag < -0x80000000:
+    if not _HEX_KEY.match(key):
         return key
-    hit = by_tag.get(tag)
+    hit = by_tag.get(int(key, 16))
     return hit if hit is not None else key
 
 
@@ -110,10 +118,9 @@ def rename_json_keys(col: Column | str, mapping: dict | None = None, spark=None)
             if t is None:
                 return None
             try:
-                obj = json.loads(t)
+                return _rename_text(t, f)
             except ValueError:
                 return None
-            return json.dumps(_rename(obj, f), separators=(",", ":"), ensure_ascii=False)
 
         return texts.map(one)
 
@@ -141,7 +148,9 @@ def tag_to_keyword(df: DataFrame, tag_col: str, out_col: str = "keyword",
     )
     if len(d.elements) <= BROADCAST_MAX_ROWS:
         dim = F.broadcast(dim)
-    key = F.upper(F.lpad(F.col(tag_col), 8, "0"))
+    tag = F.col(tag_col)  # padded to eight digits; leading zeros beyond eight do not count
+    key = F.upper(F.when(F.length(tag) < 8, F.lpad(tag, 8, "0")).otherwise(
+        F.regexp_replace(tag, "^0+(?=.{8})", "")))
     return (
         df.join(dim, key == F.col("__tag"), "left")
         .withColumn(out_col, F.coalesce(F.col("__kw"), F.col(tag_col)))

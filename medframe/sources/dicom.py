@@ -219,6 +219,17 @@ def _fewer_tasks(files: DataFrame) -> DataFrame:
     return files.coalesce(target) if target < n else files
 
 
+def _is_local(spark: SparkSession, path: str) -> bool:
+    """Whether Spark would read ``path`` from the local file system (a path
+    without a scheme belongs to the default file system)."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    scheme = p.toUri().getScheme()
+    if scheme is None:
+        conf = spark.sparkContext._jsc.hadoopConfiguration()
+        scheme = spark.sparkContext._jvm.org.apache.hadoop.fs.FileSystem.getDefaultUri(conf).getScheme()
+    return scheme == "file"
+
+
 def binary_files(
     spark: SparkSession,
     path: str | list[str],
@@ -283,8 +294,7 @@ def read(
         header_only = bool_option(opts, "headerOnly")
     if header_only is None:
         paths = [path] if isinstance(path, str) else list(path)
-        header_only = (not con and not pix
-                       and all(p.startswith("/") or p.startswith("file:") for p in paths))
+        header_only = not con and not pix and all(_is_local(spark, p) for p in paths)
     hdr = header_only
     files = binary_files(spark, path, where, opts)
     if hdr:

@@ -28,7 +28,7 @@ from medframe.functions.decode import sql_str
 PREAMBLE_HEX = "00" * 128 + "4449434D"  # 128 zero bytes + "DICM"
 EXPLICIT_LE_UID = "1.2.840.10008.1.2.1"
 SECONDARY_CAPTURE_UID = "1.2.840.10008.5.1.4.1.1.7"
-IMPLEMENTATION_UID = "1.2.826.0.1.3680043.10.1.1"
+IMPLEMENTATION_UID = "2.25.384610297450196832147"
 
 _INT_WIDTH = {"US": 2, "SS": 2, "UL": 4, "SL": 4, "SV": 8, "UV": 8}
 

@@ -14,6 +14,8 @@ narrow shape that the SQL decoders read lazily:
 
 from __future__ import annotations
 
+import functools
+
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -52,11 +54,21 @@ def _fs_path(uri: str):
     """(pyarrow FileSystem, path) for a URI as listed by ``binaryFile``."""
     from pyarrow import fs as pafs
 
-    if uri.startswith("file:") and not uri.startswith("file://"):
-        uri = "file://" + uri[len("file:"):]
-    if uri.startswith("s3a://") or uri.startswith("s3n://"):
-        uri = "s3://" + uri.split("://", 1)[1]
-    return pafs.FileSystem.from_uri(uri)
+    scheme, colon, rest = uri.partition(":")
+    if not colon or "/" in scheme or scheme == "file":
+        # listed paths are not percent-encoded: take them as they are
+        path = uri if not colon or "/" in scheme else rest
+        return pafs.LocalFileSystem(), "/" + path.lstrip("/")
+    authority, _, path = rest[2:].partition("/")
+    fs, base = _fs_of("s3" if scheme in ("s3a", "s3n") else scheme, authority)
+    return fs, f"{base.rstrip('/')}/{path}"
+
+
+@functools.lru_cache(maxsize=64)
+def _fs_of(scheme: str, authority: str):
+    from pyarrow import fs as pafs
+
+    return pafs.FileSystem.from_uri(f"{scheme}://{authority}/")
 
 
 # Concurrent prefix reads per task in header mode: object stores answer each
@@ -73,8 +85,8 @@ def _read_prefix(uri: str, size: int | None, want: int):
         with fs.open_input_file(path) as f:
             total = size if size is not None else f.size()
             return f.read(min(total, want)), total
-    except Exception as exc:  # reported per file by the caller
-        return exc, None
+    except Exception as exc:  # raised when the file's turn comes
+        return OSError(f"cannot read {uri}: {exc}"), None
 
 
 def read_header(uri: str, size: int | None, vr_of, stop_at_pixel: bool, prefix=None, keep=None):
@@ -198,7 +210,9 @@ def make_kernel(
                         if buf is None:
                             raise tk.NotDicom("no content")
                         parsed = tk.parse(buf, vr_of, stop_at_pixel, keep)
-                except Exception:  # any failure keeps the row: isDicom = false
+                except OSError:  # not readable is not "not DICOM": let Spark retry the task
+                    raise
+                except Exception:  # any parse failure keeps the row: isDicom = false
                     is_dicom.append(False)
                     v_off.append(len(v_keys))
                     a_off.append(len(a_keys))

@@ -9,6 +9,8 @@ implementation of the scan. Writing with ``format("dicomFile")`` is refused
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.errors import AnalysisException
 from pyspark.sql.readwriter import DataFrameReader, DataFrameWriter
 from pyspark.sql.streaming.readwriter import DataStreamReader, DataStreamWriter
@@ -57,6 +59,22 @@ class _Reader:
         return read(self._spark, path, columns=columns, options=opts, schema=self._schema)
 
 
+def _recorded(method):
+    """A reader's setter that also remembers its calls, as ``format`` may come last."""
+    @functools.wraps(method)
+    def call(self, *args, **kwargs):
+        self.__dict__.setdefault("_medframe_calls", []).append((method.__name__, args, kwargs))
+        return method(self, *args, **kwargs)
+
+    return call
+
+
+def _replayed(reader, own):
+    for name, args, kwargs in reader.__dict__.get("_medframe_calls", ()):
+        getattr(own, name)(*args, **kwargs)
+    return own
+
+
 def _refuse(*_a, **_k):
     raise AnalysisException(f"Data source {SHORT_NAME} does not support writing")
 
@@ -69,14 +87,18 @@ def install() -> None:
     r_format, s_format = DataFrameReader.format, DataStreamReader.format
     w_format, sw_format = DataFrameWriter.format, DataStreamWriter.format
 
+    for cls in (DataFrameReader, DataStreamReader):
+        for name in ("option", "options", "schema"):
+            setattr(cls, name, _recorded(getattr(cls, name)))
+
     def reader_format(self, source):
         if str(source).lower() == SHORT_NAME.lower():
-            return _Reader(self._spark, streaming=False)
+            return _replayed(self, _Reader(self._spark, streaming=False))
         return r_format(self, source)
 
     def stream_format(self, source):
         if str(source).lower() == SHORT_NAME.lower():
-            return _Reader(self._spark, streaming=True)
+            return _replayed(self, _Reader(self._spark, streaming=True))
         return s_format(self, source)
 
     def writer_format(self, source):

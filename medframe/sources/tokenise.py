@@ -70,7 +70,7 @@ TEXT_VRS = frozenset("LT ST UT UR".split())
 STRINGISH_VRS = frozenset("AE AS CS DA DS DT IS LO LT PN SH ST TM UC UI UR UT".split())
 BINARY_VRS = frozenset("OB OD OF OL OV OW UN".split())
 _VALID_VR_CODES = frozenset(v.encode() for v in SINGLE_VRS)
-_MAX_DEPTH = 64
+_MAX_DEPTH = 300  # what Python's own recursion limit allows
 _TAG = attrgetter("tag")
 
 
@@ -452,7 +452,10 @@ def _parse_ints(e, charset):
         part = part.strip()
         if part:
             if part.lstrip("+-").isdigit():
-                out.append(int(part))
+                value = int(part) if len(part) <= 20 else 1 << 64
+                if not -(1 << 63) <= value < 1 << 63:
+                    raise _number_error(part)
+                out.append(value)
             else:
                 raise _number_error(part)
     return out
@@ -521,7 +524,8 @@ def _json_value(e: Elem, charset: str, key_of):
         out["Value"] = vals
         return out
     if vr in ("US", "UL", "UV", "SS", "SL", "SV", "FL", "FD"):
-        out["Value"] = _unsigned(e)
+        # JSON has no infinity or not-a-number: null
+        out["Value"] = [None if isinstance(x, float) and x - x != 0 else x for x in _unsigned(e)]
         return out
     if vr == "AT":
         out["Value"] = _at_values(e)
@@ -534,6 +538,8 @@ def _json_value(e: Elem, charset: str, key_of):
 
 def _ds_number(s):
     f = float(s)
+    if f - f != 0:  # infinite or not a number: kept as text
+        raise ValueError(s)
     return int(f) if f.is_integer() and "e" not in s.lower() and "." not in s else f
 
 
