@@ -42,7 +42,9 @@ _RANGE_HOUR = "Invalid value for HourOfDay (valid values 0 - 23): "
 _RANGE_MINUTE = "Invalid value for MinuteOfHour (valid values 0 - 59): "
 _RANGE_SECOND = "Invalid value for SecondOfMinute (valid values 0 - 59): "
 
-# Fraction sections of the time pattern, in parse order: "." then N digits.
+# Fraction sections of the time pattern, in parse order ("." then
+# N digits). Each is optional and tried in turn; the pattern names 5 twice, so a
+# text may hold two fractions of that width.
 _TM_FRACTION_WIDTHS = (6, 5, 5, 4, 3, 2, 1)
 
 # 64-bit integers to 32 bits without overflow errors: the low bits count, as in a JVM cast.

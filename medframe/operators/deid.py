@@ -20,6 +20,8 @@ element), as a broadcast join with the action table.
 
 from __future__ import annotations
 
+import warnings
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
@@ -28,32 +30,26 @@ from medframe import dictionary as dictmod
 from medframe.dictionary import DeidElement, DeidOption
 from medframe.functions.decode import quote_ident, sql_str
 
-# Replacement literals of the profile, by VR.
-DUMMY_STRING = "Anonymized"
-DUMMY_DATE = "0001-01-01"
-DUMMY_TIME = "00:00:00"
-DUMMY_DATE_TIME = "0001-01-01T00:00:00"
-ZERO_STRING = "0"
-ZERO_INT = 0
-EMPTY_STRING = ""
-CLEAN_STRING = "ToClean"
-
-DUMMY_VALUES = {
-    "LO": DUMMY_STRING, "SH": DUMMY_STRING, "PN": DUMMY_STRING, "CS": DUMMY_STRING,
-    "DA": DUMMY_DATE,
-    "TM": DUMMY_TIME,
-    "DT": DUMMY_DATE_TIME,
-    "IS": ZERO_STRING,
-    "FD": ZERO_INT, "FL": ZERO_INT, "SS": ZERO_INT, "US": ZERO_INT,
-    "ST": EMPTY_STRING,
-}
-EMPTY_VALUES = {
-    "SH": EMPTY_STRING, "PN": EMPTY_STRING, "UI": EMPTY_STRING, "LO": EMPTY_STRING,
-    "CS": EMPTY_STRING,
-    "DA": DUMMY_DATE,
-    "TM": DUMMY_TIME,
-    "UL": ZERO_INT,
+# What the profile writes in place of a value, (empty, dummy) by
+# VR. None: it has no such value for the VR, so the column goes.
+REPLACEMENTS: dict[str, tuple] = {
+    "CS": ("", "Anonymized"),
+    "DA": ("0001-01-01", "0001-01-01"),
+    "DT": (None, "0001-01-01T00:00:00"),
+    "FD": (None, 0),
+    "FL": (None, 0),
+    "IS": (None, "0"),
+    "LO": ("", "Anonymized"),
+    "PN": ("", "Anonymized"),
+    "SH": ("", "Anonymized"),
+    "SS": (None, 0),
+    "ST": (None, ""),
+    "TM": ("00:00:00", "00:00:00"),
+    "UI": ("", None),
+    "UL": (0, None),
+    "US": (None, 0),
 }
+TO_CLEAN = "ToClean"  # fixed value: stands where a text has to be cleaned by hand
 
 # Rows of an action table that may be broadcast; the table is bounded by the
 # standard (about 5,000 rows) so this only guards user-made dictionaries.
@@ -90,13 +86,12 @@ def replacement(action: str, vr: str):
     if action == "X":
         return ("drop", None)
     if action == "C":
-        return ("literal", CLEAN_STRING)
+        return ("literal", TO_CLEAN)
     if action == "U":
         return ("hash", None)
-    table = EMPTY_VALUES if action == "Z" else DUMMY_VALUES
-    if vr in table:
-        return ("literal", table[vr])
-    return ("drop", None)
+    empty, dummy = REPLACEMENTS.get(vr, (None, None))
+    value = empty if action == "Z" else dummy
+    return ("drop", None) if value is None else ("literal", value)
 
 
 def _literal_sql(v) -> str:
@@ -158,10 +153,28 @@ def deidentify(
     Column order is kept. ``strict=True`` also drops every column with no
     known action (``content``, ``privateTagsJson``, unknown keywords).
     """
+    if not strict and (dictionary or dictmod.active()) is dictmod.builtin():
+        if unlisted := unlisted_columns(df):
+            warnings.warn("the built-in de-identification table is a subset of the standard's and has no row for "
+                          f"{', '.join(unlisted)}: passed unchanged (strict=True drops them)", stacklevel=2)
     exprs = [e for _, _, e in plan_columns(df, config, salt, dictionary, strict) if e]
     return df.selectExpr(*exprs)
 
 
+def unlisted_columns(df: DataFrame, dictionary: dictmod.Dictionary | None = None) -> list[str]:
+    """Columns that are standard keywords without a row in the
+    de-identification table; ``deidentify`` passes them unless ``strict``."""
+    d = dictionary or dictmod.active()
+    return [c for c in df.columns if c in d.by_keyword and c not in d.deid_by_keyword]
+
+
+def collapse_sql(code: str) -> str:
+    """A10 as SQL: the single action of a PS3.15 code; blank gives null, an
+    unknown code X (remove)."""
+    known = ", ".join(f"{sql_str(k)}, {sql_str(v)}" for k, v in dictmod.ACTION_CODE_COLLAPSE.items())
+    return f"case when trim({code}) <> '' then coalesce(try_element_at(map({known}), trim({code})), 'X') end"
+
+
 def action_table(
     spark: SparkSession,
     config=None,

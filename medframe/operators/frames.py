@@ -4,12 +4,14 @@
 per frame: ``path, frame, data (PNG), height, width`` plus pass-through
 columns. It is an Arrow batch function (``mapInArrow``): frames of one file
 stay in one task, a file never goes to the driver. Native (uncompressed)
-pixel data only (little or big endian): 8/16-bit grayscale and 8-bit RGB; anything else,
+pixel data only (little or big endian): 8/16-bit MONOCHROME2 and 8-bit RGB samples as stored; anything else,
 or any failure, gives no rows for that file (the file-level rule of the
 reference: an empty image list).
 
 ``to_image`` is the column form (pandas UDF): an array of
-``struct<data, height, width>`` per file, height and width left null.
+``struct<data, height, width>`` per file, height and width left null. All
+images of a file share one cell: for files of few frames; ``frames`` has no
+such limit.
 """
 
 from __future__ import annotations
@@ -83,6 +85,8 @@ def _frame_plan(data, vr_of):
     bits = int(_value(elems, T_BITS_ALLOC, 8))
     signed = int(_value(elems, T_PIXEL_REP, 0)) == 1
     planar = int(_value(elems, T_PLANAR, 0))
+    if _value(elems, T_PHOTOMETRIC, "MONOCHROME2") not in ("MONOCHROME2", "RGB"):
+        raise ValueError("photometric interpretation")
     nframes = int(float(_value(elems, T_FRAMES, "1") or 1))
     if bits == 8:
         dtype = np.int8 if signed else np.uint8

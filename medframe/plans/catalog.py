@@ -7,11 +7,14 @@ full; results are flat scalar columns with the same names on both sides.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 from dataclasses import dataclass
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from medframe.dictionary import DeidOption as O
 from medframe.functions import jsonfns
@@ -72,6 +75,12 @@ def scan_roundtrip(spark, sf_dir):
     )
 
 
+@register("scan_path", "select event_id, 'events/' || event_id || '.dcm' as path, true as isDicom from events")
+def scan_path(spark, sf_dir):
+    """The path of every file."""
+    return _event_scan(spark, sf_dir, ["path", "isDicom"]).select("event_id", "path", "isDicom")
+
+
 @register(
     "scan_project",
     "select event_id, strftime(ts, '%Y-%m-%d') as StudyDate, 'U' || user_id as PatientID from events",
@@ -380,6 +389,32 @@ def decode_ints(spark, sf_dir):
     )
 
 
+@register(
+    "decode_overflow",
+    """
+select l_orderkey, l_linenumber,
+  case when l_linenumber % 3 = 0 then cast(l_partkey as integer) end as rows_0,
+  case when l_linenumber % 3 <> 0 then 'java.lang.NumberFormatException: For input string: "' ||
+    case l_linenumber % 3 when 1 then l_orderkey || '99999999999999999999'
+      else cast(l_orderkey + 5000000000 as varchar) end || '"' end as rows_error,
+  cast(l_orderkey + 705032704 as integer) as columns_0
+from lineitem""",
+)
+def decode_overflow(spark, sf_dir):
+    """Texts too large for a number give null and an error, wide integers their low 32 bits."""
+    li = V.table(spark, sf_dir, "lineitem").withColumn("__key", F.concat_ws("-", "l_orderkey", "l_linenumber"))
+    attrs = [
+        enc.attr("Rows", "case l_linenumber % 3 when 0 then cast(l_partkey as string) "
+                         "when 1 then concat(l_orderkey, '99999999999999999999') "
+                         "else cast(l_orderkey + 5000000000 as string) end", vr="LO"),
+        enc.attr("Columns", "l_orderkey + 5000000000", vr="UV"),
+    ]
+    files = _files(li, "__key", attrs, "lineitem/").select("l_orderkey", "l_linenumber", "path", "content")
+    out = dicom.decode_frame(files, columns=["Rows", "Columns", "errors"])
+    return out.selectExpr("l_orderkey", "l_linenumber", "get(Rows, 0) as rows_0",
+                          "errors['Rows'] as rows_error", "Columns[0] as columns_0")
+
+
 @register(
     "decode_longs",
     "select o_orderkey, o_orderkey * 1000003 as sv_0, -o_custkey as sv_1, o_orderkey as uv_0 from orders",
@@ -534,95 +569,92 @@ def sequence_json(spark, sf_dir):
 # ====================================================================== de-identification
 
 _ATTR_EVENTS = f"with attr_events as ({V.ATTR_EVENTS_DUCK})"
-_HASH_UID = ("case when ConcatenationUID is null then null when ConcatenationUID = '' then '' "
-             "else sha256(ConcatenationUID || '{salt}') end")
+_HASH_UID = ("case when FrameOfReferenceUID is null then null when FrameOfReferenceUID = '' then '' "
+             "else sha256(FrameOfReferenceUID || '{salt}') end")
+# What the basic profile leaves of attr_events, as SQL by column.
+_BASIC = {
+    "PatientID": "''", "StudyDate": "'0001-01-01'", "StudyTime": "'00:00:00'", "PersonName": "'Anonymized'",
+    "DateTime": "'0001-01-01T00:00:00'", "ContrastBolusAgent": "''",
+    "FrameOfReferenceUID": _HASH_UID.format(salt=""),
+}
 
 
-def _deid_events(config=None, salt="", cols=None):
+def _deid_oracle(columns: dict[str, str]) -> str:
+    items = ", ".join(["event_id"] + [f"{sql} as {name}" for name, sql in columns.items()])
+    return f"{_ATTR_EVENTS} select {items} from attr_events"
+
+
+def _register_deid(name, doc, oracle, config=None, salt="", cols=None):
     def run(spark, sf_dir):
         df = V.attr_events(spark, sf_dir)
         if cols is not None:
             df = df.select("event_id", *cols)
         return deid.deidentify(df, config, salt)
 
-    return run
-
-
-REGISTRY["deid_basic"] = Query(
-    "deid_basic", _deid_events(),
-    f"""{_ATTR_EVENTS}
-select event_id, '' as AccessionNumber, '0001-01-01' as ContentDate, '00:00:00' as ContentTime,
-  '0001-01-01T00:00:00' as AttributeModificationDateTime, 'Anonymized' as AnnotationGroupLabel,
-  {_HASH_UID.format(salt='')} as ConcatenationUID
-from attr_events""",
-    "A1/A3/A4/A6/A7: basic profile on attested elements",
-)
-REGISTRY["deid_pseudonymize"] = Query(
-    "deid_pseudonymize", _deid_events(salt="s1", cols=["ConcatenationUID"]),
-    f"{_ATTR_EVENTS} select event_id, {_HASH_UID.format(salt='s1')} as ConcatenationUID from attr_events",
-    "A6: U -> sha256(value || salt); null and '' unchanged",
-)
-REGISTRY["deid_empty"] = Query(
-    "deid_empty", _deid_events(cols=["AccessionNumber", "ContentDate", "ContentTime"]),
-    f"""{_ATTR_EVENTS} select event_id, '' as AccessionNumber, '0001-01-01' as ContentDate,
-  '00:00:00' as ContentTime from attr_events""",
-    "A3: Z -> empty value of the VR",
-)
-REGISTRY["deid_dummy"] = Query(
-    "deid_dummy", _deid_events(cols=["AttributeModificationDateTime", "AnnotationGroupLabel"]),
-    f"""{_ATTR_EVENTS} select event_id, '0001-01-01T00:00:00' as AttributeModificationDateTime,
-  'Anonymized' as AnnotationGroupLabel from attr_events""",
-    "A4: D -> dummy value of the VR",
-)
-REGISTRY["deid_clean"] = Query(
-    "deid_clean", _deid_events(config={O.CleanDesc: True}),
-    f"""{_ATTR_EVENTS}
-select event_id, '' as AccessionNumber, '0001-01-01' as ContentDate, '00:00:00' as ContentTime,
-  '0001-01-01T00:00:00' as AttributeModificationDateTime, 'ToClean' as AnnotationGroupLabel,
-  'ToClean' as AcquisitionComments, {_HASH_UID.format(salt='')} as ConcatenationUID
-from attr_events""",
-    "A5/A9: CleanDesc -> C -> 'ToClean'",
-)
-REGISTRY["deid_drop"] = Query(
-    "deid_drop", _deid_events(cols=["ContainerComponentID", "AcquisitionComments"]),
-    f"{_ATTR_EVENTS} select event_id from attr_events",
-    "A7: X -> column removed",
-)
-REGISTRY["deid_keep"] = Query(
-    "deid_keep", _deid_events(config={O.RetainUids: True, O.RetainLongFullDates: True}),
-    f"""{_ATTR_EVENTS}
-select event_id, '' as AccessionNumber, ContentDate, ContentTime, AttributeModificationDateTime,
-  'Anonymized' as AnnotationGroupLabel, ConcatenationUID
-from attr_events""",
-    "A8/A9: RetainUids, RetainLongFullDates -> K",
-)
-REGISTRY["deid_option_retain_long_modif_dates"] = Query(
-    "deid_option_retain_long_modif_dates", _deid_events(config={O.RetainLongModifDates: True}),
-    f"""{_ATTR_EVENTS}
-select event_id, '' as AccessionNumber, 'ToClean' as ContentDate, 'ToClean' as ContentTime,
-  'ToClean' as AttributeModificationDateTime, 'Anonymized' as AnnotationGroupLabel,
-  {_HASH_UID.format(salt='')} as ConcatenationUID
-from attr_events""",
-    "A9: RetainLongModifDates -> C on dates",
-)
-REGISTRY["deid_option_two"] = Query(
-    "deid_option_two",
-    _deid_events(config={O.RetainLongFullDates: True, O.RetainLongModifDates: True, O.RetainUids: True}),
-    f"""{_ATTR_EVENTS}
-select event_id, '' as AccessionNumber, 'ToClean' as ContentDate, 'ToClean' as ContentTime,
-  'ToClean' as AttributeModificationDateTime, 'Anonymized' as AnnotationGroupLabel, ConcatenationUID
-from attr_events""",
-    "A2: two options on one element: priority 4 (C) beats 5 (K)",
-)
-REGISTRY["deid_option_all"] = Query(
-    "deid_option_all", _deid_events(config={o: True for o in O}, salt="x"),
-    f"""{_ATTR_EVENTS}
-select event_id, '' as AccessionNumber, 'ToClean' as ContentDate, 'ToClean' as ContentTime,
-  'ToClean' as AttributeModificationDateTime, 'ToClean' as AnnotationGroupLabel,
-  'ToClean' as AcquisitionComments, ConcatenationUID
-from attr_events""",
-    "A9: all nine options",
+    REGISTRY[name] = Query(name, run, _deid_oracle(oracle), doc)
+
+
+_CLEAN = "'ToClean'"
+_register_deid("deid_basic", "A1/A3/A4/A6/A7: basic profile on attested elements", _BASIC)
+_register_deid(
+    "deid_pseudonymize", "A6: U -> sha256(value || salt); null and '' unchanged",
+    {"FrameOfReferenceUID": _HASH_UID.format(salt="s1")}, salt="s1", cols=["FrameOfReferenceUID"])
+_register_deid(
+    "deid_empty", "A3: Z -> empty value of the VR",
+    {k: _BASIC[k] for k in ("PatientID", "StudyDate", "StudyTime", "ContrastBolusAgent")},
+    cols=["PatientID", "StudyDate", "StudyTime", "ContrastBolusAgent"])
+_register_deid(
+    "deid_dummy", "A4: D -> dummy value of the VR",
+    {k: _BASIC[k] for k in ("PersonName", "DateTime")}, cols=["PersonName", "DateTime"])
+_register_deid(
+    "deid_clean", "A5/A9: CleanDesc -> C -> 'ToClean'",
+    {**_BASIC, "ContrastBolusAgent": _CLEAN, "StudyDescription": _CLEAN}, config={O.CleanDesc: True})
+_register_deid(
+    "deid_drop", "A7: X -> column removed, the others stay",
+    {"PatientID": "''"}, cols=["AdmissionID", "InstitutionAddress", "PregnancyStatus", "PatientID"])
+_register_deid(
+    "deid_keep", "A8/A9: RetainUids, RetainLongFullDates -> K",
+    {**_BASIC, **{k: k for k in ("StudyDate", "StudyTime", "DateTime", "FrameOfReferenceUID")}},
+    config={O.RetainUids: True, O.RetainLongFullDates: True})
+_register_deid(
+    "deid_option_retain_long_modif_dates", "A9: RetainLongModifDates -> C on dates",
+    {**_BASIC, **dict.fromkeys(("StudyDate", "StudyTime", "DateTime"), _CLEAN)},
+    config={O.RetainLongModifDates: True})
+_register_deid(
+    "deid_option_two", "A2: two options on one element: priority 4 (C) beats 5 (K)",
+    {**_BASIC, **dict.fromkeys(("StudyDate", "StudyTime", "DateTime"), _CLEAN),
+     "FrameOfReferenceUID": "FrameOfReferenceUID"},
+    config={O.RetainLongFullDates: True, O.RetainLongModifDates: True, O.RetainUids: True})
+_register_deid(
+    "deid_option_retain_who_where", "A9: RetainPatChars, RetainInstId, RetainDevId -> K, numbers too",
+    {**_BASIC, **{k: k for k in ("PregnancyStatus", "InstitutionAddress", "StationName")}},
+    config={O.RetainPatChars: True, O.RetainInstId: True, O.RetainDevId: True})
+_register_deid(
+    "deid_option_all", "A9: all nine options",
+    {**_BASIC, **dict.fromkeys(("StudyDate", "StudyTime", "DateTime", "ContrastBolusAgent", "StudyDescription"),
+                               _CLEAN),
+     **{k: k for k in ("PregnancyStatus", "InstitutionAddress", "StationName", "FrameOfReferenceUID")}},
+    config={o: True for o in O}, salt="x")
+
+_CODES = ["Z", "Z/D", "D", "C", "U", "X", "X/Z", "X/D", " X/Z/D ", "X/Z/U*", "K", "", "  ", "Q"]
+
+
+@register(
+    "deid_code_collapse",
+    f"""
+with t as (select event_id, case when event_id % 15 < 14
+  then ['{"','".join(_CODES)}'][event_id % 15 + 1] end as code from events)
+select event_id, code, case when code is null or trim(code) = '' then null
+  when trim(code) in ('Z', 'Z/D') then 'Z' when trim(code) in ('D', 'C', 'U', 'K') then trim(code)
+  else 'X' end as action
+from t""",
 )
+def deid_code_collapse(spark, sf_dir):
+    """A10: one action for every action code; blank gives none, unknown X."""
+    codes = ", ".join(sql_str(c) for c in _CODES)
+    ev = V.table(spark, sf_dir, "events").selectExpr(
+        "event_id", f"get(array({codes}), cast(event_id % 15 as int)) as code")
+    return ev.selectExpr("event_id", "code", f"{deid.collapse_sql('code')} as action")
 
 
 @register(
@@ -638,20 +670,17 @@ def deid_studies(spark, sf_dir):
 
 
 def _long_oracle():
-    cols = ", ".join(V.ATTR_EVENTS_COLUMNS)
+    done = {"PatientID": ("Z", "''"), "StudyDate": ("Z", "'0001-01-01'"), "StudyTime": ("Z", "'00:00:00'"),
+            "PersonName": ("D", "'Anonymized'"), "DateTime": ("D", "'0001-01-01T00:00:00'"),
+            "ContrastBolusAgent": ("C", _CLEAN), "StudyDescription": ("C", _CLEAN),
+            "FrameOfReferenceUID": ("U", "case when value is null then null when value = '' then '' "
+                                         "else sha256(value) end")}
+    actions = " ".join(f"when '{k}' then '{a}'" for k, (a, _) in done.items())
+    values = " ".join(f"when '{k}' then {v}" for k, (_, v) in done.items())
     return f"""{_ATTR_EVENTS},
-t as (select * from attr_events unpivot include nulls (value for keyword in ({cols})))
-select event_id, keyword,
-  case keyword when 'AccessionNumber' then 'Z' when 'ContentDate' then 'Z' when 'ContentTime' then 'Z'
-    when 'AttributeModificationDateTime' then 'D' when 'AnnotationGroupLabel' then 'C'
-    when 'AcquisitionComments' then 'C' when 'ConcatenationUID' then 'U' end as action,
-  case keyword when 'AccessionNumber' then '' when 'ContentDate' then '0001-01-01'
-    when 'ContentTime' then '00:00:00' when 'AttributeModificationDateTime' then '0001-01-01T00:00:00'
-    when 'AnnotationGroupLabel' then 'ToClean' when 'AcquisitionComments' then 'ToClean'
-    when 'ConcatenationUID' then
-      case when value is null then null when value = '' then '' else sha256(value) end
-  end as value
-from t where keyword <> 'ContainerComponentID'"""
+t as (select * from attr_events unpivot include nulls (value for keyword in ({', '.join(V.ATTR_EVENTS_COLUMNS)})))
+select event_id, keyword, case keyword {actions} end as action, case keyword {values} end as value
+from t where keyword not in ('InstitutionAddress', 'StationName', 'AdmissionID')"""
 
 
 @register("deid_action_plan", _long_oracle())
@@ -726,25 +755,29 @@ def json_array(spark, sf_dir):
     "json_rename_keys",
     """
 select event_id, '{"ConversionType":{"k":' || json_extract_string(props, '$.k')
-  || '},"0009100A":[{"k":' || json_extract_string(props, '$.k') || '}],"PixelData":{"vr":"OB"}}' as json
+  || '},"0009100A":[{"k":' || json_extract_string(props, '$.k') || '}],"PixelData":{"vr":"OB"},'
+  || '"PatientName":1.10,"0008_0064":1E2,"00080064FF":[12345678901234567890.50]}' as json
 from events""",
 )
 def json_rename_keys(spark, sf_dir):
     """Rename hex-tag keys to keywords at every depth; others unchanged."""
     ev = spread(V.table(spark, sf_dir, "events"))
     src = F.concat(F.lit('{"00080064":'), F.col("props"), F.lit(',"0009100A":['), F.col("props"),
-                   F.lit('],"7FE00010":{"vr":"OB"}}'))
+                   F.lit('],"7FE00010":{"vr":"OB"},"000000100010":1.10,"0008_0064":1E2,'
+                         '"00080064FF":[12345678901234567890.50]}'))
     return ev.select("event_id", jsonfns.rename_json_keys(src, spark=spark).alias("json"))
 
 
-_TAGS = ["00080064", "00100010", "0009100A", "7FE00010", "00200010", "ABCD1234"]
+_TAGS = ["00080064", "00100010", "0009100A", "7FE00010", "00200010", "ABCD1234",
+         "00080064FF", "000000080064", "80064", "notatag"]
 
 
 @register(
     "tag_to_keyword",
     f"""
 with t as (select event_id, ['{"','".join(_TAGS)}'][event_id % {len(_TAGS)} + 1] as tag from events)
-select event_id, tag, case tag when '00080064' then 'ConversionType' when '00100010' then 'PatientName'
+select event_id, tag, case tag when '00080064' then 'ConversionType'
+  when '000000080064' then 'ConversionType' when '80064' then 'ConversionType' when '00100010' then 'PatientName'
   when '7FE00010' then 'PixelData' when '00200010' then 'StudyID' else tag end as keyword
 from t""",
 )
@@ -830,16 +863,18 @@ def drop_deep_empty(spark, sf_dir):
 
 
 def _image_files(spark, sf_dir):
+    """8-bit images of 64 pixels, one or two frames, in three shapes."""
     emb = V.table(spark, sf_dir, "embeddings")
-    px = "lpad(hex(cast(least(255, greatest(0, round((x + 1) * 127.5))) as int)), 2, '0')"
-    pixels = (f"unhex(concat(array_join(transform(embedding, x -> {px}), ''), "
-              f"array_join(transform(embedding, x -> {px.replace('(x + 1)', '(1 - x)')}), '')))")
+    px = "lpad(hex(cast(least(255, greatest(0, round({} * 127.5))) as int)), 2, '0')"
+    frame = "array_join(transform(embedding, x -> " + px + "), '')"
+    pixels = (f"unhex(concat({frame.format('(cast(x as double) + 1)')}, "
+              f"{frame.format('(1 - cast(x as double))')}))")
     attrs = [
         enc.attr("SamplesPerPixel", "1"),
         enc.attr("PhotometricInterpretation", "'MONOCHROME2'"),
-        enc.attr("NumberOfFrames", "'2'"),
-        enc.attr("Rows", "8"),
-        enc.attr("Columns", "8"),
+        enc.attr("NumberOfFrames", "cast(1 + vec_id % 2 as string)"),
+        enc.attr("Rows", "case vec_id % 3 when 0 then 8 when 1 then 4 else 16 end"),
+        enc.attr("Columns", "case vec_id % 3 when 0 then 8 when 1 then 16 else 4 end"),
         enc.attr("BitsAllocated", "8"),
         enc.attr("BitsStored", "8"),
         enc.attr("HighBit", "7"),
@@ -849,22 +884,55 @@ def _image_files(spark, sf_dir):
     return _files(emb, "vec_id", attrs, "embeddings/").select("vec_id", "path", "content")
 
 
-@register(
-    "image_dimensions",
-    "select vec_id, f as frame, 8 as height, 8 as width from embeddings, (values (0), (1)) t(f)",
-)
+_DUCK_PIXEL = "printf('%02X', cast(least(255, greatest(0, round({} * 127.5))) as integer))"
+_DUCK_FRAMES = [
+    f"list_aggregate(list_transform(embedding, lambda x: {_DUCK_PIXEL.format(x)}), 'string_agg', '')"
+    for x in ("(cast(x as double) + 1)", "(1 - cast(x as double))")
+]
+_DUCK_SHAPE = """cast(case vec_id % 3 when 0 then 8 when 1 then 4 else 16 end as integer) as height,
+  cast(case vec_id % 3 when 0 then 8 when 1 then 16 else 4 end as integer) as width"""
+_DUCK_IMAGES = "from embeddings, (values (0), (1)) t(f) where f <= vec_id % 2"
+
+
+@register("scan_pixel_data", f"select vec_id, {_DUCK_FRAMES[0]} || {_DUCK_FRAMES[1]} as pixels from embeddings")
+def scan_pixel_data(spark, sf_dir):
+    """``includePixelData`` gives the bytes of PixelData."""
+    scanned = dicom.decode_frame(_image_files(spark, sf_dir), columns=["PixelData"], include_pixel_data=True)
+    return scanned.selectExpr("vec_id", "hex(PixelData) as pixels")
+
+
+@register("image_dimensions", f"select vec_id, f as frame, {_DUCK_SHAPE} {_DUCK_IMAGES}")
 def image_dimensions(spark, sf_dir):
-    """One row per frame with height and width (8x8, two frames per file)."""
+    """One row per frame with height and width."""
     return frames.frames(_image_files(spark, sf_dir).drop("path")).select("vec_id", "frame", "height", "width")
 
 
-@register("image_frames")
+@F.pandas_udf(StringType())
+def _png_pixels(images: pd.Series) -> pd.Series:
+    """Samples of 8-bit grey PNG images without row filters, as hex."""
+    def one(png):
+        width, at = int.from_bytes(png[16:20]), 33  # behind signature and header
+        body = zlib.decompress(png[at + 8:at + 8 + int.from_bytes(png[at:at + 4])])
+        return b"".join(body[i + 1:i + 1 + width] for i in range(0, len(body), width + 1)).hex().upper()
+
+    return images.map(one)
+
+
+@register(
+    "image_frames",
+    f"""select vec_id, 'embeddings/' || vec_id as path, f as frame, {_DUCK_SHAPE}, 8 as depth,
+  case f when 0 then {_DUCK_FRAMES[0]} else {_DUCK_FRAMES[1]} end as pixels {_DUCK_IMAGES}""",
+)
 def image_frames(spark, sf_dir):
-    """Frame rows with PNG bytes (rows-only check)."""
-    return frames.frames(_image_files(spark, sf_dir))
+    """PNG frames; size and depth from the PNG header, samples from its body."""
+    found = frames.frames(_image_files(spark, sf_dir), dimensions=False)
+    number = "cast(conv(hex(substring(data, {}, {})), 16, 10) as int) as {}"
+    return found.withColumn("pixels", _png_pixels("data")).selectExpr(
+        "vec_id", "path", "frame", number.format(21, 4, "height"), number.format(17, 4, "width"),
+        number.format(25, 1, "depth"), "pixels")
 
 
-@register("image_udf_count", "select vec_id, 2 as n_images from embeddings")
+@register("image_udf_count", "select vec_id, cast(1 + vec_id % 2 as integer) as n_images from embeddings")
 def image_udf_count(spark, sf_dir):
     """Column UDF over content -> array of images."""
     files = _image_files(spark, sf_dir)

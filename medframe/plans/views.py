@@ -19,34 +19,43 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 ATTR_EVENTS_SPARK = [
     "event_id",
-    "concat('A', event_id) as AccessionNumber",
-    "date_format(ts, 'yyyyMMdd') as ContentDate",
-    "date_format(ts, 'HHmmss.SSSSSS') as ContentTime",
-    "date_format(ts, 'yyyyMMddHHmmss') as AttributeModificationDateTime",
-    "concat('g', user_id) as AnnotationGroupLabel",
-    "cast(user_id as string) as ContainerComponentID",
-    "event_type as AcquisitionComments",
+    "concat('P', user_id) as PatientID",
+    "date_format(ts, 'yyyyMMdd') as StudyDate",
+    "date_format(ts, 'HHmmss.SSSSSS') as StudyTime",
+    "concat('Reader^', user_id) as PersonName",
+    "date_format(ts, 'yyyyMMddHHmmss') as DateTime",
+    "concat('agent ', event_type) as ContrastBolusAgent",
+    "cast(user_id % 4 + 1 as int) as PregnancyStatus",
+    "concat('Street ', user_id) as InstitutionAddress",
+    "concat('CT', user_id % 7) as StationName",
+    "event_type as StudyDescription",
+    "concat('adm-', event_id) as AdmissionID",
     "case when event_id % 10 = 0 then '' when event_id % 10 = 1 then null "
-    "else concat('1.2.840.99.', event_id) end as ConcatenationUID",
+    "else concat('1.2.840.99.', event_id) end as FrameOfReferenceUID",
 ]
 
 ATTR_EVENTS_DUCK = """
 select event_id,
-  'A' || event_id as AccessionNumber,
-  strftime(ts, '%Y%m%d') as ContentDate,
-  strftime(ts, '%H%M%S.%f') as ContentTime,
-  strftime(ts, '%Y%m%d%H%M%S') as AttributeModificationDateTime,
-  'g' || user_id as AnnotationGroupLabel,
-  cast(user_id as varchar) as ContainerComponentID,
-  event_type as AcquisitionComments,
+  'P' || user_id as PatientID,
+  strftime(ts, '%Y%m%d') as StudyDate,
+  strftime(ts, '%H%M%S.%f') as StudyTime,
+  'Reader^' || user_id as PersonName,
+  strftime(ts, '%Y%m%d%H%M%S') as DateTime,
+  'agent ' || event_type as ContrastBolusAgent,
+  cast(user_id % 4 + 1 as integer) as PregnancyStatus,
+  'Street ' || user_id as InstitutionAddress,
+  'CT' || (user_id % 7) as StationName,
+  event_type as StudyDescription,
+  'adm-' || event_id as AdmissionID,
   case when event_id % 10 = 0 then '' when event_id % 10 = 1 then null
-       else '1.2.840.99.' || event_id end as ConcatenationUID
+       else '1.2.840.99.' || event_id end as FrameOfReferenceUID
 from events
 """
 
+# The text attributes, for tall tables.
 ATTR_EVENTS_COLUMNS = [
-    "AccessionNumber", "ContentDate", "ContentTime", "AttributeModificationDateTime",
-    "AnnotationGroupLabel", "ContainerComponentID", "AcquisitionComments", "ConcatenationUID",
+    "PatientID", "StudyDate", "StudyTime", "PersonName", "DateTime", "ContrastBolusAgent",
+    "InstitutionAddress", "StationName", "StudyDescription", "AdmissionID", "FrameOfReferenceUID",
 ]
 
 

@@ -81,15 +81,16 @@ def schema(
     )
 
 
-def _resolve_columns(columns, d, include_pixel_data, include_content, include_private):
-    """Requested keyword columns in order; raises on an unknown name."""
+def _resolve_columns(columns, d, include_pixel_data, include_content, include_private, passed=()):
+    """Requested keyword columns in order; raises on an unknown name. ``passed``:
+    other columns of the files (partition columns), which may be named too."""
     extra = {CONTENT: include_content, PRIVATE: include_private}
     allowed = {e.keyword: e for e in d.column_elements(include_pixel_data)}
     if columns is None:
         return list(allowed.values()), [c for c, on in extra.items() if on]
     keywords, extras = [], []
     for c in columns:
-        if c in METADATA_COLUMNS:
+        if c in METADATA_COLUMNS or c in passed:
             continue
         if c in extra:
             if not extra[c]:
@@ -124,11 +125,11 @@ def decode_frame(
     PixelData, so pixel bytes never leave storage."""
     ship.ensure(files.sparkSession)
     d = dictionary or dictmod.active()
+    passthrough = [c for c in files.columns if c not in _BINARY_FILE_COLUMNS]
     elems, extras = _resolve_columns(
-        columns, d, include_pixel_data, include_content, include_private_tags
+        columns, d, include_pixel_data, include_content, include_private_tags, passthrough
     )
     requested = None if columns is None else frozenset(e.keyword for e in elems)
-    passthrough = [c for c in files.columns if c not in _BINARY_FILE_COLUMNS]
     if header_only and include_content:
         raise ValueError("includeContent needs the file bytes; not available with header_only")
     fields = {f.name: f for f in files.schema.fields}
@@ -150,8 +151,6 @@ def decode_frame(
     source_cols = ["path", "length"] if header_only else ["path", "content"]
     if header_only and "length" not in files.columns:
         source_cols = ["path"]
-    if header_only:
-        files = _fewer_tasks(files)
     tokens = files.select(*source_cols, *passthrough).mapInArrow(
         kernel, kernel_schema_ddl(include_private_tags, include_content, pass_ddl)
     )
@@ -210,9 +209,8 @@ HEADER_SPLITS_PER_TASK = 8
 
 def _fewer_tasks(files: DataFrame) -> DataFrame:
     """Coalesce (no shuffle) the splits of a header-only scan, keeping at
-    least two tasks per core. Plans the listing; runs no job."""
-    if files.isStreaming:
-        return files
+    least two tasks per core. ``files`` is a bare listing, so counting its splits
+    plans it and runs no job."""
     n = files.rdd.getNumPartitions()
     floor = 2 * files.sparkSession.sparkContext.defaultParallelism
     target = max(floor, n // HEADER_SPLITS_PER_TASK)
@@ -298,7 +296,7 @@ def read(
     hdr = header_only
     files = binary_files(spark, path, where, opts)
     if hdr:
-        files = files.drop("content")
+        files = _fewer_tasks(files.drop("content"))
     return decode_frame(files, columns, pix, con, prv, dictionary, header_only=hdr)
 
 
@@ -310,9 +308,12 @@ def elements_long(scanned: DataFrame, keep: list[str] | None = None) -> DataFram
     ``deid.deidentify_long``."""
     keep = keep or ["path"]
     e = "e"
+    # unsigned values are kept in signed slots
+    unsigned = (f"if(x < 0 and {e}.vr in ('UL', 'UV'), cast(x as decimal(20, 0)) + "
+                f"if({e}.vr = 'UL', 4294967296BD, 18446744073709551616BD), cast(x as decimal(20, 0)))")
     value = (
         f"coalesce({e}.str, "
-        f"array_join(transform({e}.ints, x -> cast(x as string)), '\\\\'), "
+        f"array_join(transform({e}.ints, x -> cast({unsigned} as string)), '\\\\'), "
         f"array_join(transform({e}.dbls, x -> cast(x as string)), '\\\\'), "
         f"hex({e}.bin))"
     )

@@ -203,6 +203,8 @@ class _Reader:
             if nxt > end:
                 raise NotDicom("truncated value")
             if keep is not None and tag not in keep:
+                if vr == "SQ":  # a broken sequence makes the file invalid, requested or not
+                    self.items(pos, nxt, length, depth)
                 pos = nxt  # not requested: skipped without a copy
                 continue
             if vr == "SQ":
@@ -416,7 +418,8 @@ def slot(e: Elem, dict_vr: str | None, charset: str, item_json):
         return (vr, None, None, None, None)
     s = ints = dbls = b = None
     if target in ("SL", "SS", "US", "UL", "SV", "UV"):
-        ints = _numbers(e) if vr in ("SL", "SS", "US", "UL", "SV", "UV") else _parse_ints(e, charset)
+        ints = (_numbers(e) if vr in ("SL", "SS", "US", "UL", "SV", "UV")
+                else _parse_ints(e, charset, 64 if target in ("SV", "UV") else 32))
     elif target in ("FL", "FD"):
         if vr in ("FL", "FD"):
             dbls = _numbers(e)
@@ -445,7 +448,7 @@ def _number_error(part: str) -> ConversionError:
     return ConversionError(f'java.lang.NumberFormatException: For input string: "{part}"')
 
 
-def _parse_ints(e, charset):
+def _parse_ints(e, charset, bits):
     text = element_text(e, charset) or ""
     out = []
     for part in text.split("\\"):
@@ -453,7 +456,7 @@ def _parse_ints(e, charset):
         if part:
             if part.lstrip("+-").isdigit():
                 value = int(part) if len(part) <= 20 else 1 << 64
-                if not -(1 << 63) <= value < 1 << 63:
+                if not -(1 << bits - 1) <= value < 1 << bits - 1:
                     raise _number_error(part)
                 out.append(value)
             else:

@@ -17,6 +17,8 @@ from pyspark.sql import functions as F
 
 from medframe import dictionary as dictmod
 
+# Chapters of PS3.6 that hold registries of elements.
+REGISTRY_CHAPTERS = ("6", "7", "8", "9")
 _TAG_RE = r"^\(?[0-9A-Fa-f]{4},[0-9A-Fa-f]{4}\)?$"
 
 
@@ -36,12 +38,16 @@ def _tag_int(c):
 
 def std_elements_frame(spark: SparkSession, part06_xml: str) -> DataFrame:
     """PS3.6 registry rows as ``ord, tag, name, keyword, vr, vm, note``."""
-    rows = (
-        spark.read.format("xml").option("rowTag", "tr").schema("td array<string>").load(part06_xml)
-        .select(F.monotonically_increasing_id().alias("ord"),
-                F.transform("td", _clean).alias("cells"))
-        .where(F.size("cells") >= 5)
+    chapters = (
+        spark.read.format("xml").option("rowTag", "chapter")
+        .schema("_label string, table array<struct<tbody: struct<tr: array<struct<td: array<string>>>>>>")
+        .load(part06_xml)
+        .where(F.col("_label").isin(*REGISTRY_CHAPTERS))
     )
+    rows = chapters.select("_label", F.posexplode(F.flatten(F.transform("table", lambda t: t["tbody"]["tr"]))).alias(
+        "pos", "tr")).select(
+        (F.col("_label").cast("bigint") * 1_000_000 + F.col("pos")).alias("ord"),
+        F.transform("tr.td", _clean).alias("cells")).where(F.size("cells") >= 5)
     out = rows.select(
         "ord",
         F.col("cells")[0].alias("tag_text"),

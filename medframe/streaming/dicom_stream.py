@@ -30,14 +30,14 @@ def read_stream(
     schema: StructType | None = None,
     max_files_per_trigger: int | None = None,
     dictionary: dictmod.Dictionary | None = None,
-    header_only: bool = False,
+    header_only: bool | None = None,
 ) -> DataFrame:
     """A streaming DataFrame of decoded DICOM files (same columns as ``read``).
 
     A user ``schema`` (e.g. ``medframe.sources.dicom.schema()``) restricts the
     columns to its field names, as the reference's stream test does.
-    ``header_only`` reads each new file only up to PixelData on the
-    executors (see ``dicom.read``)."""
+    ``header_only`` (option ``headerOnly``) reads each new file only up to
+    PixelData on the executors; the default is that of ``dicom.read``."""
     opts = dict(options or {})
     pix = dicom.bool_option(opts, dicom.OPTION_INCLUDE_PIXEL_DATA) if include_pixel_data is None else include_pixel_data
     con = dicom.bool_option(opts, dicom.OPTION_INCLUDE_CONTENT) if include_content is None else include_content
@@ -54,6 +54,10 @@ def read_stream(
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     files = reader.load(path)
+    if header_only is None and any(k.lower() == "headeronly" for k in opts):
+        header_only = dicom.bool_option(opts, "headerOnly")
+    if header_only is None:
+        header_only = not con and not pix and dicom._is_local(spark, path)
     if header_only:
         if con:
             raise ValueError("includeContent needs the file bytes; not available with header_only")

@@ -54,3 +54,72 @@ def test_json_numbers_are_finite():
     assert math.isfinite(tokenise._ds_number("1e3"))
     with pytest.raises(ValueError):
         tokenise._ds_number("1e999")
+
+
+def test_narrow_schema_before_format(spark, write_files):
+    folder = write_files({"s/a.dcm": b"\x08\x00\x20\x00DA\x08\x0020120706"})
+    register.install()
+    narrow = "path string, isDicom boolean, StudyDate string"
+    df = spark.readStream.schema(narrow).format("dicomFile").load(folder + "/s")
+    assert df.columns == ["path", "isDicom", "StudyDate"]
+    assert spark.read.schema(narrow).format("dicomFile").load(folder).columns == ["path", "isDicom", "StudyDate"]
+
+
+def test_partition_column_in_schema(spark, write_files):
+    folder = write_files({f"site={s}/a.dcm": b"\x08\x00\x20\x00DA\x08\x0020120706" for s in ("x", "y")})
+    df = dicom.read(spark, folder, columns=["site", "StudyDate"])
+    assert df.columns == ["site", "StudyDate"]
+    assert sorted(r["site"] for r in df.collect()) == ["x", "y"]
+
+
+def test_stream_reads_headers_by_default(spark, write_files):
+    from medframe.streaming.dicom_stream import read_stream
+
+    folder = write_files({"s/a.dcm": b"\x08\x00\x20\x00DA\x08\x0020120706"}) + "/s"
+    plan = lambda df: df._jdf.queryExecution().analyzed().toString()
+    narrowed = "Project [path#"
+    assert "content#" not in plan(read_stream(spark, folder, columns=["StudyDate"])).split("MapInArrow")[1].split(narrowed)[1].split("]")[0]
+    whole = read_stream(spark, folder, columns=["StudyDate"], options={"headerOnly": "false"})
+    assert "content#" in plan(whole).split("MapInArrow")[1].split(narrowed)[1].split("]")[0]
+
+
+def test_broken_sequence_is_invalid_whatever_is_read(spark):
+    good = b"\x08\x00\x20\x00DA\x08\x0020120706"
+    broken = b"\x08\x00\x05\x03SQ\x00\x00\x08\x00\x00\x00" + b"\x01\x02\x03\x04\x00\x00\x00\x00"
+    files = spark.createDataFrame([("a", bytearray(good + broken))], "path string, content binary")
+    for columns in (["isDicom", "StudyDate"], ["isDicom", "keywords"]):
+        assert dicom.decode_frame(files, columns).first()["isDicom"] is False
+
+
+def test_numbers_beyond_32_bits_in_text():
+    e = tokenise.Elem(0x00280010, "LO", b"5000000000", True)
+    with pytest.raises(tokenise.ConversionError):
+        tokenise.slot(e, "US", "ascii", None)
+    assert tokenise.slot(e, "SV", "ascii", None)[2] == [5000000000]
+
+
+def test_long_rows_keep_unsigned_values(spark):
+    rows = [("f", {"a": ("UL", None, [-294967296], None, None), "b": ("UV", None, [-1], None, None),
+                   "c": ("SL", None, [-5, 7], None, None)})]
+    df = spark.createDataFrame(rows, f"path string, elements map<string,{kernel.SLOT_DDL}>")
+    got = {r["keyword"]: r["value"] for r in dicom.elements_long(df).collect()}
+    assert got == {"a": "4000000000", "b": "18446744073709551615", "c": "-5\\7"}
+
+
+def test_standard_columns_without_a_rule_are_named(spark):
+    from medframe.operators import deid
+
+    df = spark.createDataFrame([("CT", "p")], "Modality string, PatientID string")
+    assert deid.unlisted_columns(df) == ["Modality"]
+    with pytest.warns(UserWarning, match="Modality"):
+        assert deid.deidentify(df).columns == ["Modality", "PatientID"]
+
+
+def test_inverted_images_give_no_frames():
+    import dcmwrite as W
+    from medframe.operators import frames
+
+    ds = (W.element(0x00280004, "CS", W.text("MONOCHROME1", "CS")) + W.element(0x00280010, "US", W.nums("H", 1))
+          + W.element(0x00280011, "US", W.nums("H", 2)) + W.element(0x00280100, "US", W.nums("H", 8))
+          + W.element(0x7FE00010, "OB", b"ab"))
+    assert frames.decode_frames(W.part10(ds), lambda tag: None) == []

@@ -11,6 +11,8 @@ PART06 = """<?xml version="1.0" encoding="utf-8"?>
 <tr><td><para>(50xx,0005)</para></td><td><para>Curve Dimensions</para></td><td><para>CurveDimensions</para></td><td><para>US</para></td><td><para>1</para></td><td><para>RET</para></td></tr>
 <tr><td><para>(0018,9445)</para></td><td><para></para></td><td><para></para></td><td><para></para></td><td><para></para></td><td><para>RET</para></td></tr>
 <tr><td><para>(FFFA,FFFA)</para></td><td><para>Digital Signatures Sequence</para></td><td><para>DigitalSignaturesSequence</para></td><td><para>SQ</para></td><td><para>1</para></td><td/></tr>
+</tbody></table></chapter><chapter label="10"><table label="10-1"><tbody>
+<tr><td><para>(0008,0060)</para></td><td><para>Modality</para></td><td><para>Modality</para></td><td><para>CS</para></td><td><para>1</para></td><td/></tr>
 </tbody></table></chapter></book>"""
 
 PART15 = """<?xml version="1.0" encoding="utf-8"?>
