@@ -145,7 +145,7 @@ def _setter(n: int):
 def _confirmer(percent: int):
     """Pairs whose sets satisfy 100 * |A and B| >= percent * |A or B|."""
     def run(batches):
-        for batch in batches:
+        for batch in slices(batches, "items_a"):
             a, b = values(batch, "a"), values(batch, "b")
             left, right = values(batch, "items_a"), values(batch, "items_b")
             keep = []
