@@ -1,17 +1,18 @@
 """Scores of texts under an n-gram model held in a log-frequency Bloom filter.
 
-Counting: the training texts give exact counts of every word (a table) and the
-counts of all unigrams and bigrams by 58-bit code. A task adds codes up and
-sends them on as packed, sorted arrays, which are merged code range by code
-range. Counts are quantised to levels, ``1 + floor(log2 count)``; unigrams and
-the bigrams seen at least ``MIN_BIGRAM`` times enter the filter at every level
-up to theirs. The filter has ``1 << BLOCK_POWER`` blocks of ``1 << BIT_POWER``
-bits, whatever the corpus: when it would be too full, the lowest level
-admitted rises, as a count cut-off does. Blocks are built apart, then the
-filter, of fixed size, is broadcast.
-
-Scoring: the level of an n-gram is found by probing level after level until a
-probe fails. The probability of a word is that of the bigram smoothed by the
+Counting: the training texts give exact counts of every word (a table). The
+different unigrams and bigrams of each slice of texts, as 50 bits of hash, go
+once to their code range, with their counts in training texts. There counts
+are added up and quantised to levels, ``1 + floor(log2 count)``; unigrams and
+the bigrams seen at least ``MIN_BIGRAM`` times enter the range's filter at
+every level up to theirs. A filter has as many blocks of ``1 << BIT_POWER``
+bits (a power of two) as its items need. Ranges grow in number with the texts,
+blocks with the items, so nothing is left out at any size, and no task holds
+more than one range. The texts of a slice travel beside, as one row.
+
+Scoring: the codes of each slice probe the filter of their range, and their
+levels go back to the slice. The level of an n-gram is found by probing level
+after level until a probe fails. The probability of a word is that of the bigram smoothed by the
 unigram: (c(h w) + MU p(w)) / (c(h) + MU).
 
 The base score takes exact counts: those of the most frequent words, a bounded
@@ -33,9 +34,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from medframe import ship
-from medframe.llm.batches import U64, hash_words, mix, number_words, remove, slices, store, text_bytes, words
+from medframe.llm.batches import U64, hash_words, mix, number_words, slices, store, text_bytes, values, words
 
-BLOCK_POWER = 10
+BLOCK_POWER = 10             # bits of a code that its range tells at least
 BIT_POWER = 18
 PROBES = 3
 BITS_PER_ITEM = 8.4          # about 3 % false positives with three probes
@@ -43,9 +44,10 @@ MIN_BIGRAM = 2
 MU = 5.0
 FREQUENT_WORDS = 150_000     # broadcast at most
 FREQUENT_BYTES = 64          # longer words are joined
-CODES_AT_ONCE = 2_000_000    # codes a task adds up before it sends them on
+SLICE_BYTES = 4 << 20        # texts whose codes are sent together
 WORDS_AT_ONCE = 300_000
-CODES_PER_RANGE = 1 << 22    # tokens per code range, at most about as many codes
+CODES_PER_RANGE = 1 << 22    # codes in a range, at most about
+WORD_BYTES = 4               # of text per token, to tell the number of ranges
 END = b""                    # end of a text; also what stands before its first word
 
 _KEY = U64((1 << 48) - 1)
@@ -64,12 +66,13 @@ def tokens(text: bytes) -> list[bytes]:
 
 
 def unigram_codes(h: np.ndarray) -> np.ndarray:
-    """58-bit codes of words; the lowest bit tells them from bigrams."""
-    return mix(h ^ U64(0x5851F42D4C957F2D)) >> U64(6) | U64(1)
+    """58-bit codes of words, of which the lowest 8 are 0; the next one tells
+    words from bigrams."""
+    return mix(h ^ U64(0x5851F42D4C957F2D)) >> U64(15) << U64(9) | U64(256)
 
 
 def bigram_codes(before: np.ndarray, word: np.ndarray) -> np.ndarray:
-    return mix(before * U64(0x9E3779B97F4A7C15) ^ mix(word)) >> U64(7) << U64(1)
+    return mix(before * U64(0x9E3779B97F4A7C15) ^ mix(word)) >> U64(15) << U64(9)
 
 
 class Chunk:
@@ -85,13 +88,17 @@ class Chunk:
         self.words, self.ids = number_words(flat)
         self.sizes = np.array(sizes, dtype=np.int64)
         self.starts = np.concatenate(([0], np.cumsum(self.sizes)[:-1])).astype(np.int64)
+        self.hash = hash_words(self.words)
+
         self.before = np.empty_like(self.ids)
         self.before[1:] = self.ids[:-1]
         self.before[self.starts] = self.ids[-1]  # the end token, which every text ends with
-        self.hash = hash_words(self.words)
 
-    def bigrams(self) -> np.ndarray:
-        return bigram_codes(self.hash[self.before], self.hash[self.ids])
+    def codes(self) -> tuple[np.ndarray, np.ndarray]:
+        """The different codes, sorted, and the place among them of each
+        different word, then of each token's bigram."""
+        bigrams = bigram_codes(self.hash[self.before], self.hash[self.ids])
+        return np.unique(np.concatenate((unigram_codes(self.hash), bigrams)), return_inverse=True)
 
 
 def word_counts(train: DataFrame) -> DataFrame:
@@ -115,116 +122,125 @@ def _word_rows(held: Counter) -> pa.RecordBatch:
 
 
 def _pack(codes: np.ndarray) -> bytes:
-    return (codes & _KEY).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
+    return (codes & _KEY).astype("<u8").view(np.uint8).reshape(-1, 8)[:, 1:6].tobytes()
 
 
-def _unpack(raw: bytes, block) -> np.ndarray:
-    wide = np.zeros((len(raw) // 6, 8), dtype=np.uint8)
-    wide[:, :6] = np.frombuffer(raw, dtype=np.uint8).reshape(-1, 6)
-    return wide.reshape(-1).view("<u8") | U64(int(block) << 48)
+def _unpack(raw: bytes, part: int, power: int) -> np.ndarray:
+    wide = np.zeros((len(raw) // 5, 8), dtype=np.uint8)
+    wide[:, 1:6] = np.frombuffer(raw, dtype=np.uint8).reshape(-1, 5)
+    return wide.reshape(-1).view("<u8") | U64(part >> power - BLOCK_POWER << 48)
 
 
-def ngram_levels(train: DataFrame, tokens_total: int) -> DataFrame:
-    """``block, level, n, codes``: the quantised counts of all unigrams and of
-    the bigrams seen at least ``MIN_BIGRAM`` times."""
-    power = BLOCK_POWER + max(0, int(2 * tokens_total // (CODES_PER_RANGE << BLOCK_POWER)).bit_length())
+def range_power(text_bytes_total: int) -> int:
+    """Leading bits of a code that tell its range."""
+    return BLOCK_POWER + (2 * text_bytes_total // WORD_BYTES // (CODES_PER_RANGE << BLOCK_POWER)).bit_length()
 
-    def run(batches):
-        held, size = [], 0
 
-        def out():
-            codes, counts = np.unique(np.concatenate(held), return_counts=True)
+def _sender(power: int):
+    """Per slice of texts: its different codes with their counts in training
+    texts, a row for each range, and a row of its own (``part`` below 0) with
+    the texts."""
+    def run(batches):
+        for texts in slices(batches, "text", SLICE_BYTES):
+            c = Chunk(text_bytes(texts, "text"))
+            codes, at = c.codes()
+            train = np.repeat(np.array(values(texts, "train"), dtype=bool), c.sizes)
+            counts = np.bincount(at[c.ids[train]], minlength=len(codes))
+            counts += np.bincount(at[len(c.words):][train], minlength=len(codes))
             part = (codes >> U64(58 - power)).astype(np.int64)
             cut = np.flatnonzero(np.diff(part, prepend=-1, append=-1))
+            sink = pa.BufferOutputStream()
+            with pa.ipc.new_stream(sink, texts.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as writer:
+                writer.write_batch(texts)
+            name = values(texts, "row")[0]
             yield pa.record_batch([
-                pa.array(part[cut[:-1]], pa.int64()),
-                pa.array([_pack(codes[a:b]) for a, b in zip(cut, cut[1:])], pa.binary()),
-                pa.array([counts[a:b].astype("<u4").tobytes() for a, b in zip(cut, cut[1:])], pa.binary()),
-            ], names=["part", "codes", "counts"])
+                pa.array([name] * len(cut), pa.int64()),
+                pa.array(np.append(part[cut[:-1]], -1 - name), pa.int64()),
+                pa.array([_pack(codes[a:b]) for a, b in zip(cut, cut[1:])] + [sink.getvalue().to_pybytes()],
+                         pa.binary()),
+                pa.array([counts[a:b].astype("<u4").tobytes() for a, b in zip(cut, cut[1:])] + [b""], pa.binary()),
+            ], names=["slice", "part", "data", "counts"])
 
-        for part in slices(batches, "text"):
-            chunk = Chunk(text_bytes(part, "text"))
-            held += [unigram_codes(chunk.hash)[chunk.ids], chunk.bigrams()]
-            size += 2 * len(chunk.ids)
-            if size >= CODES_AT_ONCE:
-                yield from out()
-                held, size = [], 0
-        if size:
-            yield from out()
-
-    def merge(group: pd.DataFrame) -> pd.DataFrame:
-        block = int(group["part"].iloc[0]) >> (power - BLOCK_POWER)
-        codes = np.concatenate([_unpack(raw, block) for raw in group["codes"]])
-        counts = np.concatenate([np.frombuffer(raw, dtype="<u4") for raw in group["counts"]]).astype(np.int64)
-        order = np.argsort(codes, kind="stable")
-        codes, counts = codes[order], counts[order]
+    return run
+
+
+def _range_levels(power: int, bits_per_item: float):
+    """The filter of a range is built, then probed for every slice's codes. A
+    slice's own row passes."""
+    def run(group: pd.DataFrame) -> pd.DataFrame:
+        part = int(group["part"].iloc[0])
+        if part < 0:
+            return group[["slice", "part", "data"]].assign(part=-1)
+        every = _unpack(b"".join(group["data"]), part, power)
+        counts = np.frombuffer(b"".join(group["counts"]), dtype="<u4").astype(np.int64)
+        order = np.argsort(every, kind="stable")
+        codes = every[order]
         first = np.flatnonzero(np.concatenate(([True], codes[1:] != codes[:-1])))
-        codes, counts = codes[first], np.add.reduceat(counts, first)
-        keep = (counts >= MIN_BIGRAM) | (codes & U64(1)).astype(bool)
-        codes, level = codes[keep], 1 + np.floor(np.log2(counts[keep])).astype(int)
-        rows = [(block, int(q), int((level == q).sum()), _pack(codes[level == q])) for q in np.unique(level)]
-        return pd.DataFrame(rows, columns=["block", "level", "n", "codes"])
+        codes, counts = codes[first], np.add.reduceat(counts[order], first)
+        del order
+        keep = (counts >= MIN_BIGRAM) | (counts > 0) & (codes & U64(256)).astype(bool)
+        bloom = _build(codes[keep], 1 + np.floor(np.log2(counts[keep])).astype(int), power, bits_per_item)
+        levels = bloom.levels(every).tobytes()
+        ends = (group["data"].str.len() // 5).cumsum()
+        return pd.DataFrame({"slice": group["slice"], "part": part,
+                             "data": [levels[i:j] for i, j in zip([0, *ends], ends)]})
 
-    packed = train.select("text").mapInArrow(run, "part long, codes binary, counts binary")
-    return packed.groupBy("part").applyInPandas(merge, "block int, level int, n long, codes binary")
+    return run
 
 
-def positions(codes: np.ndarray, level) -> list[np.ndarray]:
-    """Bits probed for codes at a level, inside the block of each code."""
+def _build(codes: np.ndarray, level: np.ndarray, power: int, bits_per_item: float) -> LogFrequencyFilter:
+    """The filter of a range, with each code at every level up to its own."""
+    more = 0
+    while int(level.sum()) * bits_per_item > 1 << BIT_POWER + more:
+        more += 1
+    bits = np.zeros(1 << BIT_POWER + more, dtype=np.uint8)
+    highest = int(level.max(initial=0))
+    for q in range(1, highest + 1):
+        for p in positions(codes[level >= q], q, power + more):
+            bits[p & U64(len(bits) - 1)] = 1
+    return LogFrequencyFilter(np.packbits(bits, bitorder="little"), 1, highest, power + more)
+
+
+def positions(codes: np.ndarray, level, power: int = BLOCK_POWER) -> list[np.ndarray]:
+    """Bits probed for codes at a level, inside the block of each code; there
+    are ``1 << power`` blocks."""
     step = U64(int(level) * 0xA0761D6478BD642F & 0xFFFFFFFFFFFFFFFF)
     x = mix(codes * U64(0xD6E8FEB86659FD93) + step)
-    base = codes >> U64(48) << U64(BIT_POWER)
+    base = codes >> U64(58 - power) << U64(BIT_POWER)
     return [base | x >> U64(i * BIT_POWER) & _BIT for i in range(PROBES)]
 
 
+def mean_counts(levels: np.ndarray) -> np.ndarray:
+    """Mean count of each level; level 0 is unseen."""
+    return np.where(levels > 0, (3 * 2.0 ** (levels.astype(float) - 1) - 1) / 2, 0.0)
+
+
 class LogFrequencyFilter:
-    """Quantised counts by repeated membership probes."""
+    """Quantised counts by repeated membership probes. ``bits`` are all
+    ``1 << power`` blocks, or those of one range of codes."""
 
-    def __init__(self, bits: np.ndarray, lowest: int, highest: int):
-        self.bits, self.lowest, self.highest = bits, lowest, highest
+    def __init__(self, bits: np.ndarray, lowest: int, highest: int, power: int = BLOCK_POWER):
+        self.bits, self.lowest, self.highest, self.power = bits, lowest, highest, power
 
-    def counts(self, codes: np.ndarray) -> np.ndarray:
-        """Mean count of the highest level in the filter, 0 if not even the
-        lowest one is."""
-        out = np.zeros(len(codes))
+    def levels(self, codes: np.ndarray) -> np.ndarray:
+        """Highest level in the filter, 0 if not even the lowest one is."""
+        out = np.zeros(len(codes), dtype=np.uint8)
         rows = np.arange(len(codes))
+        inside_range = U64(8 * len(self.bits) - 1)
         for level in range(self.lowest, self.highest + 1):
             inside = np.ones(len(rows), dtype=bool)
-            for p in positions(codes[rows], level):
+            for p in positions(codes[rows], level, self.power):
+                p &= inside_range
                 inside &= (self.bits[p >> U64(3)] >> (p & U64(7)).astype(np.uint8) & 1).astype(bool)
             rows = rows[inside]
             if len(rows) == 0:
                 break
-            out[rows] = (3 * 2 ** (level - 1) - 1) / 2
+            out[rows] = level
         return out
 
-
-def build_filter(levels: DataFrame) -> LogFrequencyFilter:
-    """The filter of ``ngram_levels``. Only its fixed number of bytes and one
-    row per level reach the driver."""
-    room = (1 << BLOCK_POWER + BIT_POWER) / BITS_PER_ITEM
-    sizes = {r["level"]: r["n"] for r in levels.groupBy("level").agg(F.sum("n").alias("n")).collect()}
-    highest = max(sizes, default=0)
-    lowest = 1
-    while sum(n * (q - lowest + 1) for q, n in sizes.items() if q >= lowest) > room:
-        lowest += 1
-
-    def build(group: pd.DataFrame) -> pd.DataFrame:
-        block = int(group["block"].iloc[0])
-        bits = np.zeros(1 << BIT_POWER, dtype=np.uint8)
-        for level, raw in zip(group["level"], group["codes"]):
-            codes = _unpack(raw, block)
-            for q in range(lowest, level + 1):
-                for p in positions(codes, q):
-                    bits[p & _BIT] = 1
-        return pd.DataFrame({"block": [block], "bits": [np.packbits(bits, bitorder="little").tobytes()]})
-
-    bits = np.zeros(1 << BLOCK_POWER + BIT_POWER - 3, dtype=np.uint8)
-    width = 1 << BIT_POWER - 3
-    for r in levels.where(F.col("level") >= lowest).groupBy("block").applyInPandas(
-            build, "block int, bits binary").collect():
-        bits[r["block"] * width:(r["block"] + 1) * width] = np.frombuffer(r["bits"], dtype=np.uint8)
-    return LogFrequencyFilter(bits, lowest, highest)
+    def counts(self, codes: np.ndarray) -> np.ndarray:
+        """Mean count of the highest level in the filter."""
+        return mean_counts(self.levels(codes))
 
 
 def frequent_words(counts: DataFrame, limit: int = FREQUENT_WORDS) -> dict[bytes, int]:
@@ -243,36 +259,53 @@ def frequent_words(counts: DataFrame, limit: int = FREQUENT_WORDS) -> dict[bytes
     return dict(zip(table["word"].to_pylist(), table["c"].to_pylist()))
 
 
-def _scorer(model, total: int, different: int):
+def _scorer(exact, total: int, different: int):
     """Per text: tokens, the part of the base score and of the known tokens
-    from frequent words, the model's score, and the other words with counts."""
+    from frequent words, the model's score, and the other words with counts.
+    Rows come by slice, its own row first, then the levels of its codes."""
     mass = total + 0.5 * (different + 1)
 
+    def score(own: bytes, levels: list[bytes]) -> pa.RecordBatch:
+        texts = pa.ipc.open_stream(own).read_next_batch()
+        table = exact.value
+        c = Chunk(text_bytes(texts, "text"))
+        true = np.array([table.get(w, -1) for w in c.words], dtype=np.int64)
+        base = np.where(true >= 0, np.log10((np.maximum(true, 0) + 0.5) / mass), 0.0)
+        codes, at = c.codes()
+        found = mean_counts(np.frombuffer(b"".join(levels), dtype=np.uint8))
+        if len(found) != len(codes):
+            raise ValueError(f"{len(found)} levels for {len(codes)} codes")
+        one, two = found[at[:len(c.words)]], found[at[len(c.words):]]
+        p = (one + 0.5) / mass
+        smooth = (two + MU * p[c.ids]) / (np.maximum(one[c.before], two) + MU)
+        rest = np.flatnonzero(true[c.ids] < 0)
+        row = np.repeat(np.arange(len(c.sizes)), c.sizes)[rest]
+        pair, times = np.unique(row * len(c.words) + c.ids[rest], return_counts=True)
+        offsets = np.searchsorted(pair, np.arange(len(c.sizes) + 1) * len(c.words))
+        rare = pa.StructArray.from_arrays(
+            [pa.array(c.words, pa.binary()).take(pa.array(pair % len(c.words))), pa.array(times, pa.int64())],
+            names=["word", "times"])
+        return pa.record_batch([
+            texts.column(texts.schema.get_field_index("row")), texts.column(texts.schema.get_field_index("id")),
+            pa.array(c.sizes),
+            pa.array(np.add.reduceat(base[c.ids], c.starts)),
+            pa.array(np.add.reduceat((true > 0).astype(np.int64)[c.ids], c.starts)),
+            pa.array(np.add.reduceat(np.log10(smooth), c.starts)),
+            pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), rare),
+        ], names=["row", "id", "n_tokens", "base", "known", "score", "rare"])
+
     def run(batches):
-        bloom, exact = model.value
-        for part in slices(batches, "text", 1 << 20):
-            c = Chunk(text_bytes(part, "text"))
-            true = np.array([exact.get(w, -1) for w in c.words], dtype=np.int64)
-            base = np.where(true >= 0, np.log10((np.maximum(true, 0) + 0.5) / mass), 0.0)
-            one = bloom.counts(unigram_codes(c.hash))
-            two = bloom.counts(c.bigrams())
-            p = (one + 0.5) / mass
-            smooth = (two + MU * p[c.ids]) / (np.maximum(one[c.before], two) + MU)
-            rest = np.flatnonzero(true[c.ids] < 0)
-            row = np.repeat(np.arange(len(c.sizes)), c.sizes)[rest]
-            pair, times = np.unique(row * len(c.words) + c.ids[rest], return_counts=True)
-            offsets = np.searchsorted(pair, np.arange(len(c.sizes) + 1) * len(c.words))
-            rare = pa.StructArray.from_arrays(
-                [pa.array(c.words, pa.binary()).take(pa.array(pair % len(c.words))), pa.array(times, pa.int64())],
-                names=["word", "times"])
-            yield pa.record_batch([
-                part.column(part.schema.get_field_index("row")), part.column(part.schema.get_field_index("id")),
-                pa.array(c.sizes),
-                pa.array(np.add.reduceat(base[c.ids], c.starts)),
-                pa.array(np.add.reduceat((true > 0).astype(np.int64)[c.ids], c.starts)),
-                pa.array(np.add.reduceat(np.log10(smooth), c.starts)),
-                pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), rare),
-            ], names=["row", "id", "n_tokens", "base", "known", "score", "rare"])
+        own, levels = None, []
+        for batch in batches:
+            for part, data in zip(values(batch, "part"), values(batch, "data")):
+                if part < 0:
+                    if own is not None:
+                        yield score(own, levels)
+                    own, levels = data, []
+                else:
+                    levels.append(data)
+        if own is not None:
+            yield score(own, levels)
 
     return run
 
@@ -284,14 +317,16 @@ def scored(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     ship.ensure(spark)
     slim = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     train = slim.where(~held_out(F.col("id")))
-    counts, counts_path = store(word_counts(train), "words")
+    counts, _ = store(word_counts(train), "words")
     total, different = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
-    levels, levels_path = store(ngram_levels(train, total), "levels")
-    model = spark.sparkContext.broadcast((build_filter(levels), frequent_words(counts)))
-    remove(spark, levels_path)
+    power = range_power(slim.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0])
+    exact = spark.sparkContext.broadcast(frequent_words(counts))
+    sent = slim.withColumn("train", ~held_out(F.col("id"))).withColumn("row", F.monotonically_increasing_id())
+    levels = sent.mapInArrow(_sender(power), "slice long, part long, data binary, counts binary").groupBy(
+        "part").applyInPandas(_range_levels(power, BITS_PER_ITEM), "slice long, part long, data binary")
     kind = dict(slim.dtypes)["id"]
-    part, _ = store(slim.withColumn("row", F.monotonically_increasing_id()).mapInArrow(
-        _scorer(model, total, different),
+    part, _ = store(levels.repartition("slice").sortWithinPartitions("slice", "part").mapInArrow(
+        _scorer(exact, total, different),
         f"row long, id {kind}, n_tokens long, base double, known long, score double, "
         "rare array<struct<word: binary, times: long>>"), "scored")
     mass = total + 0.5 * (different + 1)

@@ -273,6 +273,38 @@ def test_lm_equals_plain_counts(docs, none, monkeypatch, frequent):
     assert lm.scored(none).collect() == []
 
 
+def plain_lm_scores(texts, held, least):
+    """Score of each text by quantised counts; bigrams seen less than ``least`` times count 0."""
+    one, two = collections.Counter(), collections.Counter()
+    for i, own in texts.items():
+        if not held[i]:
+            one.update(own)
+            two.update(zip([lm.END] + own, own))
+    n, v = sum(one.values()), len(one)
+
+    def mean(c):
+        return (3 * 2 ** (c.bit_length() - 1) - 1) / 2 if c else 0
+
+    out = {}
+    for i, own in texts.items():
+        out[i] = 0.0
+        for h, w in zip([lm.END] + own, own):
+            both = mean(two[h, w]) if two[h, w] >= least else 0
+            p = (mean(one[w]) + 0.5) / (n + 0.5 * (v + 1))
+            out[i] += math.log10((both + lm.MU * p) / (max(mean(one[h]), both) + lm.MU))
+    return out
+
+
+@pytest.mark.parametrize("bits,tokens", [(lm.BITS_PER_ITEM, lm.CODES_PER_RANGE), (1 << 17, 1)])
+def test_lm_scores_whatever_the_size(docs, monkeypatch, bits, tokens):
+    monkeypatch.setattr(lm, "BITS_PER_ITEM", bits)       # 1 << 17: over 2,048 items were too many for the filter
+    monkeypatch.setattr(lm, "CODES_PER_RANGE", tokens)
+    texts = {r[0]: lm.tokens((r[1] or "").encode()) for r in corpus()}
+    held = {i: zlib.crc32(str(i).encode()) % 5 == 1 for i in texts}
+    want = plain_lm_scores(texts, held, lm.MIN_BIGRAM)
+    assert {r["id"]: r["score"] for r in lm.scored(docs).collect()} == pytest.approx(want)
+
+
 def test_filter_never_underestimates():
     codes = lm.unigram_codes(lm.hash_words([str(i).encode() for i in range(3000)]))
     bits = np.zeros(1 << lm.BLOCK_POWER + lm.BIT_POWER - 3, dtype=np.uint8)
