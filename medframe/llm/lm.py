@@ -3,9 +3,8 @@
 Counting: the training texts give exact counts of every word (a table). The
 different unigrams and bigrams of each slice of texts, as 50 bits of hash, go
 once to their code range, with their counts in training texts. There counts
-are added up and quantised to levels, ``1 + floor(log2 count)``; unigrams and
-the bigrams seen at least ``MIN_BIGRAM`` times enter the range's filter at
-every level up to theirs. A filter has as many blocks of ``1 << BIT_POWER``
+are added up and quantised to levels, ``1 + floor(log2 count)``; all unigrams
+and bigrams enter the range's filter at every level up to theirs. A filter has as many blocks of ``1 << BIT_POWER``
 bits (a power of two) as its items need. Ranges grow in number with the texts,
 blocks with the items, so nothing is left out at any size, and no task holds
 more than one range. The texts of a slice travel beside, as one row.
@@ -40,7 +39,6 @@ BLOCK_POWER = 10             # bits of a code that its range tells at least
 BIT_POWER = 18
 PROBES = 3
 BITS_PER_ITEM = 8.4          # about 3 % false positives with three probes
-MIN_BIGRAM = 2
 MU = 5.0
 FREQUENT_WORDS = 150_000     # broadcast at most
 FREQUENT_BYTES = 64          # longer words are joined
@@ -66,8 +64,8 @@ def tokens(text: bytes) -> list[bytes]:
 
 
 def unigram_codes(h: np.ndarray) -> np.ndarray:
-    """58-bit codes of words, of which the lowest 8 are 0; the next one tells
-    words from bigrams."""
+    """58-bit codes of words, of which the lowest 8 bits are 0; the next one
+    tells words from bigrams."""
     return mix(h ^ U64(0x5851F42D4C957F2D)) >> U64(15) << U64(9) | U64(256)
 
 
@@ -178,7 +176,7 @@ def _range_levels(power: int, bits_per_item: float):
         first = np.flatnonzero(np.concatenate(([True], codes[1:] != codes[:-1])))
         codes, counts = codes[first], np.add.reduceat(counts[order], first)
         del order
-        keep = (counts >= MIN_BIGRAM) | (counts > 0) & (codes & U64(256)).astype(bool)
+        keep = counts > 0
         bloom = _build(codes[keep], 1 + np.floor(np.log2(counts[keep])).astype(int), power, bits_per_item)
         levels = bloom.levels(every).tobytes()
         ends = (group["data"].str.len() // 5).cumsum()

@@ -273,8 +273,8 @@ def test_lm_equals_plain_counts(docs, none, monkeypatch, frequent):
     assert lm.scored(none).collect() == []
 
 
-def plain_lm_scores(texts, held, least):
-    """Score of each text by quantised counts; bigrams seen less than ``least`` times count 0."""
+def plain_lm_scores(texts, held):
+    """Score of each text by quantised counts."""
     one, two = collections.Counter(), collections.Counter()
     for i, own in texts.items():
         if not held[i]:
@@ -289,7 +289,7 @@ def plain_lm_scores(texts, held, least):
     for i, own in texts.items():
         out[i] = 0.0
         for h, w in zip([lm.END] + own, own):
-            both = mean(two[h, w]) if two[h, w] >= least else 0
+            both = mean(two[h, w])
             p = (mean(one[w]) + 0.5) / (n + 0.5 * (v + 1))
             out[i] += math.log10((both + lm.MU * p) / (max(mean(one[h]), both) + lm.MU))
     return out
@@ -301,7 +301,7 @@ def test_lm_scores_whatever_the_size(docs, monkeypatch, bits, tokens):
     monkeypatch.setattr(lm, "CODES_PER_RANGE", tokens)
     texts = {r[0]: lm.tokens((r[1] or "").encode()) for r in corpus()}
     held = {i: zlib.crc32(str(i).encode()) % 5 == 1 for i in texts}
-    want = plain_lm_scores(texts, held, lm.MIN_BIGRAM)
+    want = plain_lm_scores(texts, held)
     assert {r["id"]: r["score"] for r in lm.scored(docs).collect()} == pytest.approx(want)
 
 
