@@ -6,7 +6,9 @@ span. Added kinds are proposed by pattern, confirmed by a checksum where there
 is one (IBAN: mod 97), and scored: the kind's own score, plus a bonus for a
 context word of the kind within ``WINDOW`` characters. They become spans at
 ``MIN_SCORE``. Matches of one kind are leftmost and do not overlap; those that
-fail their check are dropped without a second try.
+fail their check are dropped without a second try. Only an IBAN, which words
+can follow or precede, is tried at each word end inside a match (that of the
+country's length first, then the last) and, if all fail, from the next word.
 
 The patterns are written so that no text costs more than linear time: runs are
 entered at their start only and taken possessively, an address is looked for
@@ -53,6 +55,12 @@ _IP = re.compile(r"(?<![0-9])([0-9]++)\.([0-9]++)\.([0-9]++)\.([0-9]++)")
 _CARD = re.compile(r"[0-9](?:[ -]?[0-9])++")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _IBAN = re.compile(r"\b[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}\b")
+IBAN_LENGTH = {country: n for n, countries in {
+    15: "NO", 16: "BE", 18: "DK FI FO GL NL", 19: "MK SI", 20: "AT BA EE KZ LT LU XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS", 23: "AE GI IL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "PT",
+    26: "IS TR", 27: "FR GR IT MC MR SM", 28: "AL AZ CY DO GT HU LB PL", 29: "BR PS QA UA", 30: "KW MU", 31: "MT",
+}.items() for country in countries.split()}
+LEAST_IBAN = 15
 _SSN = re.compile(r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])")
 _NOT_DIGIT = re.compile(r"[^0-9]+")
 _WORD = re.compile(r"[a-z]+")
@@ -107,9 +115,25 @@ def _phones(text: str) -> Iterator[tuple[int, int]]:
 
 
 def _ibans(text: str) -> Iterator[tuple[int, int]]:
-    for m in _IBAN.finditer(text):
-        if mod97(m.group().replace(" ", "")):
-            yield m.span()
+    at = 0
+    while m := _IBAN.search(text, at):
+        start, found = m.start(), m.group()
+        ends, size = [], 0
+        for word in found.split(" "):
+            size += len(word)
+            if size >= LEAST_IBAN:
+                ends.append((size == IBAN_LENGTH.get(found[:2]), size))
+        at = start + 1
+        for _, size in sorted(ends, reverse=True):
+            if mod97(found.replace(" ", "")[:size]):
+                at = start + _place(found, size)
+                yield start, at
+                break
+
+
+def _place(found: str, size: int) -> int:
+    """Where the first ``size`` characters that are no spaces end."""
+    return next(i for i in range(size, len(found) + 1) if i - found.count(" ", 0, i) == size)
 
 
 def _ssns(text: str) -> Iterator[tuple[int, int]]:

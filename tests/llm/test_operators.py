@@ -177,6 +177,24 @@ def test_pii_added_kinds():
     assert pii.score("phone", "call +1 213 555 0100", 5, 20) > pii.score("phone", "no. +1 213 555 0100", 4, 19)
 
 
+@pytest.mark.parametrize("text,iban", [
+    ("IBAN DE89 3704 0044 0532 0130 00 BIC COBADEFFXXX", "DE89 3704 0044 0532 0130 00"),
+    ("pay to DE89370400440532013000 EUR 100", "DE89370400440532013000"),
+    ("DE89370400440532013000 2024-01-05", "DE89370400440532013000"),
+    ("PAY GB82WEST12345698765432 NOW", "GB82WEST12345698765432"),
+    ("REF AB12 DE89 3704 0044 0532 0130 00 THANKS", "DE89 3704 0044 0532 0130 00"),
+    ("NO9386011117947 NO9386011117947", "NO9386011117947"),
+])
+def test_iban_among_capitals_and_numbers(text, iban):
+    found = [text[a:b] for k, a, b, _ in pii.spans(text) if k == "iban"]
+    assert found == [iban] * text.count(iban)
+    assert iban not in pii.mask(text) and not [s for s in pii.spans(pii.mask(text)) if s[0] == "iban"]
+
+
+def test_iban_in_linear_time():
+    assert all(b - a <= 41 for k, a, b, _ in pii.spans("AB12 " * 20000))
+
+
 def test_redact(docs):
     out = {r["doc_id"]: r for r in pii.redact(docs).collect()}
     assert out[0]["text"] is None and out[1]["text"] == "" and out[5]["text"] == corpus()[5][1]
