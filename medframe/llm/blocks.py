@@ -81,6 +81,16 @@ def pack(df: DataFrame, id_col: str, vector_col: str, rows: int, nonzero: bool)
     return slim.mapInArrow(run, BLOCK)
 
 
+def valid(vector_col: str, nonzero: bool) -> F.Column:
+    """The vectors that ``pack`` takes."""
+    def finite(x):
+        return F.coalesce(F.abs(x.cast("double")) < float("inf"), F.lit(False))  # not-a-number is greater
+
+    v = F.col(vector_col)
+    out = (F.size(v) > 0) & F.forall(v, finite)
+    return out & F.exists(v, lambda x: x.cast("double") != 0) if nonzero else out
+
+
 def unpack(ids: bytes, data: bytes, dim: int) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(ids, dtype=np.int64), np.frombuffer(data).reshape(-1, dim)
 
@@ -121,10 +131,10 @@ def search(df: DataFrame, queries: DataFrame, id_col: str, vector_col: str, k: i
     rows of ``df`` of smallest (cost, id), its own id left out. ``tile(qid, q,
     cid, c, k)`` gives row numbers of queries, of candidates and costs that
     hold the best ``k`` of the tile. Of query rows that share an id one (the
-    smallest vector) is asked; candidates that share an id all count."""
+    smallest valid vector) is asked; candidates that share an id all count."""
     spark = df.sparkSession
     ship.ensure(spark)
-    asked = queries.groupBy(F.col(id_col)).agg(F.min(vector_col).alias(vector_col))
+    asked = queries.where(valid(vector_col, nonzero)).groupBy(F.col(id_col)).agg(F.min(vector_col).alias(vector_col))
     left, _ = store(pack(asked, id_col, vector_col, QUERY_ROWS, nonzero), "queries")
     right, _ = store(pack(df, id_col, vector_col, BLOCK_ROWS, nonzero), "candidates")
     tasks = max(1, math.ceil(right.count() / 2))

@@ -268,6 +268,17 @@ def test_top_k_equals_brute_force(vectors):
         assert [(i, -s) for s, i in best] == [(i, s) for _, i, s in sorted(got[q])]
 
 
+def test_valid_vector_of_a_repeated_id_is_asked(spark):
+    nan = float("nan")
+    rows = [(1, [0.5, 1.0]), (1, [None, 1.0]), (1, None), (1, []), (2, [1.0, nan]), (2, [1.0, 2.0]),
+            (3, [0.0, 0.0]), (3, [3.0, 1.0]), (4, [nan, 1.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    assert {r["query_id"] for r in ann.nearest(df, df).collect()} == {1, 2, 3}
+    assert {r["query_id"] for r in topk.top(df, df).collect()} == {1, 2, 3}
+    near = {(r["query_id"], r["vec_id"]): r["score"] for r in ann.nearest(df, df).collect()}
+    assert near[3, 2] == pytest.approx(math.sqrt(5))
+
+
 def test_top_k_of_huge_components(spark):
     df = spark.createDataFrame([(i, [1e18 * i, 1.0]) for i in range(4)], "vec_id long, embedding array<double>")
     rows = topk.top(df, df.where("vec_id = 1"), k=5).collect()
