@@ -8,7 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from medframe.llm import ann, bpe, lm, mixing, neardup, pii, quality, topk, urlfilter, warc
+from medframe.llm import ann, bpe, lm, mixing, neardup, pii, quality, secrets, topk, urlfilter, warc
+from medframe.llm.batches import new_path
 
 TOKENIZER = "byte_bpe_multi_50k.tiktoken"
 URL_RULES = [("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"),
@@ -75,6 +76,11 @@ def op10_url_logistic(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumnRenamed("id", "page_id")
 
 
+def op11_blob_ledger_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.scan(_table(spark, sf_dir, "documents"), new_path(spark, "ledger"))
+    return secrets.digest(found).withColumnRenamed("id", "doc_id")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_entropy_mix": op1_entropy_mix,
@@ -87,6 +93,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_term_at_a_time_top_k": op8_term_at_a_time_top_k,
         "op9_minmax_near_duplicates": op9_minmax_near_duplicates,
         "op10_url_logistic": op10_url_logistic,
+        "op11_blob_ledger_secrets": op11_blob_ledger_secrets,
     }
 
 
@@ -129,5 +136,41 @@ select query_id, rank, vec_id, score from r where rank <= 5
 }
 
 
+def _secret_spans(rank: int, kind: str, pattern: str, group: int = 0, least: int = 1) -> str:
+    """DuckDB SQL: the spans of one kind in ``t(r, t)``, from the lengths of the
+    matches and of the pieces between them."""
+    return f"""
+select r, {rank} as rank, '{kind}' as kind, s as start, s + length(m[i]) as stop from (
+  select r, m, g, i, list_sum(list_transform(p[1:i], lambda x: length(x)))
+    + coalesce(list_sum(list_transform(m[1:i - 1], lambda x: length(x))), 0) as s
+  from (select r, m, g, p, unnest(generate_series(1, len(m))) as i from (
+    select r, regexp_extract_all(t, $${pattern}$$, 0) as m, regexp_extract_all(t, $${pattern}$$, {group}) as g,
+      regexp_split_to_array(t, $${pattern}$$) as p from t))) where length(g[i]) >= {least}"""
+
+
+_EITHER_CASE = "|".join("".join(f"[{c}{c.upper()}]" if c.isalpha() else c for c in word).replace("_", "_?")
+                        for word in ("password", "passwd", "secret", "token", "api_key"))
+ORACLES["op11_blob_ledger_secrets"] = f"""
+with t as (select row_number() over () as r, doc_id, coalesce(text, '') as t from documents),
+f as ({" union all ".join([
+    _secret_spans(1, "assign", f"({_EITHER_CASE})[\"']? *[:=] *[\"']?([A-Za-z0-9+/_.=-]+)", 2, 12),
+    _secret_spans(2, "access", "AKIA[A-Z0-9]+", 0, 18),
+    _secret_spans(3, "hex", "[0-9a-f]+", 0, 16),
+    _secret_spans(4, "github", "gh[opsu]_[A-Za-z0-9]{36,}"),
+    _secret_spans(5, "slack", "xox[abprs]-[A-Za-z0-9-]{20,}"),
+    _secret_spans(6, "pem", "-----BEGIN [A-Z ]{0,30}PRIVATE KEY-----"),
+])}),
+j as (select r, count(*) filter (where rank = 1) as a, count(*) filter (where rank = 2) as k,
+  count(*) filter (where rank = 3) as h,
+  string_agg(kind || ':' || start::bigint || ':' || stop::bigint, ',' order by start, rank)
+    filter (where rank <= 3) as base,
+  string_agg(kind || ':' || start::bigint || ':' || stop::bigint, ',' order by start, rank) as spans
+  from f group by r)
+select doc_id, coalesce(a, 0) as n_assign, coalesce(k, 0) as n_access, coalesce(h, 0) as n_hex,
+  sha256(coalesce(base, '')) as base_sha256, coalesce(spans, '') as spans
+from t left join j using (r)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return dict(ORACLES)
