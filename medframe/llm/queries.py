@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from medframe.llm import ann, bpe, lm, mixing, neardup, pii, quality, secrets, topk, urlfilter, warc
+from medframe.llm import ann, bpe, lm, mixing, neardup, pii, quality, repair, secrets, topk, urlfilter, warc
 from medframe.llm.batches import new_path
 
 TOKENIZER = "byte_bpe_multi_50k.tiktoken"
@@ -81,6 +81,11 @@ def op11_blob_ledger_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(found).withColumnRenamed("id", "doc_id")
 
 
+def op12_four_russians_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    table = _table(spark, sf_dir, "conversations")
+    return repair.report(repair.damage(table), table).withColumnRenamed("conv", "conv_id")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_entropy_mix": op1_entropy_mix,
@@ -94,6 +99,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_minmax_near_duplicates": op9_minmax_near_duplicates,
         "op10_url_logistic": op10_url_logistic,
         "op11_blob_ledger_secrets": op11_blob_ledger_secrets,
+        "op12_four_russians_repair": op12_four_russians_repair,
     }
 
 
@@ -171,6 +177,66 @@ select doc_id, coalesce(a, 0) as n_assign, coalesce(k, 0) as n_access, coalesce(
 from t left join j using (r)
 """
 
+# A row at a time, forward: per place of the pattern the least (cost, letters) and the turns they leave.
+_NONE = "{'c': 1000000000, 'a': '~', 't': ''}"
+
+
+def _edit(place: str, letter: str, cost: str, line: str = "''") -> str:
+    return f"{{'c': {place}.c + {cost}, 'a': {place}.a || '{letter}', 't': {place}.t || {line}}}"
+
+
+def _row_edits(to: str, name: str, places: tuple) -> list[str]:
+    out = [_edit(to, "D", "3")]
+    for p in places:
+        out.append(f"case when fault < 2 and initial = '{to}' then "
+                   + _edit(p, "K", "fault", "chr(10) || role || ':' || text") + f" else {_NONE} end")
+        if to != "s":
+            out.append(f"case when fault < 2 then {_edit(p, 'R', '2 + fault', f'chr(10) || {name!r} || chr(58) || text')} "
+                       f"else {_NONE} end")
+    return out
+
+
+_U, _A = "chr(10) || 'user:'", "chr(10) || 'assistant:'"
+ORACLES["op12_four_russians_repair"] = f"""
+with recursive k as (select conv_id, turn, coalesce(role, ' ') as role, coalesce(text, ' ') as text,
+  xor(4294967295::bigint, list_reduce([4294967295::bigint] || list_transform(
+    string_split(coalesce(conv_id::varchar, ' ') || ':' || coalesce(turn::varchar, ' '), ''), lambda c: ascii(c)::bigint),
+    lambda h, b: list_reduce([xor(h, b)] || list_transform(range(8), lambda z: 0::bigint),
+      lambda x, z: xor(x >> 1, 3988292384::bigint * (x & 1))))) % 20 as pick from conversations),
+d as (select conv_id, turn, case when pick = 4 then 'user' else role end as role,
+  case when pick = 1 then '' when pick = 2 then translate(text, '.!?', '') else text end as text,
+  unnest(range(case when pick = 0 then 0 when pick = 3 then 2 else 1 end)) as copy from k),
+o as (select *, row_number() over (partition by conv_id order by turn nulls first, role, sha256(text), copy) as i,
+  row_number() over (partition by conv_id, role, text order by turn nulls first, copy) as seen,
+  left(role, 1) as initial, not regexp_matches(text, '[^\\x20\\x09-\\x0D]') as blank,
+  not regexp_matches(text, '[.!?][\\x20\\x09-\\x0D]*$') as cut from d),
+r as (select *, case when blank or seen > 1 then 2 when cut then 1 else 0 end as fault,
+  lag(initial) over (partition by conv_id order by i) || initial as pair from o),
+n as (select conv_id, coalesce(max(turn) - min(turn) + 1 - count(distinct turn), 0) as gaps,
+  count(*) filter (where blank) as blank, count(*) filter (where not blank and seen > 1) as duplicate,
+  count(*) filter (where fault = 1) as truncated,
+  count(*) filter (where i > 1 and pair not in ('su', 'ua', 'au')) as illegal, max(i) as rows from r group by conv_id),
+p as (
+  select conv_id, 0::bigint as i, {{'c': 0, 'a': '', 't': ''}} as z, {_NONE} as s,
+    {{'c': 2, 'a': 'I', 't': {_U}}} as u, {{'c': 4, 'a': 'II', 't': {_U} || {_A}}} as a
+  from (select distinct conv_id from conversations)
+  union all
+  select conv_id, i, z, s,
+    list_min([u, {_edit("z", "I", "2", _U)}, {_edit("s", "I", "2", _U)}, {_edit("a", "I", "2", _U)}]) as u,
+    list_min([a, {_edit("u", "I", "2", _A)}, {_edit("z", "II", "4", f"{_U} || {_A}")},
+      {_edit("s", "II", "4", f"{_U} || {_A}")}]) as a
+  from (select p.conv_id, r.i, {_edit("z", "D", "3")} as z, list_min([{", ".join(_row_edits("s", "", ("z",)))}]) as s,
+      list_min([{", ".join(_row_edits("u", "user", ("z", "s", "a")))}]) as u,
+      list_min([{", ".join(_row_edits("a", "assistant", ("u",)))}]) as a
+    from p join r on p.conv_id is not distinct from r.conv_id and r.i = p.i + 1)),
+e as (select p.conv_id, list_min([z, a]) as b from p left join n on p.conv_id is not distinct from n.conv_id
+  where p.i = coalesce(n.rows, 0))
+select e.conv_id, coalesce(gaps, 0) as gaps, coalesce(blank, 0) as blank, coalesce(duplicate, 0) as duplicate,
+  coalesce(truncated, 0) as truncated, coalesce(illegal, 0) as illegal, b.c as cost, b.a as audit,
+  sha256(substr(b.t, 2)) as repaired_sha256
+from e left join n on e.conv_id is not distinct from n.conv_id
+"""
+
 
 def oracle_sql() -> dict[str, str]:
     return dict(ORACLES)
