@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from medframe.llm import ann, bpe, lm, mixing, neardup, pii, quality, repair, secrets, topk, urlfilter, warc
+from medframe.llm import ann, bpe, clusters, lm, mixing, neardup, pii, quality, repair, secrets, topk, urlfilter, warc
 from medframe.llm.batches import new_path
 
 TOKENIZER = "byte_bpe_multi_50k.tiktoken"
@@ -86,6 +86,11 @@ def op12_four_russians_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair.report(repair.damage(table), table).withColumnRenamed("conv", "conv_id")
 
 
+def op13_incremental_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = clusters.cluster(_table(spark, sf_dir, "embeddings"), k=16, dim=64, scale=64, rounds=3)
+    return found.withColumnRenamed("id", "vec_id")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_entropy_mix": op1_entropy_mix,
@@ -100,6 +105,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op10_url_logistic": op10_url_logistic,
         "op11_blob_ledger_secrets": op11_blob_ledger_secrets,
         "op12_four_russians_repair": op12_four_russians_repair,
+        "op13_incremental_clusters": op13_incremental_clusters,
     }
 
 
@@ -238,5 +244,30 @@ from e left join n on e.conv_id is not distinct from n.conv_id
 """
 
 
+def _round(n: int) -> str:
+    """DuckDB SQL: assignment ``a{n}`` by the centroids ``c{n}``, and the next centroids."""
+    return f"""
+a{n} as (select r, j, d from (select r, j, d, row_number() over (partition by r order by d, j) as best from (
+  select r, j, list_sum(list_transform(list_zip(x, c), lambda p: (p[1] - p[2]) * (p[1] - p[2])))::bigint as d
+  from v, c{n})) where best = 1),
+c{n + 1} as (select c{n}.j, coalesce(m.c, c{n}.c) as c from c{n} left join (
+  select j, list(divide(s - (((s % n) + n) % n), n) order by place) as c from (
+    select j, place, sum(e) as s, count(*) as n from (
+      select a{n}.j, unnest(x) as e, unnest(range(64)) as place from a{n} join v using (r)) group by j, place)
+  group by j) m using (j))"""
+
+
+ORACLES["op13_incremental_clusters"] = f"""
+with v as (select row_number() over () as r, vec_id, list_transform(v, lambda x: floor(64 * x)::bigint) as x
+  from ({_VECTORS}) where len(v) = 64),
+c0 as (select row_number() over (order by h, x) - 1 as j, x as c from (
+  select sha256('1:' || vec_id) as h, x from v order by h nulls last, x limit 16)),
+{", ".join(_round(n) for n in range(4))}
+select vec_id, a3.j::int as cluster, d as distance, (sum(d) over (partition by a3.j))::bigint as cluster_inertia,
+  (sum(d) over ())::bigint as inertia, sha256(array_to_string(c, ',')) as centroid_sha256
+from a3 join v using (r) join c3 using (j)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return dict(ORACLES)
