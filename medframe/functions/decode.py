@@ -4,9 +4,8 @@ Every decoder is a plain SQL expression so that it runs inside whole-stage
 codegen, and is built as a string (``selectExpr``) because building thousands of
 ``Column`` objects on the driver is slow for wide dictionaries.
 
-Input: ``e`` is an SQL expression for one element slot,
-``struct<vr, str, ints, dbls, bin>`` (null when the attribute is absent), and
-``ok`` is an SQL boolean that is false for files that could not be parsed.
+Input: ``e`` is an SQL expression for one element's raw value (text, ints,
+doubles or bytes by VR; null when the attribute is absent), and ``ok`` is an SQL boolean that is false for files that could not be parsed.
 
 Semantics (PS3.5 value rules, first value of multi-valued strings):
 
@@ -238,12 +237,12 @@ def needs_first_value(vr: str) -> bool:
 
 
 def value_sql(vr: str, e: str, ok: str = "isDicom", v: str | None = None) -> str:
-    """Decode element slot ``e`` of dictionary VR ``vr`` (see module doc).
+    """Decode raw value ``e`` of dictionary VR ``vr`` (see module doc).
 
-    ``v`` may name a column already holding ``first_value(e.str)``."""
-    fv = v or first_value(f"{e}.str")
+    ``v`` may name a column already holding ``first_value(e)``."""
+    fv = v or first_value(f"{e}")
     if vr in ("LT", "ST", "UT", "UR"):
-        body = f"coalesce(rtrim({e}.str), '')"
+        body = f"coalesce(rtrim({e}), '')"
     elif vr == "PN":
         body = person_name_sql(fv)
     elif vr == "DA":
@@ -253,21 +252,21 @@ def value_sql(vr: str, e: str, ok: str = "isDicom", v: str | None = None) -> str
     elif vr in MULTI_STRING_VRS:
         body = f"coalesce({fv}, '')"
     elif vr in FLOAT_VRS:
-        body = f"coalesce({e}.dbls, cast(array() as array<double>))"
+        body = f"coalesce({e}, cast(array() as array<double>))"
     elif vr in INT_VRS:
-        body = f"coalesce(transform({e}.ints, x -> {_INT32}), cast(array() as array<int>))"
+        body = f"coalesce(transform({e}, x -> {_INT32}), cast(array() as array<int>))"
     elif vr in LONG_VRS:
-        body = f"coalesce({e}.ints, cast(array() as array<bigint>))"
+        body = f"coalesce({e}, cast(array() as array<bigint>))"
     elif vr == "SQ":
-        body = f"coalesce({e}.str, '')"
+        body = f"coalesce({e}, '')"
     else:  # OB OW OD OF OL OV UN and anything else: raw bytes
-        body = f"{e}.bin"
+        body = f"{e}"
     return f"if({ok}, {body}, null)"
 
 
 def error_sql(vr: str, e: str, v: str | None = None) -> str | None:
     """Error message expression for a requested column, None if it cannot fail."""
-    fv = v or first_value(f"{e}.str")
+    fv = v or first_value(f"{e}")
     if vr == "DA":
         return date_error_sql(fv)
     if vr == "TM":

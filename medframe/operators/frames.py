@@ -64,7 +64,7 @@ def _value(elems: dict, tag: int, default=None):
     if e.vr in ("US", "SS", "UL", "SL"):
         nums = tk._numbers(e)
         return nums[0] if nums else default
-    text = tk.element_text(e, "ascii")
+    text = tk.element_text(e, tk.DEFAULT)
     return text.split("\\")[0].strip() if text else default
 
 
@@ -73,7 +73,7 @@ def _frame_plan(data, vr_of):
     signed, planar, frames); raises on anything not decodable."""
     parsed = tk.parse(memoryview(data), vr_of, stop_at_pixel=False)
     ts_elem = parsed.meta.get(0x00020010)
-    ts = tk._text(ts_elem.value, "ascii").rstrip("\x00 ") if ts_elem else None
+    ts = ts_elem.value.decode("ascii", "replace").rstrip("\x00 ") if ts_elem else None
     if ts not in _NATIVE_TS:
         raise ValueError("compressed or unsupported transfer syntax")
     elems = {e.tag: e for e in parsed.elements}

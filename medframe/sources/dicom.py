@@ -20,7 +20,10 @@ from pyspark.sql.types import StructType
 from medframe import dictionary as dictmod
 from medframe import ship
 from medframe.functions import decode
-from medframe.sources.kernel import kernel_schema_ddl, make_kernel
+from medframe.functions.values import NO_NAME, raw_kind
+from medframe.sources.files import conf_of, supported
+from medframe.sources.kernel import Column, Spec, column_name, kernel_schema_ddl, make_kernel
+from medframe.sources.predicates import predicate
 
 PATH, ISDICOM, KEYWORDS, VRS, ERRORS = "path", "isDicom", "keywords", "vrs", "errors"
 CONTENT, PRIVATE = "content", "privateTagsJson"
@@ -103,6 +106,29 @@ def _resolve_columns(columns, d, include_pixel_data, include_content, include_pr
     return keywords, extras
 
 
+def _resolve_filters(predicates, d, include_pixel_data) -> list:
+    """The elements that filters name; raises on columns that hold no text."""
+    allowed = {e.keyword: e for e in d.column_elements(include_pixel_data)}
+    out = []
+    for p in predicates:
+        e = allowed.get(p.column[0])
+        if e is None and (p.column[0] not in (PATH, ISDICOM) or len(p.column) > 1):
+            raise ValueError(f"cannot filter on {'.'.join(p.column)!r}: it is not a DICOM keyword column")
+        if e is not None:
+            if not filterable(e.single_vr, p.column):
+                raise ValueError(f"cannot filter on {'.'.join(p.column)!r}: its values are not text")
+            if e not in out:
+                out.append(e)
+    return out
+
+
+def filterable(vr: str, column: tuple) -> bool:
+    """Whether a predicate can judge ``column`` of this VR."""
+    if vr == "PN":
+        return len(column) == 2 and column[1] in NO_NAME
+    return len(column) == 1 and raw_kind(vr) == "str"
+
+
 def decode_frame(
     files: DataFrame,
     columns: list[str] | None = None,
@@ -112,6 +138,8 @@ def decode_frame(
     dictionary: dictmod.Dictionary | None = None,
     keep_elements: bool = False,
     header_only: bool = False,
+    filters: list[tuple] | None = None,
+    options: dict | None = None,
 ) -> DataFrame:
     """Tokenise and decode a DataFrame of ``path, content`` (+ other columns,
     passed through). This is the scan body; ``read`` feeds it from files.
@@ -122,14 +150,19 @@ def decode_frame(
 
     ``header_only``: ``files`` has ``path`` (and ``length``) but no
     ``content``; each executor opens its files and reads them only up to
-    PixelData, so pixel bytes never leave storage."""
+    PixelData, so pixel bytes never leave storage. ``options``: how to reach
+    their file systems (see ``medframe.sources.files``).
+
+    ``filters``: (column, op, value[, negated]) that all must hold, as ``where``
+    after the scan would decide it, but judged while a file is read: the first
+    element that fails ends its reading. Columns: path, isDicom, keywords with
+    text, or (person name, group); ops: see ``medframe.sources.predicates``."""
     ship.ensure(files.sparkSession)
     d = dictionary or dictmod.active()
     passthrough = [c for c in files.columns if c not in _BINARY_FILE_COLUMNS]
     elems, extras = _resolve_columns(
         columns, d, include_pixel_data, include_content, include_private_tags, passthrough
     )
-    requested = None if columns is None else frozenset(e.keyword for e in elems)
     if header_only and include_content:
         raise ValueError("includeContent needs the file bytes; not available with header_only")
     fields = {f.name: f for f in files.schema.fields}
@@ -139,31 +172,32 @@ def decode_frame(
         # whole pixel arrays would pile up in one output batch; binaryFile's
         # byte-capped batches bound that in the content mode
         raise ValueError("PixelData needs whole files; read it with header_only=False")
-    kernel = make_kernel(
-        [(e.tag, e.keyword, e.vr) for e in d.elements],
-        requested,
-        stop_at_pixel,
-        include_private_tags,
-        include_content,
-        passthrough,
-        want_vrs=columns is None or KEYWORDS in columns or VRS in columns or keep_elements,
+    predicates = tuple(predicate(*f) for f in filters or ())
+    read_too = [e for e in _resolve_filters(predicates, d, include_pixel_data) if e not in elems]
+    spec = Spec(
+        tags={e.tag: (e.keyword, e.vr) for e in d.elements},
+        columns=[Column(e.keyword, e.tag, e.vr, e.single_vr) for e in [*elems, *read_too]],
+        stop_at_pixel=stop_at_pixel,
+        private=include_private_tags,
+        content=include_content,
+        want_vrs=columns is None or KEYWORDS in columns or VRS in columns,
+        elements=keep_elements,
+        predicates=predicates,
+        conf=conf_of(options),
+        passthrough=tuple(passthrough),
     )
     source_cols = ["path", "length"] if header_only else ["path", "content"]
     if header_only and "length" not in files.columns:
         source_cols = ["path"]
-    tokens = files.select(*source_cols, *passthrough).mapInArrow(
-        kernel, kernel_schema_ddl(include_private_tags, include_content, pass_ddl)
-    )
+    tokens = files.select(*source_cols, *passthrough).mapInArrow(make_kernel(spec), kernel_schema_ddl(spec, pass_ddl))
     # stage 1: first values, computed once (Spark keeps this projection apart
     # rather than duplicate the expressions into every consumer)
     firsts = {}
     stage1 = ["*"]
     for i, e in enumerate(elems):
         if decode.needs_first_value(e.single_vr):
-            name = f"__v{i}"
-            firsts[e.keyword] = name
-            slot = f"attrs[{decode.sql_str(e.keyword)}]"
-            stage1.append(f"{decode.first_value(slot + '.str')} as {name}")
+            firsts[i] = f"__v{i}"
+            stage1.append(f"{decode.first_value(column_name(i))} as {firsts[i]}")
     if len(stage1) > 1:
         tokens = tokens.selectExpr(*stage1)
     exprs = [
@@ -172,20 +206,16 @@ def decode_frame(
         "if(isDicom, map_keys(vrs), null) as keywords",
         "vrs",
     ]
-    err_items = [
-        (e.keyword, e.single_vr, f"attrs[{decode.sql_str(e.keyword)}]", firsts.get(e.keyword))
-        for e in elems
-    ]
+    err_items = [(e.keyword, e.single_vr, column_name(i), firsts.get(i)) for i, e in enumerate(elems)]
     exprs.append(
         "map_concat(if(isDicom, kerrors, cast(map() as map<string,string>)), "
         f"{decode.errors_map_sql(err_items)}) as errors"
     )
-    for e in elems:
-        slot = f"attrs[{decode.sql_str(e.keyword)}]"
+    for i, e in enumerate(elems):
         ok = "isDicom"
         if e.single_vr in NUMERIC_VRS:  # a value that failed to convert -> null
             ok = f"isDicom and not map_contains_key(kerrors, {decode.sql_str(e.keyword)})"
-        dec = decode.value_sql(e.single_vr, slot, ok=ok, v=firsts.get(e.keyword))
+        dec = decode.value_sql(e.single_vr, column_name(i), ok=ok, v=firsts.get(i))
         exprs.append(f"{dec} as {decode.quote_ident(e.keyword)}")
     for c in extras:
         exprs.append(c)
@@ -217,15 +247,31 @@ def _fewer_tasks(files: DataFrame) -> DataFrame:
     return files.coalesce(target) if target < n else files
 
 
-def _is_local(spark: SparkSession, path: str) -> bool:
-    """Whether Spark would read ``path`` from the local file system (a path
-    without a scheme belongs to the default file system)."""
+def file_system_options(spark: SparkSession, options: dict | None) -> dict:
+    """How to reach file systems: the session's Hadoop settings for them (what
+    ``binaryFile`` itself would use), then the reader's options."""
+    hadoop = spark.sparkContext._jsc.hadoopConfiguration()
+    conf = {start + rest: value for start in SHARED_SETTINGS
+            for rest, value in dict(hadoop.getPropsWithPrefix(start)).items()}
+    return conf | dict(conf_of(options))
+
+
+# Settings of a session that executors need to open files themselves.
+SHARED_SETTINGS = ("fs.s3a.access.key", "fs.s3a.secret.key", "fs.s3a.session.token", "fs.s3a.endpoint",
+                   "fs.s3a.bucket.", "fs.s3a.aws.credentials.provider", "fs.s3a.path.style.access",
+                   "fs.s3a.connection.ssl.enabled", "fs.gs.auth.type", "fs.azure.account.key.",
+                   "fs.azure.sas.fixed.token.")
+
+
+def _openable(spark: SparkSession, path: str, conf: dict) -> bool:
+    """Whether executors can open ``path`` by ranges (a path without a scheme
+    belongs to the default file system)."""
     p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     scheme = p.toUri().getScheme()
     if scheme is None:
-        conf = spark.sparkContext._jsc.hadoopConfiguration()
-        scheme = spark.sparkContext._jvm.org.apache.hadoop.fs.FileSystem.getDefaultUri(conf).getScheme()
-    return scheme == "file"
+        hadoop = spark.sparkContext._jsc.hadoopConfiguration()
+        scheme = spark.sparkContext._jvm.org.apache.hadoop.fs.FileSystem.getDefaultUri(hadoop).getScheme()
+    return supported(f"{scheme}://", conf)
 
 
 def binary_files(
@@ -263,15 +309,17 @@ def read(
     schema: StructType | None = None,
     dictionary: dictmod.Dictionary | None = None,
     header_only: bool | None = None,
+    filters: list[tuple] | None = None,
 ) -> DataFrame:
     """Read DICOM files (path, directory or glob) as a DataFrame.
 
     ``header_only`` (option ``headerOnly``): list files with ``binaryFile``
-    but do not load their bytes in the JVM; executors read each file only up
-    to PixelData through ``pyarrow.fs`` (local, HDFS, S3, GCS). By default it
-    is on for local/POSIX paths (``/...``, ``file:``) unless content or pixel
-    data is requested; other schemes load whole files through ``binaryFile``
-    (any Hadoop file system, with the reader's credentials).
+    but do not load their bytes in the JVM; executors read each file by ranges,
+    only up to PixelData, through ``pyarrow.fs`` with the credentials of the
+    session and of the options. By default it is on unless content or pixel data
+    is requested, or the scheme has no file system there
+    (``medframe.sources.files``): then whole files are loaded by ``binaryFile``.
+    ``filters``: see ``decode_frame``.
 
     Options as in ``spark.read.option``: ``includePixelData``,
     ``includeContent``, ``includePrivateTags`` (case-insensitive booleans), and
@@ -290,14 +338,14 @@ def read(
         prv = prv or PRIVATE in columns
     if header_only is None and any(k.lower() == "headeronly" for k in opts):
         header_only = bool_option(opts, "headerOnly")
+    conf = file_system_options(spark, opts)
     if header_only is None:
         paths = [path] if isinstance(path, str) else list(path)
-        header_only = not con and not pix and all(_is_local(spark, p) for p in paths)
-    hdr = header_only
+        header_only = not con and not pix and all(_openable(spark, p, conf) for p in paths)
     files = binary_files(spark, path, where, opts)
-    if hdr:
+    if header_only:
         files = _fewer_tasks(files.drop("content"))
-    return decode_frame(files, columns, pix, con, prv, dictionary, header_only=hdr)
+    return decode_frame(files, columns, pix, con, prv, dictionary, header_only=header_only, filters=filters, options=conf)
 
 
 def elements_long(scanned: DataFrame, keep: list[str] | None = None) -> DataFrame:

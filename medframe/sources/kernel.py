@@ -1,25 +1,27 @@
-"""The Arrow batch function of the scan (runs on executors inside mapInArrow).
-
-Input batches: ``path``, ``content`` plus pass-through columns (partition
-values). Output: one row per input row (a file is a row, always), with a
-narrow shape that the SQL decoders read lazily:
-
-- ``isDicom``: the file parsed
-- ``vrs``: keyword -> VR found in the file, in tag order (dictionary elements)
-- ``attrs``: keyword -> ``struct<vr, str, ints, dbls, bin>`` for the requested
-  dictionary elements present in the file
-- ``privateTagsJson``: DICOM JSON of elements not in the dictionary (optional)
-- ``content``: the file bytes (optional, passed through without a copy)
+"""Decoding of a batch of files into Arrow columns (runs on executors).
+
+A file is a row, always: one that is not DICOM has ``isDicom`` false and null
+columns. Every requested keyword is a column of its own, made when a file of the
+batch has the element, so a wide schema costs little where files are narrow.
+
+- ``make_kernel``: inside ``mapInArrow``, raw values that the SQL decoders finish
+- ``Decoder`` with ``final``: finished values, for the data source
+
+Header reads fetch a prefix of each file by ranges and stop at PixelData, or at
+the first element that fails a pushed filter.
 """
 
 from __future__ import annotations
 
-import functools
-
+import struct
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import pyarrow as pa
 
+from medframe.dictionary import INT_VRS
+from medframe.functions import values
+from medframe.sources import files
 from medframe.sources import tokenise as tk
 
 # Header mode: first read of a file, grown by doubling until the data set up
@@ -50,27 +52,6 @@ def binary_views(arr: pa.Array) -> list:
     ]
 
 
-def _fs_path(uri: str):
-    """(pyarrow FileSystem, path) for a URI as listed by ``binaryFile``."""
-    from pyarrow import fs as pafs
-
-    scheme, colon, rest = uri.partition(":")
-    if not colon or "/" in scheme or scheme == "file":
-        # listed paths are not percent-encoded: take them as they are
-        path = uri if not colon or "/" in scheme else rest
-        return pafs.LocalFileSystem(), "/" + path.lstrip("/")
-    authority, _, path = rest[2:].partition("/")
-    fs, base = _fs_of("s3" if scheme in ("s3a", "s3n") else scheme, authority)
-    return fs, f"{base.rstrip('/')}/{path}"
-
-
-@functools.lru_cache(maxsize=64)
-def _fs_of(scheme: str, authority: str):
-    from pyarrow import fs as pafs
-
-    return pafs.FileSystem.from_uri(f"{scheme}://{authority}/")
-
-
 # Concurrent prefix reads per task in header mode: object stores answer each
 # request after tens of milliseconds, so a task keeps several in flight.
 HEADER_READ_THREADS = 16
@@ -78,51 +59,54 @@ HEADER_READ_THREADS = 16
 HEADER_WINDOW = 256
 
 
-def _read_prefix(uri: str, size: int | None, want: int):
-    """(bytes of the first ``want`` bytes, file size) or the exception."""
+def _read_prefix(uri: str, size: int | None, start: int, want: int | None, conf: tuple = ()):
+    """(bytes from ``start`` up to ``want``, file size) or the exception."""
     try:
-        fs, path = _fs_path(uri)
-        with fs.open_input_file(path) as f:
-            total = size if size is not None else f.size()
-            return f.read(min(total, want)), total
+        if size is None:
+            size = files.size(uri, conf)
+        end = size if want is None else min(size, want)
+        return files.read_range(uri, start, max(0, end - start), conf), size
     except Exception as exc:  # raised when the file's turn comes
         return OSError(f"cannot read {uri}: {exc}"), None
 
 
-def read_header(uri: str, size: int | None, vr_of, stop_at_pixel: bool, prefix=None, keep=None):
-    """Parse a file reading as few bytes as needed: the prefix grows until the
-    data set (up to PixelData) parses or the file ends. ``prefix`` is an
-    already fetched ``(bytes, size)`` start of the file."""
+def read_header(uri: str, size: int | None, vr_of, stop_at_pixel: bool, prefix=None, keep=None,
+                conf: tuple = (), checks=None):
+    """Parse a file reading as few bytes as needed: the prefix grows, by the
+    bytes still missing, until the data set (up to PixelData) parses, a filter
+    fails or the file ends. ``prefix`` is an already fetched ``(bytes, size)``
+    start of the file."""
     if prefix is None:
-        prefix = _read_prefix(uri, size, HEADER_FIRST_READ if stop_at_pixel else 1 << 62)
+        prefix = _read_prefix(uri, size, 0, HEADER_FIRST_READ if stop_at_pixel else None, conf)
     data, total = prefix
-    if isinstance(data, Exception):
-        raise data
-    want = len(data)
     while True:
+        if isinstance(data, Exception):
+            raise data
         try:
-            parsed = tk.parse(memoryview(data), vr_of, stop_at_pixel, keep)
+            parsed = tk.parse(memoryview(data), vr_of, stop_at_pixel, keep, checks)
             if parsed.stopped or len(data) >= total:
                 return parsed
-        except tk.NotDicom:
+        except tk.PARSE_FAULTS:
             if len(data) >= total:
                 raise
-        want = min(total, max(want, 1) * 2)
-        data, total = _read_prefix(uri, total, want)
-        if isinstance(data, Exception):
-            raise data
+        more, total = _read_prefix(uri, total, len(data), max(len(data), 1) * 2, conf)
+        if isinstance(more, Exception):
+            raise more
+        if not more:
+            raise OSError(f"cannot read {uri}: it ended at {len(data)} of {total} bytes")
+        data += more
 
 
-def fetch_prefixes(paths: list, lengths: list | None, stop_at_pixel: bool) -> list:
+def fetch_prefixes(paths: list, lengths: list | None, stop_at_pixel: bool, conf: tuple = ()) -> list:
     """First bytes of every file of a batch, read concurrently."""
     from concurrent.futures import ThreadPoolExecutor
 
-    want = HEADER_FIRST_READ if stop_at_pixel else 1 << 62
+    want = HEADER_FIRST_READ if stop_at_pixel else None
     sizes = lengths if lengths is not None else [None] * len(paths)
     if len(paths) <= 1:
-        return [_read_prefix(p, n, want) for p, n in zip(paths, sizes)]
+        return [_read_prefix(p, n, 0, want, conf) for p, n in zip(paths, sizes)]
     with ThreadPoolExecutor(max_workers=min(HEADER_READ_THREADS, len(paths))) as pool:
-        return list(pool.map(lambda a: _read_prefix(a[0], a[1], want), zip(paths, sizes)))
+        return list(pool.map(lambda a: _read_prefix(a[0], a[1], 0, want, conf), zip(paths, sizes)))
 
 
 SLOT_TYPE = pa.struct(
@@ -137,158 +121,334 @@ SLOT_TYPE = pa.struct(
 SLOT_DDL = "struct<vr:string,str:string,ints:array<bigint>,dbls:array<double>,bin:binary>"
 
 
-def kernel_schema_ddl(include_private: bool, include_content: bool, passthrough_ddl: list[str]) -> str:
-    cols = [
-        "path string",
-        "isDicom boolean",
-        "vrs map<string,string>",
-        f"attrs map<string,{SLOT_DDL}>",
-        "kerrors map<string,string>",
-    ]
-    if include_private:
+RAW_TYPES = {"str": pa.string(), "ints": pa.list_(pa.int64()), "dbls": pa.list_(pa.float64()), "bin": pa.binary()}
+RAW_DDL = {"str": "string", "ints": "array<bigint>", "dbls": "array<double>", "bin": "binary"}
+_SLOT_PLACE = {"str": 1, "ints": 2, "dbls": 3, "bin": 4}
+NAME_TYPE = pa.struct([(g, pa.string()) for g in values.NO_NAME])
+STRING_MAP = pa.map_(pa.string(), pa.string())
+
+
+def final_type(vr: str) -> pa.DataType:
+    """Arrow type of a finished column of dictionary VR ``vr``."""
+    if vr == "PN":
+        return NAME_TYPE
+    if vr in INT_VRS:
+        return pa.list_(pa.int32())
+    return RAW_TYPES[values.raw_kind(vr)]
+
+
+@dataclass(frozen=True)
+class Column:
+    """A requested keyword; ``vr`` is its single dictionary VR."""
+
+    keyword: str
+    tag: int
+    dict_vr: str
+    vr: str
+
+    @property
+    def kind(self) -> str:
+        return values.raw_kind(self.vr)
+
+
+@dataclass
+class Spec:
+    """What the kernel reads of a file.
+
+    ``want_vrs`` False leaves ``vrs`` empty (neither it nor ``keywords`` is read
+    downstream). ``final``: finished column values instead of raw ones.
+    ``elements``: all dictionary elements as a map, for tall tables. Rows that
+    fail a predicate are left out; those on a present element end its file's
+    reading. ``conf``: options of the file systems."""
+
+    tags: dict                      # tag -> (keyword, dictionary VR); bounded by the standard
+    columns: list
+    stop_at_pixel: bool = True
+    private: bool = False
+    content: bool = False
+    want_vrs: bool = True
+    final: bool = False
+    elements: bool = False
+    predicates: tuple = ()
+    conf: tuple = ()
+    passthrough: tuple = ()
+
+
+def column_name(i: int) -> str:
+    return f"__c{i}"
+
+
+def kernel_schema_ddl(spec: Spec, passthrough_ddl: list[str]) -> str:
+    cols = ["path string", "isDicom boolean", "vrs map<string,string>", "kerrors map<string,string>"]
+    cols += [f"{column_name(i)} {RAW_DDL[c.kind]}" for i, c in enumerate(spec.columns)]
+    if spec.elements:
+        cols.append(f"attrs map<string,{SLOT_DDL}>")
+    if spec.private:
         cols.append("privateTagsJson string")
-    if include_content:
+    if spec.content:
         cols.append("content binary")
     return ", ".join(cols + passthrough_ddl)
 
 
-def make_kernel(
-    tag_table: list[tuple[int, str, str]],
-    requested: frozenset | None,
-    stop_at_pixel: bool,
-    include_private: bool,
-    include_content: bool,
-    passthrough: list[str],
-    want_vrs: bool = True,
-):
-    """Build the batch function. ``tag_table`` rows are (tag, keyword, vr); it
-    is the dictionary, bounded by the standard, captured in the closure.
-    ``want_vrs=False`` leaves ``vrs`` empty (neither it nor ``keywords`` is
-    read downstream)."""
-    by_tag = {t: (k, v) for t, k, v in tag_table}
-    # only the requested elements need to be materialised when neither the
-    # keyword/VR lists nor the private elements are wanted
-    keep = None
-    if requested is not None and not want_vrs and not include_private:
-        keep = frozenset(t for t, k, _ in tag_table if k in requested)
-
-    def vr_of(tag):
-        hit = by_tag.get(tag)
+class _Maps:
+    """Map column built flat: offsets, keys and values."""
+
+    def __init__(self):
+        self.offsets, self.keys, self.values = [0], [], []
+
+    def add(self, key, value) -> None:
+        self.keys.append(key)
+        self.values.append(value)
+
+    def close(self) -> None:
+        self.offsets.append(len(self.keys))
+
+    def array(self, mask=None) -> pa.MapArray:
+        return self.of(pa.array(self.values, pa.string()), mask)
+
+    def of(self, items: pa.Array, mask=None) -> pa.MapArray:
+        return pa.MapArray.from_arrays(pa.array(self.offsets, pa.int32()), pa.array(self.keys, pa.string()),
+                                       items, mask=mask)
+
+
+class Decoder:
+    """Files -> one Arrow array per requested column."""
+
+    def __init__(self, spec: Spec):
+        self.spec = spec
+        self.place = {c.tag: i for i, c in enumerate(spec.columns)}
+        by_keyword = {k: t for t, (k, _) in spec.tags.items()}
+        self.finish = [values.finisher(c.vr) for c in spec.columns]
+        # only the requested elements need to be read when neither the
+        # keyword and VR lists nor other elements are wanted
+        self.keep = None
+        if not (spec.want_vrs or spec.private or spec.elements):
+            self.keep = frozenset(self.place)
+        self.of_column: dict = {}   # column number -> its predicates
+        self.of_file = []
+        for p in spec.predicates:
+            tag = by_keyword.get(p.column[0])
+            if tag in self.place:
+                self.of_column.setdefault(self.place[tag], []).append(p)
+            else:
+                self.of_file.append(p)
+        self.checks = {spec.columns[i].tag: self._check(i) for i, ps in self.of_column.items()
+                       if not any(p.takes_null for p in ps)}
+
+    def vr_of(self, tag):
+        hit = self.spec.tags.get(tag)
         return hit[1] if hit else None
 
-    def key_of_keyword(tag):
-        hit = by_tag.get(tag)
+    def key_of(self, tag):
+        hit = self.spec.tags.get(tag)
         return hit[0] if hit else tk.hex_key(tag)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            header_mode = "content" not in batch.schema.names
-            contents = None if header_mode else batch.column("content")
-            views = None if header_mode else binary_views(contents)
-            paths = batch.column("path").to_pylist() if header_mode else None
-            lengths = (batch.column("length").to_pylist()
-                       if header_mode and "length" in batch.schema.names else None)
-            prefixes = None
-            n = batch.num_rows
-            is_dicom, private_col = [], []
-            # map columns are built flat: offsets + keys + child arrays
-            v_off, v_keys, v_vals = [0], [], []
-            a_off, a_keys = [0], []
-            s_vr, s_str, s_ints, s_dbls, s_bin = [], [], [], [], []
-            e_off, e_keys, e_vals = [0], [], []
-            for i in range(n):
-                try:
-                    if header_mode:
-                        if i % HEADER_WINDOW == 0:  # fetch the next window of prefixes
-                            hi = min(n, i + HEADER_WINDOW)
-                            prefixes = fetch_prefixes(paths[i:hi], lengths[i:hi] if lengths else None,
-                                                      stop_at_pixel)
-                        parsed = read_header(paths[i], lengths[i] if lengths else None, vr_of,
-                                             stop_at_pixel, prefixes[i % HEADER_WINDOW], keep)
-                    else:
-                        buf = views[i]
-                        if buf is None:
-                            raise tk.NotDicom("no content")
-                        parsed = tk.parse(buf, vr_of, stop_at_pixel, keep)
-                except OSError:  # not readable is not "not DICOM": let Spark retry the task
-                    raise
-                except Exception:  # any parse failure keeps the row: isDicom = false
-                    is_dicom.append(False)
-                    v_off.append(len(v_keys))
-                    a_off.append(len(a_keys))
-                    e_off.append(len(e_keys))
-                    private_col.append(None)
-                    continue
+    def _check(self, i: int):
+        """Check of an element while its file is being read; what cannot be
+        judged yet passes, and is judged with the whole row."""
+        def check(elem, before) -> bool:
+            cs = tk.charset_of(before)
+            if elem.kind != "bytes" or not elem.value.isascii() and cs is tk.DEFAULT:
+                return True
+            value, error = self.value(i, elem, cs, [])
+            return all(p.holds(value) for p in self.of_column[i])
+
+        return check
+
+    def raw(self, i: int, elem, cs, faults: list):
+        c = self.spec.columns[i]
+        slot = tk.slot(elem, c.dict_vr, cs, lambda items: tk.items_text(items, cs, self.key_of), faults)
+        return slot[_SLOT_PLACE[c.kind]]
+
+    def value(self, i: int, elem, cs, faults: list):
+        """(finished value, error)."""
+        try:
+            return self.finish[i](self.raw(i, elem, cs, faults))
+        except VALUE_FAULTS as exc:
+            return None, tk.error_text(exc)
+
+    def batch(self, n: int, parse, path_of) -> dict:
+        """Arrays of ``n`` files. ``parse(i)`` raises for what is not DICOM;
+        ``keep`` tells the rows that pass the predicates (None: all)."""
+        spec = self.spec
+        tags, place, final = spec.tags, self.place, spec.final
+        defaults = [f(None)[0] for f in self.finish] if final else [None] * len(spec.columns)
+        columns: list = [None] * len(spec.columns)     # made when a file has the element
+        is_dicom, keep, private = [], [], []
+        vrs, errors, attrs = _Maps(), _Maps(), _Maps()
+        slots: list[list] = [[], [], [], [], []]
+        others = []   # rows without a data set
+        for i in range(n):
+            good = False
+            wanted = True
+            found: dict = {}
+            broken: set = set()
+            try:
+                parsed = parse(i)
+                good = True
+            except tk.Rejected:
+                wanted = False
+            except tk.PARSE_FAULTS:  # not DICOM: the row stays, isDicom = false
+                pass
+            if not good:
+                others.append(i)
+                private.append(None)
+            else:
                 cs = parsed.charset
-                item_json = _item_json(cs)
-                private = []
-                prev_tag = -1
+                own, prev_tag = [], -1
                 for e in parsed.elements:  # sorted by tag
                     if e.tag == prev_tag:  # a repeated tag: keep the first
                         continue
                     prev_tag = e.tag
-                    hit = by_tag.get(e.tag)
+                    hit = tags.get(e.tag)
                     if hit is None:
-                        private.append(e)
+                        own.append(e)
                         continue
                     keyword, dict_vr = hit
-                    if want_vrs:
-                        v_keys.append(keyword)
-                        v_vals.append(e.vr)
-                    if requested is None or keyword in requested:
+                    if spec.want_vrs:
+                        vrs.add(keyword, e.vr)
+                    if spec.elements:
+                        self._slot(e, keyword, dict_vr, cs, attrs, slots)
+                    at = place.get(e.tag)
+                    if at is None:
+                        continue
+                    faults: list = []
+                    if final:
+                        value, error = self.value(at, e, cs, faults)
+                    else:
                         try:
-                            vr, sv, ints, dbls, b = tk.slot(e, dict_vr, cs, item_json)
-                        except Exception as exc:  # one bad value: column null + error
-                            e_keys.append(keyword)
-                            e_vals.append(tk.error_text(exc))
-                            vr, sv, ints, dbls, b = e.vr, None, None, None, None
-                        a_keys.append(keyword)
-                        s_vr.append(vr)
-                        s_str.append(sv)
-                        s_ints.append(ints)
-                        s_dbls.append(dbls)
-                        s_bin.append(b)
-                is_dicom.append(True)
-                v_off.append(len(v_keys))
-                a_off.append(len(a_keys))
-                e_off.append(len(e_keys))
-                if include_private:
-                    private_col.append(tk.to_json_text(tk.dataset_json(private, cs, tk.hex_key)))
-            mask = pa.array([not x for x in is_dicom], pa.bool_())
-            vrs = pa.MapArray.from_arrays(
-                pa.array(v_off, pa.int32()), pa.array(v_keys, pa.string()),
-                pa.array(v_vals, pa.string()), mask=mask,
-            )
-            slots = pa.StructArray.from_arrays(
-                [pa.array(s_vr, pa.string()), pa.array(s_str, pa.string()),
-                 pa.array(s_ints, pa.list_(pa.int64())), pa.array(s_dbls, pa.list_(pa.float64())),
-                 pa.array(s_bin, pa.binary())],
-                fields=list(SLOT_TYPE),
-            )
-            attrs = pa.MapArray.from_arrays(
-                pa.array(a_off, pa.int32()), pa.array(a_keys, pa.string()), slots, mask=mask,
-            )
-            kerrors = pa.MapArray.from_arrays(
-                pa.array(e_off, pa.int32()), pa.array(e_keys, pa.string()),
-                pa.array(e_vals, pa.string()), mask=mask,
-            )
-            arrays = [batch.column("path"), pa.array(is_dicom, pa.bool_()), vrs, attrs, kerrors]
-            names = ["path", "isDicom", "vrs", "attrs", "kerrors"]
-            if include_private:
-                arrays.append(pa.array(private_col, pa.string()))
+                            value, error = self.raw(at, e, cs, faults), None
+                        except VALUE_FAULTS as exc:  # one bad value: column null + error
+                            value, error = None, tk.error_text(exc)
+                    if error is None and faults and spec.columns[at].vr not in ("DA", "TM"):  # those fail to parse
+                        error = faults[0]
+                    if error is not None:
+                        errors.add(keyword, error)
+                    if value is None:
+                        broken.add(at)
+                    found[at] = value
+                    column = columns[at]
+                    if column is None:
+                        column = columns[at] = [defaults[at]] * n
+                    column[i] = value
+                if spec.private:
+                    private.append(tk.json_text(own, cs, tk.hex_key))
+            is_dicom.append(good)
+            vrs.close()
+            errors.close()
+            attrs.close()
+            if wanted and self.of_file:
+                row = {"path": path_of(i), "isDicom": good}
+                wanted = all(p.holds(row[p.column[0]]) for p in self.of_file)
+            if wanted and self.of_column:
+                wanted = self._passes(good, found, broken)
+            keep.append(wanted)
+        mask = pa.array([not x for x in is_dicom], pa.bool_())
+        out = {"isDicom": pa.array(is_dicom, pa.bool_()), "vrs": vrs.array(mask)}
+        # the columns of a file that is not DICOM are null, its errors are none
+        out["errors"] = errors.array(None if final else mask)
+        for k, c in enumerate(spec.columns):
+            out[column_name(k)] = self._array(k, c, columns[k], defaults[k], n, others)
+        if spec.elements:
+            out["attrs"] = attrs.of(pa.StructArray.from_arrays(
+                [pa.array(s, f.type) for s, f in zip(slots, SLOT_TYPE)], fields=list(SLOT_TYPE)), mask)
+        if spec.private:
+            out["private"] = pa.array(private, pa.string())
+        out["keep"] = None if all(keep) else pa.array(keep, pa.bool_())
+        return out
+
+    def _passes(self, good: bool, found: dict, broken: set) -> bool:
+        for at, predicates in self.of_column.items():
+            if not good or at in broken:
+                value = None
+            elif at in found:
+                value = found[at] if self.spec.final else self.finish[at](found[at])[0]
+            else:
+                value = self.finish[at](None)[0]
+            if not all(p.holds(value) for p in predicates):
+                return False
+        return True
+
+    def _array(self, k: int, c: Column, column, default, n: int, others: list) -> pa.Array:
+        kind = final_type(c.vr) if self.spec.final else RAW_TYPES[c.kind]
+        if column is None and (default is None or not others):
+            return pa.repeat(pa.scalar(default, kind), n)
+        if column is None:
+            column = [default] * n
+        if default is not None:
+            for i in others:
+                column[i] = None
+        return pa.array(column, kind)
+
+    def _slot(self, e, keyword, dict_vr, cs, attrs: _Maps, slots: list) -> None:
+        try:
+            slot = tk.slot(e, dict_vr, cs, lambda items: tk.items_text(items, cs, self.key_of))
+        except VALUE_FAULTS:
+            slot = (e.vr, None, None, None, None)
+        attrs.add(keyword, None)
+        for values_, v in zip(slots, slot):
+            values_.append(v)
+
+
+# What a value that does not convert can raise.
+VALUE_FAULTS = (ValueError, OverflowError, struct.error)
+
+
+def header_parser(decoder: Decoder, paths: list, lengths: list | None):
+    """``parse(i)`` that reads each file only as far as its header goes; prefixes
+    are fetched a window at a time."""
+    spec = decoder.spec
+    window: list = []
+    start = 0
+
+    def parse(i):
+        nonlocal window, start
+        if not window or i >= start + len(window):
+            start, hi = i, min(len(paths), i + HEADER_WINDOW)
+            window = fetch_prefixes(paths[i:hi], lengths[i:hi] if lengths else None, spec.stop_at_pixel, spec.conf)
+        prefix, window[i - start] = window[i - start], None
+        return read_header(paths[i], lengths[i] if lengths else None, decoder.vr_of, spec.stop_at_pixel, prefix,
+                           decoder.keep, spec.conf, decoder.checks)
+
+    return parse
+
+
+def make_kernel(spec: Spec):
+    """The batch function of ``decode_frame``: raw columns for the SQL decoders."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        decoder = Decoder(spec)
+        for batch in batches:
+            paths = batch.column("path").to_pylist() if "path" in batch.schema.names else None
+            if "content" in batch.schema.names:
+                contents = batch.column("content")
+                views = binary_views(contents)
+
+                def parse(i):
+                    if views[i] is None:
+                        raise tk.NotDicom("no content")
+                    return tk.parse(views[i], decoder.vr_of, spec.stop_at_pixel, decoder.keep, decoder.checks)
+            else:
+                lengths = batch.column("length").to_pylist() if "length" in batch.schema.names else None
+                parse = header_parser(decoder, paths, lengths)
+            got = decoder.batch(batch.num_rows, parse, lambda i: paths[i])
+            names = ["path", "isDicom", "vrs", "kerrors"]
+            arrays = [batch.column("path"), got["isDicom"], got["vrs"], got["errors"]]
+            for k in range(len(spec.columns)):
+                names.append(column_name(k))
+                arrays.append(got[column_name(k)])
+            if spec.elements:
+                names.append("attrs")
+                arrays.append(got["attrs"])
+            if spec.private:
                 names.append("privateTagsJson")
-            if include_content:
-                arrays.append(contents)
+                arrays.append(got["private"])
+            if spec.content:
                 names.append("content")
-            for c in passthrough:
-                arrays.append(batch.column(c))
+                arrays.append(contents)
+            for c in spec.passthrough:
                 names.append(c)
-            yield pa.RecordBatch.from_arrays(arrays, names=names)
-
-    def _item_json(cs):
-        def render(items):
-            return tk.to_json_text([tk.dataset_json(it, cs, key_of_keyword) for it in items])
-
-        return render
+                arrays.append(batch.column(c))
+            out = pa.RecordBatch.from_arrays(arrays, names=names)
+            yield out if got["keep"] is None else out.filter(got["keep"])
 
     return run

@@ -20,6 +20,7 @@ import zlib
 from operator import attrgetter
 
 from medframe.dictionary import LONG_LENGTH_VRS, SINGLE_VRS
+from medframe.sources.charsets import DEFAULT, Charset, charset
 
 # Fixed values from PS3.5 / PS3.10.
 PIXEL_DATA = 0x7FE00010
@@ -31,46 +32,11 @@ TS_IMPLICIT_LE = "1.2.840.10008.1.2"
 TS_EXPLICIT_LE = "1.2.840.10008.1.2.1"
 TS_DEFLATED_LE = "1.2.840.10008.1.2.1.99"
 TS_EXPLICIT_BE = "1.2.840.10008.1.2.2"
-# Specific Character Set defined terms -> Python codecs.
-CHARSETS = {
-    "": "ascii",
-    "ISO_IR 6": "ascii",
-    "ISO 2022 IR 6": "ascii",
-    "ISO_IR 100": "latin-1",
-    "ISO 2022 IR 100": "latin-1",
-    "ISO_IR 101": "iso8859_2",
-    "ISO_IR 109": "iso8859_3",
-    "ISO_IR 110": "iso8859_4",
-    "ISO_IR 144": "iso8859_5",
-    "ISO_IR 127": "iso8859_6",
-    "ISO_IR 126": "iso8859_7",
-    "ISO_IR 138": "iso8859_8",
-    "ISO_IR 148": "iso8859_9",
-    "ISO_IR 13": "shift_jis",
-    "ISO_IR 166": "tis-620",
-    "ISO_IR 192": "utf-8",
-    "GB18030": "gb18030",
-    "GBK": "gbk",
-    "ISO 2022 IR 13": "iso2022_jp_2",
-    "ISO 2022 IR 87": "iso2022_jp_2",
-    "ISO 2022 IR 159": "iso2022_jp_2",
-    "ISO 2022 IR 149": "iso2022_kr",
-    "ISO 2022 IR 58": "iso2022_jp_2",
-    "ISO 2022 IR 101": "iso8859_2",
-    "ISO 2022 IR 109": "iso8859_3",
-    "ISO 2022 IR 110": "iso8859_4",
-    "ISO 2022 IR 144": "iso8859_5",
-    "ISO 2022 IR 127": "iso8859_6",
-    "ISO 2022 IR 126": "iso8859_7",
-    "ISO 2022 IR 138": "iso8859_8",
-    "ISO 2022 IR 148": "iso8859_9",
-    "ISO 2022 IR 166": "tis-620",
-}
 TEXT_VRS = frozenset("LT ST UT UR".split())
+CHARSET_VRS = frozenset("LO LT PN SH ST UC UT".split())
 STRINGISH_VRS = frozenset("AE AS CS DA DS DT IS LO LT PN SH ST TM UC UI UR UT".split())
 BINARY_VRS = frozenset("OB OD OF OL OV OW UN".split())
 _VALID_VR_CODES = frozenset(v.encode() for v in SINGLE_VRS)
-_MAX_DEPTH = 300  # what Python's own recursion limit allows
 _TAG = attrgetter("tag")
 
 
@@ -78,6 +44,18 @@ class NotDicom(Exception):
     pass
 
 
+class Rejected(Exception):
+    """A filter failed: the file's row is not wanted. ``tags``: elements read."""
+
+    def __init__(self, tags: int):
+        super().__init__(f"rejected after {tags} elements")
+        self.tags = tags
+
+
+# What bytes that are no DICOM data set can raise; anything else is a failure of the task.
+PARSE_FAULTS = (NotDicom, struct.error, zlib.error, ValueError, IndexError)
+
+
 class Elem:
     """One element: ``value`` is bytes, a list of item data sets (SQ), or a
     list of fragments (encapsulated pixel data)."""
@@ -123,52 +101,106 @@ _VR_CODES = {v.encode(): (v, v in LONG_LENGTH_VRS) for v in SINGLE_VRS}
 
 
 class _Reader:
-    def __init__(self, buf, explicit, le, vr_of, stop_at_pixel, keep=None):
-        self.keep = keep  # top-level tags to keep (None: all)
+    """Walks one data set with an explicit stack, so nesting has no limit.
+
+    ``keep``: top-level tags to return (None: all). ``checks``: top-level tag ->
+    function(element, elements before it); the first element of a tag that
+    fails its check ends the walk with ``Rejected``."""
+
+    def __init__(self, buf, explicit, le, vr_of, stop_at_pixel, keep=None, checks=None):
+        self.keep = keep
+        self.checks = dict(checks) if checks else None
         self.buf = buf
         self.explicit = explicit
         self.le = le
         self.vr_of = vr_of
         self.stop_at_pixel = stop_at_pixel
         self.stopped = False
-        self.u16, self.u32, self.tag = _LE if le else _BE
-        self.hdr = _HDR_LE if le else _HDR_BE
 
-    def read_tag(self, pos):
-        g, e = self.tag(self.buf, pos)
-        return (g << 16) | e
+    def dataset(self, pos, end, top=False, only_group=None):
+        """Elements from ``pos`` to ``end`` and the position after them.
 
-    def dataset(self, pos, end, depth, top=False, only_group=None):
-        """Read elements from ``pos`` to ``end`` (or an item delimiter).
+        ``only_group`` stops before the first element of another group.
 
-        ``only_group`` stops before the first element of another group."""
-        if depth > _MAX_DEPTH:
-            raise NotDicom("nesting too deep")
-        buf = self.buf
-        u16, u32, tagf = self.u16, self.u32, self.tag
+        ``out`` collects the innermost open data set. ``open_`` holds, for every
+        data set around it, what to go on with: its elements, its end, whether
+        an item delimiter ends it, and the sequence that is being read: the
+        element, where it ends, whether a delimiter ends it, and the encoding
+        around it."""
+        buf, vr_of = self.buf, self.vr_of
         explicit, le = self.explicit, self.le
+        u32, tagf = (_LE if le else _BE)[1:]
+        hdr = _HDR_LE if le else _HDR_BE
         stop_pixel = top and self.stop_at_pixel
         keep = self.keep if top else None
-        out = []
+        checks = self.checks if top else None
+        out: list = []
         append = out.append
-        hdr = self.hdr
-        while pos < end:
+        delimited = False           # the open item ends with a delimiter
+        open_: list = []
+        items = None                # items of the sequence whose next item is due
+        while True:
+            if items is not None:
+                # between the items of the innermost sequence
+                stop, seq_delimited = open_[-1][4:6]
+                if pos < stop:
+                    if pos + 8 > stop:
+                        raise NotDicom("truncated item")
+                    g, el = tagf(buf, pos)
+                    length = u32(buf, pos + 4)[0]
+                    pos += 8
+                    if (g << 16) | el == ITEM:
+                        delimited = length == UNDEFINED
+                        end = stop if delimited else pos + length
+                        if end > stop:
+                            raise NotDicom("truncated item")
+                        out = []
+                        append = out.append
+                        items.append(out)
+                        items = None
+                        continue
+                    if (g << 16) | el != SEQ_DELIM:
+                        raise NotDicom("expected item")
+                    if not seq_delimited:
+                        pos = stop
+                elif seq_delimited:
+                    raise NotDicom("unterminated sequence")
+                # the sequence is complete
+                out, end, delimited, elem, _, _, explicit, le, keep, checks = open_.pop()
+                u32, tagf = (_LE if le else _BE)[1:]
+                hdr = _HDR_LE if le else _HDR_BE
+                append = out.append
+                if elem is not None:
+                    append(elem)
+                items = None
+                continue
+            if pos >= end:
+                if not open_:
+                    return out, pos
+                if delimited:
+                    raise NotDicom("unterminated item")
+                items = open_[-1][3].value if open_[-1][3] is not None else []
+                continue
             if pos + 8 > end:
                 raise NotDicom("truncated element header")
             if explicit:
                 g, el, code, length = hdr(buf, pos)
             else:
                 g, el = tagf(buf, pos)
-            if only_group is not None and g != only_group:
-                return out, pos, False
+            if only_group is not None and g != only_group and not open_:
+                return out, pos
             tag = (g << 16) | el
             if g == 0xFFFE:
-                if tag == ITEM_DELIM:
-                    return out, pos + 8, True
-                raise NotDicom("unexpected delimiter")
-            if stop_pixel and tag == PIXEL_DATA:
+                if tag != ITEM_DELIM:
+                    raise NotDicom("unexpected delimiter")
+                if not open_:
+                    raise NotDicom("stray item delimiter")
+                pos = pos + 8 if delimited else end
+                items = open_[-1][3].value if open_[-1][3] is not None else []
+                continue
+            if stop_pixel and tag == PIXEL_DATA and not open_:
                 self.stopped = True
-                return out, end, False
+                return out, end
             if explicit:
                 hit = _VR_CODES.get(code)
                 if hit is None:
@@ -182,77 +214,49 @@ class _Reader:
                 else:
                     pos += 8
             else:
-                vr = _implicit_vr(tag, self.vr_of)
+                vr = _implicit_vr(tag, vr_of)
                 length = u32(buf, pos + 4)[0]
                 pos += 8
             if length == UNDEFINED:
-                if vr == "SQ" or vr == "UN" or not explicit:
-                    if tag == PIXEL_DATA or (vr in ("OB", "OW") and explicit):
-                        frags, pos = self.fragments(pos, end)
-                        append(Elem(tag, vr, frags, le, "fragments"))
-                        continue
-                    items, pos = self.items(pos, end, UNDEFINED, depth, implicit_un=(vr == "UN"))
-                    append(Elem(tag, "SQ", items, le, "items"))
-                elif vr in ("OB", "OW"):
-                    frags, pos = self.fragments(pos, end)
+                if (vr in ("OB", "OW") and explicit) or (tag == PIXEL_DATA and (vr in ("SQ", "UN") or not explicit)):
+                    frags, pos = self.fragments(pos, end, tagf, u32)
                     append(Elem(tag, vr, frags, le, "fragments"))
-                else:
+                    continue
+                if vr not in ("SQ", "UN") and explicit:
                     raise NotDicom("undefined length on a non-sequence")
+                elem = Elem(tag, "SQ", [], le, "items")
+                open_.append((out, end, delimited, elem, end, True, explicit, le, keep, checks))
+                items, keep, checks = elem.value, None, None
+                if vr == "UN" and explicit:  # encoded as implicit VR little endian
+                    explicit, le = False, True
+                    u32, tagf = _LE[1:]
                 continue
             nxt = pos + length
             if nxt > end:
                 raise NotDicom("truncated value")
+            if vr == "SQ":
+                # a broken sequence makes the file invalid, requested or not
+                elem = Elem(tag, vr, [], le, "items") if keep is None or tag in keep else None
+                open_.append((out, end, delimited, elem, nxt, False, explicit, le, keep, checks))
+                items, keep, checks = [] if elem is None else elem.value, None, None
+                continue
             if keep is not None and tag not in keep:
-                if vr == "SQ":  # a broken sequence makes the file invalid, requested or not
-                    self.items(pos, nxt, length, depth)
                 pos = nxt  # not requested: skipped without a copy
                 continue
-            if vr == "SQ":
-                items, _ = self.items(pos, nxt, length, depth)
-                append(Elem(tag, vr, items, le, "items"))
-            else:
-                append(Elem(tag, vr, bytes(buf[pos:nxt]), le))
+            elem = Elem(tag, vr, bytes(buf[pos:nxt]), le)
+            if checks is not None and tag in checks and not checks.pop(tag)(elem, out):
+                raise Rejected(len(out) + 1)
+            append(elem)
             pos = nxt
-        return out, pos, False
-
-    def items(self, pos, end, length, depth, implicit_un=False):
-        reader = self
-        if implicit_un and self.explicit:
-            # UN with undefined length is encoded as implicit VR little endian.
-            reader = _Reader(self.buf, False, True, self.vr_of, False)
-        stop = end if length == UNDEFINED else min(end, pos + length)
-        items = []
-        while pos < stop:
-            if pos + 8 > stop:
-                raise NotDicom("truncated item")
-            tag = reader.read_tag(pos)
-            ilen = reader.u32(self.buf, pos + 4)[0]
-            pos += 8
-            if tag == SEQ_DELIM:
-                return items, pos
-            if tag != ITEM:
-                raise NotDicom("expected item")
-            if ilen == UNDEFINED:
-                ds, pos, closed = reader.dataset(pos, stop, depth + 1)
-                if not closed:
-                    raise NotDicom("unterminated item")
-            else:
-                if pos + ilen > stop:
-                    raise NotDicom("truncated item")
-                ds, _, _ = reader.dataset(pos, pos + ilen, depth + 1)
-                pos += ilen
-            items.append(ds)
-        if length == UNDEFINED:
-            raise NotDicom("unterminated sequence")
-        return items, pos
-
-    def fragments(self, pos, end):
+
+    def fragments(self, pos, end, tagf, u32):
         frags = []
         while True:
             if pos + 8 > end:
                 raise NotDicom("truncated fragment")
-            tag = self.read_tag(pos)
-            flen = self.u32(self.buf, pos + 4)[0]
+            g, el = tagf(self.buf, pos)
+            tag = (g << 16) | el
+            flen = u32(self.buf, pos + 4)[0]
             pos += 8
             if tag == SEQ_DELIM:
                 return frags, pos
@@ -281,12 +285,13 @@ def _guess(buf, vr_of):
     return None
 
 
-def parse(data: bytes, vr_of, stop_at_pixel: bool = True, keep=None) -> Parsed:
+def parse(data: bytes, vr_of, stop_at_pixel: bool = True, keep=None, checks=None) -> Parsed:
     """Parse one file. ``vr_of(tag) -> dictionary VR or None``; ``keep``: the
     top-level tags to return (others with a defined length are skipped
-    without a copy; the character set is always kept)."""
+    without a copy; the character set is always kept); ``checks``: see
+    ``_Reader``."""
     if keep is not None:
-        keep = frozenset(keep) | {0x00080005}
+        keep = frozenset(keep) | {0x00080005} | frozenset(checks or ())
     buf = memoryview(data)
     meta = {}
     pos = 0
@@ -294,10 +299,10 @@ def parse(data: bytes, vr_of, stop_at_pixel: bool = True, keep=None) -> Parsed:
         pos = 132
     if len(buf) >= pos + 8 and _LE[0](buf, pos)[0] == 0x0002 and bytes(buf[pos + 4 : pos + 6]) in _VR_CODES:
         meta_reader = _Reader(buf, True, True, vr_of, False)
-        elems, pos, _ = meta_reader.dataset(pos, len(buf), 0, only_group=0x0002)
+        elems, pos = meta_reader.dataset(pos, len(buf), only_group=0x0002)
         meta = {e.tag: e for e in elems}
         ts_elem = meta.get(0x00020010)
-        ts = _text(ts_elem.value, "ascii").rstrip("\x00 ") if ts_elem else TS_EXPLICIT_LE
+        ts = ts_elem.value.decode("ascii", "replace").rstrip("\x00 ") if ts_elem else TS_EXPLICIT_LE
     elif pos == 132:
         ts = TS_EXPLICIT_LE
     else:
@@ -312,38 +317,24 @@ def parse(data: bytes, vr_of, stop_at_pixel: bool = True, keep=None) -> Parsed:
     elif ts == TS_EXPLICIT_BE:
         le = False
     elif ts == TS_DEFLATED_LE:
-        try:
-            inflated = zlib.decompressobj(-zlib.MAX_WBITS).decompress(bytes(buf[pos:]))
-        except zlib.error as exc:
-            raise NotDicom(str(exc)) from exc
+        inflated = zlib.decompressobj(-zlib.MAX_WBITS).decompress(bytes(buf[pos:]))
         buf, pos = memoryview(inflated), 0
-    reader = _Reader(buf, explicit, le, vr_of, stop_at_pixel, keep)
-    elements, _, closed = reader.dataset(pos, len(buf), 0, top=True)
-    if closed:
-        raise NotDicom("stray item delimiter")
+    reader = _Reader(buf, explicit, le, vr_of, stop_at_pixel, keep, checks)
+    elements, _ = reader.dataset(pos, len(buf), top=True)
     elements.sort(key=_TAG)
-    charset = _charset_of(elements, "ascii")
-    return Parsed(meta, elements, charset, reader.stopped)
+    return Parsed(meta, elements, charset_of(elements), reader.stopped)
 
 
-def _charset_of(elements, inherited):
+def charset_of(elements, inherited: Charset = DEFAULT) -> Charset:
+    """The character set of a data set; items without one inherit it."""
     for e in elements:
-        if e.tag == 0x00080005:
-            terms = _text(e.value, "ascii").rstrip("\x00 ").split("\\")
-            for t in terms:
-                t = t.strip()
-                if t in CHARSETS and CHARSETS[t] != "ascii":
-                    return CHARSETS[t]
-            return "ascii"
+        if e.tag == 0x00080005 and e.kind == "bytes":
+            return charset(e.value.decode("ascii", "replace").rstrip("\x00 "))
         if e.tag > 0x00080005:
             break
     return inherited
 
 
-def _text(value: bytes, charset: str) -> str:
-    return value.decode(charset, errors="replace")
-
-
 # ----------------------------------------------------------------- values
 
 
@@ -381,14 +372,17 @@ def _at_values(e: Elem):
     return [f"{pairs[i]:04X}{pairs[i + 1]:04X}" for i in range(0, len(pairs), 2)]
 
 
-def element_text(e: Elem, charset: str) -> str | None:
-    """All values of an element as DICOM text (backslash-separated)."""
+def element_text(e: Elem, cs: Charset, faults: list | None = None) -> str | None:
+    """All values of an element as DICOM text (backslash-separated). Bytes that
+    its character set has no text for become U+FFFD and are told in ``faults``."""
     if e.kind != "bytes":
         return None
     vr = e.vr
     if vr in STRINGISH_VRS:
-        cs = charset if vr in ("LO", "LT", "PN", "SH", "ST", "UC", "UT") else "ascii"
-        return _text(e.value, cs).rstrip("\x00 ")
+        text, whole = (cs if vr in CHARSET_VRS else DEFAULT).decode(e.value, vr == "PN")
+        if not whole and faults is not None:
+            faults.append(f"java.nio.charset.CharacterCodingException: {cs.name if vr in CHARSET_VRS else DEFAULT.name}")
+        return text.rstrip("\x00 ")
     if vr == "AT":
         return "\\".join(_at_values(e))
     nums = _numbers(e)
@@ -403,11 +397,12 @@ def _num_text(x):
     return str(x)
 
 
-def slot(e: Elem, dict_vr: str | None, charset: str, item_json):
+def slot(e: Elem, dict_vr: str | None, cs: Charset, item_json, faults: list | None = None):
     """Typed slot ``(vr, str, ints, dbls, bin)`` for the decoder.
 
     A known element stored as UN is read with its dictionary VR (UN values
-    are little endian, PS3.5 6.2.2)."""
+    are little endian, PS3.5 6.2.2). ``faults`` collects what could only be
+    read in part."""
     vr = e.vr
     target = dict_vr if dict_vr in SINGLE_VRS else vr
     if vr == "UN" and e.kind == "bytes" and target not in ("UN", "SQ"):
@@ -419,18 +414,18 @@ def slot(e: Elem, dict_vr: str | None, charset: str, item_json):
     s = ints = dbls = b = None
     if target in ("SL", "SS", "US", "UL", "SV", "UV"):
         ints = (_numbers(e) if vr in ("SL", "SS", "US", "UL", "SV", "UV")
-                else _parse_ints(e, charset, 64 if target in ("SV", "UV") else 32))
+                else _parse_ints(e, cs, 64 if target in ("SV", "UV") else 32))
     elif target in ("FL", "FD"):
         if vr in ("FL", "FD"):
             dbls = _numbers(e)
         elif vr in ("SL", "SS", "US", "UL", "SV", "UV"):
             dbls = [float(x) for x in _numbers(e)]
         else:
-            dbls = _parse_floats(e, charset)
+            dbls = _parse_floats(e, cs)
     elif target in BINARY_VRS or target == "SQ":
         b = e.value
     else:
-        s = element_text(e, charset)
+        s = element_text(e, cs, faults)
         if s is None:
             b = e.value
     return (vr, s, ints, dbls, b)
@@ -448,8 +443,8 @@ def _number_error(part: str) -> ConversionError:
     return ConversionError(f'java.lang.NumberFormatException: For input string: "{part}"')
 
 
-def _parse_ints(e, charset, bits):
-    text = element_text(e, charset) or ""
+def _parse_ints(e, cs, bits):
+    text = element_text(e, cs) or ""
     out = []
     for part in text.split("\\"):
         part = part.strip()
@@ -464,8 +459,8 @@ def _parse_ints(e, charset, bits):
     return out
 
 
-def _parse_floats(e, charset):
-    text = element_text(e, charset) or ""
+def _parse_floats(e, cs):
+    text = element_text(e, cs) or ""
     out = []
     for part in (x.strip() for x in text.split("\\")):
         if part:
@@ -486,14 +481,10 @@ def error_text(exc: Exception) -> str:
 # ----------------------------------------------------------------- DICOM JSON
 
 
-def _json_value(e: Elem, charset: str, key_of):
-    """DICOM JSON (PS3.18 F.2) object for one element."""
+def _json_value(e: Elem, cs: Charset):
+    """DICOM JSON (PS3.18 F.2) object for an element that is no sequence."""
     vr = e.vr
     out = {"vr": vr}
-    if e.kind == "items":
-        if e.value:
-            out["Value"] = [dataset_json(item, charset, key_of) for item in e.value]
-        return out
     if e.kind == "fragments":
         return out
     v = e.value
@@ -504,7 +495,7 @@ def _json_value(e: Elem, charset: str, key_of):
         return out
     if vr == "PN":
         vals = []
-        for name in element_text(e, charset).split("\\"):
+        for name in element_text(e, cs).split("\\"):
             groups = name.split("=")
             obj = {}
             for label, g in zip(("Alphabetic", "Ideographic", "Phonetic"), groups):
@@ -515,7 +506,7 @@ def _json_value(e: Elem, charset: str, key_of):
         return out
     if vr in ("IS", "DS"):
         vals = []
-        for part in element_text(e, charset).split("\\"):
+        for part in element_text(e, cs).split("\\"):
             part = part.strip()
             if not part:
                 vals.append(None)
@@ -533,7 +524,7 @@ def _json_value(e: Elem, charset: str, key_of):
     if vr == "AT":
         out["Value"] = _at_values(e)
         return out
-    text = element_text(e, charset)
+    text = element_text(e, cs)
     parts = [text] if vr in TEXT_VRS else text.split("\\")
     out["Value"] = [p if p != "" else None for p in parts]
     return out
@@ -546,13 +537,55 @@ def _ds_number(s):
     return int(f) if f.is_integer() and "e" not in s.lower() and "." not in s else f
 
 
-def dataset_json(elements, charset, key_of) -> dict:
-    cs = _charset_of(elements, charset)
-    return {key_of(e.tag): _json_value(e, cs, key_of) for e in sorted(elements, key=lambda x: x.tag)}
+def _to_json(obj) -> str:
+    return json.dumps(obj, separators=(",", ":"), ensure_ascii=False)
+
 
+def json_text(elements, cs: Charset, key_of) -> str:
+    """DICOM JSON object of a data set, sequences at every depth."""
+    return _json_parts([(elements, cs)], key_of)
 
-def to_json_text(obj) -> str:
-    return json.dumps(obj, separators=(",", ":"), ensure_ascii=False)
+
+def items_text(items, cs: Charset, key_of) -> str:
+    """DICOM JSON array of a sequence's items."""
+    return _json_parts(_between("[", [(item, cs) for item in items], "]"), key_of)
+
+
+def _between(start: str, parts: list, end: str) -> list:
+    out: list = [start]
+    for i, part in enumerate(parts):
+        if i:
+            out.append(",")
+        out.append(part)
+    out.append(end)
+    return out
+
+
+def _json_parts(todo: list, key_of) -> str:
+    """Texts as they are; (elements, inherited character set) as objects. Works
+    on a stack of what is still to be written, so depth has no limit."""
+    out = []
+    stack = todo[::-1]
+    while stack:
+        part = stack.pop()
+        if isinstance(part, str):
+            out.append(part)
+            continue
+        elements, cs = part
+        by_tag = {e.tag: e for e in sorted(elements, key=_TAG)}
+        cs = charset_of(by_tag.values(), cs)
+        parts: list = ["{"]
+        for i, e in enumerate(by_tag.values()):
+            parts.append(f'{"," if i else ""}"{key_of(e.tag)}":')
+            if e.kind != "items":
+                parts.append(_to_json(_json_value(e, cs)))
+            elif not e.value:
+                parts.append(f'{{"vr":"{e.vr}"}}')
+            else:
+                parts += _between(f'{{"vr":"{e.vr}","Value":[', [(item, cs) for item in e.value], "]}")
+        parts.append("}")
+        stack.extend(reversed(parts))
+    return "".join(out)
 
 
 def hex_key(tag: int) -> str:

@@ -54,12 +54,13 @@ def read_stream(
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     files = reader.load(path)
+    conf = dicom.file_system_options(spark, opts)
     if header_only is None and any(k.lower() == "headeronly" for k in opts):
         header_only = dicom.bool_option(opts, "headerOnly")
     if header_only is None:
-        header_only = not con and not pix and dicom._is_local(spark, path)
+        header_only = not con and not pix and dicom._openable(spark, path, conf)
     if header_only:
         if con:
             raise ValueError("includeContent needs the file bytes; not available with header_only")
         files = files.drop("content")
-    return dicom.decode_frame(files, columns, pix, con, prv, dictionary, header_only=header_only)
+    return dicom.decode_frame(files, columns, pix, con, prv, dictionary, header_only=header_only, options=conf)

@@ -9,7 +9,7 @@ import calendar
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
-from medframe.functions import decode
+from medframe.functions import decode, values
 
 PREFIX = "java.time.format.DateTimeParseException: Text '"
 
@@ -82,12 +82,13 @@ def model_tm(v):
     return f"{hh:02d}:{mm:02d}:{ss:02d}" + (f".{frac}" if frac else ""), None
 
 
-def _check(spark, values, value_sql, error_sql, model):
-    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, v string")
+def _check(spark, texts, value_sql, error_sql, model, finish):
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(texts)], "i int, v string")
     rows = df.selectExpr("i", "v", f"{value_sql('v')} as val", f"{error_sql('v')} as err").collect()
     for r in rows:
         want = model(r.v)
         assert (r.val, r.err) == want, (r.v, (r.val, r.err), want)
+        assert finish(r.v) == want, (r.v, finish(r.v), want)
 
 
 digit = st.sampled_from("0123456789")
@@ -109,11 +110,23 @@ SETTINGS = settings(max_examples=6, deadline=None, suppress_health_check=list(He
 
 @SETTINGS
 @given(st.lists(date_like, min_size=50, max_size=150))
-def test_date_decoder_matches_parser_model(spark, values):
-    _check(spark, values, decode.date_value_sql, decode.date_error_sql, model_da)
+def test_date_decoders_match_parser_model(spark, texts):
+    _check(spark, texts, decode.date_value_sql, decode.date_error_sql, model_da, values.date)
 
 
 @SETTINGS
 @given(st.lists(time_like, min_size=50, max_size=150))
-def test_time_decoder_matches_parser_model(spark, values):
-    _check(spark, values, decode.time_value_sql, decode.time_error_sql, model_tm)
+def test_time_decoders_match_parser_model(spark, texts):
+    _check(spark, texts, decode.time_value_sql, decode.time_error_sql, model_tm, values.time)
+
+
+name_like = st.text(st.sampled_from("ab ^=\\\\é山"), max_size=20)
+
+
+@SETTINGS
+@given(st.lists(name_like, min_size=50, max_size=150))
+def test_name_decoders_agree(spark, texts):
+    df = spark.createDataFrame([(v,) for v in texts], "v string")
+    first = decode.first_value("v")
+    for r in df.selectExpr("v", f"{first} as f", f"{decode.person_name_sql(first)} as n").collect():
+        assert values.first(r.v) == r.f and values.person(values.first(r.v)) == r.n.asDict()

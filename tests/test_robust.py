@@ -5,7 +5,7 @@ import math
 import pytest
 
 from medframe.functions import jsonfns
-from medframe.sources import dicom, kernel, register, tokenise
+from medframe.sources import dicom, files, kernel, register, tokenise
 
 
 def test_numbers_keep_their_spelling():
@@ -25,8 +25,8 @@ def test_long_tags_are_not_cut(spark):
 
 def test_local_paths_are_not_decoded():
     for name in ("a b", "a#b", "a%20b", "é"):
-        assert kernel._fs_path(f"file:/d/{name}.dcm")[1] == f"/d/{name}.dcm"
-        assert kernel._fs_path(f"/d/{name}.dcm")[1] == f"/d/{name}.dcm"
+        assert files.locate(f"file:/d/{name}.dcm")[1] == f"/d/{name}.dcm"
+        assert files.locate(f"/d/{name}.dcm")[1] == f"/d/{name}.dcm"
 
 
 def test_unreadable_file_raises(spark):
@@ -94,8 +94,8 @@ def test_broken_sequence_is_invalid_whatever_is_read(spark):
 def test_numbers_beyond_32_bits_in_text():
     e = tokenise.Elem(0x00280010, "LO", b"5000000000", True)
     with pytest.raises(tokenise.ConversionError):
-        tokenise.slot(e, "US", "ascii", None)
-    assert tokenise.slot(e, "SV", "ascii", None)[2] == [5000000000]
+        tokenise.slot(e, "US", tokenise.DEFAULT, None)
+    assert tokenise.slot(e, "SV", tokenise.DEFAULT, None)[2] == [5000000000]
 
 
 def test_long_rows_keep_unsigned_values(spark):
