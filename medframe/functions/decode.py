@@ -4,8 +4,9 @@ Every decoder is a plain SQL expression so that it runs inside whole-stage
 codegen, and is built as a string (``selectExpr``) because building thousands of
 ``Column`` objects on the driver is slow for wide dictionaries.
 
-Input: ``e`` is an SQL expression for one element's raw value (text, ints,
-doubles or bytes by VR; null when the attribute is absent), and ``ok`` is an SQL boolean that is false for files that could not be parsed.
+Input: ``e`` is an SQL expression for one element's raw value (the first value
+of a multi-valued text, else text, ints, doubles or bytes; null when absent), and
+``ok`` is an SQL boolean that is false for files that could not be parsed.
 
 Semantics (PS3.5 value rules, first value of multi-valued strings):
 
@@ -22,6 +23,8 @@ Semantics (PS3.5 value rules, first value of multi-valued strings):
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from medframe.dictionary import (
     FLOAT_VRS,
     INT_VRS,
@@ -224,70 +227,84 @@ def person_name_sql(v: str) -> str:
         return f"coalesce(regexp_replace(array_join({comps}, '^'), '\\\\^+$', ''), '')"
 
     return (
-        f"named_struct('Alphabetic', {group(0)}, 'Ideographic', {group(1)}, "
-        f"'Phonetic', {group(2)})"
+        f"if({v} is null or {v} = '', named_struct('Alphabetic', '', 'Ideographic', '', 'Phonetic', ''), "
+        f"named_struct('Alphabetic', {group(0)}, 'Ideographic', {group(1)}, 'Phonetic', {group(2)}))"
     )
 
 
 # ---------------------------------------------------------------- by VR
 
 
-def needs_first_value(vr: str) -> bool:
-    return vr in ("PN", "DA", "TM")
-
-
-def value_sql(vr: str, e: str, ok: str = "isDicom", v: str | None = None) -> str:
-    """Decode raw value ``e`` of dictionary VR ``vr`` (see module doc).
-
-    ``v`` may name a column already holding ``first_value(e)``."""
-    fv = v or first_value(f"{e}")
+def value_sql(vr: str, e: str, ok: str = "isDicom") -> str:
+    """Decode raw value ``e`` of dictionary VR ``vr`` (see module doc)."""
     if vr in ("LT", "ST", "UT", "UR"):
         body = f"coalesce(rtrim({e}), '')"
     elif vr == "PN":
-        body = person_name_sql(fv)
+        body = person_name_sql(e)
     elif vr == "DA":
-        body = date_value_sql(fv)
+        body = date_value_sql(e)
     elif vr == "TM":
-        body = time_value_sql(fv)
-    elif vr in MULTI_STRING_VRS:
-        body = f"coalesce({fv}, '')"
+        body = time_value_sql(e)
+    elif vr in MULTI_STRING_VRS or vr == "SQ":
+        body = f"coalesce({e}, '')"
     elif vr in FLOAT_VRS:
         body = f"coalesce({e}, cast(array() as array<double>))"
     elif vr in INT_VRS:
         body = f"coalesce(transform({e}, x -> {_INT32}), cast(array() as array<int>))"
     elif vr in LONG_VRS:
         body = f"coalesce({e}, cast(array() as array<bigint>))"
-    elif vr == "SQ":
-        body = f"coalesce({e}, '')"
     else:  # OB OW OD OF OL OV UN and anything else: raw bytes
-        body = f"{e}"
+        body = e
     return f"if({ok}, {body}, null)"
 
 
-def error_sql(vr: str, e: str, v: str | None = None) -> str | None:
+def error_sql(vr: str, e: str) -> str | None:
     """Error message expression for a requested column, None if it cannot fail."""
-    fv = v or first_value(f"{e}")
     if vr == "DA":
-        return date_error_sql(fv)
+        return date_error_sql(e)
     if vr == "TM":
-        return time_error_sql(fv)
+        return time_error_sql(e)
     return None
 
 
-def errors_map_sql(items: list[tuple], ok: str = "isDicom") -> str:
-    """``map<string,string>`` of keyword -> error for requested
-    (keyword, vr, e[, v]) items."""
-    pairs = []
-    for item in items:
-        keyword, vr, e = item[:3]
-        v = item[3] if len(item) > 3 else None
-        err = error_sql(vr, e, v)
-        if err is not None:
-            pairs.append(f"{sql_str(keyword)}, {err}")
-    if not pairs:
-        return "cast(map() as map<string,string>)"
-    m = f"map_filter(map({', '.join(pairs)}), (k, v) -> v is not null)"
-    return f"if({ok}, {m}, cast(map() as map<string,string>))"
+# Up to this many columns of dates and times are decoded by expressions of their
+# own; more go through one lambda per VR, since the code generated for many
+# copies of these long expressions is too large for the JVM to compile.
+INLINE_PARSED = 4
+
+
+@dataclass
+class Parsed:
+    """How the columns that can fail to parse are decoded: ``arrays`` to add to
+    the raw columns, ``values`` by keyword (empty: ``value_sql``), ``errors`` map."""
+
+    arrays: list
+    values: dict
+    errors: str
+
+
+def parsed_arrays(columns: list[tuple[str, str]], raw: dict, ok: str = "isDicom") -> Parsed:
+    """For requested (keyword, vr) columns with raw values in columns ``raw``."""
+    none = "cast(map() as map<string,string>)"
+    mine = [(k, vr) for k, vr in columns if vr in ("DA", "TM")]
+    if not mine:
+        return Parsed([], {}, none)
+    if len(mine) <= INLINE_PARSED:
+        pairs = ", ".join(f"{sql_str(k)}, {error_sql(vr, raw[k])}" for k, vr in mine)
+        return Parsed([], {}, f"if({ok}, map_filter(map({pairs}), (k, v) -> v is not null), {none})")
+    arrays, out, errors = [], {}, []
+    for vr, value, error in (("DA", date_value_sql, date_error_sql), ("TM", time_value_sql, time_error_sql)):
+        keywords = [k for k, v in mine if v == vr]
+        if not keywords:
+            continue
+        name = f"__parsed_{vr}"
+        arrays.append(f"transform(array({', '.join(raw[k] for k in keywords)}), "
+                      f"v -> named_struct('value', {value('v')}, 'error', {error('v')})) as {name}")
+        out |= {k: f"if({ok}, {name}[{i}].value, null)" for i, k in enumerate(keywords)}
+        texts = ", ".join(map(sql_str, keywords))
+        errors.append(f"zip_with(array({texts}), {name}, (k, p) -> named_struct('key', k, 'value', p.error))")
+    entries = f"filter(concat({', '.join(errors)}), p -> p.value is not null)"
+    return Parsed(arrays, out, f"if({ok}, map_from_entries({entries}), {none})")
 
 
 def spark_type(vr: str) -> str:

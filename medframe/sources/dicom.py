@@ -190,32 +190,22 @@ def decode_frame(
     if header_only and "length" not in files.columns:
         source_cols = ["path"]
     tokens = files.select(*source_cols, *passthrough).mapInArrow(make_kernel(spec), kernel_schema_ddl(spec, pass_ddl))
-    # stage 1: first values, computed once (Spark keeps this projection apart
-    # rather than duplicate the expressions into every consumer)
-    firsts = {}
-    stage1 = ["*"]
-    for i, e in enumerate(elems):
-        if decode.needs_first_value(e.single_vr):
-            firsts[i] = f"__v{i}"
-            stage1.append(f"{decode.first_value(column_name(i))} as {firsts[i]}")
-    if len(stage1) > 1:
-        tokens = tokens.selectExpr(*stage1)
+    names = {e.keyword: column_name(i) for i, e in enumerate(elems)}
+    parsed = decode.parsed_arrays([(e.keyword, e.single_vr) for e in elems], names)
+    if parsed.arrays:
+        tokens = tokens.selectExpr("*", *parsed.arrays)
     exprs = [
         "path",
         "isDicom",
         "if(isDicom, map_keys(vrs), null) as keywords",
         "vrs",
     ]
-    err_items = [(e.keyword, e.single_vr, column_name(i), firsts.get(i)) for i, e in enumerate(elems)]
-    exprs.append(
-        "map_concat(if(isDicom, kerrors, cast(map() as map<string,string>)), "
-        f"{decode.errors_map_sql(err_items)}) as errors"
-    )
-    for i, e in enumerate(elems):
+    exprs.append(f"map_concat(if(isDicom, kerrors, cast(map() as map<string,string>)), {parsed.errors}) as errors")
+    for e in elems:
         ok = "isDicom"
         if e.single_vr in NUMERIC_VRS:  # a value that failed to convert -> null
             ok = f"isDicom and not map_contains_key(kerrors, {decode.sql_str(e.keyword)})"
-        dec = decode.value_sql(e.single_vr, column_name(i), ok=ok, v=firsts.get(i))
+        dec = parsed.values.get(e.keyword) or decode.value_sql(e.single_vr, names[e.keyword], ok=ok)
         exprs.append(f"{dec} as {decode.quote_ident(e.keyword)}")
     for c in extras:
         exprs.append(c)

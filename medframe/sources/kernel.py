@@ -19,7 +19,7 @@ from dataclasses import dataclass
 
 import pyarrow as pa
 
-from medframe.dictionary import INT_VRS
+from medframe.dictionary import INT_VRS, MULTI_STRING_VRS
 from medframe.functions import values
 from medframe.sources import files
 from medframe.sources import tokenise as tk
@@ -258,7 +258,8 @@ class Decoder:
     def raw(self, i: int, elem, cs, faults: list):
         c = self.spec.columns[i]
         slot = tk.slot(elem, c.dict_vr, cs, lambda items: tk.items_text(items, cs, self.key_of), faults)
-        return slot[_SLOT_PLACE[c.kind]]
+        value = slot[_SLOT_PLACE[c.kind]]
+        return values.first(value) if c.vr in MULTI_STRING_VRS else value  # a column holds the first one
 
     def value(self, i: int, elem, cs, faults: list):
         """(finished value, error)."""
