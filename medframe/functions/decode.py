@@ -25,6 +25,18 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark.sql.types import (
+    ArrayType,
+    BinaryType,
+    DataType,
+    DoubleType,
+    IntegerType,
+    LongType,
+    StringType,
+    StructField,
+    StructType,
+)
+
 from medframe.dictionary import (
     FLOAT_VRS,
     INT_VRS,
@@ -320,3 +332,12 @@ def spark_type(vr: str) -> str:
     if vr in ("DA", "TM", "SQ") or vr in MULTI_STRING_VRS or vr in ("LT", "ST", "UT", "UR"):
         return "string"
     return "binary"
+
+
+def data_type(vr: str) -> DataType:
+    """Spark type of a decoded column; needs no session, unlike DDL."""
+    if vr == "PN":
+        return StructType([StructField(g, StringType()) for g in ("Alphabetic", "Ideographic", "Phonetic")])
+    simple = {"array<double>": ArrayType(DoubleType()), "array<int>": ArrayType(IntegerType()),
+              "array<bigint>": ArrayType(LongType()), "string": StringType(), "binary": BinaryType()}
+    return simple[spark_type(vr)]

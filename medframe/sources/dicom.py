@@ -15,7 +15,7 @@ parsed, and PixelData is skipped unless asked for.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql.types import ArrayType, BinaryType, BooleanType, MapType, StringType, StructField, StructType
 
 from medframe import dictionary as dictmod
 from medframe import ship
@@ -79,9 +79,17 @@ def schema(
     dictionary: dictmod.Dictionary | None = None,
 ) -> StructType:
     """The scan schema as a ``StructType`` (S16), for streams and user schemas."""
-    return StructType.fromDDL(
-        schema_ddl(include_pixel_data, include_content, include_private_tags, dictionary)
-    )
+    d = dictionary or dictmod.active()
+    text = StringType()
+    out = [StructField(PATH, text, False), StructField(ISDICOM, BooleanType(), False),
+           StructField(KEYWORDS, ArrayType(text)), StructField(VRS, MapType(text, text)),
+           StructField(ERRORS, MapType(text, text), False)]
+    out += [StructField(e.keyword, decode.data_type(e.single_vr)) for e in d.column_elements(include_pixel_data)]
+    if include_content:
+        out.append(StructField(CONTENT, BinaryType()))
+    if include_private_tags:
+        out.append(StructField(PRIVATE, text))
+    return StructType(out)
 
 
 def _resolve_columns(columns, d, include_pixel_data, include_content, include_private, passed=()):
