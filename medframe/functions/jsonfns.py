@@ -13,16 +13,16 @@ All output is compact JSON.
 
 from __future__ import annotations
 
-import json
 import re
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from medframe import dictionary as dictmod
 from medframe import ship
+from medframe.functions import jsontext
 from medframe.functions.decode import sql_str
 
 BROADCAST_MAX_ROWS = 200_000
@@ -64,42 +64,25 @@ def items_json(items: list[list[tuple[int, str, str | None]]]) -> str:
     return "concat('[', concat_ws(',', " + ", ".join(elements_json(it) for it in items) + "), ']')"
 
 
-_HEX_KEY = re.compile(r"[+-]?[0-9A-Fa-f]+\Z")
-_NUMBER = "\0n"  # marks a number kept as its text while keys are renamed
-_MARKED = re.compile(r'"\\u0000n([^"]*)"')
-
-
-def _rename_text(text: str, f) -> str:
-    """The JSON text with renamed keys; numbers keep their spelling."""
-    if "\\u0000" in text:  # could be mistaken for the mark
-        return json.dumps(_rename(json.loads(text), f), separators=(",", ":"), ensure_ascii=False)
-    mark = _NUMBER.__add__
-    obj = json.loads(text, parse_int=mark, parse_float=mark)
-    return _MARKED.sub(r"\1", json.dumps(_rename(obj, f), separators=(",", ":"), ensure_ascii=False))
+# The tags a hex text names: an optional plus sign, then hex digits, of which
+# leading zeros do not count. One rule for keys (J3) and columns.
+_HEX_TAG = r"^[+]?0*([0-9A-Fa-f]{1,8})\z"
+_HEX_KEY = re.compile(_HEX_TAG.replace(r"\z", r"\Z"))
 
 
 def _tag_key_rename(key: str, by_tag: dict) -> str:
     """Hex tag -> keyword when the dictionary has it, else the key unchanged."""
-    if not _HEX_KEY.match(key):
-        return key
-    hit = by_tag.get(int(key, 16))
-    return hit if hit is not None else key
-
-
-def _rename(obj, f):
-    if isinstance(obj, dict):
-        return {f(k): _rename(v, f) for k, v in obj.items()}
-    if isinstance(obj, list):
-        return [_rename(v, f) for v in obj]
-    return obj
+    m = _HEX_KEY.match(key)
+    return by_tag.get(int(m.group(1), 16), key) if m else key
 
 
 def rename_json_keys(col: Column | str, mapping: dict | None = None, spark=None) -> Column:
     """Rename keys of a JSON text column at every depth.
 
     ``mapping`` maps old key -> new key; by default hex tags become keywords.
-    Invalid JSON gives null."""
-    if spark is not None:
+    Invalid JSON gives null. Everything but the keys stays as it is spelt; space
+    between tokens goes. See ``medframe.functions.jsontext``."""
+    if spark := spark or SparkSession.getActiveSession():
         ship.ensure(spark)
     if mapping is None:
         by_tag = {e.tag: e.keyword for e in dictmod.active().elements}
@@ -114,15 +97,7 @@ def rename_json_keys(col: Column | str, mapping: dict | None = None, spark=None)
 
     @F.pandas_udf(StringType())
     def _rename_udf(texts: pd.Series) -> pd.Series:
-        def one(t):
-            if t is None:
-                return None
-            try:
-                return _rename_text(t, f)
-            except ValueError:
-                return None
-
-        return texts.map(one)
+        return texts.map(lambda t: None if t is None else jsontext.rename_keys(t, f))
 
     c = F.col(col) if isinstance(col, str) else col
     return _rename_udf(c)
@@ -148,9 +123,8 @@ def tag_to_keyword(df: DataFrame, tag_col: str, out_col: str = "keyword",
     )
     if len(d.elements) <= BROADCAST_MAX_ROWS:
         dim = F.broadcast(dim)
-    tag = F.col(tag_col)  # padded to eight digits; leading zeros beyond eight do not count
-    key = F.upper(F.when(F.length(tag) < 8, F.lpad(tag, 8, "0")).otherwise(
-        F.regexp_replace(tag, "^0+(?=.{8})", "")))
+    digits = F.regexp_extract(F.col(tag_col), _HEX_TAG, 1)
+    key = F.when(digits != "", F.lpad(F.upper(digits), 8, "0"))
     return (
         df.join(dim, key == F.col("__tag"), "left")
         .withColumn(out_col, F.coalesce(F.col("__kw"), F.col(tag_col)))

@@ -14,20 +14,27 @@ first enabled option (by priority) that gives one, else the basic profile's:
 - X: column dropped;  K: kept
 Other columns pass unchanged (``strict=True`` drops them instead).
 
+``sequences=True`` (the default with ``strict``) applies the same actions to the
+elements inside the JSON of sequence columns that are kept, at every depth.
+
 ``deidentify_long`` applies the same plan to a tall table (one row per
 element), as a broadcast join with the action table.
 """
 
 from __future__ import annotations
 
+import json
 import warnings
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from medframe import dictionary as dictmod
+from medframe import ship
 from medframe.dictionary import DeidElement, DeidOption
+from medframe.functions import jsontext
 from medframe.functions.decode import quote_ident, sql_str
 
 # What the profile writes in place of a value, (empty, dummy) by
@@ -147,18 +154,99 @@ def deidentify(
     salt: str = "",
     dictionary: dictmod.Dictionary | None = None,
     strict: bool = False,
+    sequences: bool | None = None,
 ) -> DataFrame:
     """A1: de-identify a DataFrame whose columns are DICOM keywords.
 
     Column order is kept. ``strict=True`` also drops every column with no
     known action (``content``, ``privateTagsJson``, unknown keywords).
+    ``sequences`` (default: ``strict``): also inside kept sequences, see
+    ``sequence_rule``.
     """
     if not strict and (dictionary or dictmod.active()) is dictmod.builtin():
         if unlisted := unlisted_columns(df):
             warnings.warn("the built-in de-identification table is a subset of the standard's and has no row for "
                           f"{', '.join(unlisted)}: passed unchanged (strict=True drops them)", stacklevel=2)
-    exprs = [e for _, _, e in plan_columns(df, config, salt, dictionary, strict) if e]
-    return df.selectExpr(*exprs)
+    plan = [p for p in plan_columns(df, config, salt, dictionary, strict) if p[2]]
+    out = df.selectExpr(*[e for _, _, e in plan])
+    if sequences if sequences is not None else strict:
+        d = dictionary or dictmod.active()
+        kept = [n for n, action, _ in plan if action in ("", "K") and n in d.by_keyword and d.by_keyword[n].vr == "SQ"]
+        rewrite = _sequence_udf(df.sparkSession, sequence_actions(config, d), salt, strict)
+        out = out.withColumns({n: rewrite(F.col(quote_ident(n))) for n in kept})
+    return out
+
+
+# How DICOM JSON spells the replacements that columns hold in ISO form.
+JSON_REPLACEMENTS = {
+    ("DA", "0001-01-01"): "00010101",
+    ("DT", "0001-01-01T00:00:00"): "00010101000000",
+    ("TM", "00:00:00"): "000000",
+}
+
+
+TEXT_VRS = dictmod.MULTI_STRING_VRS - {"AT", "DA", "DS", "DT", "IS", "TM", "UI"} | {"LT", "ST", "UR", "UT"}
+
+
+def sequence_actions(config=None, dictionary: dictmod.Dictionary | None = None) -> dict[str, str]:
+    """Action of every listed element, by keyword and by hex tag."""
+    d = dictionary or dictmod.active()
+    cfg = normalise_config(config)
+    out = {}
+    for deid in d.deid_elements:
+        std = d.by_keyword.get(deid.keyword)
+        if std is not None:
+            action = choose_action(deid, cfg)
+            if action == "C" and std.vr == "SQ":
+                action = "K"  # cleaned element by element
+            out[std.keyword] = out[std.hex_tag] = action
+    return out
+
+
+def sequence_rule(actions: dict[str, str], salt: str = "", strict: bool = False):
+    """What becomes of an element inside a sequence, for ``jsontext``: as for a
+    column of its keyword, the VR being the one in the text. A value that becomes
+    empty leaves the element without one; a hash replaces each text of a value
+    and drops sequences and bytes. Elements without an action pass, those inside
+    them are decided in turn; ``strict`` drops them."""
+    def replaced(action, text):
+        vr = jsontext.element_vr(text)
+        kind, value = replacement(action, vr or "")
+        if kind == "drop" or (value == TO_CLEAN and vr not in TEXT_VRS):
+            return None
+        value = JSON_REPLACEMENTS.get((vr, value), value)
+        if value == "":
+            return f'{{"vr":"{vr}"}}'
+        if vr == "PN":
+            value = {"Alphabetic": value}
+        elif vr == "IS":
+            value = int(value)
+        return json.dumps({"vr": vr, "Value": [value]}, separators=(",", ":")) if vr else None
+
+    def decide(key):
+        action = actions.get(key) or actions.get(key.upper())
+        if action is None:
+            return ("drop" if strict else "keep"), None
+        if action == "K":
+            return "keep", None
+        if action == "X":
+            return "drop", None
+        if action == "U":
+            return "replace", lambda text: jsontext.hashed_element(text, salt)
+        return "replace", lambda text: replaced(action, text)
+
+    return decide
+
+
+def _sequence_udf(spark: SparkSession, actions: dict[str, str], salt: str, strict: bool):
+    ship.ensure(spark)
+
+    @F.pandas_udf(StringType())
+    def rewrite(texts: pd.Series) -> pd.Series:
+        decide = sequence_rule(actions, salt, strict)
+        return texts.map(lambda t: t if t is None or t == "" else jsontext.rewrite_elements(t, decide))
+
+    return rewrite
 
 
 def unlisted_columns(df: DataFrame, dictionary: dictmod.Dictionary | None = None) -> list[str]:
