@@ -8,12 +8,14 @@ when all its fields are 0, at any depth; anything else non-null -> 1.
 (partial sums per partition, one final row: no shuffle of data, one tiny
 exchange of one row per partition). ``drop_deep_empty`` reads that one row on
 the driver and drops the columns whose count is 0. With zero input rows the
-sums are null and every column is kept.
+sums are null and every column is kept. With ``materialize=True`` the counts are
+observed while the input is written once, and the columns are dropped on reading.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
+from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DataType, StringType, StructType
 
 from medframe.functions.decode import quote_ident
@@ -54,24 +56,27 @@ def filled_counts(df: DataFrame) -> DataFrame:
 
 def deep_empty_columns(df: DataFrame) -> list[str]:
     """Names of the columns that are empty in every row (one small job)."""
-    row = filled_counts(df).first()
-    if row is None:
-        return []
-    return [n for n, v in zip(df.columns, row) if v is not None and v == 0]
+    return [n for n, v in zip(df.columns, filled_counts(df).first()) if v is not None and v == 0]
+
+
+def _without(df: DataFrame, counts: dict) -> DataFrame:
+    empty = {n for n, v in counts.items() if v is not None and v == 0}
+    return df.select(*[quote_ident(c) for c in df.columns if c not in empty]) if empty else df
 
 
 def drop_deep_empty(df: DataFrame, materialize: bool = False) -> DataFrame:
     """Drop the columns that are deep-empty in every row.
 
     The input is read twice (profile, then the caller's action). With
-    ``materialize=True`` it is first written once under the checkpoint folder
-    (see ``medframe.session.materialize``), so an expensive upstream such as
-    a file scan runs once."""
-    if materialize:
-        from medframe.session import materialize as _m
-
-        df = _m(df, "deep-empty")
-    empty = set(deep_empty_columns(df))
-    if not empty:
-        return df
-    return df.select(*[quote_ident(c) for c in df.columns if c not in empty])
+    ``materialize=True`` it runs once: it is written under the checkpoint folder
+    (see ``medframe.session.materialize``) while the written rows are counted
+    (``observe``), and the result reads the other columns of what was written."""
+    if not materialize:
+        return _without(df, dict(zip(df.columns, filled_counts(df).first())))
+    from medframe.session import materialize as _m
+
+    counted = Observation()
+    exprs = [F.expr(f"cast(sum({e}) as bigint)").alias(f"n{i}") for i, (_, e) in enumerate(indicator_exprs(df))]
+    written = _m(df.observe(counted, *exprs), "deep-empty")
+    got = counted.get
+    return _without(written, {n: got[f"n{i}"] for i, n in enumerate(df.columns)})

@@ -48,7 +48,7 @@ def files(spark: SparkSession, sf_dir: str) -> DataFrame:
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     scanned = dicom.decode_frame(files(spark, sf_dir), columns=COLUMNS)
     clean = deid.deidentify(scanned, {DeidOption.RetainUids: True})
-    kept = profile.drop_deep_empty(clean)
+    kept = profile.drop_deep_empty(clean, materialize=True)  # the scan runs once
     out = []
     for f in kept.schema.fields:
         if f.dataType.typeName() == "array":

@@ -33,3 +33,22 @@ def test_profile_is_one_aggregation(spark):
     df = spark.range(100).selectExpr("id", "cast(null as string) as s")
     plan = profile.filled_counts(df)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("HashAggregate") >= 1 and "SortMergeJoin" not in plan
+
+
+def test_materialised_drop_runs_its_input_once(spark):
+    from pyspark.sql import functions as F
+
+    runs = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def seen(i):
+        runs.add(1)
+        return "x" if i == 7 else ""
+
+    rows = spark.range(50).select(F.col("id"), seen("id").alias("one"), F.lit("  ").alias("blank"),
+                                  F.array().cast("array<string>").alias("none"))
+    out = profile.drop_deep_empty(rows, materialize=True)
+    assert out.columns == ["id", "one"] and out.count() == 50 and out.where("one = 'x'").count() == 1
+    assert runs.value == 50
+    nothing = profile.drop_deep_empty(rows.where("id < 0"), materialize=True)
+    assert nothing.columns == rows.columns and nothing.count() == 0
