@@ -72,8 +72,7 @@ def _frame_plan(data, vr_of):
     """Validate one file and return (pixel array, rows, cols, samples, bits,
     signed, planar, frames); raises on anything not decodable."""
     parsed = tk.parse(memoryview(data), vr_of, stop_at_pixel=False)
-    ts_elem = parsed.meta.get(0x00020010)
-    ts = ts_elem.value.decode("ascii", "replace").rstrip("\x00 ") if ts_elem else None
+    ts = parsed.syntax
     if ts not in _NATIVE_TS:
         raise ValueError("compressed or unsupported transfer syntax")
     elems = {e.tag: e for e in parsed.elements}

@@ -146,9 +146,8 @@ class Column:
     dict_vr: str
     vr: str
 
-    @property
-    def kind(self) -> str:
-        return values.raw_kind(self.vr)
+    def __post_init__(self):
+        object.__setattr__(self, "kind", values.raw_kind(self.vr))  # its raw value
 
 
 @dataclass
@@ -257,6 +256,8 @@ class Decoder:
 
     def raw(self, i: int, elem, cs, faults: list):
         c = self.spec.columns[i]
+        if elem.kind == "bytes" and elem.vr == c.vr and c.kind in ("ints", "dbls"):
+            return tk._numbers(elem)
         slot = tk.slot(elem, c.dict_vr, cs, lambda items: tk.items_text(items, cs, self.key_of), faults)
         value = slot[_SLOT_PLACE[c.kind]]
         return values.first(value) if c.vr in MULTI_STRING_VRS else value  # a column holds the first one
@@ -279,6 +280,8 @@ class Decoder:
         vrs, errors, attrs = _Maps(), _Maps(), _Maps()
         slots: list[list] = [[], [], [], [], []]
         others = []   # rows without a data set
+        judged = bool(self.of_column)
+        raw, value_of = self.raw, self.value
         for i in range(n):
             good = False
             wanted = True
@@ -315,19 +318,20 @@ class Decoder:
                         continue
                     faults: list = []
                     if final:
-                        value, error = self.value(at, e, cs, faults)
+                        value, error = value_of(at, e, cs, faults)
                     else:
                         try:
-                            value, error = self.raw(at, e, cs, faults), None
+                            value, error = raw(at, e, cs, faults), None
                         except VALUE_FAULTS as exc:  # one bad value: column null + error
                             value, error = None, tk.error_text(exc)
                     if error is None and faults and spec.columns[at].vr not in ("DA", "TM"):  # those fail to parse
                         error = faults[0]
                     if error is not None:
                         errors.add(keyword, error)
-                    if value is None:
-                        broken.add(at)
-                    found[at] = value
+                    if judged:
+                        found[at] = value
+                        if value is None:
+                            broken.add(at)
                     column = columns[at]
                     if column is None:
                         column = columns[at] = [defaults[at]] * n
@@ -335,9 +339,11 @@ class Decoder:
                 if spec.private:
                     private.append(tk.json_text(own, cs, tk.hex_key))
             is_dicom.append(good)
-            vrs.close()
+            if spec.want_vrs:
+                vrs.close()
+            if spec.elements:
+                attrs.close()
             errors.close()
-            attrs.close()
             if wanted and self.of_file:
                 row = {"path": path_of(i), "isDicom": good}
                 wanted = all(p.holds(row[p.column[0]]) for p in self.of_file)
@@ -345,6 +351,8 @@ class Decoder:
                 wanted = self._passes(good, found, broken)
             keep.append(wanted)
         mask = pa.array([not x for x in is_dicom], pa.bool_())
+        if not spec.want_vrs:
+            vrs.offsets = [0] * (n + 1)
         out = {"isDicom": pa.array(is_dicom, pa.bool_()), "vrs": vrs.array(mask)}
         # the columns of a file that is not DICOM are null, its errors are none
         out["errors"] = errors.array(None if final else mask)

@@ -16,6 +16,7 @@ from __future__ import annotations
 import base64
 import json
 import struct
+import sys
 import zlib
 from operator import attrgetter
 
@@ -67,12 +68,13 @@ class Elem:
 
 
 class Parsed:
-    """``stopped``: parsing ended at PixelData (the rest was not read)."""
+    """``syntax``: the transfer syntax the file names, if it does; ``stopped``:
+    parsing ended at PixelData (the rest was not read)."""
 
-    __slots__ = ("meta", "elements", "charset", "stopped")
+    __slots__ = ("syntax", "elements", "charset", "stopped")
 
-    def __init__(self, meta, elements, charset, stopped=False):
-        self.meta, self.elements, self.charset, self.stopped = meta, elements, charset, stopped
+    def __init__(self, syntax, elements, charset, stopped=False):
+        self.syntax, self.elements, self.charset, self.stopped = syntax, elements, charset, stopped
 
 
 def _implicit_vr(tag: int, vr_of) -> str:
@@ -117,11 +119,9 @@ class _Reader:
         self.stop_at_pixel = stop_at_pixel
         self.stopped = False
 
-    def dataset(self, pos, end, top=False, only_group=None):
+    def dataset(self, pos, end, top=False):
         """Elements from ``pos`` to ``end`` and the position after them.
 
-        ``only_group`` stops before the first element of another group.
-
         ``out`` collects the innermost open data set. ``open_`` holds, for every
         data set around it, what to go on with: its elements, its end, whether
         an item delimiter ends it, and the sequence that is being read: the
@@ -187,8 +187,6 @@ class _Reader:
                 g, el, code, length = hdr(buf, pos)
             else:
                 g, el = tagf(buf, pos)
-            if only_group is not None and g != only_group and not open_:
-                return out, pos
             tag = (g << 16) | el
             if g == 0xFFFE:
                 if tag != ITEM_DELIM:
@@ -285,6 +283,32 @@ def _guess(buf, vr_of):
     return None
 
 
+def _meta(buf, pos) -> tuple[int, str | None]:
+    """Walks the file meta group: (where the data set starts, transfer syntax)."""
+    end, syntax = len(buf), None
+    while pos + 8 <= end:
+        g, el, code, length = _HDR_LE(buf, pos)
+        if g != 0x0002:
+            return pos, syntax
+        hit = _VR_CODES.get(code)
+        if hit is None:
+            raise NotDicom("invalid VR")
+        pos += 8
+        if hit[1]:
+            if pos + 4 > end:
+                raise NotDicom("truncated element header")
+            length = _LE[1](buf, pos)[0]
+            pos += 4
+        if pos + length > end:
+            raise NotDicom("truncated value")
+        if el == 0x0010 and syntax is None:
+            syntax = bytes(buf[pos:pos + length]).decode("ascii", "replace").rstrip("\x00 ")
+        pos += length
+    if pos < end:
+        raise NotDicom("truncated element header")
+    return pos, syntax
+
+
 def parse(data: bytes, vr_of, stop_at_pixel: bool = True, keep=None, checks=None) -> Parsed:
     """Parse one file. ``vr_of(tag) -> dictionary VR or None``; ``keep``: the
     top-level tags to return (others with a defined length are skipped
@@ -293,16 +317,11 @@ def parse(data: bytes, vr_of, stop_at_pixel: bool = True, keep=None, checks=None
     if keep is not None:
         keep = frozenset(keep) | {0x00080005} | frozenset(checks or ())
     buf = memoryview(data)
-    meta = {}
-    pos = 0
-    if len(buf) >= 132 and bytes(buf[128:132]) == b"DICM":
-        pos = 132
+    pos = 132 if bytes(buf[128:132]) == b"DICM" else 0
+    named = None
     if len(buf) >= pos + 8 and _LE[0](buf, pos)[0] == 0x0002 and bytes(buf[pos + 4 : pos + 6]) in _VR_CODES:
-        meta_reader = _Reader(buf, True, True, vr_of, False)
-        elems, pos = meta_reader.dataset(pos, len(buf), only_group=0x0002)
-        meta = {e.tag: e for e in elems}
-        ts_elem = meta.get(0x00020010)
-        ts = ts_elem.value.decode("ascii", "replace").rstrip("\x00 ") if ts_elem else TS_EXPLICIT_LE
+        pos, named = _meta(buf, pos)
+        ts = named or TS_EXPLICIT_LE
     elif pos == 132:
         ts = TS_EXPLICIT_LE
     else:
@@ -322,7 +341,7 @@ def parse(data: bytes, vr_of, stop_at_pixel: bool = True, keep=None, checks=None
     reader = _Reader(buf, explicit, le, vr_of, stop_at_pixel, keep, checks)
     elements, _ = reader.dataset(pos, len(buf), top=True)
     elements.sort(key=_TAG)
-    return Parsed(meta, elements, charset_of(elements), reader.stopped)
+    return Parsed(named, elements, charset_of(elements), reader.stopped)
 
 
 def charset_of(elements, inherited: Charset = DEFAULT) -> Charset:
@@ -338,8 +357,15 @@ def charset_of(elements, inherited: Charset = DEFAULT) -> Charset:
 # ----------------------------------------------------------------- values
 
 
+# native item codes of little-endian integers, for values of a whole number of items
+_NATIVE = {"US": ("H", 2), "SS": ("h", 2), "UL": ("i", 4), "SL": ("i", 4), "UV": ("q", 8), "SV": ("q", 8),
+           "FL": ("f", 4), "FD": ("d", 8)} if sys.byteorder == "little" else {}
+
+
 def _numbers(e: Elem):
     v, vr = e.value, e.vr
+    if e.le and (native := _NATIVE.get(vr)) and len(v) % native[1] == 0:
+        return memoryview(v).cast(native[0]).tolist()
     end = "<" if e.le else ">"
     if vr == "US":
         return list(struct.unpack(f"{end}{len(v) // 2}H", v[: len(v) // 2 * 2]))

@@ -4,13 +4,13 @@ import math
 
 import pytest
 
-from medframe.functions import jsonfns
+from medframe.functions import jsonfns, jsontext
 from medframe.sources import dicom, files, kernel, register, tokenise
 
 
 def test_numbers_keep_their_spelling():
     f = lambda k: jsonfns._tag_key_rename(k, {0x00080064: "ConversionType", 0xFFFAFFFA: "X"})
-    assert jsonfns._rename_text('{"00080064":[1.10,1E2,123456789012345678901.5,"a"]}', f) == \
+    assert jsontext.rename_keys('{"00080064":[1.10,1E2,123456789012345678901.5,"a"]}', f) == \
         '{"ConversionType":[1.10,1E2,123456789012345678901.5,"a"]}'
     assert f("000000080064") == "ConversionType" and f("FFFAFFFA") == "X"
     for k in (" 00080064", "0008_0064", "0x80064", ""):
