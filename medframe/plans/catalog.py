@@ -207,9 +207,9 @@ def private_tags_json(spark, sf_dir):
     "select event_id, strftime(ts, '%Y-%m-%d') as StudyDate from events where ts >= timestamp '2024-01-15'",
 )
 def filter_after_decode(spark, sf_dir):
-    """filters on decoded columns run after the scan; result is exact."""
-    df = _event_scan(spark, sf_dir, ["StudyDate"])
-    return df.where("StudyDate >= '2024-01-15'").select("event_id", "StudyDate")
+    """a filter on a decoded column, judged while files are read; result is exact."""
+    df = _event_scan(spark, sf_dir, ["StudyDate"], filters=[("StudyDate", ">=", "2024-01-15")])
+    return df.select("event_id", "StudyDate")
 
 
 # ====================================================================== decode
@@ -751,25 +751,42 @@ def json_array(spark, sf_dir):
     return V.table(spark, sf_dir, "lineitem").selectExpr("l_orderkey", "l_linenumber", f"{expr} as json")
 
 
+_DEEP = 5000
+
+
 @register(
     "json_rename_keys",
-    """
-select event_id, '{"ConversionType":{"k":' || json_extract_string(props, '$.k')
-  || '},"0009100A":[{"k":' || json_extract_string(props, '$.k') || '}],"PixelData":{"vr":"OB"},'
-  || '"PatientName":1.10,"0008_0064":1E2,"00080064FF":[12345678901234567890.50]}' as json
+    f"""
+select event_id, case event_id % 4
+  when 0 then '{{"ConversionType":{{"k":' || json_extract_string(props, '$.k')
+    || '}},"0009100A":[{{"k":' || json_extract_string(props, '$.k') || '}}],"PixelData":{{"vr":"OB"}},'
+    || '"PatientName":1.10,"0008_0064":1E2,"00080064FF":[12345678901234567890.50]}}'
+  when 1 then '{{"ConversionType":"\\u0000 00080064","a":' || event_id || ',"a":[1.10,"x : y"],"\\"00080064":null}}'
+  when 2 then case when event_id % 1000 = 2 then repeat('{{"ConversionType":[', {_DEEP}) || event_id || repeat(']}}', {_DEEP})
+    else '{{"ConversionType":[' || event_id || ']}}' end
+  end as json
 from events""",
 )
 def json_rename_keys(spark, sf_dir):
-    """Rename hex-tag keys to keywords at every depth; others unchanged."""
+    """Rename hex-tag keys to keywords at every depth; all else as spelt
+    (numbers, escapes, repeated keys), any depth, invalid texts null."""
     ev = spread(V.table(spark, sf_dir, "events"))
     src = F.concat(F.lit('{"00080064":'), F.col("props"), F.lit(',"0009100A":['), F.col("props"),
                    F.lit('],"7FE00010":{"vr":"OB"},"000000100010":1.10,"0008_0064":1E2,'
                          '"00080064FF":[12345678901234567890.50]}'))
-    return ev.select("event_id", jsonfns.rename_json_keys(src, spark=spark).alias("json"))
+    odd = F.concat(F.lit('{ "+00080064" :"\\u0000 00080064", "a":'), "event_id",
+                   F.lit(',"a":[1.10 ,"x : y"],"\\"00080064":null}'))
+    deep = F.when(F.col("event_id") % 1000 == 2, F.concat(
+        F.repeat(F.lit('{"00080064":['), F.lit(_DEEP)), "event_id", F.repeat(F.lit("]}"), F.lit(_DEEP)))).otherwise(
+        F.concat(F.lit('{"80064":['), "event_id", F.lit("]}")))
+    broken = F.concat(F.lit('{"00080064":['), "event_id", F.lit(",]}"))
+    kind = F.col("event_id") % 4
+    text = F.when(kind == 0, src).when(kind == 1, odd).when(kind == 2, deep).otherwise(broken)
+    return ev.select("event_id", jsonfns.rename_json_keys(text).alias("json"))
 
 
 _TAGS = ["00080064", "00100010", "0009100A", "7FE00010", "00200010", "ABCD1234",
-         "00080064FF", "000000080064", "80064", "notatag"]
+         "00080064FF", "000000080064", "80064", "notatag", "+00080064", "-00080064"]
 
 
 @register(
@@ -777,7 +794,7 @@ _TAGS = ["00080064", "00100010", "0009100A", "7FE00010", "00200010", "ABCD1234",
     f"""
 with t as (select event_id, ['{"','".join(_TAGS)}'][event_id % {len(_TAGS)} + 1] as tag from events)
 select event_id, tag, case tag when '00080064' then 'ConversionType'
-  when '000000080064' then 'ConversionType' when '80064' then 'ConversionType' when '00100010' then 'PatientName'
+  when '000000080064' then 'ConversionType' when '+00080064' then 'ConversionType' when '80064' then 'ConversionType' when '00100010' then 'PatientName'
   when '7FE00010' then 'PixelData' when '00200010' then 'StudyID' else tag end as keyword
 from t""",
 )
