@@ -7,6 +7,12 @@ the lowest rank in use by find-first-set. Entries are not removed when a
 neighbour changes: on the way out an entry counts only if the pair at its
 position still has that rank. A pre-token of n bytes costs O(n log n).
 
+``BatchQueue`` runs the same queue over all short pre-tokens of a slice that are
+not remembered: one linked list with borders, buckets that hold positions of all
+of them. A visited rank merges the leftmost position of every pre-token that has
+it, together in numpy; what is left of the bucket is filed again, since a merge
+can make a pair of lower rank that comes first.
+
 Vocabulary and pattern are parameters. Results equal the reference tokeniser
 of the rank files: a pre-token that is itself in the vocabulary is one token;
 otherwise the pair of lowest rank merges first, leftmost on ties.
@@ -34,7 +40,9 @@ from medframe import ship
 from medframe.llm.batches import slices, values
 
 CACHED_PIECES = 120_000  # remembered pre-tokens of a generation; two are kept
-CACHED_PIECE = 64        # longer pre-tokens are not remembered
+SHORT_PIECE = 64         # bytes; longer pre-tokens go alone and are not remembered
+SLICE_BYTES = 4 << 20    # text that is encoded together
+FEW_MERGES = 6           # merges of a rank that are done one by one
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -134,38 +142,205 @@ def encode_piece(piece: bytes, ranks: dict[bytes, int], queue: RankQueue) -> lis
     return out
 
 
+class BatchQueue:
+    """One rank queue over many short pre-tokens."""
+
+    def __init__(self, ranks: dict[bytes, int]):
+        self.ranks = ranks
+        self.bytes = np.array([ranks.get(bytes([b]), -1) for b in range(256)], dtype=np.int32)
+        pairs = {}
+        for token, rank in ranks.items():
+            for cut in range(1, len(token)):
+                a, b = ranks.get(token[:cut]), ranks.get(token[cut:])
+                if a is not None and b is not None:
+                    pairs[a << 32 | b] = rank
+        self.pairs = pairs     # two symbols -> rank of both together
+        self.keys = np.array(sorted(pairs), dtype=np.int64)
+        self.ranks_of = np.array([pairs[k] for k in self.keys.tolist()], dtype=np.int32)
+        self.words = [0] * ((max(ranks.values(), default=0) >> BITS) + 1)
+
+    def _rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Rank of the pairs of two symbols, -1 without one."""
+        if not len(self.keys):
+            return np.full(len(left), -1, dtype=np.int32)
+        key = left.astype(np.int64) << 32 | right
+        at = np.searchsorted(self.keys, key)
+        at[at == len(self.keys)] = 0
+        return np.where(self.keys[at] == key, self.ranks_of[at], -1)
+
+    def encode(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all pieces, how many each has). No piece is empty."""
+        data = np.frombuffer(b"".join(pieces), dtype=np.uint8)
+        sizes = np.fromiter(map(len, pieces), dtype=np.int64, count=len(pieces))
+        starts = np.cumsum(sizes) - sizes
+        n = len(data)
+        symbol = self.bytes[data]
+        piece = np.repeat(np.arange(len(pieces), dtype=np.int32), sizes)
+        after = np.arange(1, n + 1, dtype=np.int32)          # next symbol, -1 at a border
+        after[starts + sizes - 1] = -1
+        before = np.arange(-1, n - 1, dtype=np.int32)
+        before[starts] = -1
+        pair = np.full(n, -1, dtype=np.int32)                # rank of the pair that starts here
+        inner = np.flatnonzero(after >= 0)
+        pair[inner] = self._rank(symbol[inner], symbol[inner + 1])
+        alive = np.ones(n, dtype=bool)
+
+        buckets: dict[int, list] = {}
+        words, top = self.words, 0
+        pairs = self.pairs
+
+        def file(ranks, places) -> None:
+            """Positions into the buckets of their ranks."""
+            nonlocal top
+            order = np.argsort(ranks, kind="stable")
+            ranks, places = ranks[order], places[order]
+            cuts = np.flatnonzero(ranks[1:] != ranks[:-1]) + 1
+            for r, i, j in zip(ranks[np.concatenate(([0], cuts))].tolist(), [0, *cuts.tolist()], [*cuts.tolist(), len(ranks)]):
+                if r in buckets:
+                    buckets[r].append(places[i:j])
+                else:
+                    buckets[r] = [places[i:j]]
+                    words[r >> BITS] |= BIT[r & 255]
+                    top |= 1 << (r >> BITS)
+
+        some = np.flatnonzero(pair >= 0)
+        if len(some):
+            file(pair[some], some)
+        while top:
+            w = (top & -top).bit_length() - 1
+            word = words[w]
+            rank = (w << BITS) + (word & -word).bit_length() - 1
+            words[w] = word & (word - 1)
+            if not words[w]:
+                top &= top - 1
+            held = buckets.pop(rank)
+            places = held[0] if len(held) == 1 else np.sort(np.concatenate(held))
+            places = places[pair[places] == rank]            # the others are stale
+            if not len(places):
+                continue
+            own = piece[places]
+            first = np.concatenate(([True], own[1:] != own[:-1]))
+            if not first.all():                              # one merge of a piece at a time
+                rest, places = places[~first], places[first]
+                buckets[rank] = [rest]
+                words[w] |= BIT[rank & 255]
+                top |= 1 << w
+            if len(places) <= FEW_MERGES:
+                for i in places.tolist():
+                    j = int(after[i])
+                    k, left = int(after[j]), int(before[i])
+                    symbol[i] = rank
+                    after[i] = k
+                    alive[j] = False
+                    pair[j] = pair[i] = -1
+                    fresh = []
+                    if k >= 0:
+                        before[k] = i
+                        fresh.append((i, pairs.get(rank << 32 | int(symbol[k]), -1)))
+                    if left >= 0:
+                        fresh.append((left, pairs.get(int(symbol[left]) << 32 | rank, -1)))
+                    for place, r in fresh:
+                        pair[place] = r
+                        if r >= 0:
+                            if r in buckets:
+                                buckets[r].append(np.array([place]))
+                            else:
+                                buckets[r] = [np.array([place])]
+                                words[r >> BITS] |= BIT[r & 255]
+                                top |= 1 << (r >> BITS)
+                continue
+            second = after[places]
+            third, left = after[second], before[places]
+            symbol[places] = rank
+            after[places] = third
+            alive[second] = False
+            pair[second] = -1
+            pair[places] = -1
+            more = third >= 0
+            i, k = places[more], third[more]
+            before[k] = i
+            pair[i] = self._rank(symbol[i], symbol[k])
+            left = left[left >= 0]
+            pair[left] = self._rank(symbol[left], np.full(len(left), rank))
+            fresh = np.concatenate((i, left))
+            fresh = fresh[pair[fresh] >= 0]
+            if len(fresh):
+                file(pair[fresh], fresh)
+        ids = symbol[alive]
+        return ids, np.add.reduceat(alive.astype(np.int64), starts) if n else np.zeros(0, np.int64)
+
+
+# What a pre-token encodes to: packed ids, their decimal text, and the bytes they decode to.
+Piece = tuple[bytes, str, bytes]
+
+
 class Encoder:
-    """Encodes texts. Remembers pre-tokens, as packed ids, in two generations:
-    when the young one is full it becomes the old one, and what is used again
-    moves back, so frequent pre-tokens stay."""
+    """Encodes the texts of a slice together. Remembers short pre-tokens in two
+    generations: when the young one is full it becomes the old one, and what is
+    used again moves back, so frequent pre-tokens stay."""
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.ranks = ranks
         self.split = regex.compile(pattern).findall
-        self.queue = RankQueue(ranks)
-        self.young: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
-        self.decimal: list[str] = []
-
-    def _packed(self, piece: str) -> bytes:
-        packed = self.young.get(piece) or self.old.get(piece)
-        if packed is None:
-            ids = encode_piece(piece.encode(), self.ranks, self.queue)
-            packed = np.array(ids, dtype="<u4").tobytes() if len(ids) > 4 else PACK[len(ids)](*ids)
-        if len(piece) <= CACHED_PIECE:
-            if len(self.young) >= CACHED_PIECES:
-                self.old, self.young = self.young, {}
-            self.young[piece] = packed
-        return packed
-
-    def __call__(self, text: str) -> np.ndarray:
-        pieces = self.split(text)
-        parts = list(map(self.young.get, pieces))
-        if None in parts:
-            for i, part in enumerate(parts):
-                if part is None:
-                    parts[i] = self._packed(pieces[i])
-        return np.frombuffer(b"".join(parts), dtype="<u4")
+        self.long = RankQueue(ranks)
+        self.short = BatchQueue(ranks)
+        self.by_id = vocabulary(ranks)
+        self.decimal = [str(i) for i in range(len(self.by_id))]
+        self.young: dict[str, Piece] = {}
+        self.old: dict[str, Piece] = {}
+
+    def _encode(self, new: list[str]) -> dict[str, Piece]:
+        """Pre-tokens that are not remembered, each once."""
+        short, names, ids, order = [], [], [], []
+        for name in new:
+            data = name.encode()
+            whole = self.ranks.get(data)
+            if whole is not None:
+                order.append(name)
+                ids.append([whole])
+            elif len(data) > SHORT_PIECE:
+                order.append(name)
+                ids.append(encode_piece(data, self.ranks, self.long))
+            else:
+                short.append(data)
+                names.append(name)
+        ends = np.cumsum([len(i) for i in ids]).tolist()
+        flat = [np.array([x for i in ids for x in i], dtype=np.int32)]
+        if short:
+            found, counts = self.short.encode(short)
+            ends += (np.cumsum(counts) + len(flat[0])).tolist()
+            flat.append(found)
+        every = np.concatenate(flat)
+        packed = every.astype("<u4").tobytes()
+        numbers = every.tolist()
+        decimal = list(map(self.decimal.__getitem__, numbers))
+        decoded = list(map(self.by_id.__getitem__, numbers))
+        out, start = {}, 0
+        for name, end in zip(order + names, ends):
+            out[name] = packed[4 * start:4 * end], ",".join(decimal[start:end]), b"".join(decoded[start:end])
+            start = end
+        return out
+
+    def __call__(self, texts: list[str]) -> list[list[Piece]]:
+        """The pieces of each text."""
+        split = [self.split(t) for t in texts]
+        young, old = self.young, self.old
+        different = set().union(*split)
+        known = {name: young[name] for name in different & young.keys()}
+        again = {name: old[name] for name in (different & old.keys()) - known.keys()}
+        again |= self._encode(list(different - known.keys() - again.keys()))
+        known |= again
+        for name, piece in again.items():
+            if len(name) <= SHORT_PIECE:
+                if len(young) >= CACHED_PIECES:
+                    self.old, self.young = young, {}
+                    young = self.young
+                young[name] = piece
+        return [list(map(known.__getitem__, pieces)) for pieces in split]
+
+
+def packed_ids(pieces: list[Piece]) -> np.ndarray:
+    return np.frombuffer(b"".join([ids for ids, _, _ in pieces]), dtype="<u4")
 
 
 _ENCODERS: dict[tuple, Encoder] = {}
@@ -193,12 +368,12 @@ def decode(ids, by_id: list[bytes]) -> bytes:
 
 
 def _run(shared, pattern: str, text_col: str, make, names: list[str], types: list):
-    """Batch function: appends the columns ``make(encoder, by_id, text)``."""
+    """Batch function: appends the columns ``make(text, pieces)``."""
     def run(batches):
         encoder = _encoder(shared, pattern)
-        by_id = vocabulary(encoder.ranks)
-        for part in slices(batches, text_col):
-            rows = [make(encoder, by_id, text or "") for text in values(part, text_col)]
+        for part in slices(batches, text_col, SLICE_BYTES):
+            texts = [text or "" for text in values(part, text_col)]
+            rows = [make(text, pieces) for text, pieces in zip(texts, encoder(texts))]
             cols = [pa.array(c, t) for c, t in zip(zip(*rows), types)]
             yield pa.record_batch(list(part.columns) + cols, names=list(part.schema.names) + names)
 
@@ -217,7 +392,7 @@ def encode(df: DataFrame, ranks_path: str, pattern: str, text_col: str = "text",
     shared = spark.sparkContext.broadcast(read_ranks(ranks_path))  # a fixed vocabulary file
     schema = _with(df.drop(out_col), (out_col, ArrayType(IntegerType())))
     return df.drop(out_col).mapInArrow(
-        _run(shared, pattern, text_col, lambda e, v, t: (e(t),), [out_col], [pa.list_(pa.int32())]), schema)
+        _run(shared, pattern, text_col, lambda text, pieces: (packed_ids(pieces),), [out_col], [pa.list_(pa.int32())]), schema)
 
 
 def decode_ids(df: DataFrame, ranks_path: str, ids_col: str = "token_ids",
@@ -238,13 +413,10 @@ def decode_ids(df: DataFrame, ranks_path: str, ids_col: str = "token_ids",
     return df.drop(out_col).mapInArrow(run, schema)
 
 
-def _digests(encoder: Encoder, by_id: list[bytes], text: str) -> tuple[int, str, str]:
-    ids = encoder(text).tolist()
-    if len(encoder.decimal) < len(by_id):
-        encoder.decimal = [str(i) for i in range(len(by_id))]
-    joined = ",".join(map(encoder.decimal.__getitem__, ids))
-    return (len(ids), hashlib.sha256(joined.encode()).hexdigest(),
-            hashlib.sha256(decode(ids, by_id)).hexdigest())
+def _digests(text: str, pieces: list[Piece]) -> tuple[int, str, str]:
+    ids, decimal, decoded = zip(*pieces) if pieces else ((), (), ())
+    return (sum(map(len, ids)) // 4, hashlib.sha256(",".join(decimal).encode()).hexdigest(),
+            hashlib.sha256(b"".join(decoded)).hexdigest())
 
 
 def round_trip(df: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id",
@@ -261,9 +433,10 @@ def round_trip(df: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_
     return slim.mapInArrow(_run(shared, pattern, "text", _digests, names, kinds), schema).drop("text")
 
 
-def _checked(encoder: Encoder, by_id: list[bytes], text: str) -> tuple[np.ndarray, int, bool]:
-    ids = encoder(text)
-    return ids, len(ids), decode(ids.tolist(), by_id) == text.encode()
+def _checked(text: str, pieces: list[Piece]) -> tuple[np.ndarray, int, bool]:
+    ids, _, decoded = zip(*pieces) if pieces else ((), (), ())
+    packed = np.frombuffer(b"".join(ids), dtype="<u4")
+    return packed, len(packed), b"".join(decoded) == text.encode()
 
 
 def tokenise(df: DataFrame, ranks_path: str, pattern: str, text_col: str = "text") -> DataFrame:

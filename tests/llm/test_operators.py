@@ -117,9 +117,10 @@ def test_bpe_equals_tiktoken(docs, none):
     alphabet = "abcdefgh éèß中文   \n\n\t!!??''s99٣\x1c\x85\u00a0<|endoftext|>"
     texts = ["".join(rng.choices(alphabet, k=rng.randint(0, 80))) for _ in range(500)]
     texts += ["", "a" * 5000, "".join(rng.choices("abc", k=5000)), " " * 3000, "!?" * 2000]
-    for t in texts:
-        ids = own(t).tolist()
+    for t, pieces in zip(texts, own(texts)):  # one slice of many pre-tokens
+        ids = bpe.packed_ids(pieces).tolist()
         assert ids == other.encode_ordinary(t)
+        assert ids == bpe.packed_ids(own([t])[0]).tolist()
         assert bpe.decode(ids, bpe.vocabulary(ranks)) == t.encode()
     for r in bpe.round_trip(docs, RANKS, public_tokenizers.PATTERN).collect():
         text = corpus()[r["doc_id"]][1] or ""
@@ -133,6 +134,56 @@ def test_bpe_equals_tiktoken(docs, none):
     assert bpe.round_trip(none, RANKS, public_tokenizers.PATTERN).collect() == []
 
 
+def merges(piece, ranks):
+    """Plain BPE: the pair of lowest rank first, leftmost on ties."""
+    if piece in ranks:
+        return [ranks[piece]]
+    parts = [piece[i:i + 1] for i in range(len(piece))]
+    while True:
+        pairs = [(ranks[a + b], i) for i, (a, b) in enumerate(zip(parts, parts[1:])) if a + b in ranks]
+        if not pairs:
+            return [ranks[x] for x in parts]
+        _, i = min(pairs)
+        parts[i:i + 2] = [parts[i] + parts[i + 1]]
+
+
+@pytest.mark.parametrize("seed", range(12))
+def test_both_queues_equal_plain_merges(seed, monkeypatch):
+    """Random vocabularies, in which a merge can make a pair of lower rank."""
+    rng = random.Random(seed)
+    monkeypatch.setattr(bpe, "FEW_MERGES", rng.choice([0, 2, 6, 100]))
+    tokens = {bytes([b]) for b in range(256)}
+    while len(tokens) < 400:
+        a, b = rng.choice(sorted(t for t in tokens if set(t) <= set(b"abc"))), rng.choice(b"abc")
+        tokens.add(a + bytes([b]) if rng.random() < 0.5 else bytes([b]) + a)
+    order = list(tokens)
+    rng.shuffle(order)
+    ranks = {t: r for r, t in enumerate(order)}
+    pieces = ["".join(rng.choices("abcd", [4, 3, 2, 1], k=rng.randint(1, 64))).encode() for _ in range(600)] + [b"a" * 64, b"x"]
+    queue, one = bpe.BatchQueue(ranks), bpe.RankQueue(ranks)
+    for some in (pieces, pieces[:1], pieces[-1:]):
+        some = [p for p in some if p not in ranks] or [b"dd"]
+        ids, counts = queue.encode(some)
+        got = np.split(ids, np.cumsum(counts)[:-1])
+        for p, own in zip(some, got):
+            assert own.tolist() == merges(p, ranks) == bpe.encode_piece(p, ranks, one)
+
+
+def test_long_pre_tokens_and_full_caches(monkeypatch):
+    tiktoken = pytest.importorskip("tiktoken")
+    monkeypatch.setattr(bpe, "CACHED_PIECES", 50)
+    ranks = bpe.read_ranks(RANKS)
+    own = bpe.Encoder(ranks, public_tokenizers.PATTERN)
+    other = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    rng = random.Random(4)
+    for k in range(6):
+        texts = ["".join(rng.choices("abcdefghijklmnop éß", k=400)) for _ in range(20)]
+        texts += ["é" * n for n in (31, 32, 33, 5000)] + ["", "q" * 64, "q" * 65, texts[0]]
+        for t, pieces in zip(texts, own(texts)):
+            assert bpe.packed_ids(pieces).tolist() == other.encode_ordinary(t)
+        assert len(own.young) <= 50 and len(own.old) <= 50
+
+
 KINDS = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
          "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", "card": r"[0-9]([\x20-]?[0-9])+",
          "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}
