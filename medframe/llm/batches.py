@@ -9,6 +9,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
+from pyspark.sql import functions as F
 
 from medframe.session import ensure_checkpoint_dir
 
@@ -73,6 +74,25 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> U64(33))
 
 
+HOT_SHARE = 1000  # a key is hot with over total / HOT_SHARE rows
+HOT_ROWS = 100    # and over this many
+
+
+def join_copies(rows, dim, key: str):
+    """``rows`` left joined with ``dim`` (one row per ``key``), keys with very
+    many rows in parts: the at most ``HOT_SHARE`` hot keys are known by broadcast,
+    their rows are dealt to parts and their row of ``dim`` is repeated for each.
+    ``rows`` is read three times: pass a stored table or a cheap plan over one."""
+    share = max(HOT_ROWS, rows.count() // HOT_SHARE)
+    hot = F.broadcast(rows.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("__n")).where(
+        F.col("__n") > share).select(key, F.ceil(F.col("__n") / share).alias("__parts")))
+    spread = dim.join(hot, key, "left").withColumn("__part", F.explode(F.sequence(
+        F.lit(0).cast("long"), F.coalesce(F.col("__parts"), F.lit(1)) - 1))).drop("__parts")
+    dealt = rows.join(hot, key, "left").withColumn("__part", F.coalesce(
+        F.monotonically_increasing_id() % F.col("__parts"), F.lit(0))).drop("__parts")
+    return dealt.join(spread.hint("merge"), [key, "__part"], "left").drop("__part")
+
+
 def new_path(spark, name: str) -> str:
     """A fresh path in the cluster's shared folder (``spark.checkpoint.dir``)."""
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/medframe-{name}-{uuid.uuid4().hex}"

@@ -14,10 +14,10 @@ between different texts of a bucket is lost. Every link is confirmed on the
 full shingle sets.
 
 Edge cases: a null or empty text (or one of white space only) has an empty set,
-links with nothing and is its own component. Equal rows are one class. Rows
-without an id are matched by equal sets only; a class without any id has a null
-component. Where rows with different texts share an id, each joins the class of
-its text, and the set with the smallest fingerprint stands for the id. Columns other than id and text are not read.
+links with nothing and is its own component. Equal rows are one class. Rows are
+linked by their sets, whatever their ids: rows with different texts may share an
+id, and rows without one take part like others (a component without any id is
+null). Ids are integers. Columns other than id and text are not read.
 """
 
 from __future__ import annotations
@@ -30,9 +30,10 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, StructField, StructType
 
 from medframe import ship
-from medframe.llm.batches import (U64, hash_words, mix, number_words, remove, slices, store,
+from medframe.llm.batches import (U64, hash_words, join_copies, mix, number_words, remove, slices, store,
                                   text_bytes, values, words)
 
 MISS = 1e-6        # chance that a pair exactly at the threshold shares no bucket
@@ -187,10 +188,11 @@ def components(edges: DataFrame) -> DataFrame:
     return cur.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(roots)
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5,
-                    percent: int = 80, rows: int = ROWS, miss: float = MISS) -> DataFrame:
-    """One row per document: ``id, n_shingles, component_id`` (smallest id
-    reachable over links of similarity >= ``percent`` / 100, itself included)."""
+def _grouped(docs: DataFrame, id_col: str, text_col: str, shingle: int, percent: int, rows: int, miss: float) -> DataFrame:
+    """One row per document: ``id, n_shingles, print`` (fingerprint of its set),
+    ``grp`` (a number of its component) and ``component_id``. What is compared and
+    linked are the different sets, each a node with a number of its own; ids only
+    come back at the end, so repeated and null ids lose no link."""
     spark = docs.sparkSession
     ship.ensure(spark)
     slim = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
@@ -199,27 +201,39 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         _signer(shingle, bands, rows),
         "id long, n_shingles long, print binary, bands array<bigint>"), "signed")
 
-    # classes of equal sets: only the member with the smallest id goes on
-    classes, classes_path = store(signed.where("print is not null").groupBy("print").agg(
-        F.min("id").alias("class"), F.count(F.lit(1)).alias("copies")), "classes")
-    shared = classes.where("copies > 1")
-    reps = signed.where("print is not null").join(shared, "print", "left").where(
-        "class is null or id = class").where("id is not null")
-    buckets = reps.select("id", "n_shingles", F.explode("bands").alias("key"))
-    sizes = buckets.groupBy("key").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo <> hi")
-    members, _ = store(buckets.join(sizes.select("key"), "key").select(
-        "key", F.col("id").alias("node"), "n_shingles").distinct(), "members")
+    # classes of equal sets, numbered as they are written
+    classes, _ = store(signed.where("print is not null").groupBy("print").agg(
+        F.min("id").alias("low"), F.first("n_shingles").alias("n_shingles"), F.first("bands").alias("bands")).withColumn(
+        "node", F.monotonically_increasing_id()), "classes")
+    buckets = classes.select("node", "n_shingles", F.explode("bands").alias("key"))
+    sizes = buckets.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo <> hi")
+    members, _ = store(buckets.join(sizes.select("key"), "key").distinct(), "members")
     nodes, _ = store(members.select("node").distinct(), "nodes")
-    sets, _ = store(slim.join(nodes, F.col("id") == F.col("node"), "left_semi").mapInArrow(
-        _setter(shingle), "id long, print binary, items binary").groupBy("id").agg(
-        F.min_by("items", "print").alias("items")), "sets")
+    # the set of a class comes from the rows of its smallest id (null: of those without one)
+    wanted = classes.select("node", "print", "low").join(nodes, "node", "left_semi")
+    lows = wanted.select("low").distinct()
+    own = slim.join(lows, F.col("id") == F.col("low"), "left_semi")
+    if not lows.where("low is null").isEmpty():
+        own = own.unionByName(slim.where("id is null"))
+    sets, _ = store(own.mapInArrow(_setter(shingle), "id long, print binary, items binary").join(
+        wanted.select("print", "node"), "print").groupBy("node").agg(F.first("items").alias("items")).select(
+        F.col("node").alias("id"), "items"), "sets")
 
     label = _link_buckets(members, nodes, sets, percent)
-    ids = signed.select("id", "n_shingles", "print").join(
-        shared.select("print", "class"), "print", "left").withColumn(
-        "class", F.coalesce("class", "id"))
-    out = ids.join(label.select(F.col("node").alias("class"), "component"), "class", "left")
-    return out.select("id", "n_shingles", F.coalesce("component", "class").alias("component_id"))
+    named = classes.select("node", "print", "low").join(label, "node", "left").select(
+        "print", "low", F.coalesce("component", "node").alias("grp"))
+    smallest = named.groupBy("grp").agg(F.min("low").alias("component_id"))
+    named, _ = store(named.join(smallest, "grp").select("print", "grp", "component_id"), "groups")
+    out = join_copies(signed.select("id", "n_shingles", "print"), named, "print")
+    return out.select("id", "n_shingles", "print", "grp", F.when(F.col("print").isNull(), F.col("id")).otherwise(
+        F.col("component_id")).alias("component_id"))
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5,
+                    percent: int = 80, rows: int = ROWS, miss: float = MISS) -> DataFrame:
+    """One row per document: ``id, n_shingles, component_id`` (smallest id
+    reachable over links of similarity >= ``percent`` / 100, itself included)."""
+    return _grouped(docs, id_col, text_col, shingle, percent, rows, miss).select("id", "n_shingles", "component_id")
 
 
 def _tile_linker(percent: int):
@@ -325,19 +339,48 @@ def _link_buckets(members: DataFrame, nodes: DataFrame, sets: DataFrame, percent
             return label
 
 
+def _printer(n: int):
+    """Appends the fingerprint of each row's set (null: no words)."""
+    def run(batches):
+        for part in slices(batches, "text"):
+            sets = shingle_sets(text_bytes(part, "text"), n)
+            prints = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets]
+            yield pa.record_batch([*part.columns, pa.array(prints, pa.binary())], names=[*part.schema.names, "__print"])
+
+    return run
+
+
 def keep_one(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
-    """``docs`` with one document of each near-duplicate group (the smallest
-    ``doc_id``); of rows that share a ``doc_id`` one stays. Rows without an id
-    and rows without words stay."""
-    found, _ = store(near_duplicates(docs, "doc_id", "text", shingle, percent), "components")
-    gone = found.where("component_id is not null and id <> component_id").select(
-        F.col("id").alias("doc_id")).distinct()
-    twice = found.where("id is not null").groupBy("id").count().where("count > 1").select(
-        F.col("id").alias("doc_id"))
-    twice, _ = store(twice, "twice")
-    # always a merge join: the plan is the same at every size
-    kept = docs.join(gone.hint("merge"), "doc_id", "left_anti")
+    """``docs`` with one row of each near-duplicate group: that of the smallest
+    ``doc_id`` (rows without one come last, then the smallest fingerprint; of
+    rows equal in both any). Rows without words stay.
+
+    An id that occurs once decides for its row. The rows of repeated ids and those
+    without an id are told apart by their sets, which are computed again for
+    them alone."""
+    found, _ = store(_grouped(docs, "doc_id", "text", shingle, percent, ROWS, MISS).where("grp is not null").select(
+        "id", "print", "grp"), "grouped")
+    best = found.groupBy("grp").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "print")).alias("best"))
+    judged, _ = store(join_copies(found, best, "grp").select("id", "print", (
+        F.col("id").eqNullSafe(F.col("best.id")) & (F.col("print") == F.col("best.print"))).alias("stays")), "judged")
+    ids = docs.where("doc_id is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.count("*").alias("n"))
+    twice, _ = store(ids.where("n > 1").select("doc_id"), "twice")
+    gone = judged.where("id is not null and not stays").select(F.col("id").alias("doc_id")).distinct()
+    odd = docs.where("doc_id is null")
+    # always merge joins: the plan is the same at every size
     if twice.isEmpty():
-        return kept.select(docs.columns)
-    once = kept.join(twice, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return kept.join(twice, "doc_id", "left_anti").select(docs.columns).unionByName(once.select(docs.columns))
+        kept = docs.where("doc_id is not null").join(gone.hint("merge"), "doc_id", "left_anti").select(docs.columns)
+    else:
+        kept = docs.where("doc_id is not null").join(gone.unionByName(twice).hint("merge"), "doc_id", "left_anti").select(
+            docs.columns)
+        odd = odd.unionByName(docs.join(twice.hint("merge"), "doc_id", "left_semi").select(docs.columns))
+    if odd.isEmpty():
+        return kept
+    ship.ensure(docs.sparkSession)
+    own = odd.mapInArrow(_printer(shingle), StructType([*odd.schema.fields, StructField("__print", BinaryType())]))
+    bare = own.where("__print is null").drop("__print")
+    own = own.where("__print is not null").dropDuplicates(["doc_id", "__print"])
+    stay = judged.where("stays").select(F.col("id").alias("__id"), F.col("print").alias("__own")).distinct()
+    own = own.join(stay.hint("merge"), F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__print") == F.col("__own")),
+                   "left_semi").drop("__print")
+    return kept.unionByName(bare).unionByName(own)

@@ -31,11 +31,9 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from medframe.llm.batches import remove, store
+from medframe.llm.batches import join_copies, remove, store
 
 LEDGER = "blob binary, rules array<string>, found array<struct<start:int,end:int,rule:string>>"
-HOT_SHARE = 1000         # a blob is hot with over total / HOT_SHARE rows
-HOT_ROWS = 100           # and over this many
 BROADCAST_BLOBS = 100_000  # missing pairs of at most this many blobs are broadcast (about 10 MB)
 
 
@@ -143,19 +141,6 @@ def extend(rows: DataFrame, versions: DataFrame, ledger: str, rules: tuple[Rule,
     return count
 
 
-def _to_all_rows(versions: DataFrame, found: DataFrame) -> DataFrame:
-    """``versions`` with the findings of their blob; hot blobs in parts."""
-    share = max(HOT_ROWS, versions.count() // HOT_SHARE)
-    hot = (versions.groupBy("blob").agg(F.count("*").alias("n")).where(F.col("n") > share)
-           .select("blob", F.ceil(F.col("n") / share).alias("parts")))
-    hot = F.broadcast(hot)  # at most HOT_SHARE rows
-    rows = versions.join(hot, "blob", "left").select(
-        "id", "blob", F.coalesce(F.monotonically_increasing_id() % F.col("parts"), F.lit(0)).alias("part"))
-    spread = found.join(hot, "blob", "left").select(
-        "blob", "found", F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce(F.col("parts"), F.lit(1)) - 1)).alias("part"))
-    return rows.join(spread.hint("merge"), ["blob", "part"], "left")
-
-
 def scan(docs: DataFrame, ledger: str, rules: tuple[Rule, ...] = RULES,
          id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``id, blob, found`` per row of ``docs``; ``found`` holds the spans
@@ -173,7 +158,7 @@ def scan(docs: DataFrame, ledger: str, rules: tuple[Rule, ...] = RULES,
         F.col("f.start").alias("start"), F.col("rank"), F.col("f.end").alias("end"),
         F.element_at(kinds, F.col("rank")).alias("kind")))).alias("found"))
     nothing = F.array().cast("array<struct<start:int,rank:int,end:int,kind:string>>")
-    return _to_all_rows(versions, found).select("id", "blob", F.coalesce("found", nothing).alias("found"))
+    return join_copies(versions, found, "blob").select("id", "blob", F.coalesce("found", nothing).alias("found"))
 
 
 def joined(found: Column) -> Column:
