@@ -29,6 +29,7 @@ from medframe.llm.batches import slices, store, text_bytes, values
 
 SHRINKAGE = 0.05  # share of the pooled covariance, and again of the unit matrix, in a class covariance
 CLIP = 8.0
+CONSTANT = 1e-12  # a statistic whose variance is below this share of its square is constant
 
 _LOWER = b"abcdefghijklmnopqrstuvwxyz"
 _UPPER = _LOWER.upper()
@@ -151,8 +152,10 @@ def fit(rows: DataFrame, shrinkage: float = SHRINKAGE) -> Model:
         return Model(odds, np.zeros(d), np.ones(d), [])
     total = n[0] + n[1]
     centre = (found[0][1] + found[1][1]) / total
-    scale = np.sqrt(np.maximum(np.diag(found[0][2] + found[1][2]) / total - centre ** 2, 0))
-    scale = np.where(scale > 1e-9, scale, 1.0)
+    square = np.diag(found[0][2] + found[1][2]) / total
+    spread = square - centre ** 2
+    varies = spread > CONSTANT * square  # the rest is rounding of sums, which their order changes
+    scale = np.where(varies, np.sqrt(np.where(varies, spread, 1.0)), 1.0)
     means, covs = [], []
     for k in (0, 1):
         count, s, q = found[k]
