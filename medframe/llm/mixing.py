@@ -10,9 +10,10 @@ sizes of all documents in Spark, a bracket guards the step.
 Rates become whole copies level by level, a level being the documents of one
 source and size: the words owed so far, largest size first, fix the copies of
 a level, so a source ends within about half its smallest documents of its
-target. Within a level the extra copies go to the documents of lowest hash.
-Levels with many documents are split by hash for this, so no source or size
-is ever ranked in one task.
+target. Within a level the extra copies go to the documents first in an order
+by hash. Levels are ranked in parts for this, so no source or size is ever ranked
+in one task. What is known of a source (its words, target and tilt) is a row
+on the driver: sources are few.
 
 Edge cases: a null text has size 0; documents of size 0 keep their rate but
 add no words. A null source is a source, the last one. No documents, or only
@@ -24,6 +25,7 @@ ids, sizes and sources only, so reruns agree.
 from __future__ import annotations
 
 import math
+import uuid
 
 import numpy as np
 import pandas as pd
@@ -31,13 +33,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from medframe import ship
-from medframe.llm.batches import remove, store
+from medframe.llm.batches import join_copies, remove, store
 
 MAX_RATE = 3.0
 WEIGHTS = (5.0, 2.0, 1.0)
 TOLERANCE = 1e-6    # relative error of a source's words at which Newton stops
 MAX_STEPS = 80
-LEVEL_ROWS = 20_000  # documents of a level ranked in one task
+PART_ROWS = 1000    # documents of a level ranked together
 
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -144,14 +146,11 @@ def _copies_of_levels(target: dict[str, float], tilt: dict[str, float], cap: flo
     return run
 
 
-def mix(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text",
-        weights=WEIGHTS, cap: float = MAX_RATE) -> DataFrame:
-    """One row per document: ``id, source, size, source_size, target, rate,
-    copies``."""
-    spark = docs.sparkSession
+def _planned(slim: DataFrame, weights, cap: float) -> DataFrame:
+    """``slim(id, row, source, size)``, stored, with ``source_size, target, rate,
+    copies``; ``row`` tells rows of one id apart (null where it need not)."""
+    spark = slim.sparkSession
     ship.ensure(spark)
-    slim, _ = store(docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"),
-                                sizes(docs, text_col).alias("size")), "sizes")
     levels, levels_path = store(slim.groupBy("source", "size").agg(F.count(F.lit(1)).alias("n")), "levels")
     totals = [(r["source"], r["words"]) for r in levels.groupBy("source").agg(
         F.sum(F.col("size") * F.col("n")).alias("words")).collect()]  # one row per source
@@ -167,30 +166,60 @@ def mix(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", tex
         pd.DataFrame([(k, dict(totals)[s], target[k]) for k, s in named.items()],
                      columns=["key", "source_size", "target"]),
         "key string, source_size long, target double")
-    out = slim.withColumn("key", _key("source")).join(
-        plan.select(F.col("source").alias("key"), "size", "n", "rate", "copies"), ["key", "size"])
-    # a document's place in its level (of a part of the level, if that is large)
-    out = out.withColumn("part", F.pmod(F.xxhash64("id", F.lit(7)), F.ceil(F.col("n") / LEVEL_ROWS)))
-    by = ["key", "size", "part"]
-    order = Window.partitionBy(by).orderBy(F.xxhash64("id"), "id")
-    extra = F.col("copies") % F.col("n")
-    share = extra * F.count(F.lit(1)).over(Window.partitionBy(by)) / F.col("n")
-    jitter = F.pmod(F.xxhash64(*by), F.lit(1 << 20)) / (1 << 20)
-    quota = F.when(F.col("n") <= LEVEL_ROWS, extra).otherwise(F.floor(share + jitter))
-    out = out.withColumn("place", F.row_number().over(order)).withColumn("quota", quota)
-    copies = F.floor(F.col("copies") / F.col("n")) + F.when(F.col("place") <= F.col("quota"), 1).otherwise(0)
+    level = F.concat_ws(":", "size", "key")
+    rows = slim.withColumn("key", _key("source")).withColumn("level", level)
+    plan = plan.select(F.col("source").alias("key"), "size", "n", "rate", "copies").withColumn("level", level)
+    out = join_copies(rows, plan.drop("key", "size"), "level")
+    # A document's place in its level: a level is ranked in parts, and the rows of
+    # the parts before come from one small row per part, so every level gives
+    # exactly the copies planned, whatever its size.
+    out = out.withColumn("part", F.pmod(F.xxhash64("id", "row", F.lit(7)), F.ceil(F.col("n") / PART_ROWS)))
+    earlier = Window.partitionBy("level").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = out.groupBy("level", "part").agg(F.count(F.lit(1)).alias("m")).select(
+        "level", "part", F.coalesce(F.sum("m").over(earlier), F.lit(0)).alias("before"))
+    order = Window.partitionBy("level", "part").orderBy(F.xxhash64("id"), "id", "row")
+    out = out.withColumn("place", F.row_number().over(order)).join(parts.hint("merge"), ["level", "part"])
+    more = F.col("place") + F.col("before") <= F.col("copies") % F.col("n")
+    copies = F.floor(F.col("copies") / F.col("n")) + F.when(more, 1).otherwise(0)
     return out.withColumn("given", copies.cast("int")).join(facts, "key").select(
-        "id", "source", "size", "source_size", "target", "rate", F.col("given").alias("copies"))
+        "id", "row", "source", "size", "source_size", "target", "rate", F.col("given").alias("copies"))
+
+
+def mix(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text",
+        weights=WEIGHTS, cap: float = MAX_RATE) -> DataFrame:
+    """One row per document: ``id, source, size, source_size, target, rate,
+    copies``."""
+    slim, _ = store(docs.select(F.col(id_col).alias("id"), F.lit(None).cast("long").alias("row"),
+                                F.col(source_col).alias("source"), sizes(docs, text_col).alias("size")), "sizes")
+    return _planned(slim, weights, cap).drop("row")
 
 
 def repeat(docs: DataFrame, weights=WEIGHTS, cap: float = MAX_RATE) -> DataFrame:
     """``docs(doc_id, text, source, ...)`` with every row as often as the mix
-    takes it. Rows that share a ``doc_id`` get the copies of that id's first
-    row by size and source."""
-    plan = mix(docs, weights=weights, cap=cap).groupBy("id").agg(
-        F.min_by("copies", F.struct("size", "source")).alias("copies"))
-    plan, _ = store(plan, "copies")
-    # always a merge join: the plan is the same at every size
-    counted = docs.join(plan.hint("merge"), docs["doc_id"].eqNullSafe(plan["id"])).where("copies > 0")
-    return counted.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select(
-        [docs[c] for c in docs.columns])
+    takes it. Rows whose ``doc_id`` is null or occurs again are written with a
+    number of their own first, so each gets its own copies."""
+    def slimmed(df, row):
+        return df.select(F.col("doc_id").alias("id"), row.cast("long").alias("row"), "source", sizes(df).alias("size"))
+
+    twice, _ = store(docs.where("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("__n")).where(
+        "__n > 1").select("doc_id"), "twice")
+    single = docs.where("doc_id is not null")
+    odd = docs.where("doc_id is null")
+    # always merge joins: the plan is the same at every size
+    if not twice.isEmpty():
+        odd = odd.unionByName(single.join(twice.hint("merge"), "doc_id", "left_semi").select(docs.columns))
+        single = single.join(twice.hint("merge"), "doc_id", "left_anti").select(docs.columns)
+    slim = slimmed(single, F.lit(None))
+    some = not odd.isEmpty()
+    row, own, key, times = (f"{n}_{uuid.uuid4().hex}" for n in ("row", "own", "id", "times"))  # no clash with the columns
+    if some:
+        odd, _ = store(odd.withColumn(row, F.monotonically_increasing_id()), "rows")
+        slim = slim.unionByName(slimmed(odd, F.col(row)))
+    slim, _ = store(slim, "sizes")
+    plan, _ = store(_planned(slim, weights, cap).where("copies > 0").select(
+        F.col("id").alias(key), F.col("row").alias(own), F.col("copies").alias(times)), "copies")
+    out = single.join(plan.where(F.col(own).isNull()).hint("merge"), F.col("doc_id") == F.col(key)).select(*docs.columns, times)
+    if some:
+        out = out.unionByName(odd.join(plan.where(F.col(own).isNotNull()).hint("merge"), F.col(row) == F.col(own)).select(
+            *docs.columns, times))
+    return out.withColumn(row, F.explode(F.sequence(F.lit(1), F.col(times)))).select(docs.columns)
