@@ -70,6 +70,37 @@ def test_mix_meets_targets(docs, none):
     assert mixing.mix(none).collect() == []
 
 
+def test_every_row_has_its_own_copies(spark):
+    """Null and repeated ids: the words repeated are the words planned."""
+    rng = random.Random(8)
+    rows = [(rng.choice([None, 1, 2, 100 + i]), " ".join(["w"] * rng.choice([0, 3, 3, 3, 10, 50])), rng.choice(["a", "b", None]), "x", 1)
+            for i in range(600)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, copies string, __own int")
+    given, plan = collections.Counter(), collections.Counter()
+    for r in mixing.repeat(df).collect():
+        given[r["source"]] += len(r["text"].split())
+    found = mixing.mix(df).collect()
+    for r in found:
+        plan[r["source"]] += r["size"] * r["copies"]
+    assert given == plan and mixing.repeat(df).columns == df.columns
+    goal = {r["source"]: r["target"] for r in found}
+    assert all(abs(given[x] - t) <= 25 for x, t in goal.items())
+
+
+def test_large_levels_give_what_is_planned(spark, monkeypatch):
+    """One size for all: parts of a level together give exactly its copies."""
+    df = spark.range(3000).selectExpr("id as doc_id", "'one two three' as text", "element_at(array('a', 'b', 'c'), 1 + cast(id % 3 as int)) as source")
+    takes = {}
+    for part in (7, 100, 10_000):
+        monkeypatch.setattr(mixing, "PART_ROWS", part)
+        rows = mixing.mix(df).collect()
+        takes[part] = {x: sum(r["copies"] * r["size"] for r in rows if r["source"] == x) for x in "abc"}
+        goal = {r["source"]: r["target"] for r in rows}
+        assert all(abs(takes[part][x] - goal[x]) <= 1.5 for x in "abc"), (takes, goal)
+        assert {r["id"]: r["copies"] for r in rows} == {r["id"]: r["copies"] for r in mixing.mix(df.repartition(5)).collect()}
+    assert takes[7] == takes[100] == takes[10_000]
+
+
 def test_targets_reshare():
     t = mixing.targets([("a", 10), ("b", 1000), (None, 1000)])
     assert t["a"] == 30 and t["b"] == pytest.approx(2 * t[None]) and sum(t.values()) == pytest.approx(2010)
@@ -450,6 +481,83 @@ def test_keep_one(docs):
     assert out.columns == docs.columns and sorted(r["doc_id"] for r in out.collect()) == sorted(want)
 
 
+def near(text, rng):
+    w = text.split()
+    w[rng.randrange(len(w))] = "changed"
+    return " ".join(w)
+
+
+def plain_groups(rows, n, percent):
+    """(id, size, component id) of each row, and the numbers of the rows that
+    ``keep_one`` may keep: alternatives for each row that stays."""
+    numbered = [(i, t) for i, (_, t) in enumerate(rows)]
+    label = plain_components(numbered, n, percent)
+    groups = collections.defaultdict(list)
+    for i, (size, root) in label.items():
+        groups[root].append(i)
+    out, keep = [None] * len(rows), []
+    for root, members in groups.items():
+        ids = [rows[i][0] for i in members if rows[i][0] is not None]
+        size = label[root][0]
+        for i in members:
+            out[i] = (rows[i][0], label[i][0], rows[i][0] if not label[i][0] else min(ids, default=None))
+        if not size:
+            keep.append(set(members))
+        else:
+            low = min(ids, default=None)
+            keep.append({i for i in members if rows[i][0] == low})
+    return out, keep
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_rows_not_ids_are_linked_and_kept(spark, seed):
+    """Repeated and null ids with different texts: no link and no text is lost."""
+    rng = random.Random(seed)
+    texts = [" ".join(rng.choices(WORDS, k=60)) for _ in range(4)]
+    a, b, c, d = texts
+    rows = [(1, a), (2, near(a, rng)), (2, b), (3, near(b, rng)),      # a chain of different texts over one id
+            (5, c), (5, c.upper()), (5, d), (None, near(c, rng)), (None, d), (None, None), (None, ""), (7, ""), (7, None), (8, " ")]
+    e = " ".join(rng.choices(WORDS, k=60))
+    rows += [(None, e), (None, near(e, rng)), (9, a), (9, a)]          # a group without any id
+    for i in range(30):
+        t = rng.choice([*texts, " ".join(rng.choices(WORDS, k=40))])
+        rows.append((rng.choice([None, 1, 2, 20 + i]), near(t, rng)))
+    want, keep = plain_groups(rows, 3, 85)
+    df = spark.createDataFrame([(*r, "x", "y") for r in rows], "doc_id long, text string, print string, low string")
+    found = neardup.near_duplicates(df.repartition(4), shingle=3, percent=85)
+    assert sorted(map(str, (tuple(r) for r in found.collect()))) == sorted(map(str, want))
+    kept = [(r["doc_id"], r["text"]) for r in neardup.keep_one(df, shingle=3, percent=85).collect()]
+    left = list(kept)
+    for group in keep:
+        options = [rows[i] for i in group]
+        hits = [x for x in left if x in options]
+        assert hits, options
+        left.remove(hits[0])
+    assert not left, left
+
+
+def test_a_text_under_a_repeated_id_survives(spark):
+    """The cases of one id over two texts that were lost when ids, not rows, decided."""
+    rng = random.Random(1)
+    a, b = (" ".join(rng.choices(WORDS, k=60)) for _ in range(2))
+    df = spark.createDataFrame([(1, a), (2, a), (2, b)], "doc_id long, text string")
+    assert sorted(tuple(r) for r in neardup.keep_one(df).collect()) == sorted([(1, a), (2, b)])
+    df = spark.createDataFrame([(1, a), (2, near(a, rng)), (2, b), (3, near(b, rng))], "doc_id long, text string")
+    assert sorted((r["id"], r["component_id"]) for r in neardup.near_duplicates(df, shingle=3, percent=85).collect()) == [
+        (1, 1), (2, 1), (2, 2), (3, 2)]
+
+
+def test_copies_are_joined_in_parts(spark, monkeypatch):
+    from medframe.llm import batches
+
+    monkeypatch.setattr(batches, "HOT_ROWS", 10)
+    rows = spark.createDataFrame([(i, "hot" if i < 700 else f"k{i}" if i % 3 else None) for i in range(1000)], "id int, k string")
+    dim = spark.createDataFrame([("hot", 1), ("k701", 2), ("gone", 3)], "k string, v int")
+    got = {r["id"]: r["v"] for r in batches.join_copies(rows, dim, "k").collect()}
+    assert len(got) == 1000 and sum(v == 1 for v in got.values()) == 700 and got[701] == 2 and got[702] is None
+    assert batches.join_copies(rows.limit(0), dim, "k").collect() == []
+
+
 def test_url_rules_and_model(spark):
     rules = [("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"), ("block", "net/es/")]
     lookup = urlfilter.Rules(rules)
