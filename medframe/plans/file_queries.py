@@ -100,13 +100,13 @@ def scan_source(spark, sf_dir):
     register.install(spark)
     df = (spark.read.schema("path string, InstitutionName string, StudyDate string, PatientID string, nation int")
           .format("dicomFile").load(customer_files(spark, sf_dir)))
-    df = df.where("nation < 12 and StudyDate >= '2021-01-01' and InstitutionName in ('BUILDING', 'MACHINERY')")
+    df = df.where("nation < 12 and StudyDate >= '2020-03-01' and InstitutionName in ('BUILDING', 'MACHINERY')")
     return df.selectExpr(_KEY, "PatientID", "StudyDate", "nation")
 
 
 SCAN_SOURCE = f"""
 select c_custkey, 'C' || c_custkey as PatientID, {_DUCK_DAY} as StudyDate, c_nationkey::int as nation from customer
-where c_custkey % 10 <> 0 and c_nationkey < 12 and {_DUCK_DAY} >= '2021-01-01' and c_mktsegment in ('BUILDING', 'MACHINERY')"""
+where c_custkey % 10 <> 0 and c_nationkey < 12 and {_DUCK_DAY} >= '2020-03-01' and c_mktsegment in ('BUILDING', 'MACHINERY')"""
 
 
 def scan_file_filters(spark, sf_dir):

@@ -15,7 +15,7 @@ import zipfile
 
 from pyspark.sql import SparkSession
 
-_shipped: set = set()
+_shipped: dict = {}  # application -> the archive's path on the driver, None if not shipped
 
 
 def ensure(spark: SparkSession) -> None:
@@ -26,7 +26,7 @@ def ensure(spark: SparkSession) -> None:
     if key in _shipped:
         return
     if str(spark.conf.get("spark.medframe.ship", "true")).lower() == "false":
-        _shipped.add(key)
+        _shipped[key] = None
         return
     pkg_dir = os.path.dirname(os.path.abspath(__file__))
     root = os.path.dirname(pkg_dir)
@@ -41,4 +41,10 @@ def ensure(spark: SparkSession) -> None:
                     full = os.path.join(dirpath, f)
                     zf.write(full, os.path.relpath(full, root))
     sc.addPyFile(path)
-    _shipped.add(key)
+    _shipped[key] = path
+
+
+def archive(spark: SparkSession) -> str | None:
+    """Where the driver keeps the shipped archive."""
+    ensure(spark)
+    return _shipped[spark.sparkContext.applicationId]

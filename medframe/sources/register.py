@@ -20,6 +20,7 @@ which ``install`` switches on); all others stay with Spark.
 from __future__ import annotations
 
 import json
+import os
 import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -339,9 +340,18 @@ def install(spark: SparkSession | None = None) -> None:
     Spark push filters to it. The session's settings for file systems become
     the source's defaults."""
     spark = spark or SparkSession.active()
-    ship.ensure(spark)
     # a class of this session's own, sent to Spark by value with its defaults
     own = type("DicomSource", (DicomSource,), {
         "defaults": dicom.file_system_options(spark, None), "__module__": "__main__"})
-    spark.dataSource.register(own)
+    # Spark plans streams in a Python process that gets no shipped files, only this path
+    env = spark.sparkContext.environment
+    before, package = env.get("PYTHONPATH"), ship.archive(spark)
+    try:
+        if package:
+            env["PYTHONPATH"] = os.pathsep.join(p for p in (package, before) if p)
+        spark.dataSource.register(own)
+    finally:
+        env.pop("PYTHONPATH", None)
+        if before is not None:
+            env["PYTHONPATH"] = before
     spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")

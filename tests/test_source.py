@@ -218,3 +218,28 @@ def test_slices_are_bounded(monkeypatch):
     assert len(reader.scan.slices(found[:40])) >= 20
     whole = DicomReader(dicom.schema(include_content=True), {"path": "x"})
     assert max(sum(f.length for f in s.found) for s in whole.scan.slices(found)) <= register.WHOLE_BYTES
+
+
+def test_formats_work_in_a_fresh_process_from_another_folder(tmp_path, folder):
+    """Planner and stream processes find the package without this folder."""
+    import subprocess
+    import sys
+
+    root = os.path.dirname(os.path.dirname(os.path.abspath(register.__file__)))
+    code = f'''
+import sys
+sys.path.insert(0, {os.path.dirname(root)!r})
+from pyspark.sql import SparkSession
+spark = SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").getOrCreate()
+from medframe.sources import register
+register.install(spark)
+schema = "path string, isDicom boolean"
+print("batch", spark.read.schema(schema).format("dicomFile").load({folder!r}).count())
+q = (spark.readStream.schema(schema).format("dicomFile").load({folder!r}).writeStream.trigger(availableNow=True)
+     .format("memory").queryName("t").option("checkpointLocation", {str(tmp_path / "c")!r}).start())
+q.awaitTermination()
+print("stream", spark.table("t").count())
+'''
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    out = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True, check=True)
+    assert "batch 22" in out.stdout and "stream 22" in out.stdout
