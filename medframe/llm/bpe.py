@@ -39,10 +39,8 @@ from pyspark.sql.types import (ArrayType, BinaryType, BooleanType, IntegerType,
 from medframe import ship
 from medframe.llm.batches import slices, values
 
-CACHED_PIECES = 120_000  # remembered pre-tokens of a generation; two are kept
+CACHED_PIECES = 60_000   # remembered pre-tokens of a generation; two are kept
 SHORT_PIECE = 64         # bytes; longer pre-tokens go alone and are not remembered
-SLICE_BYTES = 4 << 20    # text that is encoded together
-FEW_MERGES = 6           # merges of a rank that are done one by one
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -154,7 +152,7 @@ class BatchQueue:
                 a, b = ranks.get(token[:cut]), ranks.get(token[cut:])
                 if a is not None and b is not None:
                     pairs[a << 32 | b] = rank
-        self.pairs = pairs     # two symbols -> rank of both together
+        # two symbols -> rank of both together
         self.keys = np.array(sorted(pairs), dtype=np.int64)
         self.ranks_of = np.array([pairs[k] for k in self.keys.tolist()], dtype=np.int32)
         self.words = [0] * ((max(ranks.values(), default=0) >> BITS) + 1)
@@ -187,7 +185,6 @@ class BatchQueue:
 
         buckets: dict[int, list] = {}
         words, top = self.words, 0
-        pairs = self.pairs
 
         def file(ranks, places) -> None:
             """Positions into the buckets of their ranks."""
@@ -225,30 +222,6 @@ class BatchQueue:
                 buckets[rank] = [rest]
                 words[w] |= BIT[rank & 255]
                 top |= 1 << w
-            if len(places) <= FEW_MERGES:
-                for i in places.tolist():
-                    j = int(after[i])
-                    k, left = int(after[j]), int(before[i])
-                    symbol[i] = rank
-                    after[i] = k
-                    alive[j] = False
-                    pair[j] = pair[i] = -1
-                    fresh = []
-                    if k >= 0:
-                        before[k] = i
-                        fresh.append((i, pairs.get(rank << 32 | int(symbol[k]), -1)))
-                    if left >= 0:
-                        fresh.append((left, pairs.get(int(symbol[left]) << 32 | rank, -1)))
-                    for place, r in fresh:
-                        pair[place] = r
-                        if r >= 0:
-                            if r in buckets:
-                                buckets[r].append(np.array([place]))
-                            else:
-                                buckets[r] = [np.array([place])]
-                                words[r >> BITS] |= BIT[r & 255]
-                                top |= 1 << (r >> BITS)
-                continue
             second = after[places]
             third, left = after[second], before[places]
             symbol[places] = rank
@@ -289,6 +262,10 @@ class Encoder:
         self.young: dict[str, Piece] = {}
         self.old: dict[str, Piece] = {}
 
+    def forget(self) -> None:
+        """Give the memory of remembered pre-tokens back to the worker's next task."""
+        self.young, self.old = {}, {}
+
     def _encode(self, new: list[str]) -> dict[str, Piece]:
         """Pre-tokens that are not remembered, each once."""
         short, names, ids, order = [], [], [], []
@@ -371,11 +348,12 @@ def _run(shared, pattern: str, text_col: str, make, names: list[str], types: lis
     """Batch function: appends the columns ``make(text, pieces)``."""
     def run(batches):
         encoder = _encoder(shared, pattern)
-        for part in slices(batches, text_col, SLICE_BYTES):
+        for part in slices(batches, text_col):
             texts = [text or "" for text in values(part, text_col)]
             rows = [make(text, pieces) for text, pieces in zip(texts, encoder(texts))]
             cols = [pa.array(c, t) for c, t in zip(zip(*rows), types)]
             yield pa.record_batch(list(part.columns) + cols, names=list(part.schema.names) + names)
+        encoder.forget()
 
     return run
 
