@@ -26,6 +26,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import heapq
+from array import array
 from struct import Struct
 
 import numpy as np
@@ -40,6 +41,7 @@ from medframe import ship
 from medframe.llm.batches import slices, values
 
 CACHED_PIECES = 60_000   # remembered pre-tokens of a generation; two are kept
+SLICE_BYTES = 1 << 20    # text that is encoded together
 SHORT_PIECE = 64         # bytes; longer pre-tokens go alone and are not remembered
 
 
@@ -146,15 +148,17 @@ class BatchQueue:
     def __init__(self, ranks: dict[bytes, int]):
         self.ranks = ranks
         self.bytes = np.array([ranks.get(bytes([b]), -1) for b in range(256)], dtype=np.int32)
-        pairs = {}
+        # two symbols -> rank of both together, as sorted keys
+        keys, found = array("q"), array("i")
         for token, rank in ranks.items():
             for cut in range(1, len(token)):
                 a, b = ranks.get(token[:cut]), ranks.get(token[cut:])
                 if a is not None and b is not None:
-                    pairs[a << 32 | b] = rank
-        # two symbols -> rank of both together
-        self.keys = np.array(sorted(pairs), dtype=np.int64)
-        self.ranks_of = np.array([pairs[k] for k in self.keys.tolist()], dtype=np.int32)
+                    keys.append(a << 32 | b)
+                    found.append(rank)
+        order = np.argsort(np.array(keys, dtype=np.int64))
+        self.keys = np.array(keys, dtype=np.int64)[order]
+        self.ranks_of = np.array(found, dtype=np.int32)[order]
         self.words = [0] * ((max(ranks.values(), default=0) >> BITS) + 1)
 
     def _rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
@@ -348,7 +352,7 @@ def _run(shared, pattern: str, text_col: str, make, names: list[str], types: lis
     """Batch function: appends the columns ``make(text, pieces)``."""
     def run(batches):
         encoder = _encoder(shared, pattern)
-        for part in slices(batches, text_col):
+        for part in slices(batches, text_col, SLICE_BYTES):
             texts = [text or "" for text in values(part, text_col)]
             rows = [make(text, pieces) for text, pieces in zip(texts, encoder(texts))]
             cols = [pa.array(c, t) for c, t in zip(zip(*rows), types)]
