@@ -18,6 +18,25 @@ from medframe.sources import dicom
 # The fixed schema of the binaryFile source.
 BINARY_FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
 
+# Spark lists a stream's folders when it is planned and for every micro-batch, and the
+# files of a micro-batch anew, each as a path of its own. Without settings of the session
+# it does so alone on the driver below 32 paths, and in a task a file (up to 10,000) above.
+LISTING = "spark.sql.sources.parallelPartitionDiscovery"
+LISTING_PATHS = 4     # from so many paths on tasks list them
+TASKS_PER_CORE = 8    # that list the files of a micro-batch or read their headers, at most
+
+
+def _most_tasks(spark: SparkSession) -> int:
+    return TASKS_PER_CORE * spark.sparkContext.defaultParallelism
+
+
+def _bound_listing(spark: SparkSession) -> None:
+    """Settings of listing where the session has none of its own; a stream takes them
+    over when it starts."""
+    for key, value in (("threshold", LISTING_PATHS), ("parallelism", _most_tasks(spark))):
+        if spark.conf.get(f"{LISTING}.{key}", None) is None:
+            spark.conf.set(f"{LISTING}.{key}", str(value))
+
 
 def read_stream(
     spark: SparkSession,
@@ -53,6 +72,7 @@ def read_stream(
             reader = reader.option(k, v)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    _bound_listing(spark)
     files = reader.load(path)
     conf = dicom.file_system_options(spark, opts)
     if header_only is None and any(k.lower() == "headeronly" for k in opts):
@@ -62,5 +82,6 @@ def read_stream(
     if header_only:
         if con:
             raise ValueError("includeContent needs the file bytes; not available with header_only")
-        files = files.drop("content")
+        # splits are sized by whole files, 32 small ones each; a header read needs far fewer tasks
+        files = files.drop("content").coalesce(_most_tasks(spark))
     return dicom.decode_frame(files, columns, pix, con, prv, dictionary, header_only=header_only, options=conf)

@@ -56,3 +56,23 @@ def test_stream_throttled_delivers_each_file_once(spark, write_files, tmp_path):
     out = spark.table("stream_thr")
     assert out.count() == 9 and out.select("path").distinct().count() == 9
     assert batches >= 5  # two files per trigger
+
+
+def test_stream_lists_and_reads_many_files_in_few_tasks(spark, write_files, tmp_path):
+    most = 8 * spark.sparkContext.defaultParallelism
+    n = most + 20
+    d = write_files({f"m/{i}.dcm": W.ct_slice(2, 2) for i in range(n)})
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1b")  # a split per file
+    try:
+        q = (read_stream(spark, d + "/m", columns=["path", "PatientID"]).writeStream.trigger(availableNow=True)
+             .format("memory").queryName("stream_many").option("checkpointLocation", str(tmp_path / "ckpt5")).start())
+        q.awaitTermination()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    out = spark.table("stream_many")
+    assert out.count() == n and out.select("path").distinct().count() == n
+    tracker = spark.sparkContext.statusTracker()
+    stages = [s for j in tracker.getJobIdsForGroup(str(q.runId)) for s in tracker.getJobInfo(j).stageIds]
+    tasks = [info.numTasks for info in map(tracker.getStageInfo, stages) if info]
+    assert tasks and max(tasks) <= most
