@@ -269,6 +269,18 @@ def build(attrs: list[Attr], prefix: bytes, columns: list[pa.Array]) -> pa.Array
     return pa.Array.from_buffers(pa.binary(), n, [None, pa.py_buffer(at.astype(np.int32)), pa.py_buffer(out)])
 
 
+# Files laid out together, whatever the session's batch size: each byte has indices of
+# 8 bytes meanwhile.
+BUILD_ROWS = 1024
+
+
+def build_parts(attrs: list[Attr], prefix: bytes, columns: list[pa.Array]) -> pa.Array:
+    """``build``, so many rows at once."""
+    parts = [build(attrs, prefix, [c.slice(i, BUILD_ROWS) for c in columns])
+             for i in range(0, len(columns[0]), BUILD_ROWS)]
+    return pa.concat_arrays(parts) if parts else pa.array([], pa.binary())
+
+
 def encode(df: DataFrame, attrs: list[Attr], part10: bool = True, name: str = "content") -> DataFrame:
     """Add a binary column ``name`` holding one DICOM file per row."""
     ship.ensure(df.sparkSession)
@@ -279,7 +291,7 @@ def encode(df: DataFrame, attrs: list[Attr], part10: bool = True, name: str = "c
 
     @F.arrow_udf(BinaryType())
     def files(*columns: pa.Array) -> pa.Array:
-        return build(attrs, prefix, list(columns))
+        return build_parts(attrs, prefix, list(columns))
 
     return df.withColumn(name, files(*[F.expr(_typed(a)) for a in attrs]))
 

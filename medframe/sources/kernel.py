@@ -422,11 +422,22 @@ def header_parser(decoder: Decoder, paths: list, lengths: list | None):
     return parse
 
 
+# Files whose values are Python objects at once, whatever the session's batch size.
+KERNEL_ROWS = 1024
+
+
+def row_slices(batches: Iterator[pa.RecordBatch], rows: int = KERNEL_ROWS) -> Iterator[pa.RecordBatch]:
+    """The batches cut, without copies, to at most ``rows`` rows."""
+    for batch in batches:
+        for i in range(0, batch.num_rows, rows):
+            yield batch.slice(i, rows)
+
+
 def make_kernel(spec: Spec):
     """The batch function of ``decode_frame``: raw columns for the SQL decoders."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         decoder = Decoder(spec)
-        for batch in batches:
+        for batch in row_slices(batches):
             paths = batch.column("path").to_pylist() if "path" in batch.schema.names else None
             if "content" in batch.schema.names:
                 contents = batch.column("content")

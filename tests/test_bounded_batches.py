@@ -1,0 +1,49 @@
+"""Memory of a task does not follow the session's batch size; no session needed."""
+
+import tracemalloc
+
+import pyarrow as pa
+
+from medframe import dictionary as D
+from medframe.sources import encode as enc
+from medframe.sources import kernel
+
+ATTRS = sorted([enc.attr("PatientID", ""), enc.attr("Rows", ""), enc.attr("RationalNumeratorValue", "", multi=True)],
+               key=lambda a: a.tag)
+PREFIX = bytes.fromhex(enc.PREAMBLE_HEX + enc.META_HEX)
+
+
+def columns(n):
+    by_vr = {"LO": pa.array([None if i % 7 == 0 else f"P{i}" for i in range(n)], pa.string()),
+             "US": pa.array([None if i % 5 == 0 else [i % 60000] for i in range(n)], pa.list_(pa.int64())),
+             "SL": pa.array([[i, -i, i % 3][:i % 4] for i in range(n)], pa.list_(pa.int64()))}
+    return [by_vr[a.vr] for a in ATTRS]
+
+
+def test_files_are_laid_out_in_parts():
+    n = 12_000
+    cols = columns(n)
+    tracemalloc.start()
+    parts = enc.build_parts(ATTRS, PREFIX, cols)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert parts.equals(enc.build(ATTRS, PREFIX, cols))
+    assert most < 12e6  # the indices of all files at once take more
+    assert len(enc.build_parts(ATTRS, PREFIX, [c.slice(0, 0) for c in cols])) == 0
+
+
+def test_kernel_decodes_few_files_at_once():
+    n = 3000
+    d = D.active()
+    elems = [d.by_keyword[k] for k in ("PatientID", "Rows")]
+    spec = kernel.Spec(tags={e.tag: (e.keyword, e.vr) for e in d.elements},
+                       columns=[kernel.Column(e.keyword, e.tag, e.vr, e.single_vr) for e in elems],
+                       want_vrs=False, passthrough=("id",))
+    batch = pa.record_batch([pa.array([f"f{i}" for i in range(n)]), enc.build_parts(ATTRS, PREFIX, columns(n)),
+                             pa.array(range(n), pa.int64())], names=["path", "content", "id"])
+    out = list(kernel.make_kernel(spec)(iter([batch])))
+    assert max(b.num_rows for b in out) <= 1024
+    rows = pa.Table.from_batches(out)
+    assert rows["id"].to_pylist() == list(range(n)) and all(rows["isDicom"].to_pylist())
+    assert rows["__c1"].to_pylist()[1:5] == [[1], [2], [3], [4]]
+    assert rows["__c0"].to_pylist()[6] == "P6"
