@@ -28,6 +28,7 @@ import gc
 import hashlib
 import heapq
 from array import array
+from itertools import islice
 from struct import Struct
 
 import numpy as np
@@ -41,7 +42,7 @@ from pyspark.sql.types import (ArrayType, BinaryType, BooleanType, IntegerType,
 from medframe import ship
 from medframe.llm.batches import slices, values
 
-CACHED_PIECES = 60_000   # a generation of remembered pre-tokens ends with the slice that fills it; two are kept
+CACHED_PIECES = 60_000   # remembered pre-tokens of a generation; two are kept
 SLICE_BYTES = 2 << 20    # text that is encoded together
 SHORT_PIECE = 64         # bytes; longer pre-tokens go alone and are not remembered
 
@@ -324,7 +325,8 @@ class Encoder:
             if len(name) > SHORT_PIECE:
                 del young[name]
         if len(young) >= CACHED_PIECES:
-            self.old, self.young = young, {}
+            # of those of the last slice only what fits; frequent ones came first
+            self.old, self.young = dict(islice(young.items(), CACHED_PIECES)), {}
         return out
 
 

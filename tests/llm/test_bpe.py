@@ -35,6 +35,7 @@ def test_slices_and_forgetting_change_no_result(monkeypatch):
     assert whole == parts
     assert [w[2] for w in whole] == [hashlib.sha256((t or "").encode()).hexdigest() for t in texts]
     assert whole[0][0] == 6 and whole[0][1] == hashlib.sha256(b"257,258,98,260,258,98").hexdigest()
+    monkeypatch.undo()
     encoder = bpe._encoder(Shared, r" ?\w+|\s|[^\s\w]+")
     encoder(["the " + "ab" * 60])
     assert "the" in encoder.young and max(map(len, encoder.young)) <= bpe.SHORT_PIECE
