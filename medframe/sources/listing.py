@@ -11,8 +11,10 @@ from __future__ import annotations
 
 import datetime
 import re
+from collections import deque
 from collections.abc import Iterator
 from concurrent.futures import ThreadPoolExecutor
+from itertools import islice
 from urllib.parse import unquote
 
 from pyarrow import fs as pafs
@@ -67,26 +69,36 @@ def _qualified(path: str) -> str:
     return f"file:/{rest.lstrip('/')}" if scheme == "file" else path
 
 
-def resolve(path: str, conf: tuple) -> list[tuple[str, pafs.FileInfo]]:
-    """The files and folders a path or glob names; raises if there are none."""
+def matches(path: str, conf: tuple) -> Iterator[list[tuple[str, pafs.FileInfo]]]:
+    """The files and folders a path or glob names, those of a folder at a time; raises
+    if there is no such path."""
     path = _qualified(path.rstrip("/") or "/")
     if not _MAGIC.search(path):
         info = files.info(path, conf)
         if info.type == pafs.FileType.NotFound:
             raise FileNotFoundError(f"Path does not exist: {path}")
-        return [(path, info)]
+        yield [(path, info)]
+        return
     scheme, authority, rest = files.split_uri(path)
     head = f"{scheme}://{authority}" if authority else f"{scheme}:"
     parts = [p for p in rest.split("/") if p]
     fixed = next(i for i, p in enumerate(parts) if _MAGIC.search(p))
-    found = [("/".join([head, *parts[:fixed]]), None)]
-    for i, part in enumerate(parts[fixed:], fixed):
-        pattern, below = glob_pattern(part), []
-        for folder, info in found:
-            if info is None or info.type == pafs.FileType.Directory:
-                below += [(u, e) for u, e in files.entries(folder, conf)
-                          if pattern.match(e.base_name) and (not hidden(e.base_name) or part.startswith(e.base_name[0]))]
-        found = sorted(below, key=lambda f: f[0])
+    folders = ["/".join([head, *parts[:fixed]])]
+
+    def within(folder, part):
+        pattern = glob_pattern(part)
+        return [(u, e) for u, e in files.entries(folder, conf)
+                if pattern.match(e.base_name) and (not hidden(e.base_name) or part.startswith(e.base_name[0]))]
+
+    for part in parts[fixed:-1]:
+        folders = sorted(u for folder in folders for u, e in within(folder, part) if e.type == pafs.FileType.Directory)
+    for folder in folders:
+        yield within(folder, parts[-1])
+
+
+def resolve(path: str, conf: tuple) -> list[tuple[str, pafs.FileInfo]]:
+    """The files and folders a path or glob names; raises if there are none."""
+    found = sorted((f for some in matches(path, conf) for f in some), key=lambda f: f[0])
     if not found:
         raise FileNotFoundError(f"Path does not exist: {path}")
     return found
@@ -118,21 +130,27 @@ def paths_of(options: dict) -> list[str]:
 
 
 def walk(options: dict) -> Iterator[tuple[Found, tuple[str, ...]]]:
-    """(file, names of its partition columns) of everything ``options`` name.
-    Folders are listed by several threads, one level at a time."""
+    """(file, names of its partition columns) of everything ``options`` name."""
+    for found, names in walk_folders(options, LISTING_THREADS, must_match=True):
+        yield from ((f, names) for f in found)
+
+
+def walk_folders(options: dict, most: int, must_match: bool = False) -> Iterator[tuple[list[Found], tuple[str, ...]]]:
+    """The same by folder. Folders are listed by threads, one level at a time, at most
+    ``most`` of them ahead of what was taken. ``must_match``: raises if a path names nothing."""
     conf = files.conf_of(options)
     recursive = (_option(options, "recursiveFileLookup") or "").lower() == "true"
     name_filter = _option(options, "pathGlobFilter")
     pattern = glob_pattern(name_filter) if name_filter else None
     after, before = _moment(_option(options, "modifiedAfter")), _moment(_option(options, "modifiedBefore"))
 
-    def wanted(uri, info, names, vals):
+    def wanted(uri, info, vals):
         modified = info.mtime.timestamp() if info.mtime is not None else 0.0
         if pattern is not None and not pattern.match(info.base_name):
             return None
         if (after is not None and modified <= after) or (before is not None and modified >= before):
             return None
-        return Found(uri, info.size, modified, vals), names
+        return Found(uri, info.size, modified, vals)
 
     def below(level):
         uri, names, vals = level
@@ -141,28 +159,44 @@ def walk(options: dict) -> Iterator[tuple[Found, tuple[str, ...]]]:
             if hidden(info.base_name):
                 continue
             if info.type == pafs.FileType.File:
-                found.append(wanted(child, info, names, vals))
+                found.append(wanted(child, info, vals))
             elif recursive:
                 folders.append((child, names, vals))
             elif "=" in info.base_name:
                 key, _, value = info.base_name.partition("=")
                 value = None if value == DEFAULT_PARTITION else unquote(value)
                 folders.append((child, (*names, unquote(key)), (*vals, value)))
-        return found, folders
+        return found, names, folders
+
+    def named(path):
+        if must_match:
+            yield resolve(path, conf)
+            return
+        try:
+            yield from matches(path, conf)
+        except FileNotFoundError:
+            return
 
     level = []
     for path in paths_of(options):
-        for uri, info in resolve(path, conf):
-            if info.type == pafs.FileType.Directory:
-                level.append((uri, (), ()))
-            elif (one := wanted(uri, info, (), ())) is not None:
-                yield one
-    with ThreadPoolExecutor(max_workers=LISTING_THREADS) as pool:
+        for some in named(path):
+            found = []
+            for uri, info in some:
+                if info.type == pafs.FileType.Directory:
+                    level.append((uri, (), ()))
+                else:
+                    found.append(wanted(uri, info, ()))
+            yield [f for f in found if f is not None], ()
+    with ThreadPoolExecutor(max_workers=most) as pool:
         while level:
-            nearer = []
-            for found, folders in pool.map(below, level):
-                yield from (f for f in found if f is not None)
-                nearer += folders
+            nearer, ahead, folders = [], deque(), iter(level)
+            while True:
+                ahead.extend([pool.submit(below, f) for f in islice(folders, most - len(ahead))])
+                if not ahead:
+                    break
+                found, names, children = ahead.popleft().result()
+                yield [f for f in found if f is not None], names
+                nearer += children
             level = nearer
 
 

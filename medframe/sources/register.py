@@ -335,23 +335,28 @@ class DicomSource(ds.DataSource):
         return DicomStreamReader(schema, self.all_options)
 
 
-def install(spark: SparkSession | None = None) -> None:
-    """Register the format with a session (default: the active one) and let
-    Spark push filters to it. The session's settings for file systems become
-    the source's defaults."""
-    spark = spark or SparkSession.active()
-    # a class of this session's own, sent to Spark by value with its defaults
-    own = type("DicomSource", (DicomSource,), {
-        "defaults": dicom.file_system_options(spark, None), "__module__": "__main__"})
+def send(spark: SparkSession, source: type) -> None:
+    """Register a data source with a session."""
     # Spark plans streams in a Python process that gets no shipped files, only this path
     env = spark.sparkContext.environment
     before, package = env.get("PYTHONPATH"), ship.archive(spark)
     try:
         if package:
             env["PYTHONPATH"] = os.pathsep.join(p for p in (package, before) if p)
-        spark.dataSource.register(own)
+        spark.dataSource.register(source)
     finally:
         env.pop("PYTHONPATH", None)
         if before is not None:
             env["PYTHONPATH"] = before
+
+
+def install(spark: SparkSession | None = None) -> None:
+    """Register the format with a session (default: the active one) and let
+    Spark push filters to it. The session's settings for file systems become
+    the source's defaults."""
+    spark = spark or SparkSession.active()
+    # a class of this session's own, sent to Spark by value with its defaults
+    own = type("DicomSource", (DicomSource,), {
+        "defaults": dicom.file_system_options(spark, None), "__module__": "__main__"})
+    send(spark, own)
     spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")

@@ -1,8 +1,10 @@
 """Streaming scan (S2): a folder of DICOM files as a stream of rows.
 
-``binaryFile`` as a Structured Streaming file source (new files are found
-each trigger; the checkpoint's file log gives exactly-once discovery), then
-the same Arrow kernel and SQL decoders as the batch scan. The stream has no
+A Structured Streaming source of files (new files are found each trigger; a file
+log gives exactly-once discovery), then the same Arrow kernel and SQL decoders as
+the batch scan. Files read by headers come from a source of our own, whose log is a
+folder in shared storage (``medframe.streaming.file_stream``); Spark's ``binaryFile``
+gives all others, with the checkpoint's file log. The stream has no
 state: each micro-batch is a plain file scan. Use
 ``trigger(availableNow=True)`` for the reference's run-once test.
 """
@@ -14,6 +16,7 @@ from pyspark.sql.types import StructType
 
 from medframe import dictionary as dictmod
 from medframe.sources import dicom
+from medframe.streaming import file_stream
 
 # The fixed schema of the binaryFile source.
 BINARY_FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
@@ -38,6 +41,18 @@ def _bound_listing(spark: SparkSession) -> None:
             spark.conf.set(f"{LISTING}.{key}", str(value))
 
 
+def _binary_files(spark: SparkSession, path: str, opts: dict, max_files_per_trigger: int | None) -> DataFrame:
+    """Spark's own file source."""
+    reader = spark.readStream.format("binaryFile").schema(BINARY_FILE_SCHEMA)
+    for k, v in opts.items():
+        if k.lower() not in ("includepixeldata", "includecontent", "includeprivatetags", "headeronly"):
+            reader = reader.option(k, v)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    _bound_listing(spark)
+    return reader.load(path)
+
+
 def read_stream(
     spark: SparkSession,
     path: str,
@@ -56,7 +71,10 @@ def read_stream(
     A user ``schema`` (e.g. ``medframe.sources.dicom.schema()``) restricts the
     columns to its field names, as the reference's stream test does.
     ``header_only`` (option ``headerOnly``) reads each new file only up to
-    PixelData on the executors; the default is that of ``dicom.read``."""
+    PixelData on the executors; the default is that of ``dicom.read``. The option
+    ``fileLog`` names the folder of the file log (default: ``spark.checkpoint.dir``),
+    which has to live as long as the query's checkpoint. With ``max_files_per_trigger``
+    or another option of Spark's file source that source lists the files."""
     opts = dict(options or {})
     pix = dicom.bool_option(opts, dicom.OPTION_INCLUDE_PIXEL_DATA) if include_pixel_data is None else include_pixel_data
     con = dicom.bool_option(opts, dicom.OPTION_INCLUDE_CONTENT) if include_content is None else include_content
@@ -66,22 +84,19 @@ def read_stream(
         pix = pix or "PixelData" in columns
         con = con or dicom.CONTENT in columns
         prv = prv or dicom.PRIVATE in columns
-    reader = spark.readStream.format("binaryFile").schema(BINARY_FILE_SCHEMA)
-    for k, v in opts.items():
-        if k.lower() not in ("includepixeldata", "includecontent", "includeprivatetags", "headeronly"):
-            reader = reader.option(k, v)
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    _bound_listing(spark)
-    files = reader.load(path)
     conf = dicom.file_system_options(spark, opts)
     if header_only is None and any(k.lower() == "headeronly" for k in opts):
         header_only = dicom.bool_option(opts, "headerOnly")
     if header_only is None:
         header_only = not con and not pix and dicom._openable(spark, path, conf)
-    if header_only:
-        if con:
-            raise ValueError("includeContent needs the file bytes; not available with header_only")
-        # splits are sized by whole files, 32 small ones each; a header read needs far fewer tasks
-        files = files.drop("content").coalesce(_most_tasks(spark))
+    if header_only and con:
+        raise ValueError("includeContent needs the file bytes; not available with header_only")
+    files = None
+    if header_only and not max_files_per_trigger:
+        files = file_stream.new_files(spark, path, opts, conf, _most_tasks(spark))
+    if files is None:
+        files = _binary_files(spark, path, opts, max_files_per_trigger)
+        if header_only:
+            # splits are sized by whole files, 32 small ones each; a header read needs far fewer tasks
+            files = files.drop("content").coalesce(_most_tasks(spark))
     return dicom.decode_frame(files, columns, pix, con, prv, dictionary, header_only=header_only, options=conf)
