@@ -9,12 +9,13 @@ partition columns; ``pathGlobFilter`` tests file names, ``modifiedAfter`` and
 
 from __future__ import annotations
 
+import contextlib
 import datetime
 import re
 from collections import deque
 from collections.abc import Iterator
 from concurrent.futures import ThreadPoolExecutor
-from itertools import islice
+from itertools import chain, islice
 from urllib.parse import unquote
 
 from pyarrow import fs as pafs
@@ -69,15 +70,15 @@ def _qualified(path: str) -> str:
     return f"file:/{rest.lstrip('/')}" if scheme == "file" else path
 
 
-def matches(path: str, conf: tuple) -> Iterator[list[tuple[str, pafs.FileInfo]]]:
-    """The files and folders a path or glob names, those of a folder at a time; raises
-    if there is no such path."""
+def matches(path: str, conf: tuple) -> Iterator[tuple[str, pafs.FileInfo]]:
+    """The files and folders a path or glob names, a folder listed at a time; raises if
+    there is no such path."""
     path = _qualified(path.rstrip("/") or "/")
     if not _MAGIC.search(path):
         info = files.info(path, conf)
         if info.type == pafs.FileType.NotFound:
             raise FileNotFoundError(f"Path does not exist: {path}")
-        yield [(path, info)]
+        yield path, info
         return
     scheme, authority, rest = files.split_uri(path)
     head = f"{scheme}://{authority}" if authority else f"{scheme}:"
@@ -87,18 +88,18 @@ def matches(path: str, conf: tuple) -> Iterator[list[tuple[str, pafs.FileInfo]]]
 
     def within(folder, part):
         pattern = glob_pattern(part)
-        return [(u, e) for u, e in files.entries(folder, conf)
-                if pattern.match(e.base_name) and (not hidden(e.base_name) or part.startswith(e.base_name[0]))]
+        return ((u, e) for u, e in files.entries(folder, conf)
+                if pattern.match(e.base_name) and (not hidden(e.base_name) or part.startswith(e.base_name[0])))
 
     for part in parts[fixed:-1]:
         folders = sorted(u for folder in folders for u, e in within(folder, part) if e.type == pafs.FileType.Directory)
     for folder in folders:
-        yield within(folder, parts[-1])
+        yield from within(folder, parts[-1])
 
 
 def resolve(path: str, conf: tuple) -> list[tuple[str, pafs.FileInfo]]:
     """The files and folders a path or glob names; raises if there are none."""
-    found = sorted((f for some in matches(path, conf) for f in some), key=lambda f: f[0])
+    found = sorted(matches(path, conf), key=lambda f: f[0])
     if not found:
         raise FileNotFoundError(f"Path does not exist: {path}")
     return found
@@ -131,13 +132,12 @@ def paths_of(options: dict) -> list[str]:
 
 def walk(options: dict) -> Iterator[tuple[Found, tuple[str, ...]]]:
     """(file, names of its partition columns) of everything ``options`` name."""
-    for found, names in walk_folders(options, LISTING_THREADS, must_match=True):
-        yield from ((f, names) for f in found)
+    return walk_ahead(options, LISTING_THREADS, must_match=True)
 
 
-def walk_folders(options: dict, most: int, must_match: bool = False) -> Iterator[tuple[list[Found], tuple[str, ...]]]:
-    """The same by folder. Folders are listed by threads, one level at a time, at most
-    ``most`` of them ahead of what was taken. ``must_match``: raises if a path names nothing."""
+def walk_ahead(options: dict, most: int, must_match: bool = False) -> Iterator[tuple[Found, tuple[str, ...]]]:
+    """The same with at most ``most`` folders listed ahead of what was taken, by threads,
+    one level at a time. ``must_match``: raises if a path names nothing."""
     conf = files.conf_of(options)
     recursive = (_option(options, "recursiveFileLookup") or "").lower() == "true"
     name_filter = _option(options, "pathGlobFilter")
@@ -152,51 +152,45 @@ def walk_folders(options: dict, most: int, must_match: bool = False) -> Iterator
             return None
         return Found(uri, info.size, modified, vals)
 
-    def below(level):
-        uri, names, vals = level
-        found, folders = [], []
-        for child, info in files.entries(uri, conf):
-            if hidden(info.base_name):
-                continue
-            if info.type == pafs.FileType.File:
-                found.append(wanted(child, info, vals))
-            elif recursive:
-                folders.append((child, names, vals))
-            elif "=" in info.base_name:
-                key, _, value = info.base_name.partition("=")
-                value = None if value == DEFAULT_PARTITION else unquote(value)
-                folders.append((child, (*names, unquote(key)), (*vals, value)))
-        return found, names, folders
+    def entries(level):
+        out = files.entries(level[0], conf)
+        first = next(out, None)  # lists the folder
+        return level, out if first is None else chain((first,), out)
 
     def named(path):
         if must_match:
-            yield resolve(path, conf)
+            yield from resolve(path, conf)
             return
-        try:
+        with contextlib.suppress(FileNotFoundError):
             yield from matches(path, conf)
-        except FileNotFoundError:
-            return
 
     level = []
     for path in paths_of(options):
-        for some in named(path):
-            found = []
-            for uri, info in some:
-                if info.type == pafs.FileType.Directory:
-                    level.append((uri, (), ()))
-                else:
-                    found.append(wanted(uri, info, ()))
-            yield [f for f in found if f is not None], ()
+        for uri, info in named(path):
+            if info.type == pafs.FileType.Directory:
+                level.append((uri, (), ()))
+            elif (one := wanted(uri, info, ())) is not None:
+                yield one, ()
     with ThreadPoolExecutor(max_workers=most) as pool:
         while level:
             nearer, ahead, folders = [], deque(), iter(level)
             while True:
-                ahead.extend([pool.submit(below, f) for f in islice(folders, most - len(ahead))])
+                ahead.extend([pool.submit(entries, f) for f in islice(folders, most - len(ahead))])
                 if not ahead:
                     break
-                found, names, children = ahead.popleft().result()
-                yield [f for f in found if f is not None], names
-                nearer += children
+                (uri, names, vals), children = ahead.popleft().result()
+                for child, info in children:
+                    if hidden(info.base_name):
+                        continue
+                    if info.type == pafs.FileType.File:
+                        if (one := wanted(child, info, vals)) is not None:
+                            yield one, names
+                    elif recursive:
+                        nearer.append((child, names, vals))
+                    elif "=" in info.base_name:
+                        key, _, value = info.base_name.partition("=")
+                        value = None if value == DEFAULT_PARTITION else unquote(value)
+                        nearer.append((child, (*names, unquote(key)), (*vals, value)))
             level = nearer
 
 
